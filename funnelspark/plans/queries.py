@@ -1,0 +1,100 @@
+"""Named queries: each takes (spark, sf_dir) and returns a DataFrame over the
+whole driver tables.  ``ORACLES`` holds the DuckDB SQL of each query that has
+one (see ``oracle.py``).
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+
+from funnelspark.operators import activity, marts
+from funnelspark.plans import feeds
+from funnelspark.plans import oracle as O
+from funnelspark.session import ensure_session_defaults
+
+Query = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, Query] = {}
+ORACLES: dict[str, str] = {}
+
+
+def register(name: str, sql: str | None = None):
+    def deco(fn: Query) -> Query:
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            ensure_session_defaults(spark)
+            return fn(spark, sf_dir)
+        run.__name__ = fn.__name__
+        run.__doc__ = fn.__doc__
+        QUERIES[name] = run
+        if sql is not None:
+            ORACLES[name] = sql
+        return run
+    return deco
+
+
+_FULL = O.chain_to_profiles()
+
+
+def _upto(name: str) -> list[tuple[str, str]]:
+    names = [n for n, _ in _FULL]
+    return _FULL[: names.index(name) + 1]
+
+
+# ---------------------------------------------------------------- staging
+@register("q_stg_customers", O.with_ctes(_upto("stg_customers"), "SELECT * FROM stg_customers"))
+def q_stg_customers(spark, sf_dir):
+    """Profile file as loaded."""
+    return feeds.stg_customers(spark, sf_dir)
+
+
+@register("q_stg_website_events", O.with_ctes(_upto("stg_web"), "SELECT * FROM stg_web"))
+def q_stg_website_events(spark, sf_dir):
+    """Web events delivered twice, one row per event key."""
+    return feeds.stg_web(spark, sf_dir)
+
+
+@register("q_stg_purchase_events",
+          O.with_ctes(_upto("stg_purchases"), "SELECT * FROM stg_purchases"))
+def q_stg_purchase_events(spark, sf_dir):
+    """Purchases delivered twice (status update), one row per order."""
+    return feeds.stg_purchases(spark, sf_dir)
+
+
+# ---------------------------------------------------------------- aggregates
+@register("q_web_activity", O.with_ctes(_upto("web_act"), "SELECT * FROM web_act"))
+def q_web_activity(spark, sf_dir):
+    """Per-customer web activity."""
+    return activity.web_activity(feeds.stg_web(spark, sf_dir), feeds.AS_OF)
+
+
+@register("q_purchases", O.with_ctes(_upto("pur_act"), "SELECT * FROM pur_act"))
+def q_purchases(spark, sf_dir):
+    """Per-customer purchases."""
+    return activity.purchase_activity(feeds.stg_purchases(spark, sf_dir), feeds.AS_OF)
+
+
+@register("q_marketing_funnel", O.with_ctes(_upto("funnel"), "SELECT * FROM funnel"))
+def q_marketing_funnel(spark, sf_dir):
+    """The flagship funnel mart."""
+    return feeds.funnel(spark, sf_dir)
+
+
+@register("q_profiles_ml", O.with_ctes(_FULL, "SELECT * FROM profiles"))
+def q_profiles_ml(spark, sf_dir):
+    """The 33-column profile mart."""
+    return feeds.profiles(spark, sf_dir)
+
+
+@register("q_country_summary",
+          O.with_ctes(_FULL + [("summary", O.country_summary_sql())], "SELECT * FROM summary"))
+def q_country_summary(spark, sf_dir):
+    """Per country, tier and channel."""
+    return marts.country_summary(feeds.profiles(spark, sf_dir), feeds.AS_OF)
+
+
+@register("q_monthly_summary",
+          O.with_ctes(_FULL + [("summary", O.monthly_summary_sql())], "SELECT * FROM summary"))
+def q_monthly_summary(spark, sf_dir):
+    """Per registration month."""
+    return marts.monthly_summary(feeds.profiles(spark, sf_dir), feeds.AS_OF)
