@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 
 from funnelspark.functions.columns import as_timestamp
 from funnelspark.operators import activity, marts, staging
-from funnelspark.sources import tables
+from funnelspark.schemas import PURCHASE_EVENT_JSON, WEB_EVENT_JSON
+from funnelspark.sources import json_feed, tables
 
 # Fixed run time of every batch query (the reference uses now()).
 AS_OF = dt.datetime(2024, 2, 1, 0, 0, 0)
@@ -62,3 +63,27 @@ def funnel(spark, sf_dir, as_of=AS_OF, cutoff=None) -> DataFrame:
 def profiles(spark, sf_dir, as_of=AS_OF, cutoff=None) -> DataFrame:
     return marts.profiles_ml(stg_customers(spark, sf_dir, as_of),
                              funnel(spark, sf_dir, as_of, cutoff), as_of)
+
+
+# ---------------------------------------------------------------- JSON feeds
+# Orders with this priority are sent as guest checkouts: no customer id.
+GUEST_PRIORITY = "5-LOW"
+
+
+def web_json(spark, sf_dir) -> DataFrame:
+    """The web feed as the producer sends it: one JSON text per event."""
+    return json_feed.to_json_records(tables.web_events(spark, sf_dir),
+                                     WEB_EVENT_JSON.fieldNames())
+
+
+def purchase_records(spark, sf_dir, with_guests: bool = False) -> DataFrame:
+    rec = tables.purchase_events(spark, sf_dir, as_stream_record=True)
+    if with_guests:
+        rec = rec.withColumn("user_id", F.when(F.col("payment_method") != GUEST_PRIORITY,
+                                               F.col("user_id")))
+    return rec
+
+
+def purchase_json(spark, sf_dir, with_guests: bool = False) -> DataFrame:
+    return json_feed.to_json_records(purchase_records(spark, sf_dir, with_guests),
+                                     PURCHASE_EVENT_JSON.fieldNames())

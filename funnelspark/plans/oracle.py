@@ -23,8 +23,8 @@ def with_ctes(ctes: list[tuple[str, str]], final: str) -> str:
 
 
 # ---------------------------------------------------------------- adapters
-RAW_WEB0 = """
-SELECT user_id, ts AS event_timestamp,
+RAW_WEB_TEMPLATE = """
+SELECT {seq}user_id, ts AS event_timestamp,
   CASE src_type WHEN 'view' THEN 'page_view' WHEN 'click' THEN 'product_view'
     WHEN 'purchase' THEN 'add_to_cart' WHEN 'signup' THEN 'search' ELSE 'login' END AS event_type,
   CASE WHEN src_type IN ('view','click') THEN '/p/' || cast(k AS varchar) END AS page_url,
@@ -33,9 +33,12 @@ SELECT user_id, ts AS event_timestamp,
   CASE k % 3 WHEN 0 THEN 'mobile' WHEN 1 THEN 'desktop' ELSE 'tablet' END AS device_type,
   CASE WHEN src_type = 'signup' THEN 'q' || cast(k AS varchar) END AS search_query,
   ts + to_seconds(k) AS _processed_at
-FROM (SELECT cast(user_id AS varchar) AS user_id, cast(ts AS timestamp) AS ts,
-             event_type AS src_type, cast(json_extract_string(props, '$.k') AS integer) AS k
+FROM (SELECT event_id AS source_seq, cast(user_id AS varchar) AS user_id,
+             cast(ts AS timestamp) AS ts, event_type AS src_type,
+             cast(json_extract_string(props, '$.k') AS integer) AS k
       FROM events) e"""
+RAW_WEB0 = RAW_WEB_TEMPLATE.format(seq="")
+RAW_WEB_WITH_SEQ = RAW_WEB_TEMPLATE.format(seq="source_seq, ")
 
 RAW_WEB_REDELIVERED = """
 SELECT * FROM raw_web0
@@ -331,3 +334,36 @@ def chain_to_profiles(as_of: str = AS_OF, cutoff: str | None = None,
 def _rename(sql: str, name: str, new: str) -> str:
     import re
     return re.sub(rf"\b{name}\b", new, sql)
+
+
+# ---------------------------------------------------------------- minute KPIs
+def web_kpi_sql(src: str = "raw_web0", ts_expr: str = "event_timestamp",
+                closed_only: bool = False) -> str:
+    """Minute web KPIs; ``closed_only`` keeps windows the 5 s watermark has closed."""
+    flag = "cast(sum(CASE WHEN {c} IS NOT NULL THEN 1 ELSE 0 END) AS bigint)"
+    where = (f"\nWHERE window_end <= (SELECT max({ts_expr}) FROM {src}) - INTERVAL 5 SECOND"
+             if closed_only else "")
+    return f"""
+SELECT * FROM (
+  SELECT date_trunc('minute', {ts_expr}) AS window_start,
+    date_trunc('minute', {ts_expr}) + INTERVAL 1 MINUTE AS window_end,
+    count(*) AS total_events, count(DISTINCT user_id) AS unique_users,
+    {flag.format(c="page_url")} AS total_page_views,
+    {flag.format(c="product_id")} AS total_product_clicks
+  FROM {src} GROUP BY 1, 2) k{where}"""
+
+
+def purchase_kpi_sql(src: str = "raw_purchases0", ts_expr: str = "purchase_time",
+                     closed_only: bool = False) -> str:
+    where = (f"\nWHERE window_end <= (SELECT max({ts_expr}) FROM {src}) - INTERVAL 5 SECOND"
+             if closed_only else "")
+    return f"""
+SELECT * FROM (
+  SELECT date_trunc('minute', {ts_expr}) AS window_start,
+    date_trunc('minute', {ts_expr}) + INTERVAL 1 MINUTE AS window_end,
+    count(*) AS total_orders,
+    cast(sum(total_amount) AS decimal(20,2)) AS total_amount,
+    cast(cast(round(cast(sum(total_amount) AS decimal(38,6)) / count(total_amount), 6)
+              AS decimal(20,6)) AS decimal(20,2)) AS avg_amount,
+    cast(sum(len(product_id_list)) AS bigint) AS total_products
+  FROM {src} GROUP BY 1, 2) k{where}"""

@@ -8,11 +8,15 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from funnelspark.operators import activity, marts
+from funnelspark.functions.columns import as_timestamp
+from funnelspark.operators import activity, kpi, marts
 from funnelspark.plans import feeds
 from funnelspark.plans import oracle as O
-from funnelspark.session import ensure_session_defaults
+from funnelspark.session import ensure_session_defaults, scratch_path
+from funnelspark.sources import cdc, json_feed, tables
+from funnelspark.streaming import kpi_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -34,6 +38,10 @@ def register(name: str, sql: str | None = None):
 
 
 _FULL = O.chain_to_profiles()
+# Landed rows before this time reach the change feed as the initial snapshot.
+CDC_SNAPSHOT_BEFORE = "2024-01-15 00:00:00"
+# The KPI job was first stopped here and later restarted from the earliest offset.
+KPI_RESTART_AT = "2024-01-16 00:00:00"
 
 
 def _upto(name: str) -> list[tuple[str, str]]:
@@ -98,3 +106,134 @@ def q_country_summary(spark, sf_dir):
 def q_monthly_summary(spark, sf_dir):
     """Per registration month."""
     return marts.monthly_summary(feeds.profiles(spark, sf_dir), feeds.AS_OF)
+
+
+# ---------------------------------------------------------------- sources
+_AS_OF_LIT = O.ts(O.AS_OF)
+
+
+@register("q_parse_web_json", O.with_ctes([("raw_web0", O.RAW_WEB0)], f"""
+SELECT user_id, date_trunc('millisecond', event_timestamp) AS event_timestamp, event_type,
+  page_url, product_id, session_id, device_type, search_query, {_AS_OF_LIT} AS _processed_at
+FROM raw_web0"""))
+def q_parse_web_json(spark, sf_dir):
+    """Web JSON records parsed with the declared schema."""
+    parsed = json_feed.parse_web_events(feeds.web_json(spark, sf_dir),
+                                        processed_at=as_timestamp(feeds.AS_OF))
+    accepted, _ = json_feed.split_web(parsed)
+    return accepted
+
+
+_PURCHASE_LANDED = f"""
+SELECT order_id, {{user}} AS user_id, purchase_time, total_amount, product_ids, payment_method,
+  shipping_address, order_status, currency, {_AS_OF_LIT} AS _processed_at{{extra}}
+FROM raw_purchases0 WHERE payment_method {{op}} '{feeds.GUEST_PRIORITY}'"""
+
+
+@register("q_parse_purchase_json", O.with_ctes(
+    [("products", O.PRODUCTS), ("raw_purchases0", O.RAW_PURCHASES0)],
+    _PURCHASE_LANDED.format(user="user_id", extra="", op="<>")))
+def q_parse_purchase_json(spark, sf_dir):
+    """Purchase JSON (guest checkouts carry no customer)
+    parsed and landed; rows with a NULL key are not accepted."""
+    recs = json_feed.parse_purchase_records(feeds.purchase_json(spark, sf_dir, with_guests=True))
+    accepted, _ = json_feed.split_purchases(
+        json_feed.land_purchases(recs, processed_at=as_timestamp(feeds.AS_OF)))
+    return accepted
+
+
+@register("q_rejects", O.with_ctes(
+    [("products", O.PRODUCTS), ("raw_purchases0", O.RAW_PURCHASES0)],
+    _PURCHASE_LANDED.format(user="cast(NULL AS varchar)",
+                            extra=", 'user_id is null' AS reject_reason", op="=")))
+def q_rejects(spark, sf_dir):
+    """The reject output of purchase landing (NULL customer id)."""
+    recs = json_feed.parse_purchase_records(feeds.purchase_json(spark, sf_dir, with_guests=True))
+    _, rejected = json_feed.split_purchases(
+        json_feed.land_purchases(recs, processed_at=as_timestamp(feeds.AS_OF)))
+    return rejected
+
+
+@register("q_cdc_flatten_web", O.with_ctes([("raw_web0", O.RAW_WEB_WITH_SEQ)], """
+SELECT user_id, date_trunc('second', event_timestamp) AS event_timestamp, event_type,
+  page_url, product_id, session_id, device_type, search_query,
+  date_trunc('second', _processed_at) AS _processed_at,
+  date_trunc('second', _processed_at) AS kafka_time, source_seq AS kafka_offset
+FROM raw_web0"""))
+def q_cdc_flatten_web(spark, sf_dir):
+    """Web change envelopes (epoch micros) flattened and typed."""
+    raw = tables.web_events(spark, sf_dir, with_source_seq=True)
+    env = cdc.web_envelopes(raw, CDC_SNAPSHOT_BEFORE, "source_seq")
+    return cdc.flatten_web_changes(env)
+
+
+@register("q_cdc_flatten_purchase", O.with_ctes(
+    [("products", O.PRODUCTS), ("raw_purchases0", O.RAW_PURCHASES0)], """
+SELECT order_id, user_id, purchase_time, total_amount, product_ids, payment_method,
+  shipping_address, order_status, currency, _processed_at,
+  date_trunc('second', _processed_at) AS kafka_time, cast(order_id AS bigint) AS kafka_offset
+FROM raw_purchases0"""))
+def q_cdc_flatten_purchase(spark, sf_dir):
+    """Purchase change envelopes (epoch millis) flattened."""
+    raw = tables.purchase_events(spark, sf_dir)
+    env = cdc.purchase_envelopes(raw.withColumn("source_seq", F.col("order_id").cast("bigint")),
+                                 CDC_SNAPSHOT_BEFORE, "source_seq")
+    return cdc.flatten_purchase_changes(env)
+
+
+# ---------------------------------------------------------------- minute KPIs
+@register("q_web_kpi_minute", O.with_ctes([("raw_web0", O.RAW_WEB0)], O.web_kpi_sql()))
+def q_web_kpi_minute(spark, sf_dir):
+    """X2, X3, A1, A3, A8, C23 (batch): web KPIs per minute."""
+    return kpi.web_kpi(tables.web_events(spark, sf_dir))
+
+
+@register("q_purchase_kpi_minute", O.with_ctes(
+    [("products", O.PRODUCTS), ("raw_purchases0", O.RAW_PURCHASES0)], O.purchase_kpi_sql()))
+def q_purchase_kpi_minute(spark, sf_dir):
+    """X2, X4, A1, A5, A6, A10, C17, C23 (batch): purchase KPIs per minute."""
+    return kpi.purchase_kpi(feeds.purchase_records(spark, sf_dir))
+
+
+@register("q_latest_window", O.with_ctes([("raw_web0", O.RAW_WEB0)],
+                                         f"SELECT *, {_AS_OF_LIT} AS updated_at FROM ("
+                                         f"{O.web_kpi_sql()}) x"))
+def q_latest_window(spark, sf_dir):
+    """KPI sink rows after a restart (an early partial run and a full
+    rerun append the same windows); the latest row per window is read."""
+    raw = tables.web_events(spark, sf_dir)
+    early = kpi.web_kpi(feeds.processed_until(raw, KPI_RESTART_AT)).withColumn(
+        "updated_at", as_timestamp(KPI_RESTART_AT))
+    full = kpi.web_kpi(raw).withColumn("updated_at", as_timestamp(feeds.AS_OF))
+    return kpi.latest_per_window(early.unionByName(full))
+
+
+# ---------------------------------------------------------------- streams
+@register("q_stream_web_kpi", O.with_ctes(
+    [("raw_web0", O.RAW_WEB0),
+     ("ev", "SELECT date_trunc('millisecond', event_timestamp) AS t, user_id, page_url, "
+            "product_id FROM raw_web0")],
+    O.web_kpi_sql("ev", "t", closed_only=True)))
+def q_stream_web_kpi(spark, sf_dir):
+    """The web feed written as JSON files and
+    replayed through the live KPI job (availableNow); windows still open at
+    the end of input are not emitted."""
+    feed = scratch_path(spark, "web-feed")
+    feeds.web_json(spark, sf_dir).write.text(feed)
+    sink, ckpt = scratch_path(spark, "web-kpi"), scratch_path(spark, "web-kpi-ckpt")
+    kpi_stream.run_to_files(kpi_stream.web_kpi_stream(kpi_stream.read_records(spark, feed)),
+                            sink, ckpt)
+    return spark.read.parquet(sink)
+
+
+@register("q_stream_purchase_kpi", O.with_ctes(
+    [("products", O.PRODUCTS), ("raw_purchases0", O.RAW_PURCHASES0)],
+    O.purchase_kpi_sql(closed_only=True)))
+def q_stream_purchase_kpi(spark, sf_dir):
+    """Purchase feed replayed through the live KPI job."""
+    feed = scratch_path(spark, "purchase-feed")
+    feeds.purchase_json(spark, sf_dir).write.text(feed)
+    sink, ckpt = scratch_path(spark, "purchase-kpi"), scratch_path(spark, "purchase-kpi-ckpt")
+    kpi_stream.run_to_files(
+        kpi_stream.purchase_kpi_stream(kpi_stream.read_records(spark, feed)), sink, ckpt)
+    return spark.read.parquet(sink)

@@ -46,14 +46,18 @@ def _mapped(col: Column, pairs, default) -> Column:
     return expr.otherwise(default)
 
 
-def web_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Landed web events (9 columns) from the driver's ``events`` table."""
-    e = read_table(spark, sf_dir, "events").select("user_id", "ts", "event_type", "props")
+def web_events(spark: SparkSession, sf_dir: str, with_source_seq: bool = False) -> DataFrame:
+    """Landed web events (9 columns) from the driver's ``events`` table;
+    ``with_source_seq`` adds the source's event number as ``source_seq``."""
+    e = read_table(spark, sf_dir, "events").select("event_id", "user_id", "ts", "event_type",
+                                                   "props")
     k = F.get_json_object("props", "$.k").cast("int")
-    e = e.select(F.col("user_id").cast("string").alias("user_id"),
+    e = e.select(F.col("event_id").alias("source_seq"),
+                 F.col("user_id").cast("string").alias("user_id"),
                  F.col("ts").cast("timestamp").alias("ts"),
                  F.col("event_type").alias("src_type"), k.alias("k"))
     t = F.col("src_type")
+    extra = [F.col("source_seq")] if with_source_seq else []
     return e.select(
         "user_id",
         F.col("ts").alias("event_timestamp"),
@@ -69,6 +73,7 @@ def web_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         .alias("search_query"),
         (F.col("ts") + F.make_interval(secs=F.col("k").cast("decimal(18,6)")))
         .alias("_processed_at"),
+        *extra,
     )
 
 
