@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from funnelspark.functions.columns import as_timestamp
 from funnelspark.operators import activity, kpi, marts
-from funnelspark.plans import feeds
+from funnelspark.plans import feeds, pipeline
 from funnelspark.plans import oracle as O
 from funnelspark.session import ensure_session_defaults, scratch_path
 from funnelspark.sources import cdc, json_feed, tables
@@ -237,3 +237,100 @@ def q_stream_purchase_kpi(spark, sf_dir):
     kpi_stream.run_to_files(
         kpi_stream.purchase_kpi_stream(kpi_stream.read_records(spark, feed)), sink, ckpt)
     return spark.read.parquet(sink)
+
+
+# ---------------------------------------------------------------- incremental
+# The history is applied in two runs: what had landed by SPLIT, then the rest.
+SPLIT = "2024-01-16 00:00:00"
+
+
+def _two_staging_runs(raw, kind):
+    first, _, _ = pipeline.stage_increment(None, pipeline.landed_by(raw, SPLIT), feeds.AS_OF,
+                                           kind=kind)
+    second, _, _ = pipeline.stage_increment(first, raw, feeds.AS_OF, kind=kind)
+    return second
+
+
+@register("q_upsert_events", O.with_ctes(_upto("stg_web"), "SELECT * FROM stg_web"))
+def q_upsert_events(spark, sf_dir):
+    """Staged web events built in two incremental runs
+    (mark on ingestion time, delete+insert by event key) equal one full run."""
+    return _two_staging_runs(feeds.raw_web(spark, sf_dir), "web")
+
+
+@register("q_upsert_orders", O.with_ctes(_upto("stg_purchases"), "SELECT * FROM stg_purchases"))
+def q_upsert_orders(spark, sf_dir):
+    """Staged purchases in two incremental runs."""
+    return _two_staging_runs(feeds.raw_purchases(spark, sf_dir), "purchases")
+
+
+def _two_activity_runs(spark, sf_dir, mode):
+    raw = feeds.raw_web(spark, sf_dir)
+    s1, _, t1 = pipeline.stage_increment(None, pipeline.landed_by(raw, SPLIT), feeds.AS_OF,
+                                         kind="web")
+    a1 = pipeline.checkpointed(pipeline.aggregate_increment(None, s1, t1, feeds.AS_OF,
+                                                            kind="web"))
+    s2, _, t2 = pipeline.stage_increment(s1, raw, feeds.AS_OF, kind="web")
+    return pipeline.aggregate_increment(a1, s2, t2, feeds.AS_OF, kind="web", mode=mode)
+
+
+@register("q_incremental_activity", O.with_ctes(_upto("web_act"), "SELECT * FROM web_act"))
+def q_incremental_activity(spark, sf_dir):
+    """M3, M8, M10 (default mode): touched customers re-aggregated over their
+    whole history; two runs equal one full run."""
+    return _two_activity_runs(spark, sf_dir, "touched")
+
+
+_REPLACE_SQL = O.with_ctes(_upto("stg_web") + [
+    ("raw_web_r1", f"SELECT * FROM raw_web WHERE _processed_at <= {O.ts(SPLIT)}"),
+    ("stg_web_r1", O.stg_web_sql(O.AS_OF, "raw_web_r1")),
+    ("act1", O.web_activity_sql(O.AS_OF, "stg_web_r1")),
+    ("batch2", "SELECT * FROM stg_web WHERE event_timestamp_utc > (SELECT coalesce("
+               "max(last_web_activity_timestamp), TIMESTAMP '1970-01-01 00:00:00') FROM act1)"),
+    ("act2", O.web_activity_sql(O.AS_OF, "batch2")),
+], "SELECT * FROM act1 WHERE customer_id NOT IN (SELECT customer_id FROM act2)\n"
+   "UNION ALL SELECT * FROM act2")
+
+
+@register("q_incremental_activity_replace", _REPLACE_SQL)
+def q_incremental_activity_replace(spark, sf_dir):
+    """M3, M8, T5, T6 (compat mode): the second run aggregates only events past
+    the global event-time mark and replaces those customers' rows."""
+    return _two_activity_runs(spark, sf_dir, "replace_batch")
+
+
+def _two_model_runs(spark, sf_dir):
+    raw_w, raw_p = feeds.raw_web(spark, sf_dir), feeds.raw_purchases(spark, sf_dir)
+    prof = tables.customer_profiles(spark, sf_dir)
+    first = pipeline.run_models(None, pipeline.landed_by(raw_w, SPLIT),
+                                pipeline.landed_by(raw_p, SPLIT), prof, feeds.AS_OF)
+    return pipeline.run_models(first, raw_w, raw_p, prof, feeds.AS_OF)
+
+
+@register("q_incremental_funnel", O.with_ctes(_upto("funnel"), "SELECT * FROM funnel"))
+def q_incremental_funnel(spark, sf_dir):
+    """The whole model chain run twice incrementally; the funnel."""
+    return _two_model_runs(spark, sf_dir).funnel
+
+
+@register("q_incremental_profiles", O.with_ctes(_FULL, "SELECT * FROM profiles"))
+def q_incremental_profiles(spark, sf_dir):
+    """The profile mart after two incremental runs."""
+    return _two_model_runs(spark, sf_dir).profiles
+
+
+# An earlier full snapshot of the append-only summary.
+EARLIER_SNAPSHOT = "2024-01-16 00:00:00"
+
+
+@register("q_latest_snapshot",
+          O.with_ctes(_FULL + [("summary", O.country_summary_sql())], "SELECT * FROM summary"))
+def q_latest_snapshot(spark, sf_dir):
+    """Two full snapshots appended to the country summary; the
+    newest load is read back."""
+    early = marts.country_summary(
+        feeds.profiles(spark, sf_dir, as_of=EARLIER_SNAPSHOT, cutoff=EARLIER_SNAPSHOT),
+        EARLIER_SNAPSHOT)
+    late = marts.country_summary(feeds.profiles(spark, sf_dir), feeds.AS_OF)
+    history = marts.append_snapshot(marts.append_snapshot(None, early), late)
+    return marts.latest_snapshot(history)
