@@ -367,3 +367,119 @@ SELECT * FROM (
               AS decimal(20,6)) AS decimal(20,2)) AS avg_amount,
     cast(sum(len(product_id_list)) AS bigint) AS total_products
   FROM {src} GROUP BY 1, 2) k{where}"""
+
+
+# ---------------------------------------------------------------- segmentation
+def features_sql(features, src: str = "profiles") -> str:
+    cols = ",\n  ".join(f"coalesce(cast({f} AS double), 0.0) AS {f}" for f in features)
+    return f"SELECT customer_id,\n  {cols}\nFROM {src}"
+
+
+def scaled_sql(features, src: str = "features") -> str:
+    cols = ",\n  ".join(
+        f"round(CASE WHEN stddev_samp({f}) OVER () = 0 THEN 0.0 ELSE "
+        f"({f} - avg({f}) OVER ()) / stddev_samp({f}) OVER () END, 6) AS {f}" for f in features)
+    return f"SELECT customer_id,\n  {cols}\nFROM {src}"
+
+
+def exact_avg_sql(col: str) -> str:
+    return (f"cast(round(cast(sum(cast({col} AS decimal(38,6))) AS decimal(38,6)) / "
+            f"count({col}), 6) AS double)")
+
+
+def rule_clusters_sql(src: str = "profiles") -> str:
+    """The fixed assignment rule standing in for the model: key modulo 3."""
+    return f"SELECT customer_id, cast(cast(customer_id AS bigint) % 3 AS integer) AS cluster FROM {src}"
+
+
+def cluster_profile_sql(features, analysis_time: str, profiles: str = "profiles",
+                        clusters: str = "clusters") -> str:
+    avgs = ",\n  ".join(f"{exact_avg_sql('p.' + f)} AS avg_{f}" for f in features)
+    return f"""
+SELECT c.cluster,
+  {avgs},
+  count(*) AS rows_in_cluster,
+  {ts(analysis_time)} AS analysis_timestamp
+FROM {profiles} p JOIN {clusters} c ON p.customer_id = c.customer_id
+GROUP BY c.cluster"""
+
+
+def history_ctes(features, run_times) -> list[tuple[str, str]]:
+    """Cluster profiles of the rule clusters at each run time, appended."""
+    ctes: list[tuple[str, str]] = []
+    parts = []
+    for i, t in enumerate(run_times):
+        s = f"_r{i}"
+        ctes += chain_to_profiles(as_of=t, cutoff=t, suffix=s)
+        ctes.append((f"clusters{s}", rule_clusters_sql(f"profiles{s}")))
+        ctes.append((f"cprof{s}", cluster_profile_sql(features, t, f"profiles{s}",
+                                                      f"clusters{s}")))
+        parts.append(f"SELECT * FROM cprof{s}")
+    ctes.append(("history", "\nUNION ALL\n".join(parts)))
+    return ctes
+
+
+def diffs_sql(metrics, src: str = "history") -> str:
+    cols = []
+    for m in metrics:
+        if m == "rows_in_cluster":
+            cols.append(f"{m} - lag({m}) OVER w AS {m}")
+        else:
+            cols.append(f"cast(cast({m} AS decimal(38,6)) - lag(cast({m} AS decimal(38,6))) "
+                        f"OVER w AS decimal(38,6)) AS {m}")
+    body = ",\n  ".join(cols)
+    return f"""
+SELECT cluster, analysis_timestamp,
+  {body}
+FROM {src}
+WINDOW w AS (PARTITION BY cluster ORDER BY analysis_timestamp)
+QUALIFY row_number() OVER w > 1"""
+
+
+def trends_ctes(metrics, history: str = "history", diffs: str = "diffs") -> list[tuple[str, str]]:
+    vals = ", ".join(f"cast({m} AS double) AS {m}" for m in metrics)
+    chg = ", ".join(f"cast({m} AS decimal(38,6)) AS {m}" for m in metrics)
+    on = ", ".join(metrics)
+    return [
+        ("hv", f"SELECT cluster, analysis_timestamp, {vals} FROM {history}"),
+        ("dv", f"SELECT cluster, analysis_timestamp, {chg} FROM {diffs}"),
+        ("hl", f"SELECT * FROM hv UNPIVOT INCLUDE NULLS (value FOR metric IN ({on}))"),
+        ("dl", f"SELECT * FROM dv UNPIVOT INCLUDE NULLS (diff FOR metric IN ({on}))"),
+    ]
+
+
+TRENDS_FINAL = """
+SELECT v.cluster, v.analysis_timestamp, v.metric, v.value, d.diff,
+  CASE WHEN d.diff < 0 THEN 'down' WHEN d.diff IS NOT NULL THEN 'not_down' END AS direction
+FROM hl v LEFT JOIN dl d
+  ON v.cluster = d.cluster AND v.analysis_timestamp = d.analysis_timestamp
+ AND v.metric = d.metric"""
+
+
+def insights_sql(src: str = "diffs") -> str:
+    def f5(x):
+        return f"cast(round(cast({x} AS decimal(38,6)), 5) AS varchar)"
+    c = "cast(cluster AS varchar)"
+    n = "rows_in_cluster"
+    s, a = "avg_total_spend_usd", "avg_avg_order_value_usd"
+    r, w = "avg_days_since_last_purchase", "avg_days_since_last_web_activity"
+    return f"""
+SELECT cluster, analysis_timestamp, population_text, spend_text, recency_text, web_text,
+  concat_ws(chr(10), '📊 **Cluster ' || cast(cluster AS varchar) || ' Insights**',
+            '- ' || population_text, '- ' || spend_text, '- ' || recency_text,
+            '- ' || web_text) AS insight
+FROM (
+  SELECT cluster, analysis_timestamp,
+    CASE WHEN {n} > 0 THEN 'Cluster ' || {c} || ' grew by ' || format('{{:,}}', abs({n})) || ' members.'
+         WHEN {n} < 0 THEN 'Cluster ' || {c} || ' shrank by ' || format('{{:,}}', abs({n})) || ' members.'
+         ELSE 'Cluster ' || {c} || ' population remained stable.' END AS population_text,
+    CASE WHEN {s} > 0 THEN 'Average spend increased by $' || {f5(s)} || ' (AOV change: $' || {f5(a)} || ').'
+         WHEN {s} < 0 THEN 'Average spend decreased by $' || {f5('abs(' + s + ')')} || ' (AOV change: $' || {f5(a)} || ').'
+         ELSE 'Average spend remained unchanged.' END AS spend_text,
+    CASE WHEN {r} < 0 THEN 'Customers purchased more recently (' || {f5(r)} || ' days sooner).'
+         WHEN {r} > 0 THEN 'Customers purchased less recently (' || {f5(r)} || ' days later).'
+         ELSE 'Purchase recency unchanged.' END AS recency_text,
+    CASE WHEN {w} < 0 THEN 'Web activity improved (' || {f5(w)} || ' days sooner).'
+         WHEN {w} > 0 THEN 'Web activity declined (' || {f5(w)} || ' days later).'
+         ELSE 'Web activity unchanged.' END AS web_text
+  FROM {src}) t"""

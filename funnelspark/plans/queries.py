@@ -7,15 +7,17 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml import Pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from funnelspark.functions.columns import as_timestamp
-from funnelspark.operators import activity, kpi, marts
+from funnelspark.operators import activity, kpi, marts, reports, segments
 from funnelspark.plans import feeds, pipeline
 from funnelspark.plans import oracle as O
 from funnelspark.session import ensure_session_defaults, scratch_path
-from funnelspark.sources import cdc, json_feed, tables
+from funnelspark.schemas import PROFILE_FEATURES, REQUESTED_FEATURES
+from funnelspark.sources import cdc, json_feed, lake, tables
 from funnelspark.streaming import kpi_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -334,3 +336,121 @@ def q_latest_snapshot(spark, sf_dir):
     late = marts.country_summary(feeds.profiles(spark, sf_dir), feeds.AS_OF)
     history = marts.append_snapshot(marts.append_snapshot(None, early), late)
     return marts.latest_snapshot(history)
+
+
+# ---------------------------------------------------------------- segmentation
+_PROFILE_COLS = tuple(c for c in O.FUNNEL_METRICS) + ("days_since_registration",)
+_FEATURES = [c for c in REQUESTED_FEATURES if c in _PROFILE_COLS]
+
+
+@register("q_features", O.with_ctes(_FULL, O.features_sql(_FEATURES)))
+def q_features(spark, sf_dir):
+    """Id + the 18 existing features as doubles, NULL -> 0."""
+    prof = feeds.profiles(spark, sf_dir)
+    features, _ = segments.feature_columns(prof)
+    return segments.feature_frame(prof, features)
+
+
+@register("q_scaled", O.with_ctes(_FULL + [("features", O.features_sql(_FEATURES))],
+                                  O.scaled_sql(_FEATURES)))
+def q_scaled(spark, sf_dir):
+    """K2: features standardized with mean and sample deviation (fitted scaler),
+    rounded to 6 places."""
+    prof = feeds.profiles(spark, sf_dir)
+    features, _ = segments.feature_columns(prof)
+    frame = segments.feature_frame(prof, features)
+    model = Pipeline(stages=segments.segmentation_pipeline(features).getStages()[:2]).fit(frame)
+    out = segments.scaled_columns(model, frame, features)
+    return out.select("customer_id", *[F.round(F.col(f), 6).alias(f) for f in features])
+
+
+def _clustering(spark, sf_dir):
+    prof = feeds.profiles(spark, sf_dir).checkpoint(eager=True)
+    return segments.cluster_customers(spark, prof, feeds.AS_OF,
+                                      model_path=scratch_path(spark, "segment-model"))
+
+
+@register("q_clusters")
+def q_clusters(spark, sf_dir):
+    """PCA + k-means assignments (labels ordered by mean spend).
+    Checked by invariants in tests (no SQL equivalent)."""
+    assigned, _ = _clustering(spark, sf_dir)
+    return assigned
+
+
+@register("q_cluster_monitor")
+def q_cluster_monitor(spark, sf_dir):
+    """Run-log rows of a clustering run; the monitor's
+    view (scaler, PCA and k-means metrics, newest first)."""
+    _, log = _clustering(spark, sf_dir)
+    return segments.monitor(log)
+
+
+@register("q_cluster_profile", O.with_ctes(
+    _FULL + [("clusters", O.rule_clusters_sql()),
+             ("cprof", O.cluster_profile_sql(PROFILE_FEATURES, O.AS_OF))],
+    "SELECT * FROM cprof"))
+def q_cluster_profile(spark, sf_dir):
+    """Per-cluster means of 20 features and sizes.  A fixed
+    assignment rule (key modulo 3) stands in for the model so the profile is
+    checkable by SQL."""
+    prof = feeds.profiles(spark, sf_dir)
+    return segments.cluster_profile(prof, rule_clusters(prof), feeds.AS_OF)
+
+
+# ---------------------------------------------------------------- reports
+# Analysis runs of the cluster history.
+RUN_TIMES = ("2024-01-11 00:00:00", "2024-01-21 00:00:00", O.AS_OF)
+_HISTORY = O.history_ctes(PROFILE_FEATURES, RUN_TIMES)
+_METRICS = [f"avg_{c}" for c in PROFILE_FEATURES] + ["rows_in_cluster"]
+
+
+def rule_clusters(profiles):
+    return profiles.select("customer_id",
+                           (F.col("customer_id").cast("bigint") % 3).cast("int").alias("cluster"))
+
+
+def cluster_history(spark, sf_dir):
+    """Cluster profiles appended at each analysis run."""
+    parts = []
+    for t in RUN_TIMES:
+        prof = feeds.profiles(spark, sf_dir, as_of=t, cutoff=t)
+        parts.append(segments.cluster_profile(prof, rule_clusters(prof), t))
+    hist = parts[0]
+    for p in parts[1:]:
+        hist = hist.unionByName(p)
+    # clusters x runs rows, read twice by the reports: materialize once.
+    return hist.checkpoint(eager=True)
+
+
+@register("q_cluster_diffs", O.with_ctes(_HISTORY, O.diffs_sql(_METRICS)))
+def q_cluster_diffs(spark, sf_dir):
+    """Change of every cluster metric between consecutive runs."""
+    return reports.cluster_diffs(cluster_history(spark, sf_dir))
+
+
+@register("q_cluster_trends", O.with_ctes(
+    _HISTORY + [("diffs", O.diffs_sql(_METRICS))] + O.trends_ctes(_METRICS), O.TRENDS_FINAL))
+def q_cluster_trends(spark, sf_dir):
+    """Long-form trend data (value, change, direction)."""
+    return reports.cluster_trends(cluster_history(spark, sf_dir))
+
+
+@register("q_cluster_insights", O.with_ctes(_HISTORY + [("diffs", O.diffs_sql(_METRICS))],
+                                            O.insights_sql()))
+def q_cluster_insights(spark, sf_dir):
+    """One sentence block per cluster change."""
+    return reports.cluster_insights(reports.cluster_diffs(cluster_history(spark, sf_dir)))
+
+
+# ---------------------------------------------------------------- lake
+@register("q_export_reload", O.with_ctes(_FULL, "SELECT * FROM profiles"))
+def q_export_reload(spark, sf_dir):
+    """Profile mart exported in key order,
+    loaded into the lake table, counted, read back."""
+    export = scratch_path(spark, "profiles-export")
+    lake.export_parquet(feeds.profiles(spark, sf_dir), export, keys=["customer_id"])
+    table, n = lake.load_and_count(spark, export, scratch_path(spark, "lake-profiles"))
+    if n != spark.read.parquet(export).count():
+        raise RuntimeError("lake table row count differs from the export")
+    return table
