@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from funnelspark.operators import activity, marts, staging
 from funnelspark.operators import incremental as inc
+from funnelspark.session import scratch_path
 
 Saver = Callable[[DataFrame], DataFrame]
 ACTIVITY_TIMES = ("last_web_activity_timestamp", "last_purchase_timestamp")
@@ -29,6 +30,16 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def written_table(df: DataFrame) -> DataFrame:
+    """Write a Parquet table into the shared checkpoint folder and read it back:
+    cuts the lineage like ``checkpoint`` and keeps column statistics, so the
+    next run's high-water-mark filters skip row groups."""
+    spark = df.sparkSession
+    path = scratch_path(spark, "model-table")
+    df.write.parquet(path)
+    return spark.read.parquet(path)
+
+
 @dataclass(frozen=True)
 class Models:
     stg_web: DataFrame | None = None

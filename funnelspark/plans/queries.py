@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from funnelspark.functions.columns import as_timestamp
 from funnelspark.operators import activity, kpi, marts, reports, segments
-from funnelspark.plans import feeds, pipeline
+from funnelspark.plans import feeds, pipeline, segment_job
 from funnelspark.plans import oracle as O
 from funnelspark.session import ensure_session_defaults, scratch_path
 from funnelspark.schemas import PROFILE_FEATURES, REQUESTED_FEATURES
@@ -364,26 +364,32 @@ def q_scaled(spark, sf_dir):
     return out.select("customer_id", *[F.round(F.col(f), 6).alias(f) for f in features])
 
 
-def _clustering(spark, sf_dir):
-    prof = feeds.profiles(spark, sf_dir).checkpoint(eager=True)
-    return segments.cluster_customers(spark, prof, feeds.AS_OF,
-                                      model_path=scratch_path(spark, "segment-model"))
+def _segment_tables(spark) -> segment_job.SegmentTables:
+    return segment_job.SegmentTables(
+        profiles=scratch_path(spark, "lake-profiles"), clusters=scratch_path(spark, "clusters"),
+        log=scratch_path(spark, "clusters-log"), history=scratch_path(spark, "clusters-history"),
+        model=scratch_path(spark, "segment-model"))
+
+
+def _clustering(spark, sf_dir) -> segment_job.SegmentTables:
+    t = _segment_tables(spark)
+    segment_job.run_segmentation_job(spark, feeds.profiles(spark, sf_dir), t, feeds.AS_OF)
+    return t
 
 
 @register("q_clusters")
 def q_clusters(spark, sf_dir):
-    """PCA + k-means assignments (labels ordered by mean spend).
-    Checked by invariants in tests (no SQL equivalent)."""
-    assigned, _ = _clustering(spark, sf_dir)
-    return assigned
+    """The segmentation job's assignment table
+    (PCA + k-means, labels ordered by mean spend).  Checked by invariants in
+    tests (no SQL equivalent)."""
+    return lake.read_table(spark, _clustering(spark, sf_dir).clusters)
 
 
 @register("q_cluster_monitor")
 def q_cluster_monitor(spark, sf_dir):
-    """Run-log rows of a clustering run; the monitor's
-    view (scaler, PCA and k-means metrics, newest first)."""
-    _, log = _clustering(spark, sf_dir)
-    return segments.monitor(log)
+    """The run log written by the job, read by the
+    monitor (scaler, PCA and k-means metrics, newest first)."""
+    return segments.monitor(segment_job.read_log(spark, _clustering(spark, sf_dir)))
 
 
 @register("q_cluster_profile", O.with_ctes(

@@ -13,6 +13,7 @@ carries configuration.  Two settings matter for correctness:
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 
@@ -68,13 +69,17 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared checkpoint folder: from ``spark.checkpoint.dir`` if the
     cluster names one, else a fresh local folder (local mode and tests only)."""
     global _LOCAL_ROOT
-    sc = spark.sparkContext
-    root = sc.getConf().get(_CHECKPOINT_CONF, None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - no JVM context on this client
+        sc = None
+    root = (sc.getConf().get(_CHECKPOINT_CONF, None) if sc is not None
+            else spark.conf.get(_CHECKPOINT_CONF, None))
     if not root:
         if _LOCAL_ROOT is None:
             _LOCAL_ROOT = tempfile.mkdtemp(prefix="funnelspark-ckpt-")
         root = _LOCAL_ROOT
-    if sc.getCheckpointDir() is None:
+    if sc is not None and sc.getCheckpointDir() is None:
         sc.setCheckpointDir(root)
     return root
 
@@ -98,7 +103,10 @@ def local_dir(path: str) -> str:
 
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Existence check through the Hadoop file system (works for any scheme)."""
-    jvm = spark.sparkContext._jvm
+    try:
+        jvm = spark.sparkContext._jvm
+    except Exception:  # noqa: BLE001 - no JVM on this client: local paths only
+        return os.path.exists(local_dir(path))
     hpath = jvm.org.apache.hadoop.fs.Path(path)
     fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     return bool(fs.exists(hpath))

@@ -114,3 +114,22 @@ def test_cluster_history_diffs_and_text(spark):
     down = trends.filter("cluster = 0 and day(analysis_timestamp) = 3 and "
                          "metric = 'avg_total_spend_usd'").collect()[0]
     assert down["direction"] == "down"
+
+
+def test_segmentation_job_tables(spark, tmp_dir):
+    from funnelspark.plans import segment_job
+    t = segment_job.SegmentTables(*(f"{tmp_dir}/{n}" for n in
+                                    ("profiles", "clusters", "log", "history", "model")))
+    prof = feeds.profiles(spark, SF_SMALL)
+    segment_job.run_segmentation_job(spark, prof, t, "2024-01-20 00:00:00")
+    segment_job.run_segmentation_job(spark, prof, t, "2024-02-01 00:00:00")
+    hist = segment_job.read_history(spark, t)
+    assert hist.count() == 6 and hist.select("analysis_timestamp").distinct().count() == 2
+    clusters = spark.read.parquet(t.clusters)
+    assert clusters.count() == prof.count()
+    assert clusters.select("run_date").distinct().collect()[0][0] == dt.datetime(2024, 2, 1)
+    log = segment_job.read_log(spark, t)
+    steps = [r["step"] for r in log.collect()]
+    assert steps.count("model_train") == 1 and steps.count("model_load") == 1
+    newest = segments.monitor(log).collect()
+    assert len(newest) == 3 and newest[0]["run_date"] == dt.datetime(2024, 1, 20)
