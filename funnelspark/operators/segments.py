@@ -93,23 +93,23 @@ def load_or_fit(spark: SparkSession, model_path: str | None, fit, *, now_s: floa
 
 
 # ---------------------------------------------------------------- assignment
-def ordered_labels(assigned: DataFrame, profiles: DataFrame, order_by: str = "total_spend_usd"
-                   ) -> DataFrame:
+def ordered_labels(assigned: DataFrame, order_by: str = "total_spend_usd") -> DataFrame:
     """Map raw k-means labels to labels ordered by the cluster mean of
-    ``order_by`` (T22).  The mapping has k rows, so broadcasting it is bounded."""
-    means = (assigned.join(profiles.select(ID, order_by), ID, "inner")
-             .groupBy("raw_cluster").agg(F.avg(order_by).alias("_m")))
+    ``order_by`` (T22).  ``assigned`` already carries the column (it is a
+    feature), so no join with the profiles is needed; the mapping has k rows,
+    so broadcasting it is bounded."""
+    means = assigned.groupBy("raw_cluster").agg(F.avg(order_by).alias("_m"))
     mapping = means.select(
         "raw_cluster",
         (F.row_number().over(Window.orderBy("_m", "raw_cluster")) - 1).cast("int").alias("cluster"))
     return assigned.join(F.broadcast(mapping), "raw_cluster", "inner").drop("raw_cluster")
 
 
-def assign_clusters(model: PipelineModel, frame: DataFrame, profiles: DataFrame, run_date
-                    ) -> DataFrame:
+def assign_clusters(model: PipelineModel, frame: DataFrame, run_date,
+                    order_by: str = "total_spend_usd") -> DataFrame:
     """(customer_id, cluster, run_date) for every customer (K5)."""
-    assigned = model.transform(frame).select(ID, F.col("raw_cluster").cast("int"))
-    return ordered_labels(assigned, profiles).select(
+    assigned = model.transform(frame).select(ID, F.col("raw_cluster").cast("int"), order_by)
+    return ordered_labels(assigned, order_by).select(
         ID, "cluster", as_timestamp(run_date).alias("run_date"))
 
 
@@ -160,7 +160,7 @@ def cluster_customers(spark: SparkSession, profiles: DataFrame, run_date, *,
         log.append((step, "INFO", msg))
         if step == "model_train":
             log.extend(model_metrics(model, features))
-        assigned = assign_clusters(model, frame, profiles, run_date)
+        assigned = assign_clusters(model, frame, run_date)
         assigned = assigned.checkpoint(eager=True)
     finally:
         frame.unpersist()

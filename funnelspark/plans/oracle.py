@@ -483,3 +483,11 @@ FROM (
          WHEN {w} > 0 THEN 'Web activity declined (' || {f5(w)} || ' days later).'
          ELSE 'Web activity unchanged.' END AS web_text
   FROM {src}) t"""
+
+
+ORACLE_CDC_WEB = with_ctes([("raw_web0", RAW_WEB_WITH_SEQ)], """
+SELECT user_id, date_trunc('second', event_timestamp) AS event_timestamp, event_type,
+  page_url, product_id, session_id, device_type, search_query,
+  date_trunc('second', _processed_at) AS _processed_at,
+  date_trunc('second', _processed_at) AS kafka_time, source_seq AS kafka_offset
+FROM raw_web0""")

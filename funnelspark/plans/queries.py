@@ -156,12 +156,7 @@ def q_rejects(spark, sf_dir):
     return rejected
 
 
-@register("q_cdc_flatten_web", O.with_ctes([("raw_web0", O.RAW_WEB_WITH_SEQ)], """
-SELECT user_id, date_trunc('second', event_timestamp) AS event_timestamp, event_type,
-  page_url, product_id, session_id, device_type, search_query,
-  date_trunc('second', _processed_at) AS _processed_at,
-  date_trunc('second', _processed_at) AS kafka_time, source_seq AS kafka_offset
-FROM raw_web0"""))
+@register("q_cdc_flatten_web", O.ORACLE_CDC_WEB)
 def q_cdc_flatten_web(spark, sf_dir):
     """Web change envelopes (epoch micros) flattened and typed."""
     raw = tables.web_events(spark, sf_dir, with_source_seq=True)
@@ -460,3 +455,39 @@ def q_export_reload(spark, sf_dir):
     if n != spark.read.parquet(export).count():
         raise RuntimeError("lake table row count differs from the export")
     return table
+
+
+@register("q_stream_ingest_purchases", O.with_ctes(
+    [("products", O.PRODUCTS), ("raw_purchases0", O.RAW_PURCHASES0)], f"""
+SELECT order_id, user_id, purchase_time, total_amount, product_ids, payment_method,
+  shipping_address, order_status, currency
+FROM raw_purchases0 WHERE payment_method <> '{feeds.GUEST_PRIORITY}'"""))
+def q_stream_ingest_purchases(spark, sf_dir):
+    """The purchase JSON feed (with guest checkouts)
+    through the stateless streaming ingest; rows with a NULL key go to the
+    reject table.  The landed table is read back without its processing-time
+    and micro-batch columns."""
+    feed = scratch_path(spark, "purchase-ingest-feed")
+    feeds.purchase_json(spark, sf_dir, with_guests=True).write.text(feed)
+    landed, rejects = scratch_path(spark, "raw-purchases"), scratch_path(spark, "rejects")
+
+    def parse(values):
+        return json_feed.land_purchases(json_feed.parse_purchase_records(values))
+
+    kpi_stream.run_ingest(kpi_stream.read_records(spark, feed), parse,
+                          json_feed.split_purchases, landed, rejects,
+                          scratch_path(spark, "ingest-ckpt"))
+    return spark.read.parquet(landed).drop("_processed_at", "batch_id")
+
+
+@register("q_stream_cdc_web", O.ORACLE_CDC_WEB)
+def q_stream_cdc_web(spark, sf_dir):
+    """Web change envelopes consumed as a stream (file
+    source, availableNow) and flattened into the warehouse copy."""
+    feed = scratch_path(spark, "web-cdc-feed")
+    raw = tables.web_events(spark, sf_dir, with_source_seq=True)
+    cdc.web_envelopes(raw, CDC_SNAPSHOT_BEFORE, "source_seq").write.text(feed)
+    sink = scratch_path(spark, "web-warehouse-copy")
+    kpi_stream.run_to_files(cdc.flatten_web_changes(kpi_stream.read_records(spark, feed)),
+                            sink, scratch_path(spark, "web-cdc-ckpt"))
+    return spark.read.parquet(sink)

@@ -90,11 +90,14 @@ def run_ingest(values: DataFrame, parse, split, sink_path: str, reject_path: str
     parsed = parse(values)
 
     def write_batch(df: DataFrame, batch_id: int) -> None:
-        df = df.withColumn("batch_id", F.lit(batch_id))
-        ok, bad = split(df)
-        for out, path in ((ok, sink_path), (bad, reject_path)):
-            (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-             .partitionBy("batch_id").parquet(path))
+        df = df.withColumn("batch_id", F.lit(batch_id)).persist()   # read by both writes
+        try:
+            ok, bad = split(df)
+            for out, path in ((ok, sink_path), (bad, reject_path)):
+                (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+                 .partitionBy("batch_id").parquet(path))
+        finally:
+            df.unpersist()
 
     writer = (parsed.writeStream.foreachBatch(write_batch)
               .option("checkpointLocation", checkpoint))
