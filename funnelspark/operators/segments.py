@@ -30,7 +30,7 @@ from pyspark.sql import types as T
 from funnelspark.functions.columns import as_timestamp
 from funnelspark.schemas import (KMEANS_K, KMEANS_SEED, METRIC_STEPS, MODEL_MAX_AGE_DAYS,
                                  PCA_COMPONENTS, PROFILE_FEATURES, REQUESTED_FEATURES, RUN_LOG)
-from funnelspark.session import path_age_days
+from funnelspark.session import materialize, path_age_days
 
 ID = "customer_id"
 
@@ -107,8 +107,11 @@ def ordered_labels(assigned: DataFrame, order_by: str = "total_spend_usd") -> Da
 
 def assign_clusters(model: PipelineModel, frame: DataFrame, run_date,
                     order_by: str = "total_spend_usd") -> DataFrame:
-    """(customer_id, cluster, run_date) for every customer (K5)."""
-    assigned = model.transform(frame).select(ID, F.col("raw_cluster").cast("int"), order_by)
+    """(customer_id, cluster, run_date) for every customer (K5).  The raw
+    assignment is written once (it is read twice: label means, then labels)."""
+    assigned = materialize(
+        model.transform(frame).select(ID, F.col("raw_cluster").cast("int"), order_by),
+        "raw-assignments")
     return ordered_labels(assigned, order_by).select(
         ID, "cluster", as_timestamp(run_date).alias("run_date"))
 
@@ -161,7 +164,6 @@ def cluster_customers(spark: SparkSession, profiles: DataFrame, run_date, *,
         if step == "model_train":
             log.extend(model_metrics(model, features))
         assigned = assign_clusters(model, frame, run_date)
-        assigned = assigned.checkpoint(eager=True)
     finally:
         frame.unpersist()
     log.append(("save_clusters", "SUCCESS", "clusters assigned"))

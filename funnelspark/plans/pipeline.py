@@ -3,7 +3,7 @@
 ``run_models`` applies one batch run in the dependency order of the warehouse
 (staging -> customer aggregates -> funnel -> profiles -> summaries) to the
 previous run's tables and returns the new ones.  Each new table is saved
-(by default ``DataFrame.checkpoint`` into ``spark.checkpoint.dir``) before the
+(by default as a Parquet table in ``spark.checkpoint.dir``) before the
 next step reads it, so lineage stays one run deep and a lost executor only
 recomputes the current step.  Steps fail fast: an exception stops the chain
 (T23).
@@ -19,25 +19,20 @@ from pyspark.sql import functions as F
 
 from funnelspark.operators import activity, marts, staging
 from funnelspark.operators import incremental as inc
-from funnelspark.session import scratch_path
+from funnelspark.session import materialize
 
 Saver = Callable[[DataFrame], DataFrame]
 ACTIVITY_TIMES = ("last_web_activity_timestamp", "last_purchase_timestamp")
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Materialize into the shared checkpoint folder and cut the lineage."""
-    return df.checkpoint(eager=True)
+def saved_table(df: DataFrame) -> DataFrame:
+    """Default saver: a written Parquet table in the shared checkpoint folder."""
+    return materialize(df, "model-table")
 
 
-def written_table(df: DataFrame) -> DataFrame:
-    """Write a Parquet table into the shared checkpoint folder and read it back:
-    cuts the lineage like ``checkpoint`` and keeps column statistics, so the
-    next run's high-water-mark filters skip row groups."""
-    spark = df.sparkSession
-    path = scratch_path(spark, "model-table")
-    df.write.parquet(path)
-    return spark.read.parquet(path)
+def checkpointed(df: DataFrame) -> DataFrame:
+    """Alternative saver: RDD checkpoint (computes its input twice unless cached)."""
+    return df.checkpoint(eager=True)
 
 
 @dataclass(frozen=True)
@@ -53,7 +48,7 @@ class Models:
 
 
 def stage_increment(prev: DataFrame | None, raw: DataFrame, as_of, *, kind: str,
-                    save: Saver = checkpointed) -> tuple[DataFrame, DataFrame, DataFrame]:
+                    save: Saver = saved_table) -> tuple[DataFrame, DataFrame, DataFrame]:
     """One staging run (M1/M2, M7, M10): returns (table, batch, touched customers).
 
     The batch is the raw rows landed after the target's ingestion-time mark
@@ -66,8 +61,9 @@ def stage_increment(prev: DataFrame | None, raw: DataFrame, as_of, *, kind: str,
         raw = inc.after_mark(raw, "_processed_at", mark)
     batch = save(stage(raw, as_of))
     touched = inc.touched_customers(batch, inc.replaced_rows(prev, batch, [key]))
-    touched = save(touched)
-    table = save(inc.upsert(prev, batch, [key]))
+    if prev is not None:
+        touched = save(touched)   # read by every later step of the run
+    table = save(inc.upsert(prev, batch, [key])) if prev is not None else batch
     return table, batch, touched
 
 
@@ -124,7 +120,7 @@ def profiles_increment(prev: DataFrame | None, customers: DataFrame, funnel: Dat
 
 def run_models(prev: Models | None, raw_web: DataFrame, raw_purchases: DataFrame,
                profile_file: DataFrame, as_of, *, mode: str = "touched",
-               save: Saver = checkpointed) -> Models:
+               save: Saver = saved_table) -> Models:
     """One scheduled batch run over all models in dependency order."""
     prev = prev or Models()
     stg_web, _, touched_web = stage_increment(prev.stg_web, raw_web, as_of, kind="web",
@@ -135,14 +131,13 @@ def run_models(prev: Models | None, raw_web: DataFrame, raw_purchases: DataFrame
                                    kind="web", mode=mode))
     pur = save(aggregate_increment(prev.purchases, stg_pur, touched_pur, as_of,
                                    kind="purchases", mode=mode))
-    touched = save(touched_web.unionByName(touched_pur).distinct())
+    touched = touched_web.unionByName(touched_pur).distinct()
     funnel = save(funnel_increment(prev.funnel, web, pur, touched, as_of, mode))
     customers = staging.stg_customers(profile_file, as_of)
     profiles = save(profiles_increment(prev.profiles, customers, funnel, touched, as_of, mode))
-    country = marts.append_snapshot(prev.country_history,
-                                    save(marts.country_summary(profiles, as_of)))
-    monthly = marts.append_snapshot(prev.monthly_history,
-                                    save(marts.monthly_summary(profiles, as_of)))
+    # Summaries read the saved profiles; the snapshots are small and appended as they are.
+    country = marts.append_snapshot(prev.country_history, marts.country_summary(profiles, as_of))
+    monthly = marts.append_snapshot(prev.monthly_history, marts.monthly_summary(profiles, as_of))
     return replace(prev, stg_web=stg_web, stg_purchases=stg_pur, web_activity=web,
                    purchases=pur, funnel=funnel, profiles=profiles,
                    country_history=country, monthly_history=monthly)

@@ -15,7 +15,7 @@ from funnelspark.functions.columns import as_timestamp
 from funnelspark.operators import activity, kpi, marts, reports, segments
 from funnelspark.plans import feeds, pipeline, segment_job
 from funnelspark.plans import oracle as O
-from funnelspark.session import ensure_session_defaults, scratch_path
+from funnelspark.session import ensure_session_defaults, materialize, scratch_path
 from funnelspark.schemas import PROFILE_FEATURES, REQUESTED_FEATURES
 from funnelspark.sources import cdc, json_feed, lake, tables
 from funnelspark.streaming import kpi_stream
@@ -265,8 +265,7 @@ def _two_activity_runs(spark, sf_dir, mode):
     raw = feeds.raw_web(spark, sf_dir)
     s1, _, t1 = pipeline.stage_increment(None, pipeline.landed_by(raw, SPLIT), feeds.AS_OF,
                                          kind="web")
-    a1 = pipeline.checkpointed(pipeline.aggregate_increment(None, s1, t1, feeds.AS_OF,
-                                                            kind="web"))
+    a1 = materialize(pipeline.aggregate_increment(None, s1, t1, feeds.AS_OF, kind="web"))
     s2, _, t2 = pipeline.stage_increment(s1, raw, feeds.AS_OF, kind="web")
     return pipeline.aggregate_increment(a1, s2, t2, feeds.AS_OF, kind="web", mode=mode)
 
@@ -421,7 +420,7 @@ def cluster_history(spark, sf_dir):
     for p in parts[1:]:
         hist = hist.unionByName(p)
     # clusters x runs rows, read twice by the reports: materialize once.
-    return hist.checkpoint(eager=True)
+    return materialize(hist, "cluster-history")
 
 
 @register("q_cluster_diffs", O.with_ctes(_HISTORY, O.diffs_sql(_METRICS)))

@@ -76,6 +76,10 @@ def checkpoint_root(spark: SparkSession) -> str:
     root = (sc.getConf().get(_CHECKPOINT_CONF, None) if sc is not None
             else spark.conf.get(_CHECKPOINT_CONF, None))
     if not root:
+        master = sc.master if sc is not None else "local"
+        if not master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder: a machine-local "
+                               "folder cannot hold tables and checkpoints on a cluster")
         if _LOCAL_ROOT is None:
             _LOCAL_ROOT = tempfile.mkdtemp(prefix="funnelspark-ckpt-")
         root = _LOCAL_ROOT
@@ -93,6 +97,17 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def materialize(df, name: str = "table"):
+    """Compute ``df`` once, write it as Parquet into the shared checkpoint
+    folder and read it back: the lineage is cut (a lost executor recomputes
+    nothing before this point) and the copy keeps column statistics for
+    filter pushdown.  Unlike an RDD checkpoint the input is not computed twice."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.parquet(path)
+
+
 def is_local_path(path: str) -> bool:
     return "://" not in path or path.startswith("file:")
 
@@ -132,6 +147,6 @@ def set_path_mtime(spark: SparkSession, path: str, epoch_s: float) -> None:
 
 
 __all__ = [
-    "build_session", "ensure_session_defaults", "checkpoint_root", "scratch_path",
+    "build_session", "ensure_session_defaults", "checkpoint_root", "scratch_path", "materialize",
     "path_exists", "path_age_days", "set_path_mtime", "is_local_path", "local_dir",
 ]

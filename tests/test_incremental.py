@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from funnelspark.operators import incremental as inc
 from funnelspark.plans import feeds, pipeline
+from funnelspark.session import materialize
 from funnelspark.sources import tables
 
 from .conftest import SF_SMALL
@@ -48,7 +49,7 @@ def test_new_batch_for_known_customer_history_vs_replace(spark):
        "_processed_at timestamp")
     first = pipeline.landed_by(raw, "2024-01-10 00:00:00")
     s1, _, t1 = pipeline.stage_increment(None, first, AS_OF, kind="web")
-    a1 = pipeline.aggregate_increment(None, s1, t1, AS_OF, kind="web").checkpoint()
+    a1 = materialize(pipeline.aggregate_increment(None, s1, t1, AS_OF, kind="web"))
     s2, _, t2 = pipeline.stage_increment(s1, raw, AS_OF, kind="web")
     kept = pipeline.aggregate_increment(a1, s2, t2, AS_OF, kind="web", mode="touched").collect()
     replaced = pipeline.aggregate_increment(a1, s2, t2, AS_OF, kind="web",

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from funnelspark.operators import reports, segments
 from funnelspark.plans import feeds
-from funnelspark.session import set_path_mtime
+from funnelspark.session import materialize, set_path_mtime
 
 from .conftest import SF_SMALL
 
@@ -22,7 +22,7 @@ def test_feature_list_drops_missing_names(spark):
 
 
 def test_clusters_invariants_and_same_seed_same_result(spark, tmp_dir):
-    prof = feeds.profiles(spark, SF_SMALL).checkpoint()
+    prof = materialize(feeds.profiles(spark, SF_SMALL))
     a1, log = segments.cluster_customers(spark, prof, "2024-02-01 00:00:00")
     a2, _ = segments.cluster_customers(spark, prof, "2024-02-01 00:00:00")
     r1 = {r["customer_id"]: r["cluster"] for r in a1.collect()}
@@ -61,7 +61,7 @@ def test_scaler_is_mean_and_sample_deviation(spark):
 
 
 def test_model_age_rule_load_versus_retrain(spark, tmp_dir):
-    prof = feeds.profiles(spark, SF_SMALL).checkpoint()
+    prof = materialize(feeds.profiles(spark, SF_SMALL))
     path = f"{tmp_dir}/model"
     now = time.time()
     _, log = segments.cluster_customers(spark, prof, "2024-02-01 00:00:00", model_path=path,
