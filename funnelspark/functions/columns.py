@@ -34,16 +34,6 @@ def to_seconds(c: Column) -> Column:
     return F.date_trunc("second", c.cast("timestamp"))
 
 
-def from_epoch_micros_to_seconds(c: Column) -> Column:
-    """``toDateTime(x / 1000000)`` (C3, web change feed): whole seconds."""
-    return F.date_trunc("second", F.timestamp_micros(c))
-
-
-def from_epoch_millis(c: Column) -> Column:
-    """``toDateTime64(x / 1000, 3)`` (C3, purchase change feed): milliseconds."""
-    return F.timestamp_millis(c)
-
-
 def to_money(c: Column) -> Column:
     """Amount as decimal(10,2); out-of-range or malformed values become NULL (C4)."""
     return c.try_cast(MONEY)

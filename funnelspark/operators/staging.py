@@ -31,9 +31,15 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order_desc: Sequence[Colu
             .filter(F.col(rank_col) == 1).drop(rank_col))
 
 
-def web_events_base(raw: DataFrame, as_of) -> DataFrame:
+# Parts of the surrogate event key, in order (T4: two events of one user and
+# session within the same second share a key).
+EVENT_KEY_PARTS = ("user_id", "event_timestamp", "session_id")
+
+
+def web_events_base(raw: DataFrame, as_of, key_parts=EVENT_KEY_PARTS) -> DataFrame:
     """Typed web events with the surrogate event key (P3, C2, C18; T4: whole seconds)."""
     ts = to_seconds(F.col("event_timestamp"))
+    key = [ts if p == "event_timestamp" else F.col(p) for p in key_parts]
     cols = [
         F.col("user_id").cast("string").alias("customer_id"),
         ts.alias("event_timestamp_utc"),
@@ -44,7 +50,7 @@ def web_events_base(raw: DataFrame, as_of) -> DataFrame:
         F.col("device_type").cast("string").alias("device_type"),
         F.col("search_query").cast("string").alias("search_query"),
         to_seconds(F.col("_processed_at")).alias("stream_processed_at_utc"),
-        surrogate_key(F.col("user_id"), ts, F.col("session_id")).alias("event_id"),
+        surrogate_key(*key).alias("event_id"),
         as_timestamp(as_of).alias("dbt_loaded_at"),
     ]
     if "kafka_offset" in raw.columns:
@@ -52,9 +58,9 @@ def web_events_base(raw: DataFrame, as_of) -> DataFrame:
     return raw.select(*cols)
 
 
-def stg_website_events(raw: DataFrame, as_of) -> DataFrame:
+def stg_website_events(raw: DataFrame, as_of, key_parts=EVENT_KEY_PARTS) -> DataFrame:
     """Deduplicated web events, one row per ``event_id`` (M2 full run)."""
-    base = web_events_base(raw, as_of)
+    base = web_events_base(raw, as_of, key_parts)
     order = ["event_timestamp_utc", "stream_processed_at_utc"]
     if "kafka_offset" in base.columns:
         order.append("kafka_offset")

@@ -13,7 +13,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from funnelspark.functions.columns import from_epoch_micros_to_seconds, from_epoch_millis
 from funnelspark.schemas import (CDC_ROW_OPS, PURCHASE_ROW_IMAGE, WEB_ROW_IMAGE,
                                  envelope_schema)
 
@@ -72,21 +71,30 @@ def _flatten(values: DataFrame, image) -> DataFrame:
                        broker_offset.cast("bigint").alias("kafka_offset"))
 
 
-def flatten_web_changes(values: DataFrame) -> DataFrame:
+# Epoch unit of each time column of the row images (T17: it follows the
+# landing column's precision, micros for web, millis for purchases).
+WEB_TIME_UNITS = {"event_timestamp": "micros", "_processed_at": "micros"}
+PURCHASE_TIME_UNITS = {"purchase_time": "millis", "_processed_at": "millis"}
+
+
+def epoch_to_time(c, unit: str, precision: str):
+    """Epoch integer -> timestamp at the warehouse column's precision."""
+    ts = {"micros": F.timestamp_micros, "millis": F.timestamp_millis,
+          "seconds": F.timestamp_seconds}[unit](c)
+    return F.date_trunc("second", ts) if precision == "second" else ts
+
+
+def _typed(rows: DataFrame, columns, units: dict, precision: str) -> DataFrame:
+    return rows.select(*[epoch_to_time(F.col(c), units[c], precision).alias(c) if c in units
+                         else F.col(c) for c in columns], "kafka_time", "kafka_offset")
+
+
+def flatten_web_changes(values: DataFrame, units: dict = WEB_TIME_UNITS) -> DataFrame:
     """Web envelopes → typed warehouse rows, whole-second times."""
-    rows = _flatten(values, WEB_ROW_IMAGE)
-    return rows.select(
-        "user_id", from_epoch_micros_to_seconds(F.col("event_timestamp")).alias("event_timestamp"),
-        "event_type", "page_url", "product_id", "session_id", "device_type", "search_query",
-        from_epoch_micros_to_seconds(F.col("_processed_at")).alias("_processed_at"),
-        "kafka_time", "kafka_offset")
+    return _typed(_flatten(values, WEB_ROW_IMAGE), WEB_ROW_IMAGE.fieldNames(), units, "second")
 
 
-def flatten_purchase_changes(values: DataFrame) -> DataFrame:
+def flatten_purchase_changes(values: DataFrame, units: dict = PURCHASE_TIME_UNITS) -> DataFrame:
     """Purchase envelopes → typed warehouse rows, millisecond times."""
-    rows = _flatten(values, PURCHASE_ROW_IMAGE)
-    return rows.select(
-        "order_id", "user_id", from_epoch_millis(F.col("purchase_time")).alias("purchase_time"),
-        "total_amount", "product_ids", "payment_method", "shipping_address", "order_status",
-        "currency", from_epoch_millis(F.col("_processed_at")).alias("_processed_at"),
-        "kafka_time", "kafka_offset")
+    return _typed(_flatten(values, PURCHASE_ROW_IMAGE), PURCHASE_ROW_IMAGE.fieldNames(), units,
+                  "milli")

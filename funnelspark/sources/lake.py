@@ -68,3 +68,8 @@ def load_and_count(spark: SparkSession, source_path: str, target: str) -> tuple[
     """Parquet export -> lake table -> row count check."""
     table = create_or_replace(spark, spark.read.parquet(source_path), target)
     return table, table.count()
+
+
+def preview(df: DataFrame, n: int = 5) -> DataFrame:
+    """First rows for a look at a table (O4): a limit is the feature here."""
+    return df.limit(n)
