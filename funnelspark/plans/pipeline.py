@@ -15,7 +15,6 @@ from collections.abc import Callable
 from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from funnelspark.operators import activity, marts, staging
 from funnelspark.operators import incremental as inc
@@ -141,7 +140,3 @@ def run_models(prev: Models | None, raw_web: DataFrame, raw_purchases: DataFrame
     return replace(prev, stg_web=stg_web, stg_purchases=stg_pur, web_activity=web,
                    purchases=pur, funnel=funnel, profiles=profiles,
                    country_history=country, monthly_history=monthly)
-
-
-def landed_by(df: DataFrame, cutoff) -> DataFrame:
-    return df.filter(F.col("_processed_at") <= F.lit(str(cutoff)).cast("timestamp"))

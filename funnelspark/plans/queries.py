@@ -242,7 +242,7 @@ SPLIT = "2024-01-16 00:00:00"
 
 
 def _two_staging_runs(raw, kind):
-    first, _, _ = pipeline.stage_increment(None, pipeline.landed_by(raw, SPLIT), feeds.AS_OF,
+    first, _, _ = pipeline.stage_increment(None, feeds.processed_until(raw, SPLIT), feeds.AS_OF,
                                            kind=kind)
     second, _, _ = pipeline.stage_increment(first, raw, feeds.AS_OF, kind=kind)
     return second
@@ -263,7 +263,7 @@ def q_upsert_orders(spark, sf_dir):
 
 def _two_activity_runs(spark, sf_dir, mode):
     raw = feeds.raw_web(spark, sf_dir)
-    s1, _, t1 = pipeline.stage_increment(None, pipeline.landed_by(raw, SPLIT), feeds.AS_OF,
+    s1, _, t1 = pipeline.stage_increment(None, feeds.processed_until(raw, SPLIT), feeds.AS_OF,
                                          kind="web")
     a1 = materialize(pipeline.aggregate_increment(None, s1, t1, feeds.AS_OF, kind="web"))
     s2, _, t2 = pipeline.stage_increment(s1, raw, feeds.AS_OF, kind="web")
@@ -298,8 +298,8 @@ def q_incremental_activity_replace(spark, sf_dir):
 def _two_model_runs(spark, sf_dir):
     raw_w, raw_p = feeds.raw_web(spark, sf_dir), feeds.raw_purchases(spark, sf_dir)
     prof = tables.customer_profiles(spark, sf_dir)
-    first = pipeline.run_models(None, pipeline.landed_by(raw_w, SPLIT),
-                                pipeline.landed_by(raw_p, SPLIT), prof, feeds.AS_OF)
+    first = pipeline.run_models(None, feeds.processed_until(raw_w, SPLIT),
+                                feeds.processed_until(raw_p, SPLIT), prof, feeds.AS_OF)
     return pipeline.run_models(first, raw_w, raw_p, prof, feeds.AS_OF)
 
 

@@ -48,6 +48,10 @@ def build_session(master: str | None = None, app_name: str = "funnelspark",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.ui.enabled": "false",
         "spark.sql.sources.partitionOverwriteMode": "dynamic",
+        # Streaming state (one row per (window, user) for the live KPIs) lives
+        # off-heap in RocksDB, so large state does not pressure the JVM heap.
+        "spark.sql.streaming.stateStore.providerClass":
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     }
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)

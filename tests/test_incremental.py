@@ -47,7 +47,7 @@ def test_new_batch_for_known_customer_history_vs_replace(spark):
     ], "user_id string, event_timestamp timestamp, event_type string, page_url string, "
        "product_id string, session_id string, device_type string, search_query string, "
        "_processed_at timestamp")
-    first = pipeline.landed_by(raw, "2024-01-10 00:00:00")
+    first = feeds.processed_until(raw, "2024-01-10 00:00:00")
     s1, _, t1 = pipeline.stage_increment(None, first, AS_OF, kind="web")
     a1 = materialize(pipeline.aggregate_increment(None, s1, t1, AS_OF, kind="web"))
     s2, _, t2 = pipeline.stage_increment(s1, raw, AS_OF, kind="web")
@@ -69,8 +69,8 @@ def test_incremental_runs_equal_full_run(spark, days):
     models = None
     for day in sorted(days):
         cut = f"2024-01-{day:02d} 12:00:00"
-        models = pipeline.run_models(models, pipeline.landed_by(raw_w, cut),
-                                     pipeline.landed_by(raw_p, cut), prof, AS_OF)
+        models = pipeline.run_models(models, feeds.processed_until(raw_w, cut),
+                                     feeds.processed_until(raw_p, cut), prof, AS_OF)
     models = pipeline.run_models(models, raw_w, raw_p, prof, AS_OF)
     full = feeds.profiles(spark, SF_SMALL)
     assert _rows(models.profiles, "customer_id") == _rows(full.select(*models.profiles.columns),
@@ -85,8 +85,8 @@ def test_reference_mode_profiles_skip_customers_without_new_activity(spark):
     raw_w, raw_p = feeds.raw_web(spark, SF_SMALL), feeds.raw_purchases(spark, SF_SMALL)
     prof = tables.customer_profiles(spark, SF_SMALL)
     cut = "2024-01-16 00:00:00"
-    first = pipeline.run_models(None, pipeline.landed_by(raw_w, cut),
-                                pipeline.landed_by(raw_p, cut), prof, AS_OF,
+    first = pipeline.run_models(None, feeds.processed_until(raw_w, cut),
+                                feeds.processed_until(raw_p, cut), prof, AS_OF,
                                 mode="replace_batch")
     second = pipeline.run_models(first, raw_w, raw_p, prof, AS_OF, mode="replace_batch")
     # every customer stays present (one row each) whatever the mode
