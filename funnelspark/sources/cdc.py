@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from funnelspark.schemas import (CDC_ROW_OPS, PURCHASE_ROW_IMAGE, WEB_ROW_IMAGE,
                                  envelope_schema)
+from funnelspark.sources.json_feed import parse_once
 
 
 def _image(df: DataFrame, time_unit: str, time_cols: tuple[str, ...]) -> DataFrame:
@@ -61,7 +62,7 @@ def _flatten(values: DataFrame, image) -> DataFrame:
         meta.append(F.col("timestamp").alias("_broker_time"))
     if "offset" in values.columns:
         meta.append(F.col("offset").alias("_broker_offset"))
-    rows = values.select(env.alias("e"), *meta)
+    rows = values.select(parse_once(env).alias("e"), *meta)
     rows = rows.filter(F.col("e.op").isin(*CDC_ROW_OPS) & F.col("e.after").isNotNull())
     broker_time = (F.col("_broker_time") if "timestamp" in values.columns
                    else F.timestamp_millis(F.col("e.ts_ms")))

@@ -28,6 +28,16 @@ def to_json_records(df: DataFrame, columns: list[str]) -> DataFrame:
                      .alias("value"))
 
 
+def parse_once(parsed: Column) -> Column:
+    """Evaluate a ``from_json`` once per record.
+
+    Filters on parsed fields would otherwise be pushed below the projection
+    and re-parse the text for every predicate; a one-element ``explode`` is a
+    barrier the optimizer does not push through, so each record is parsed once.
+    """
+    return F.explode(F.array(parsed))
+
+
 def parse_records(values: DataFrame, schema: T.StructType, keep: list[str] | None = None
                   ) -> DataFrame:
     """Parse ``value`` with ``schema``; drop unparsable records; keep other columns listed."""
@@ -35,7 +45,7 @@ def parse_records(values: DataFrame, schema: T.StructType, keep: list[str] | Non
     # No explicit time format: the default parser reads any ISO-8601 time.
     parsed = F.from_json(F.col("value"), with_corrupt,
                          {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
-    rows = values.select(parsed.alias("r"), *(keep or []))
+    rows = values.select(parse_once(parsed).alias("r"), *(keep or []))
     all_null = None
     for f in schema.fields:
         cond = F.col(f"r.{f.name}").isNull()
