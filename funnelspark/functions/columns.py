@@ -12,7 +12,8 @@ from funnelspark.schemas import (EPOCH_TIME, MONEY, SENTINEL_TIME, SURROGATE_NUL
 
 
 def as_timestamp(value) -> Column:
-    """A literal or column as a session-time-zone ``timestamp``."""
+    """A literal or column as a session-time-zone ``timestamp`` (P16: load and
+    run times are this explicit literal, never the wall clock)."""
     if isinstance(value, Column):
         return value.cast("timestamp")
     if isinstance(value, _dt.datetime):
@@ -21,7 +22,8 @@ def as_timestamp(value) -> Column:
 
 
 def sentinel_time() -> Column:
-    """The 1900-01-01 placeholder of an absent activity time."""
+    """The 1900-01-01 placeholder of an absent activity time (C10; T19: the
+    written literal, whatever a 32-bit epoch type would store)."""
     return F.lit(SENTINEL_TIME).cast("timestamp")
 
 
@@ -78,7 +80,7 @@ def greatest_of_coalesced(*cols: Column) -> Column:
 
 
 def count_when(cond: Column) -> Column:
-    """``SUM(CASE WHEN cond THEN 1 ELSE 0 END)`` as a bigint."""
+    """``SUM(CASE WHEN cond THEN 1 ELSE 0 END)`` as a bigint."""
     return F.sum(F.when(cond, F.lit(1)).otherwise(F.lit(0))).cast("bigint")
 
 

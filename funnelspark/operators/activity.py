@@ -23,7 +23,7 @@ def web_activity(stg_web: DataFrame, as_of) -> DataFrame:
     t = F.col("event_type")
     return stg_web.groupBy("customer_id").agg(
         F.count("event_id").alias("total_web_events"),
-        F.count_distinct("page_url").alias("unique_pages_visited"),
+        F.count_distinct("page_url").alias("unique_pages_visited"),   # NULL url not a page (T18)
         F.count("session_id").alias("sessions"),   # rows with a session, as the reference counts (T11)
         F.min("event_timestamp_utc").alias("first_web_activity_timestamp"),
         F.max("event_timestamp_utc").alias("last_web_activity_timestamp"),

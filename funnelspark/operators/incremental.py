@@ -32,7 +32,10 @@ from funnelspark.schemas import EPOCH_TIME, SENTINEL_TIME
 
 
 def high_water_mark(target: DataFrame, col: Column | str, empty: str = EPOCH_TIME) -> str:
-    """``coalesce(max(col), empty)`` of the target as a timestamp literal text."""
+    """``coalesce(max(col), empty)`` of the target as a timestamp literal text.
+
+    A mark on second-truncated times compared with ``>`` against raw times
+    re-reads the last second (T7); the upsert makes that harmless."""
     c = F.col(col) if isinstance(col, str) else col
     value = target.agg(F.date_format(F.max(c), "yyyy-MM-dd HH:mm:ss.SSSSSS")).first()[0]
     return value if value is not None else empty

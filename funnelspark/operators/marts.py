@@ -117,7 +117,8 @@ def append_snapshot(history: DataFrame | None, snapshot: DataFrame) -> DataFrame
 
 
 def latest_snapshot(history: DataFrame, load_col: str = "mart_loaded_at") -> DataFrame:
-    """Rows of the newest load of an append-only mart (M6).
+    """Rows of the newest load of an append-only mart (M6, R6: how the country
+    and monthly reports are read).
 
     The newest load time is one scalar; it is applied as a literal filter so
     that a Parquet table partitioned or sorted by load time is pruned.

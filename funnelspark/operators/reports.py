@@ -43,7 +43,8 @@ def metric_columns(history: DataFrame) -> list[str]:
 
 def cluster_diffs(history: DataFrame) -> DataFrame:
     """Change of every metric since the cluster's previous run; the first run of
-    each cluster has no row (R1, W3, C20)."""
+    each cluster has no row (R1, W3, C20).  The window per cluster (A18) ordered
+    by run time (O3) replaces a loop over the distinct cluster ids."""
     w = Window.partitionBy("cluster").orderBy("analysis_timestamp")
     metrics = metric_columns(history)
     diffs = [(F.col(m) - F.lag(m).over(w)).alias(m) if m == "rows_in_cluster" else

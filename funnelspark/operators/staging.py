@@ -23,7 +23,8 @@ from funnelspark.functions.columns import as_timestamp, surrogate_key, to_money,
 def latest_per_key(df: DataFrame, keys: Sequence[str], order_desc: Sequence[Column | str],
                    rank_col: str = "rn") -> DataFrame:
     """Keep the first row per key by ``order_desc`` (all descending), with a
-    full-row hash as the final tie-break (W1, W2, P11, T3, T21: ``rn`` dropped)."""
+    full-row hash as the final tie-break (W1, W2, P11, T3; P4, T21: the helper
+    ``rn`` column is dropped instead of passed through)."""
     row_hash = F.xxhash64(*[F.col(c) for c in df.columns])
     order = [(F.col(c) if isinstance(c, str) else c).desc_nulls_last() for c in order_desc]
     w = Window.partitionBy(*keys).orderBy(*order, row_hash.desc())

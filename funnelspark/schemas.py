@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
+# Money is decimal(10,2) end to end and decimal(20,2) for sums.
 MONEY = T.DecimalType(10, 2)
 MONEY_SUM = T.DecimalType(20, 2)
 
