@@ -17,11 +17,12 @@ import argparse
 from pyspark.sql import SparkSession
 
 from funnelspark.plans import pipeline, segment_job, warehouse
-from funnelspark.session import build_session
+from funnelspark.session import build_session, size_shuffle_partitions
 
 
 def batch_job(spark: SparkSession, web: str, purchases: str, profiles: str, root: str, as_of,
               mode: str = "touched") -> str:
+    size_shuffle_partitions(spark, [web, purchases, profiles])
     prev = warehouse.load_models(spark, root)
     saver = warehouse.RunSaver(spark, root, as_of)
     models = pipeline.run_models(prev, spark.read.parquet(web), spark.read.parquet(purchases),

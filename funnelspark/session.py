@@ -112,6 +112,40 @@ def materialize(df, name: str = "table"):
     return spark.read.parquet(path)
 
 
+def input_bytes(spark: SparkSession, paths) -> int:
+    """Total size of the files under ``paths`` (Hadoop content summary)."""
+    total = 0
+    try:
+        jvm = spark.sparkContext._jvm
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+    except Exception:  # noqa: BLE001 - no JVM on this client: local paths only
+        for p in paths:
+            for d, _, files in os.walk(local_dir(p)):
+                total += sum(os.path.getsize(os.path.join(d, f)) for f in files)
+        return total
+    for p in paths:
+        hpath = jvm.org.apache.hadoop.fs.Path(p)
+        fs = hpath.getFileSystem(conf)
+        if fs.exists(hpath):
+            total += fs.getContentSummary(hpath).getLength()
+    return total
+
+
+def size_shuffle_partitions(spark: SparkSession, paths, bytes_per_partition: int = 256 << 20,
+                            floor: int | None = None) -> int:
+    """Set ``spark.sql.shuffle.partitions`` from the input size so that each
+    shuffle partition holds about ``bytes_per_partition`` of input (AQE then
+    coalesces small ones and splits skewed ones).  Never below the cluster's
+    default parallelism."""
+    try:
+        default = spark.sparkContext.defaultParallelism
+    except Exception:  # noqa: BLE001
+        default = 8
+    n = max(floor or default, -(-input_bytes(spark, paths) // bytes_per_partition))
+    spark.conf.set("spark.sql.shuffle.partitions", str(n))
+    return n
+
+
 def is_local_path(path: str) -> bool:
     return "://" not in path or path.startswith("file:")
 
@@ -152,5 +186,6 @@ def set_path_mtime(spark: SparkSession, path: str, epoch_s: float) -> None:
 
 __all__ = [
     "build_session", "ensure_session_defaults", "checkpoint_root", "scratch_path", "materialize",
+    "input_bytes", "size_shuffle_partitions",
     "path_exists", "path_age_days", "set_path_mtime", "is_local_path", "local_dir",
 ]

@@ -40,3 +40,15 @@ def test_runs_through_the_store_equal_a_full_run(spark, tmp_dir):
     t = jobs.segment_tables(f"{tmp_dir}/lake")
     jobs.segment_job_run(spark, root, f"{tmp_dir}/lake", feeds.AS_OF)
     assert spark.read.parquet(t.history).count() == 3
+
+
+def test_shuffle_partitions_follow_input_size(spark):
+    from funnelspark.session import input_bytes, size_shuffle_partitions
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        paths = [f"{SF_SMALL}/events.parquet", f"{SF_SMALL}/orders.parquet"]
+        assert input_bytes(spark, paths) > 0
+        assert size_shuffle_partitions(spark, paths, bytes_per_partition=1 << 12, floor=1) > 10
+        assert size_shuffle_partitions(spark, paths) == spark.sparkContext.defaultParallelism
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
