@@ -16,7 +16,7 @@ import argparse
 
 from pyspark.sql import SparkSession
 
-from funnelspark.plans import pipeline, segment_job, warehouse
+from funnelspark.plans import model_runs, segment_job, warehouse
 from funnelspark.session import build_session, size_shuffle_partitions
 
 
@@ -25,7 +25,7 @@ def batch_job(spark: SparkSession, web: str, purchases: str, profiles: str, root
     size_shuffle_partitions(spark, [web, purchases, profiles])
     prev = warehouse.load_models(spark, root)
     saver = warehouse.RunSaver(spark, root, as_of)
-    models = pipeline.run_models(prev, spark.read.parquet(web), spark.read.parquet(purchases),
+    models = model_runs.run_models(prev, spark.read.parquet(web), spark.read.parquet(purchases),
                                  spark.read.parquet(profiles), as_of, mode=mode, save=saver)
     return warehouse.commit_models(spark, models, root, as_of, saver)
 

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from funnelspark.functions.columns import as_timestamp
 from funnelspark.operators import activity, kpi, marts, reports, segments
-from funnelspark.plans import feeds, pipeline, segment_job
+from funnelspark.plans import feeds, model_runs, segment_job
 from funnelspark.plans import oracle as O
 from funnelspark.session import ensure_session_defaults, materialize, scratch_path
 from funnelspark.schemas import PROFILE_FEATURES, REQUESTED_FEATURES
@@ -242,9 +242,9 @@ SPLIT = "2024-01-16 00:00:00"
 
 
 def _two_staging_runs(raw, kind):
-    first, _, _ = pipeline.stage_increment(None, feeds.processed_until(raw, SPLIT), feeds.AS_OF,
+    first, _, _ = model_runs.stage_increment(None, feeds.processed_until(raw, SPLIT), feeds.AS_OF,
                                            kind=kind)
-    second, _, _ = pipeline.stage_increment(first, raw, feeds.AS_OF, kind=kind)
+    second, _, _ = model_runs.stage_increment(first, raw, feeds.AS_OF, kind=kind)
     return second
 
 
@@ -263,11 +263,11 @@ def q_upsert_orders(spark, sf_dir):
 
 def _two_activity_runs(spark, sf_dir, mode):
     raw = feeds.raw_web(spark, sf_dir)
-    s1, _, t1 = pipeline.stage_increment(None, feeds.processed_until(raw, SPLIT), feeds.AS_OF,
+    s1, _, t1 = model_runs.stage_increment(None, feeds.processed_until(raw, SPLIT), feeds.AS_OF,
                                          kind="web")
-    a1 = materialize(pipeline.aggregate_increment(None, s1, t1, feeds.AS_OF, kind="web"))
-    s2, _, t2 = pipeline.stage_increment(s1, raw, feeds.AS_OF, kind="web")
-    return pipeline.aggregate_increment(a1, s2, t2, feeds.AS_OF, kind="web", mode=mode)
+    a1 = materialize(model_runs.aggregate_increment(None, s1, t1, feeds.AS_OF, kind="web"))
+    s2, _, t2 = model_runs.stage_increment(s1, raw, feeds.AS_OF, kind="web")
+    return model_runs.aggregate_increment(a1, s2, t2, feeds.AS_OF, kind="web", mode=mode)
 
 
 @register("q_incremental_activity", O.with_ctes(_upto("web_act"), "SELECT * FROM web_act"))
@@ -298,9 +298,9 @@ def q_incremental_activity_replace(spark, sf_dir):
 def _two_model_runs(spark, sf_dir):
     raw_w, raw_p = feeds.raw_web(spark, sf_dir), feeds.raw_purchases(spark, sf_dir)
     prof = tables.customer_profiles(spark, sf_dir)
-    first = pipeline.run_models(None, feeds.processed_until(raw_w, SPLIT),
+    first = model_runs.run_models(None, feeds.processed_until(raw_w, SPLIT),
                                 feeds.processed_until(raw_p, SPLIT), prof, feeds.AS_OF)
-    return pipeline.run_models(first, raw_w, raw_p, prof, feeds.AS_OF)
+    return model_runs.run_models(first, raw_w, raw_p, prof, feeds.AS_OF)
 
 
 @register("q_incremental_funnel", O.with_ctes(_upto("funnel"), "SELECT * FROM funnel"))
@@ -395,7 +395,8 @@ def q_cluster_profile(spark, sf_dir):
     assignment rule (key modulo 3) stands in for the model so the profile is
     checkable by SQL."""
     prof = feeds.profiles(spark, sf_dir)
-    return segments.cluster_profile(prof, rule_clusters(prof), feeds.AS_OF)
+    return segments.cluster_profile(prof, rule_clusters(feeds.stg_customers(spark, sf_dir)),
+                                    feeds.AS_OF)
 
 
 # ---------------------------------------------------------------- reports
@@ -405,9 +406,11 @@ _HISTORY = O.history_ctes(PROFILE_FEATURES, RUN_TIMES)
 _METRICS = [f"avg_{c}" for c in PROFILE_FEATURES] + ["rows_in_cluster"]
 
 
-def rule_clusters(profiles):
-    return profiles.select("customer_id",
-                           (F.col("customer_id").cast("bigint") % 3).cast("int").alias("cluster"))
+def rule_clusters(customers):
+    """Fixed stand-in assignment (customer key modulo 3), from the customer
+    table alone so the profile chain is not computed a second time."""
+    return customers.select("customer_id",
+                            (F.col("customer_id").cast("bigint") % 3).cast("int").alias("cluster"))
 
 
 def cluster_history(spark, sf_dir):
@@ -415,7 +418,8 @@ def cluster_history(spark, sf_dir):
     parts = []
     for t in RUN_TIMES:
         prof = feeds.profiles(spark, sf_dir, as_of=t, cutoff=t)
-        parts.append(segments.cluster_profile(prof, rule_clusters(prof), t))
+        clusters = rule_clusters(feeds.stg_customers(spark, sf_dir, as_of=t))
+        parts.append(segments.cluster_profile(prof, clusters, t))
     hist = parts[0]
     for p in parts[1:]:
         hist = hist.unionByName(p)

@@ -16,7 +16,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from funnelspark.plans.pipeline import Models
+from funnelspark.plans.model_runs import Models
 from funnelspark.session import local_dir, path_exists
 
 TABLES = ("stg_web", "stg_purchases", "web_activity", "purchases", "funnel", "profiles")
@@ -48,7 +48,7 @@ def committed_runs(spark: SparkSession, root: str) -> list[str]:
 
 
 class RunSaver:
-    """Saver for ``pipeline.run_models`` that writes each step's table inside
+    """Saver for ``model_runs.run_models`` that writes each step's table inside
     the run's own folder and remembers where, so the commit can point at those
     tables instead of writing them a second time."""
 

@@ -7,7 +7,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from funnelspark.operators import incremental as inc
-from funnelspark.plans import feeds, pipeline
+from funnelspark.plans import feeds, model_runs
 from funnelspark.session import materialize
 from funnelspark.sources import tables
 
@@ -22,7 +22,7 @@ def _rows(df, key):
 
 def test_first_run_on_empty_target_loads_everything(spark):
     raw = feeds.raw_web(spark, SF_SMALL)
-    table, batch, touched = pipeline.stage_increment(None, raw, AS_OF, kind="web")
+    table, batch, touched = model_runs.stage_increment(None, raw, AS_OF, kind="web")
     assert table.count() == batch.count() == raw.select("user_id", "event_timestamp").distinct().count()
     assert inc.high_water_mark(table.limit(0), "stream_processed_at_utc") == "1970-01-01 00:00:00"
 
@@ -48,11 +48,11 @@ def test_new_batch_for_known_customer_history_vs_replace(spark):
        "product_id string, session_id string, device_type string, search_query string, "
        "_processed_at timestamp")
     first = feeds.processed_until(raw, "2024-01-10 00:00:00")
-    s1, _, t1 = pipeline.stage_increment(None, first, AS_OF, kind="web")
-    a1 = materialize(pipeline.aggregate_increment(None, s1, t1, AS_OF, kind="web"))
-    s2, _, t2 = pipeline.stage_increment(s1, raw, AS_OF, kind="web")
-    kept = pipeline.aggregate_increment(a1, s2, t2, AS_OF, kind="web", mode="touched").collect()
-    replaced = pipeline.aggregate_increment(a1, s2, t2, AS_OF, kind="web",
+    s1, _, t1 = model_runs.stage_increment(None, first, AS_OF, kind="web")
+    a1 = materialize(model_runs.aggregate_increment(None, s1, t1, AS_OF, kind="web"))
+    s2, _, t2 = model_runs.stage_increment(s1, raw, AS_OF, kind="web")
+    kept = model_runs.aggregate_increment(a1, s2, t2, AS_OF, kind="web", mode="touched").collect()
+    replaced = model_runs.aggregate_increment(a1, s2, t2, AS_OF, kind="web",
                                             mode="replace_batch").collect()
     assert kept[0]["total_web_events"] == 3 and kept[0]["unique_pages_visited"] == 2
     assert replaced[0]["total_web_events"] == 1 and replaced[0]["total_searches"] == 1
@@ -69,9 +69,9 @@ def test_incremental_runs_equal_full_run(spark, days):
     models = None
     for day in sorted(days):
         cut = f"2024-01-{day:02d} 12:00:00"
-        models = pipeline.run_models(models, feeds.processed_until(raw_w, cut),
+        models = model_runs.run_models(models, feeds.processed_until(raw_w, cut),
                                      feeds.processed_until(raw_p, cut), prof, AS_OF)
-    models = pipeline.run_models(models, raw_w, raw_p, prof, AS_OF)
+    models = model_runs.run_models(models, raw_w, raw_p, prof, AS_OF)
     full = feeds.profiles(spark, SF_SMALL)
     assert _rows(models.profiles, "customer_id") == _rows(full.select(*models.profiles.columns),
                                                          "customer_id")
@@ -85,10 +85,10 @@ def test_reference_mode_profiles_skip_customers_without_new_activity(spark):
     raw_w, raw_p = feeds.raw_web(spark, SF_SMALL), feeds.raw_purchases(spark, SF_SMALL)
     prof = tables.customer_profiles(spark, SF_SMALL)
     cut = "2024-01-16 00:00:00"
-    first = pipeline.run_models(None, feeds.processed_until(raw_w, cut),
+    first = model_runs.run_models(None, feeds.processed_until(raw_w, cut),
                                 feeds.processed_until(raw_p, cut), prof, AS_OF,
                                 mode="replace_batch")
-    second = pipeline.run_models(first, raw_w, raw_p, prof, AS_OF, mode="replace_batch")
+    second = model_runs.run_models(first, raw_w, raw_p, prof, AS_OF, mode="replace_batch")
     # every customer stays present (one row each) whatever the mode
     assert second.profiles.count() == second.profiles.select("customer_id").distinct().count()
     assert second.profiles.filter(F.col("total_orders") < 0).count() == 0
