@@ -48,6 +48,8 @@ def purchase_kpi_stream(values: DataFrame, delay: str = WATERMARK_DELAY) -> Data
 
 
 def with_update_time(kpi_rows: DataFrame) -> DataFrame:
+    """Stamp KPI rows with their processing time, as the KPI sinks store them
+    (S7, S8); ``latest_per_window`` reads repeated windows by this stamp (X11)."""
     return kpi_rows.withColumn("updated_at", F.current_timestamp())
 
 
