@@ -98,3 +98,28 @@ def test_purchase_stream_counts_empty_list_as_zero(spark, tmp_dir):
     r = rows[0]
     assert r["total_orders"] == 2 and r["total_products"] == 2
     assert str(r["total_amount"]) == "15.11" and str(r["avg_amount"]) == "7.56"
+
+
+from hypothesis import HealthCheck, given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+EVENTS = st.lists(st.tuples(st.sampled_from(["a", "b", "c", None]), st.integers(0, 299),
+                            st.booleans(), st.booleans()), min_size=1, max_size=40)
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
+@given(rows=EVENTS)
+def test_minute_kpi_matches_brute_force(spark, rows):
+    import pandas as pd
+    base = dt.datetime(2024, 1, 1)
+    data = [(u, base + dt.timedelta(seconds=s), "/p" if pg else None, "x" if pr else None)
+            for u, s, pg, pr in rows]
+    df = spark.createDataFrame(data, "user_id string, event_timestamp timestamp, "
+                                     "page_url string, product_id string")
+    got = {r["window_start"]: (r["total_events"], r["unique_users"], r["total_page_views"],
+                               r["total_product_clicks"]) for r in kpi.web_kpi(df).collect()}
+    pdf = pd.DataFrame(data, columns=["u", "t", "p", "x"])
+    pdf["w"] = pdf["t"].dt.floor("min")
+    want = {w.to_pydatetime(): (len(g), g["u"].dropna().nunique(), int(g["p"].notna().sum()),
+                                int(g["x"].notna().sum())) for w, g in pdf.groupby("w")}
+    assert got == want
