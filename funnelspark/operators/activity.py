@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from funnelspark.functions.columns import (as_timestamp, count_when, days_between,
                                            listed_product_count, sum_when)
-from funnelspark.schemas import MONEY_SUM, ORDER_STATUSES, RECENT_DAYS
+from funnelspark.schemas import MONEY_SUM, ORDER_STATUSES, RECENT_DAYS, WEB_EVENT_COUNTS
 
 
 def web_activity(stg_web: DataFrame, as_of) -> DataFrame:
@@ -28,10 +28,7 @@ def web_activity(stg_web: DataFrame, as_of) -> DataFrame:
         F.min("event_timestamp_utc").alias("first_web_activity_timestamp"),
         F.max("event_timestamp_utc").alias("last_web_activity_timestamp"),
         days_between(F.max("event_timestamp_utc"), now).alias("days_since_last_web_activity"),
-        count_when(t == "page_view").alias("total_page_views"),
-        count_when(t == "add_to_cart").alias("total_add_to_carts"),
-        count_when(t == "search").alias("total_searches"),
-        count_when(t == "product_view").alias("total_product_views"),
+        *[count_when(t == kind).alias(name) for name, kind in WEB_EVENT_COUNTS],
         now.alias("dbt_loaded_at"),
     )
 

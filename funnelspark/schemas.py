@@ -22,8 +22,13 @@ EPOCH_TIME = "1970-01-01 00:00:00"
 # Placeholder for a NULL part of the surrogate event key (md5 over '-'-joined parts).
 SURROGATE_NULL_TOKEN = "_dbt_utils_surrogate_key_null_"
 SURROGATE_SEPARATOR = "-"
-# Web-event types counted per customer.
-WEB_EVENT_TYPES = ("page_view", "add_to_cart", "search", "product_view")
+# Web-event types counted per customer: (output column, event type).
+WEB_EVENT_COUNTS = (
+    ("total_page_views", "page_view"),
+    ("total_add_to_carts", "add_to_cart"),
+    ("total_searches", "search"),
+    ("total_product_views", "product_view"),
+)
 # Order statuses counted per customer.
 ORDER_STATUSES = ("processing", "shipped", "cancelled", "returned", "completed")
 # Window, watermark and recency parameters.
