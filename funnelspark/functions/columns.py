@@ -7,8 +7,7 @@ import datetime as _dt
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from funnelspark.schemas import (EPOCH_TIME, MONEY, SENTINEL_TIME, SURROGATE_NULL_TOKEN,
-                                 SURROGATE_SEPARATOR)
+from funnelspark.schemas import MONEY, SENTINEL_TIME, SURROGATE_NULL_TOKEN, SURROGATE_SEPARATOR
 
 
 def as_timestamp(value) -> Column:
@@ -27,10 +26,6 @@ def sentinel_time() -> Column:
     return F.lit(SENTINEL_TIME).cast("timestamp")
 
 
-def epoch_time() -> Column:
-    return F.lit(EPOCH_TIME).cast("timestamp")
-
-
 def to_seconds(c: Column) -> Column:
     """Whole-second time (C2): ``toDateTime`` drops the fraction."""
     return F.date_trunc("second", c.cast("timestamp"))

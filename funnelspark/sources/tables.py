@@ -78,7 +78,11 @@ def web_events(spark: SparkSession, sf_dir: str, with_source_seq: bool = False)
 
 
 def order_products(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sorted product ids of each order, one row per order (bounded by its line count)."""
+    """Sorted product ids of each order, one row per order.
+
+    The list is one field of one order record; its length is the order's line
+    count, which the order-line key (order, line number) bounds, so the
+    per-order ``collect_list`` cannot grow with the data."""
     li = read_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey")
     return li.groupBy("l_orderkey").agg(
         F.array_sort(F.collect_list(F.col("l_partkey").cast("string"))).alias("product_id_list"))
