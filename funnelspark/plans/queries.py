@@ -495,3 +495,14 @@ def q_stream_cdc_web(spark, sf_dir):
     kpi_stream.run_to_files(cdc.flatten_web_changes(kpi_stream.read_records(spark, feed)),
                             sink, scratch_path(spark, "web-cdc-ckpt"))
     return spark.read.parquet(sink)
+
+
+@register("q_latest_monthly_snapshot",
+          O.with_ctes(_FULL + [("summary", O.monthly_summary_sql())], "SELECT * FROM summary"))
+def q_latest_monthly_snapshot(spark, sf_dir):
+    """The monthly report read: newest of two appended snapshots."""
+    early = marts.monthly_summary(
+        feeds.profiles(spark, sf_dir, as_of=EARLIER_SNAPSHOT, cutoff=EARLIER_SNAPSHOT),
+        EARLIER_SNAPSHOT)
+    late = marts.monthly_summary(feeds.profiles(spark, sf_dir), feeds.AS_OF)
+    return marts.latest_snapshot(marts.append_snapshot(marts.append_snapshot(None, early), late))
