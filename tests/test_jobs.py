@@ -52,3 +52,14 @@ def test_shuffle_partitions_follow_input_size(spark):
         assert size_shuffle_partitions(spark, paths) == spark.sparkContext.defaultParallelism
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_command_line_batch_and_segment(spark, tmp_dir):
+    web, purchases, profiles = _landed(spark, tmp_dir, "2024-01-20 00:00:00")
+    root, lake = f"{tmp_dir}/wh", f"{tmp_dir}/lake"
+    jobs.main(["batch", "--web", web, "--purchases", purchases, "--profiles", profiles,
+               "--root", root, "--as-of", "2024-01-20 00:00:00"])
+    assert warehouse.committed_runs(spark, root) == ["20240120T000000"]
+    jobs.main(["segment", "--root", root, "--tables", lake, "--as-of", "2024-01-20 00:00:00"])
+    assert spark.read.parquet(jobs.segment_tables(lake).clusters).count() == \
+        warehouse.load_models(spark, root).profiles.count()
