@@ -3,13 +3,12 @@
 import duckdb
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from funnelspark.plans.queries import ORACLES, QUERIES
 from tools.check_oracle import TABLES, digest
 
 from .conftest import SF_SMALL
 
-ORACLES = oracle_sql()
-
 
 @pytest.fixture(scope="module")
 def duck():
@@ -26,13 +25,13 @@ def test_entry_smoke(spark):
 
 
 def test_every_query_has_oracle_or_is_declared_rows_only():
-    rows_only = set(queries()) - set(ORACLES)
+    rows_only = set(QUERIES) - set(ORACLES)
     assert rows_only == {"q_clusters", "q_cluster_monitor"}
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_matches_oracle(spark, duck, name):
-    df = queries()[name](spark, SF_SMALL)
+    df = QUERIES[name](spark, SF_SMALL)
     s_cols, s_rows = df.columns, [tuple(r) for r in df.collect()]
     cur = duck.execute(ORACLES[name])
     d_cols = [d[0] for d in cur.description]
