@@ -8,11 +8,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from funnelspark.llm import decontaminate
+import public_tokenizers as tokenizers
+from funnelspark.llm import bpe, decontaminate, quality
 from funnelspark.llm.common import prepare, table
 from funnelspark.llm.oracle import DECONTAMINATION_SQL
 
 Query = Callable[[SparkSession, str], DataFrame]
+#: Rank file of the public tokenizers.
+RANKS = "byte_bpe_multi_50k.tiktoken"
+
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
@@ -35,3 +39,16 @@ def op6_decontamination(spark, sf_dir):
     """Wu-Manber search of all benchmark windows in all documents."""
     return decontaminate.contamination_report(table(spark, sf_dir, "documents"),
                                               table(spark, sf_dir, "benchmark"))
+
+
+@register("op1_quality")
+def op1_quality(spark, sf_dir):
+    """Quality scores of all documents, learned from labels.quality."""
+    return quality.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@register("op3_byte_bpe")
+def op3_byte_bpe(spark, sf_dir):
+    """Byte-level BPE ids of all documents, decoded again."""
+    return bpe.round_trip_digests(table(spark, sf_dir, "documents"), tokenizers.path(RANKS),
+                                  tokenizers.PATTERN)
