@@ -9,8 +9,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import public_tokenizers as tokenizers
-from funnelspark.llm import bpe, decontaminate, quality
-from funnelspark.llm.common import prepare, table
+from funnelspark.llm import bpe, decontaminate, neighbours, quality, secret_scan, token_counts, toxicity
+from funnelspark.llm.common import materialize, prepare, table
 from funnelspark.llm.oracle import DECONTAMINATION_SQL
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -52,3 +52,31 @@ def op3_byte_bpe(spark, sf_dir):
     """Byte-level BPE ids of all documents, decoded again."""
     return bpe.round_trip_digests(table(spark, sf_dir, "documents"), tokenizers.path(RANKS),
                                   tokenizers.PATTERN)
+
+
+@register("op9_neighbours")
+def op9_neighbours(spark, sf_dir):
+    """The 20 nearest of every 20th embedding among all others."""
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"))
+
+
+@register("op8_token_counts")
+def op8_token_counts(spark, sf_dir):
+    """Token counts of all documents before and after redaction edits."""
+    docs = token_counts.redaction_edits(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return token_counts.edited_counts(docs, None, tokenizers.path(RANKS), tokenizers.PATTERN,
+                                      edits_col="edits")
+
+
+@register("op10_toxicity")
+def op10_toxicity(spark, sf_dir):
+    """Expected severity of all documents, learned from labels.toxic."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    grades = materialize(toxicity.graded_labels(docs, labels), "toxicity-grades")
+    return toxicity.severity(docs, toxicity.fit(docs, grades))
+
+
+@register("op2_secrets")
+def op2_secrets(spark, sf_dir):
+    """Secrets of all documents, told from other long strings by a random forest."""
+    return secret_scan.secret_report(table(spark, sf_dir, "documents"))
