@@ -33,3 +33,30 @@ SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words,
        coalesce(m.n_hit, 0) > 0 AND 20 * coalesce(m.n_hit, 0) >= len(d.w) AS contaminated
 FROM d LEFT JOIN marked m USING (doc_id) LEFT JOIN items i USING (doc_id)
 """
+
+# Shingle sets, links by counting common shingles, components by propagating the
+# smallest id along links.
+JACCARD_SQL = r"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x20\x09-\x0D]+') AS w FROM documents WHERE doc_id IS NOT NULL),
+s AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS sh
+      FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i
+            FROM d WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+sets AS (SELECT doc_id, md5(string_agg(sh, chr(10) ORDER BY sh)) AS set_key FROM s GROUP BY doc_id),
+reps AS (SELECT set_key, min(doc_id) AS rep FROM sets GROUP BY set_key),
+r AS (SELECT s.rep AS a, s2.sh FROM reps s JOIN s s2 ON s2.doc_id = s.rep),
+common AS (SELECT x.a, y.a AS b, count(*) AS c FROM r x JOIN r y ON x.sh = y.sh AND x.a < y.a
+           GROUP BY x.a, y.a),
+links AS (SELECT c.a, c.b FROM common c JOIN n na ON na.doc_id = c.a JOIN n nb ON nb.doc_id = c.b
+          WHERE 100 * c.c >= 80 * (na.n + nb.n - c.c)),
+both_ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach(a, b) AS (SELECT rep, rep FROM reps UNION
+                SELECT reach.a, e.b FROM reach JOIN both_ways e ON reach.b = e.a),
+comp AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a)
+SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles,
+       CAST(coalesce(comp.component_id, d.doc_id) AS BIGINT) AS component_id
+FROM d LEFT JOIN n USING (doc_id) LEFT JOIN sets USING (doc_id) LEFT JOIN reps USING (set_key)
+LEFT JOIN comp ON comp.a = reps.rep
+"""

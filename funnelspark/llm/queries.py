@@ -9,9 +9,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import public_tokenizers as tokenizers
-from funnelspark.llm import bpe, decontaminate, neighbours, quality, secret_scan, token_counts, toxicity
+from funnelspark.llm import bpe, decontaminate, jaccard, neighbours, quality, secret_scan, token_counts, toxicity
 from funnelspark.llm.common import materialize, prepare, table
-from funnelspark.llm.oracle import DECONTAMINATION_SQL
+from funnelspark.llm.oracle import DECONTAMINATION_SQL, JACCARD_SQL
 
 Query = Callable[[SparkSession, str], DataFrame]
 #: Rank file of the public tokenizers.
@@ -80,3 +80,9 @@ def op10_toxicity(spark, sf_dir):
 def op2_secrets(spark, sf_dir):
     """Secrets of all documents, told from other long strings by a random forest."""
     return secret_scan.secret_report(table(spark, sf_dir, "documents"))
+
+
+@register("op5_jaccard_join", JACCARD_SQL)
+def op5_jaccard_join(spark, sf_dir):
+    """Components of documents whose 5-word shingle sets are 80 % alike."""
+    return jaccard.link_components(table(spark, sf_dir, "documents"))
