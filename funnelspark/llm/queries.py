@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import public_tokenizers as tokenizers
-from funnelspark.llm import bpe, decontaminate, jaccard, neighbours, quality, secret_scan, token_counts, toxicity
+from funnelspark.llm import bpe, decontaminate, html_text, jaccard, neighbours, quality, secret_scan, token_counts, toxicity
 from funnelspark.llm.common import materialize, prepare, table
 from funnelspark.llm.oracle import DECONTAMINATION_SQL, JACCARD_SQL
 
@@ -86,3 +86,9 @@ def op2_secrets(spark, sf_dir):
 def op5_jaccard_join(spark, sf_dir):
     """Components of documents whose 5-word shingle sets are 80 % alike."""
     return jaccard.link_components(table(spark, sf_dir, "documents"))
+
+
+@register("op4_html_text")
+def op4_html_text(spark, sf_dir):
+    """Main text of all pages."""
+    return html_text.extract(table(spark, sf_dir, "pages"))

@@ -57,9 +57,9 @@ def words_of(text: str | None) -> Counter:
     return Counter(_WORDS.findall((text or "").lower()))
 
 
-def labelled_texts(docs: DataFrame, grades: DataFrame, id_col: str, text_col: str, grade_col: str,
-                   max_labelled: int) -> DataFrame:
-    """(grade, text) of at most about ``max_labelled`` labelled rows outside the held-out fold."""
+def labelled_rows(docs: DataFrame, grades: DataFrame, id_col: str, text_col: str, grade_col: str,
+                  max_labelled: int) -> DataFrame:
+    """(_id_, grade, text) of at most about ``max_labelled`` labelled rows outside the held-out fold."""
     marks = grades.where(F.col(grade_col).isNotNull() & F.col(id_col).isNotNull()) \
         .groupBy(F.col(id_col).alias("_id_")).agg(F.max(grade_col).cast("int").alias("grade")) \
         .where(F.pmod(F.crc32(F.col("_id_").cast("string")), F.lit(4)) != HELD_OUT_FOLD)
@@ -68,7 +68,7 @@ def labelled_texts(docs: DataFrame, grades: DataFrame, id_col: str, text_col: st
         marks = marks.where(F.pmod(F.xxhash64("_id_"), F.lit(1_000_000))
                             < int(1_000_000 * max_labelled / n))
     return docs.select(F.col(id_col).alias("_id_"), F.col(text_col).alias("text")) \
-        .join(marks, "_id_").select("grade", "text")
+        .join(F.broadcast(marks), "_id_").select("_id_", "grade", "text")
 
 
 def slot_counts(rows: DataFrame) -> tuple[np.ndarray, int, int]:
@@ -174,7 +174,7 @@ def fit(docs: DataFrame, grades: DataFrame, id_col: str = "doc_id", text_col: st
         grade_col: str = "grade", max_labelled: int = MAX_LABELLED, n_features: int = N_FEATURES,
         penalty: float = PENALTY) -> SeverityModel:
     """Model of the grades 0, 1, 2, ... of the labelled rows outside the held-out fold."""
-    rows = materialize(labelled_texts(docs, grades, id_col, text_col, grade_col, max_labelled),
+    rows = materialize(labelled_rows(docs, grades, id_col, text_col, grade_col, max_labelled),
                        "toxicity-rows")
     counts, n0, n1 = slot_counts(rows)
     if not n0 or not n1:
@@ -226,33 +226,30 @@ def severity(docs: DataFrame, model: SeverityModel, id_col: str = "doc_id",
 
 def graded_labels(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                   toxic_col: str = "toxic", max_labelled: int = MAX_LABELLED) -> DataFrame:
-    """Grades from yes/no labels: 0 for unmarked documents; marked ones get 1, 2
-    or 3 by how many occurrences of words typical of marked documents they hold
-    (thirds of the marked sample)."""
+    """Grades from yes/no labels, for the labelled rows that a fit may use: 0 for
+    unmarked documents; marked ones get 1, 2 or 3 by how many occurrences of words
+    typical of marked documents they hold (thirds of the marked rows)."""
     marks = labels.select(id_col, F.col(toxic_col).cast("int").alias("grade"))
-    rows = materialize(labelled_texts(docs, marks, id_col, text_col, "grade", max_labelled),
+    rows = materialize(labelled_rows(docs, marks, id_col, text_col, "grade", max_labelled),
                        "toxicity-marks")
     counts, n0, n1 = slot_counts(rows)
-    known = marks.where(F.col(id_col).isNotNull() & F.col("grade").isNotNull()) \
-        .groupBy(id_col).agg(F.max("grade").alias("grade"))
+    known = rows.groupBy(F.col("_id_").alias(id_col)).agg(F.max("grade").alias("grade"))
     if not n0 or not n1:
         return known
     slots = choose_slots(counts, n0, n1, 256)
     slots = slots[counts[1, slots] * n0 > 4 * counts[0, slots] * n1]
-    marked = docs.select(id_col, F.col(text_col).alias("text")).join(known.where("grade > 0"), id_col)
-    id_type = marked.schema[id_col].dataType.simpleString()
+    marked = rows.where("grade > 0")
+    id_type = marked.schema["_id_"].dataType.simpleString()
 
     def run(batches):
         features = Featurizer(slots)
         for batch in batches:
             got = [float(features(t)[1].sum()) for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_pydict({id_col: batch.column(id_col),
+            yield pa.RecordBatch.from_pydict({"_id_": batch.column("_id_"),
                                               "hits": pa.array(got, pa.float64())})
-    hits = marked.select(id_col, "text").mapInArrow(run, f"`{id_col}` {id_type}, hits double") \
-        .groupBy(id_col).agg(F.max("hits").alias("hits"))
+    hits = marked.select("_id_", "text").mapInArrow(run, f"_id_ {id_type}, hits double") \
+        .groupBy("_id_").agg(F.max("hits").alias("hits"))
     cuts = hits.approxQuantile("hits", [1 / 3, 2 / 3], 0.01)
-    if len(cuts) < 2:
-        return known
-    graded = hits.select(id_col, (1 + (F.col("hits") > cuts[0]).cast("int")
-                                  + (F.col("hits") > cuts[1]).cast("int")).alias("grade"))
+    graded = hits.select(F.col("_id_").alias(id_col), (
+        1 + (F.col("hits") > cuts[0]).cast("int") + (F.col("hits") > cuts[1]).cast("int")).alias("grade"))
     return known.where("grade = 0").unionByName(graded)
