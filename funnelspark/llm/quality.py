@@ -134,7 +134,7 @@ def labelled_rows(docs: DataFrame, labels: DataFrame, label_col: str, id_col: st
         marks = marks.where(F.pmod(F.xxhash64("_id_"), F.lit(1_000_000))
                             < int(1_000_000 * max_labelled / n))
     some = docs.select(F.col(id_col).alias("_id_"), F.col(text_col).alias("_t_")) \
-        .join(marks, "_id_")
+        .join(F.broadcast(marks), "_id_")  # about max_labelled rows, so the texts stay in place
     return statistics(some, "_t_", ["_id_", "y"])
 
 
