@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import public_tokenizers as tokenizers
-from funnelspark.llm import bpe, decontaminate, html_text, jaccard, neighbours, quality, secret_scan, token_counts, toxicity
+from funnelspark.llm import bpe, decontaminate, html_text, jaccard, neighbours, quality, repeats, secret_scan, token_counts, toxicity
 from funnelspark.llm.common import materialize, prepare, table
 from funnelspark.llm.oracle import DECONTAMINATION_SQL, JACCARD_SQL
 
@@ -92,3 +92,9 @@ def op5_jaccard_join(spark, sf_dir):
 def op4_html_text(spark, sf_dir):
     """Main text of all pages."""
     return html_text.extract(table(spark, sf_dir, "pages"))
+
+
+@register("op7_repeats")
+def op7_repeats(spark, sf_dir):
+    """Every byte of all documents under a 200-byte string that starts twice is removed."""
+    return repeats.remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
