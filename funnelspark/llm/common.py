@@ -5,8 +5,8 @@ from __future__ import annotations
 import os
 
 import numpy as np
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from funnelspark.session import ensure_session_defaults, materialize
 
@@ -36,12 +36,26 @@ def map_batches(df: DataFrame, fn, schema: str) -> DataFrame:
     return df.mapInArrow(run, schema)
 
 
-def text_bytes(value: str | None) -> bytes:
-    return b"" if value is None else value.encode("utf-8")
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, with underscores in front until ``df`` has no such column."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
+def column_ddl(df: DataFrame) -> list[str]:
+    """``name type`` of every column, quoted."""
+    return [f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in df.schema]
 
 
-def batch_of(**columns) -> pa.RecordBatch:
-    return pa.RecordBatch.from_pydict(columns)
+def columns_of(df: DataFrame) -> list:
+    """The columns of ``df`` as they are, whatever their names."""
+    return [F.col(f"`{c.replace('`', '``')}`") for c in df.columns]
+
+
+def text_bytes(value: str | None) -> bytes:
+    return b"" if value is None else value.encode("utf-8")
 
 
 # ------------------------------------------------------------------ hashing
@@ -91,5 +105,5 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-__all__ = ["prepare", "table", "map_batches", "text_bytes", "batch_of", "materialize",
+__all__ = ["prepare", "table", "map_batches", "text_bytes", "unused", "column_ddl", "columns_of", "materialize",
            "RollingHash", "mix64"]

@@ -19,14 +19,13 @@ repeated documents give one row each; other columns are ignored.
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from funnelspark.llm.common import materialize, text_bytes
+from funnelspark.llm.common import column_ddl, columns_of, materialize, text_bytes
 
 WINDOW_WORDS = 13
 #: Share of hit words from which a document counts as contaminated.
@@ -123,44 +122,39 @@ def benchmark_blocks(benchmark: DataFrame, id_col: str, text_col: str,
         yield [(r.i, r.t) for r in part.toLocalIterator()]
 
 
-_HITS = "n_words long, hit_starts array<int>, hit_ends array<int>, hit_items array<string>"
-_HIT_FIELDS = [("n_words", pa.int64()), ("hit_starts", pa.list_(pa.int32())),
-               ("hit_ends", pa.list_(pa.int32())), ("hit_items", pa.list_(pa.string()))]
+_HIT_FIELDS = (("n_words", pa.int64(), "long"), ("hit_starts", pa.list_(pa.int32()), "array<int>"),
+               ("hit_ends", pa.list_(pa.int32()), "array<int>"),
+               ("hit_items", pa.list_(pa.string()), "array<string>"))
 
 
 def find_contamination(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
                        item_col: str = "item_id", item_text_col: str = "text",
-                       block_bytes: int = BLOCK_BYTES) -> DataFrame:
+                       block_bytes: int = BLOCK_BYTES, prefix: str = "") -> DataFrame:
     """``docs`` with every column kept, plus ``n_words``, the merged hit spans
-    (``hit_starts``, ``hit_ends``, in words) and ``hit_items`` (sorted ids).
-    Columns of those names in ``docs`` are replaced."""
+    (``hit_starts``, ``hit_ends``, in words) and ``hit_items`` (sorted ids), each name with
+    ``prefix`` before it.  Columns of those names in ``docs`` are replaced."""
     spark = docs.sparkSession
-    names = [n for n, _ in _HIT_FIELDS]
-    out = docs.drop(*names)
-    keep = out.schema
+    fields = [(prefix + n, t, sql) for n, t, sql in _HIT_FIELDS]
+    out = docs.drop(*[n for n, _, _ in fields])
+    schema = ", ".join(column_ddl(out) + [f"`{n}` {sql}" for n, _, sql in fields])
     first = True
     for items in benchmark_blocks(benchmark, item_col, item_text_col, block_bytes):
         if not first and not items:
             continue
         if not first:
             out = materialize(out, "decontaminate")
-        out = out.mapInArrow(_scanner(spark.sparkContext.broadcast(items), text_col, first),
-                             _ddl(keep))
+        out = out.mapInArrow(_scanner(spark.sparkContext.broadcast(items), text_col, fields, first),
+                             schema)
         first = False
     return out
 
 
-def _ddl(kept) -> str:
-    cols = [f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in kept]
-    return ", ".join([*cols, _HITS])
-
-
-def _scanner(items, text_col: str, first: bool):
+def _scanner(items, text_col: str, fields, first: bool):
     def run(batches):
         searchers = build_searchers(items.value)
         for batch in batches:
             rows = [[], [], [], []]
-            old = None if first else [batch.column(n).to_pylist() for n, _ in _HIT_FIELDS]
+            old = None if first else [batch.column(n).to_pylist() for n, _, _ in fields]
             for i, text in enumerate(batch.column(text_col).to_pylist()):
                 words = words_of(text)
                 spans, ids = scan(words, searchers)
@@ -170,7 +164,7 @@ def _scanner(items, text_col: str, first: bool):
                 for column, value in zip(rows, (len(words), [s for s, _ in spans],
                                                 [e for _, e in spans], sorted(ids))):
                     column.append(value)
-            new = {n: pa.array(v, t) for (n, t), v in zip(_HIT_FIELDS, rows)}
+            new = {n: pa.array(v, t) for (n, t, _), v in zip(fields, rows)}
             cols = {n: batch.column(n) for n in batch.schema.names if n not in new}
             yield pa.RecordBatch.from_pydict(cols | new)
     return run
@@ -182,10 +176,11 @@ def contaminated(n_hit, n_words):
     return (n_hit > 0) & (n_hit * den >= n_words * num)
 
 
-def hit_words():
+def hit_words(prefix: str = ""):
     """Hit words of a row of ``find_contamination``."""
-    return F.aggregate(F.arrays_zip("hit_starts", "hit_ends"), F.lit(0).cast("long"),
-                       lambda acc, s: acc + (s["hit_ends"] - s["hit_starts"]).cast("long"))
+    total = lambda c: F.aggregate(F.col(prefix + c).cast("array<long>"),
+                                  F.lit(0).cast("long"), lambda acc, x: acc + x)
+    return total("hit_ends") - total("hit_starts")
 
 
 def contamination_report(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
@@ -203,10 +198,9 @@ def contamination_report(docs: DataFrame, benchmark: DataFrame, id_col: str = "d
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """``docs`` without its contaminated rows, columns as they were."""
-    found = find_contamination(docs, benchmark, **options)
-    return found.where(~contaminated(hit_words(), F.col("n_words"))).select(
-        *[F.col(f"`{c}`") for c in docs.columns])
-
-
-def digest(items: Iterable[str]) -> str:
-    return hashlib.sha256(",".join(sorted(items)).encode()).hexdigest()
+    prefix = "_"
+    while {(prefix + n).lower() for n, _, _ in _HIT_FIELDS} & {c.lower() for c in docs.columns}:
+        prefix += "_"
+    found = find_contamination(docs, benchmark, prefix=prefix, **options)
+    return found.where(~contaminated(hit_words(prefix), F.col(prefix + "n_words"))) \
+        .select(*columns_of(docs))

@@ -31,7 +31,7 @@ from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from funnelspark.llm.common import materialize, text_bytes
+from funnelspark.llm.common import column_ddl, columns_of, materialize, text_bytes, unused
 
 MAX_LABELLED = 60_000
 N_FOURIER = 512
@@ -207,8 +207,7 @@ def score(docs: DataFrame, model: QualityModel, text_col: str = "text",
           score_col: str = "score") -> DataFrame:
     """``docs`` with every column kept and ``score_col`` added (replaced if there)."""
     kept = docs.drop(score_col)
-    schema = ", ".join([f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}"
-                        for f in kept.schema] + [f"`{score_col}` double"])
+    schema = ", ".join([*column_ddl(kept), f"`{score_col}` double"])
     held = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
@@ -233,6 +232,6 @@ def quality_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
 
 def accepted(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
     """``docs`` without the rows scored under ``ACCEPT_SCORE``, columns as they were."""
-    model = fit(docs, labels, **options)
-    return score(docs, model, score_col="_quality_").where(F.col("_quality_") >= ACCEPT_SCORE) \
-        .select(*[F.col(f"`{c}`") for c in docs.columns])
+    model, name = fit(docs, labels, **options), unused(docs, "_score")
+    return score(docs, model, score_col=name).where(F.col(name) >= ACCEPT_SCORE) \
+        .select(*columns_of(docs))

@@ -8,6 +8,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
 import public_tokenizers as tokenizers
 from funnelspark.llm import bpe, decontaminate, html_text, jaccard, neighbours, quality, repeats, secret_scan, token_counts, toxicity
 from funnelspark.llm.common import materialize, prepare, table
@@ -98,3 +99,8 @@ def op4_html_text(spark, sf_dir):
 def op7_repeats(spark, sf_dir):
     """Every byte of all documents under a 200-byte string that starts twice is removed."""
     return repeats.remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
+
+
+QUERIES["pipeline"] = corpus_pipeline.run
+if corpus_pipeline.ORACLE_SQL is not None:
+    ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL

@@ -16,8 +16,8 @@ each kind train the forest.
 Defined cases: a null text has no candidates and stays null when redacted; a
 null path counts as empty; a document row gives one row whatever its id, so
 repeated documents and null ids are kept; without labelled findings of both
-kinds nothing is reported; columns with clashing names are replaced in the
-result.
+kinds nothing is reported; ``scan`` replaces columns of its result's names,
+``redact`` keeps every column whatever its name.
 """
 
 from __future__ import annotations
@@ -29,6 +29,8 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from funnelspark.llm.common import columns_of
+
 CANDIDATE = r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}={0,2}"
 #: Characters of context that the neighbouring words are taken from.
 LEFT_CONTEXT, RIGHT_CONTEXT = 48, 16
@@ -181,8 +183,6 @@ def scan(docs: DataFrame, words: list[str], forest: list | None, text_col: str =
     if forest is None:
         scored = F.transform("_found", lambda c: F.lit(0.0))
     else:
-        # Only candidates with a digit or a credential name beside them can be told from
-        # words; all are scored.
         scored = F.transform(_described(_path(docs, path_col), words), lambda f: votes(forest, f))
     rows = rows.withColumn("_votes", F.when(F.size("_found") > 0, scored))
     step = F.arrays_zip(F.col("_found").alias("c"), F.col("_between").alias("b"),
@@ -203,7 +203,7 @@ def scan(docs: DataFrame, words: list[str], forest: list | None, text_col: str =
         .otherwise(F.coalesce(x["c"], F.lit(""))))), "")
     some = F.size("_found") > 0
     return rows.select(
-        *[F.col(f"`{c}`") for c in docs.columns if c not in new],
+        *columns_of(docs.drop(*new)),
         F.greatest(F.size("_found"), F.lit(0)).cast("long").alias("n_candidates"),
         F.when(some, spans).otherwise(none).alias("findings"),
         F.when(some & F.exists("_votes", lambda v: v >= ACCEPT_VOTES), redacted)
@@ -232,9 +232,21 @@ def secret_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
         F.sha2(F.coalesce("redacted", F.lit("")), 256).alias("redacted_sha256"))
 
 
-def redact(docs: DataFrame, text_col: str = "text", path_col: str | None = "source") -> DataFrame:
-    """``docs`` with every secret in the text replaced; other columns as they were."""
+def redact(docs: DataFrame, text_col: str = "text", path_col: str | None = "source",
+           length_col: str | None = None) -> DataFrame:
+    """``docs`` with every secret in the text replaced, and ``length_col`` (if given) set to
+    the length of a text that changed; other columns as they were."""
     words, forest = learn(docs, text_col, path_col)
-    out = scan(docs, words, forest, text_col, path_col)
-    return out.select(*[F.col("redacted").alias(c) if c == text_col else F.col(f"`{c}`")
-                        for c in docs.columns])
+    row = F.struct(*columns_of(docs)).alias("_row")
+    out = scan(docs.select(row, F.col(text_col).alias("text"),
+                           _path(docs, path_col).alias("source")), words, forest)
+
+    def column(name):
+        old = F.col("_row").getField(name)
+        if name == text_col:
+            return F.col("redacted").alias(name)
+        if name == length_col:
+            return F.when(F.size("findings") > 0, F.length("redacted").cast(
+                docs.schema[name].dataType)).otherwise(old).alias(name)
+        return old.alias(name)
+    return out.select(*[column(c) for c in docs.columns])
