@@ -287,7 +287,7 @@ def _met_twice(strings: DataFrame) -> DataFrame:
     return strings.mapInArrow(run, "node long, start long, end long")
 
 
-def find_repeats(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+def find_repeats(docs: DataFrame, index_contexts: int = INDEX_CONTEXTS) -> tuple[DataFrame, DataFrame]:
     """For documents (doc_id, text): (doc_id, node, n_bytes), and (node, starts, ends) of
     the stretches of texts that repeats cover (in any order, may overlap; a text that
     several documents have isn't listed for that)."""
@@ -296,7 +296,7 @@ def find_repeats(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     grouped = materialize(_grouped(rows), "repeat-anchors")
 
     members = grouped.where("not equal").select("gram", "node", "at").distinct()
-    large = members.groupBy("gram").count().where(F.col("count") > INDEX_CONTEXTS) \
+    large = members.groupBy("gram").count().where(F.col("count") > index_contexts) \
         .select("gram", F.lit(True).alias("large"))
     wanted = members.join(large, "gram", "left") \
         .select("node", F.struct("gram", "at", F.coalesce("large", F.lit(False)).alias("large")).alias("w")) \
@@ -330,11 +330,12 @@ def covered(n_bytes: int, starts: list[int], ends: list[int]) -> list[tuple[int,
     return list(zip(s[fresh].tolist(), e[last].tolist()))
 
 
-def repeat_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def repeat_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                 index_contexts: int = INDEX_CONTEXTS) -> DataFrame:
     """doc_id, text, spans (start, end in bytes of the UTF-8 text) to remove."""
     given = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")) \
         .where("doc_id is not null")
-    names, spans = find_repeats(given)
+    names, spans = find_repeats(given, index_contexts)
     copies = names.groupBy("node").agg((F.count("*") > 1).alias("copied"))
     marks = names.join(copies, "node").join(spans, "node", "left")
     id_type = given.schema["doc_id"].dataType.simpleString()
@@ -360,10 +361,11 @@ def repeat_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                                   "spans array<struct<start:bigint,end:bigint>>")
 
 
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                   index_contexts: int = INDEX_CONTEXTS) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept (the remaining bytes, which may cut a
     character in two) and kept_sha256."""
-    spans = repeat_spans(docs, id_col, text_col)
+    spans = repeat_spans(docs, id_col, text_col, index_contexts)
     id_type = spans.schema["doc_id"].dataType.simpleString()
 
     def run(batches):

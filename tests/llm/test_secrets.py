@@ -1,0 +1,69 @@
+import re
+
+from funnelspark.llm import secret_scan
+
+from .helpers import SF_MID
+
+TOKEN = re.compile(r'(?i)token = "([0-9a-f]{40})"')
+SCHEMA = "doc_id long, text string, source string"
+
+
+def spans(row):
+    return {(s.start, s.end) for s in row.spans}
+
+
+def test_secrets_of_whole_documents_are_found_and_nothing_else(spark):
+    docs = spark.read.parquet(f"{SF_MID}/documents.parquet")
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    got = secret_scan.secret_report(docs).collect()
+    assert len(got) == len(texts)
+    want = {d: {m.span(1) for m in TOKEN.finditer(t)} for d, t in texts.items()}
+    assert sum(map(len, want.values())) > 5
+    assert {r.doc_id: spans(r) for r in got} == want
+
+
+def test_main_path_runs_no_python(spark):
+    docs = spark.createDataFrame([(1, 'token = "0123456789abcdef0123"', "a")], SCHEMA)
+    plan = secret_scan.scan(docs, ["the"], [(0, 1.0, 0.0, 1.0)])._jdf.queryExecution().toString()
+    assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def test_edge_rows_and_redaction(spark):
+    key = "9f8e7d6c5b4a39281706f5e4d3c2b1a09f8e7d6c"
+    filler = [(100 + i, f'set token = "{i:08x}{key[8:]}" and averyveryverylongword{"x" * (i % 7)} ok', "s")
+              for i in range(60)]
+    rows = [(1, None, None), (2, "", "s"), (3, f'a password: "{key}"! b', "s"), (None, "plain", "s"),
+            (4, "word " * 50_000 + f'token = "{key}"', "s"), (4, "same", "s"), (4, "same", "s"),
+            (5, f'token = "{key}" token = "{key}"', None)] + filler
+    docs = spark.createDataFrame([(*r, "f", 3) for r in rows],
+                                 SCHEMA + ", findings string, n_chars int")
+    got = secret_scan.secret_report(docs).collect()
+    assert len(got) == len(rows)
+    by_id = {r.doc_id: r for r in got}
+    assert by_id[1].n_candidates == by_id[2].n_candidates == 0
+    assert by_id[3].n_secrets == 1 and by_id[4].n_secrets in (0, 1) and by_id[5].n_secrets == 2
+    out = secret_scan.redact(docs, length_col="n_chars")
+    assert out.columns == docs.columns
+    texts = {(r.doc_id, r.n_chars): r.text for r in out.collect()}
+    assert texts[3, len('a password: "[secret]"! b')] == 'a password: "[secret]"! b'
+    assert texts[1, 3] is None and texts[2, 3] == "" and texts[None, 3] == "plain"
+    assert not any(t and key in t for t in texts.values())
+
+
+def test_without_findings_of_both_kinds_nothing_is_reported(spark):
+    docs = spark.createDataFrame([(1, "only words here", "s")], SCHEMA)
+    assert [tuple(r)[1:3] for r in secret_scan.secret_report(docs).collect()] == [(0, 0)]
+    assert secret_scan.secret_report(docs.limit(0)).count() == 0
+
+
+def test_trees_are_read_as_the_model_describes_them():
+    text = """DecisionTreeClassificationModel: uid=x, depth=1, numNodes=3, numClasses=2, numFeatures=4
+      If (feature 1 <= 0.25)
+       Predict: 0.0
+      Else (feature 1 > 0.25)
+       If (feature 3 <= 1.5E-2)
+        Predict: 1.0
+       Else (feature 3 > 1.5E-2)
+        Predict: 0.0
+    """
+    assert secret_scan.read_tree(text) == (1, 0.25, 0.0, (3, 0.015, 1.0, 0.0))
