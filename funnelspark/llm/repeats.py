@@ -153,10 +153,10 @@ def _anchor_rows(docs: DataFrame) -> DataFrame:
 
 
 def _grouped(rows: DataFrame) -> DataFrame:
-    """Rows sorted by (gram, context): those whose context is met twice
+    """Rows sorted by all columns: those whose context is met twice
     (``equal``), and the first of each context of a gram with several contexts.
-    Streams: of the gram at the end of a batch, its first row and two rows of
-    its last context are carried on."""
+    Streams: of the gram at the end of a batch, its first row, two rows of its
+    last context and the last row are carried on."""
     names = ("gram", "context", "node", "at")
 
     def run(batches):
@@ -166,6 +166,10 @@ def _grouped(rows: DataFrame) -> DataFrame:
                 continue
             gram, context, node, at = (np.concatenate([c, batch.column(n).to_numpy()])
                                        for n, c in zip(names, carried))
+            # a text of several rows gives its anchors once for each task that read it
+            own = np.concatenate([[True], (gram[1:] != gram[:-1]) | (context[1:] != context[:-1])
+                                  | (node[1:] != node[:-1]) | (at[1:] != at[:-1])])
+            gram, context, node, at = (c[own] for c in (gram, context, node, at))
             n = len(gram)
             new_gram = np.concatenate([[True], gram[1:] != gram[:-1]])
             new_run = new_gram | np.concatenate([[True], context[1:] != context[:-1]])
@@ -179,7 +183,7 @@ def _grouped(rows: DataFrame) -> DataFrame:
                 "gram": pa.array(gram[take]), "node": pa.array(node[take]), "at": pa.array(at[take])})
             first = int(np.flatnonzero(new_gram)[-1])
             last = int(np.flatnonzero(new_run)[-1])
-            on = sorted({first, last, min(last + 1, n - 1)})
+            on = sorted({first, last, min(last + 1, n - 1), n - 1})
             carried = [c[on] for c in (gram, context, node, at)]
     return rows.mapInArrow(run, "equal boolean, gram long, node long, at long")
 
@@ -292,7 +296,7 @@ def find_repeats(docs: DataFrame, index_contexts: int = INDEX_CONTEXTS) -> tuple
     the stretches of texts that repeats cover (in any order, may overlap; a text that
     several documents have isn't listed for that)."""
     names = materialize(_names(docs), "repeat-names").distinct()
-    rows = _anchor_rows(docs).repartition("gram").sortWithinPartitions("gram", "context")
+    rows = _anchor_rows(docs).repartition("gram").sortWithinPartitions("gram", "context", "node", "at")
     grouped = materialize(_grouped(rows), "repeat-anchors")
 
     members = grouped.where("not equal").select("gram", "node", "at").distinct()
