@@ -15,8 +15,9 @@ documents link when ``100 |A & B| >= 80 |A | B|``; then at most
   frequent in the corpus, so common passages make few candidates.  Bands span
   a factor of two in size; a document also joins the band below if partners
   there can be similar enough.
-* *Verify.*  First each document is compared with its likeliest partners and
-  the confirmed links are contracted to components.  Pairs of one block that
+* *Verify.*  First each document is compared with the two partners, of those next
+  to it in its blocks, whose sketches are nearest, and the confirmed links are
+  contracted to components.  Pairs of one block that
   are still in different components are then all tested: by the Hamming
   distance of 1024-bit parity sketches inside the join, and by exact
   intersection after it.  So no link between components is lost and the pairs
@@ -34,6 +35,8 @@ other columns are ignored.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -57,33 +60,51 @@ def shingles(texts: list[str | None]) -> list[np.ndarray]:
     out: list[np.ndarray] = []
     group, size = [], 0
     for text in texts:
-        words = text_bytes(text).lower().split()
-        group.append(words)
-        size += sum(map(len, words)) + len(words)
+        raw = text_bytes(text)
+        group.append(raw)
+        size += len(raw) + 1
         if size > _GROUP_BYTES:
             out += _hash_group(group)
             group, size = [], 0
     return out + _hash_group(group)
 
 
-def _hash_group(docs: list[list[bytes]]) -> list[np.ndarray]:
-    words = [w for d in docs for w in d]
-    if not words:
-        return [np.zeros(0, np.uint64) for _ in docs]
-    lengths = np.fromiter(map(len, words), np.int64, len(words))
-    ends = np.cumsum(lengths + 1) - 1
-    starts = ends - lengths
-    rolling = RollingHash(b" ".join(words))
+# Lower-cases A-Z and turns white space into spaces.
+_FOLDED = bytes(c + 32 if 65 <= c <= 90 else 32 if 9 <= c <= 13 else c for c in range(256))
+#: Multipliers of the words of a shingle, by place.
+_PLACES = mix64(np.arange(1, SHINGLE_WORDS + 1, dtype=np.uint64)) | np.uint64(1)
+
+
+def _hash_group(raws: list[bytes]) -> list[np.ndarray]:
+    if not raws:
+        return []
+    joined = b" ".join(raws).translate(_FOLDED) + b" "
+    data = np.frombuffer(joined, np.uint8)
+    word = data != 32
+    edge = np.flatnonzero(word[1:] != word[:-1]) + 1
+    if len(word) and word[0]:
+        edge = np.concatenate([[0], edge])
+    starts, ends = edge[::2], edge[1::2]
+    if not len(starts):
+        return [np.zeros(0, np.uint64) for _ in raws]
+    words = RollingHash(joined).spans(starts, ends)
+    doc_ends = np.cumsum(np.fromiter(map(len, raws), np.int64, len(raws)) + 1)
+    last = np.searchsorted(starts, doc_ends)
+    k, n = SHINGLE_WORDS, len(words)
+    runs = np.zeros(max(n - k + 1, 0), np.uint64)
+    for i in range(k if len(runs) else 0):
+        runs += words[i:n - k + 1 + i] * _PLACES[i]
+    runs = mix64(runs)
     out, first = [], 0
-    for d in docs:
-        n = len(d)
-        if n == 0:
+    for end in last.tolist():
+        if end - first >= k:
+            out.append(np.unique(runs[first:end - k + 1]))
+        elif end > first:  # fewer words: the whole sequence is one shingle
+            out.append(mix64((words[first:end] * _PLACES[:end - first]).sum(
+                dtype=np.uint64, keepdims=True)))
+        else:
             out.append(np.zeros(0, np.uint64))
-            continue
-        k = min(SHINGLE_WORDS, n)
-        out.append(np.unique(rolling.spans(starts[first:first + n - k + 1],
-                                           ends[first + k - 1:first + n])))
-        first += n
+        first = end
     return out
 
 
@@ -247,18 +268,25 @@ def _add(out, row, before, first, names, keep):
         column.append(value)
 
 
-def _verify(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """The pairs (a, b) that link; ``texts`` has a text for each node."""
+def _distance(a: str, b: str):
+    """Hamming distance of two parity sketches: at most the symmetric difference."""
+    return F.aggregate(F.zip_with(a, b, lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0),
+                       lambda acc, v: acc + v)
+
+
+def _verify(pairs: DataFrame, texts: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """The pairs (a, b) that link (with long columns ``keep``); ``texts`` has a text for
+    each node."""
+    names = ["a", "b", *keep]
     left = pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("ta")), "a")
     both = left.join(texts.select(F.col("node").alias("b"), F.col("text").alias("tb")), "b") \
-        .select("a", "b", "ta", "tb")
+        .select(*names, "ta", "tb")
 
     def run(batches):
         for batch in batches:
             sets = [shingles(batch.column(c).to_pylist()) for c in ("ta", "tb")]
-            yield batch.select(["a", "b"]).filter(pa.array([linked(x, y) for x, y in zip(*sets)],
-                                                           pa.bool_()))
-    return both.mapInArrow(run, "a long, b long").distinct()
+            yield batch.select(names).filter(pa.array([linked(x, y) for x, y in zip(*sets)], pa.bool_()))
+    return both.mapInArrow(run, ", ".join(f"{c} long" for c in names)).distinct()
 
 
 def _similar_size(a: str, b: str):
@@ -279,21 +307,26 @@ def link_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     filed = _tokens(given, frequent).repartition("token").sortWithinPartitions("token", "n", "node")
     shared = materialize(_shared(filed, "node", ["node", "n"]), "jaccard-shared")
 
-    # First round: each node with the partner it meets in most blocks.
+    wanted = shared.select("node").distinct() \
+        .join(members.groupBy("node").agg(F.min("doc_id").alias("doc_id")), "node")
+    texts = given.join(wanted.hint("shuffle_hash"), "doc_id").select("node", "text")
+    texts = materialize(_of_node(texts), "jaccard-texts")
+    sketches = materialize(_sketches(texts), "jaccard-sketches")
+
+    # First round: of the partners that a node meets as neighbours in its blocks, the two
+    # whose sketches are nearest.
     met = shared.select("node", "n", F.col("p_node").alias("other"), F.col("p_n").alias("m"),
                         F.lit(0).alias("kind")) \
         .unionByName(shared.select("node", "n", F.col("f_node").alias("other"),
                                    F.col("f_n").alias("m"), F.lit(1).alias("kind"))) \
-        .where("other is not null").where(_similar_size("n", "m")) \
-        .groupBy("node", "other", "kind").agg(F.count("*").alias("c"))
-    best = met.groupBy("node", "kind").agg(F.max(F.struct("c", "other")).alias("x")) \
-        .select(F.col("node").alias("a"), F.col("x.other").alias("b")).distinct()
+        .where("other is not null").where(_similar_size("n", "m")).distinct()
+    near = met.join(sketches, "node").join(
+        sketches.select(F.col("node").alias("other"), F.col("sketch").alias("sketch2")), "other") \
+        .withColumn("distance", _distance("sketch", "sketch2")) \
+        .where(F.col("distance") * 9 <= F.col("n") + F.col("m"))
+    best = near.groupBy("node", "kind").agg(F.min(F.struct("distance", "other")).alias("x")) \
+        .select(F.greatest("node", "x.other").alias("a"), F.least("node", "x.other").alias("b")).distinct()
     best = materialize(best, "jaccard-pairs")
-
-    wanted = shared.select("node").distinct() \
-        .join(members.groupBy("node").agg(F.min("doc_id").alias("doc_id")), "node")
-    texts = given.join(wanted.hint("shuffle_hash"), "doc_id").select("node", "text")
-    texts = materialize(_of_node(texts), "jaccard-texts")
     links = materialize(_verify(best, texts), "jaccard-links")
     labels = connected_components(links)
 
@@ -304,19 +337,22 @@ def link_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     apart = _shared(labelled.repartition("token").sortWithinPartitions("token", "label", "n", "node"),
                     "label", ["node"])
     open_tokens = apart.select("token").distinct()
-    sketched = _sketches(texts)
-    rest = materialize(labelled.join(open_tokens, "token").join(sketched, "node"), "jaccard-open")
+    rest = materialize(labelled.join(open_tokens, "token").join(sketches, "node"), "jaccard-open")
     x, y = rest.alias("x"), rest.alias("y")
-    distance = F.aggregate(F.zip_with("x.sketch", "y.sketch", lambda a, b: F.bit_count(a.bitwiseXOR(b))),
-                           F.lit(0), lambda acc, v: acc + v)
     pairs = x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.node") < F.col("y.node"))
                    & (F.col("x.label") != F.col("y.label")) & _similar_size("x.n", "y.n")
-                   & (distance * 9 <= F.col("x.n") + F.col("y.n"))) \
-        .select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
-    tried = best.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    more = materialize(_verify(pairs.join(tried, ["a", "b"], "left_anti"), texts), "jaccard-links")
-    if not more.isEmpty():
-        labels = connected_components(links.unionByName(more))
+                   & (_distance("x.sketch", "y.sketch") * 9 <= F.col("x.n") + F.col("y.n"))) \
+        .select(F.col("y.node").alias("a"), F.col("x.node").alias("b"),
+                F.col("y.label").alias("la"), F.col("x.label").alias("lb")).distinct()
+    tested = materialize(_verify(pairs.join(best, ["a", "b"], "left_anti"), texts, ["la", "lb"]),
+                         "jaccard-links")
+    # components of components
+    joined = connected_components(tested.select(F.col("la").alias("a"), F.col("lb").alias("b")))
+    every = labels.unionByName(tested.select(F.col("la").alias("node"), F.col("la").alias("label"))) \
+        .unionByName(tested.select(F.col("lb").alias("node"), F.col("lb").alias("label"))).distinct()
+    labels = every.join(joined.select(F.col("node").alias("label"), F.col("label").alias("top")),
+                        "label", "left").select("node", F.coalesce("top", "label").alias("label")) \
+        .groupBy("node").agg(F.min("label").alias("label"))
 
     named = members.where("n > 0").join(labels, "node", "left") \
         .select("doc_id", "n", F.coalesce("label", "node").alias("label"))
