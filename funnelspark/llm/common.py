@@ -17,6 +17,8 @@ def prepare(spark: SparkSession) -> None:
     """Session defaults, and this package on the import path of Python workers
     that a local master starts (a cluster has the package installed)."""
     ensure_session_defaults(spark)
+    # Rows of an Arrow batch: some hold whole long texts.
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
     env = spark.sparkContext.environment
     paths = [p for p in (env.get("PYTHONPATH", ""), _PACKAGE_ROOT) if p]
     if _PACKAGE_ROOT not in env.get("PYTHONPATH", "").split(os.pathsep):

@@ -50,6 +50,8 @@ INDEX_CONTEXTS = 20_000
 #: Context bytes that one index is built over (more only for a single gram).
 _INDEX_BYTES = 1 << 20
 _GROUP_BYTES = 1 << 20
+#: Rows of an Arrow batch of single strings.
+_STRINGS = 50_000
 
 
 def text_name(raw: bytes) -> int:
@@ -227,10 +229,11 @@ def _contexts(texts: DataFrame) -> DataFrame:
                 "start": pa.array(start, pa.int64()), "data": pa.array(data, pa.binary())})
             if hashed[0]:
                 h, k, at = (np.concatenate(c) for c in hashed)
-                _, first = np.unique(np.stack([h, k, at]), axis=1, return_index=True)
-                yield pa.RecordBatch.from_pydict({
-                    "gram": pa.array(h[first]), "node": pa.array(k[first]),
-                    "start": pa.array(at[first]), "data": pa.nulls(len(first), pa.binary())})
+                for i in range(0, len(h), _STRINGS):
+                    part = slice(i, i + _STRINGS)
+                    yield pa.RecordBatch.from_pydict({
+                        "gram": pa.array(h[part]), "node": pa.array(k[part]), "start": pa.array(at[part]),
+                        "data": pa.nulls(len(h[part]), pa.binary())})
     return texts.mapInArrow(run, "gram long, node long, start long, data binary")
 
 

@@ -27,15 +27,15 @@ class RunLengthIndex:
         self.starts = np.concatenate([[0], np.cumsum(lengths + 1)])[:-1]
         self.lengths = lengths
         n = int((lengths + 1).sum())
-        self.text = np.zeros(n, np.uint64)  # 0 ends a segment, a byte b is b + 1
+        self.text = np.zeros(n, np.uint16)  # 0 ends a segment, a byte b is b + 1
         joined = np.frombuffer(b"".join(s + b"\0" for s in segments), np.uint8)
         inside = np.ones(n, bool)
         self.ends = self.starts + lengths
         inside[self.ends] = False
-        self.text[inside] = joined[inside].astype(np.uint64) + np.uint64(1)
-        segment = np.repeat(np.arange(len(segments)), lengths + 1)
-        self.group = np.asarray(groups, np.int64)[segment]
-        self.to_end = self.ends[segment] - np.arange(n)
+        self.text[inside] = joined[inside].astype(np.uint16) + np.uint16(1)
+        segment = np.repeat(np.arange(len(segments), dtype=np.int32), lengths + 1)
+        self.group = np.asarray(groups, np.int32)[segment]
+        self.to_end = (self.ends[segment] - np.arange(n)).astype(np.int32)
         self.order = self._suffix_order()
         self._sample_runs()
 
@@ -44,12 +44,10 @@ class RunLengthIndex:
         n = len(self.text)
         packed = np.zeros(n, np.uint64)
         for i in range(min(_PACKED, n)):
-            symbol = np.zeros(n, np.uint64)
-            symbol[:n - i] = self.text[i:]
-            symbol[self.to_end < i] = 0
-            packed |= symbol << np.uint64(9 * (_PACKED - 1 - i))
+            symbol = np.where(self.to_end[:n - i] >= i, self.text[i:], np.uint16(0)).astype(np.uint64)
+            packed[:n - i] |= symbol << np.uint64(9 * (_PACKED - 1 - i))
         ended = self.to_end < _PACKED
-        order = np.lexsort((np.arange(n), packed, self.group))
+        order = np.lexsort((packed, self.group))  # stable: ties by place
         g, p = self.group[order], packed[order]
         fresh = np.ones(n, bool)
         fresh[1:] = (g[1:] != g[:-1]) | (p[1:] != p[:-1]) | ended[order[1:]] | ended[order[:-1]]
@@ -77,7 +75,7 @@ class RunLengthIndex:
     def _sample_runs(self) -> None:
         """Run heads of the transform and the common prefix with the suffix before each."""
         order, n = self.order, len(self.order)
-        before = np.where(order > 0, self.text[order - 1], np.uint64(0))
+        before = np.where(order > 0, self.text[order - 1], np.uint16(0))
         head = np.ones(n, bool)
         head[1:] = (before[1:] != before[:-1]) | (before[1:] == 0) \
             | (self.group[order[1:]] != self.group[order[:-1]])
