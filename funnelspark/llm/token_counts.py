@@ -31,27 +31,36 @@ from funnelspark.llm.bpe import WordEncoder, load_ranks
 LEAF_TOKENS = 64
 #: Characters behind a pre-token that decide where it ends (contractions look two ahead).
 LOOK_BACK = 3
-_CACHED_WORDS = 200_000
+#: Pre-tokens whose counts a worker process remembers.
+_CACHED_WORDS = 800_000
+
+
+class _KnownCounts(dict):
+    """Token counts of pre-tokens, made when first asked for."""
+
+    def __init__(self, encode):
+        super().__init__()
+        self.encode = encode
+
+    def __missing__(self, word: str) -> int:
+        if len(self) >= _CACHED_WORDS:
+            self.clear()
+        n = self[word] = len(self.encode(word.encode("utf-8")))
+        return n
 
 
 class Counter:
-    """Token counts of pre-tokens, remembered for the words met so far."""
+    """Token counts of pre-tokens; what is known is kept by the worker process."""
+    _known: dict[str, _KnownCounts] = {}
 
     def __init__(self, ranks_file: str, pattern: str):
-        self.encode = WordEncoder(load_ranks(ranks_file)).encode
+        if ranks_file not in Counter._known:
+            Counter._known[ranks_file] = _KnownCounts(WordEncoder(load_ranks(ranks_file)).encode)
+        self.known = Counter._known[ranks_file]
         self.cut = regex.compile(pattern)
-        self.known: dict[str, int] = {}
 
     def count(self, words: list[str]) -> int:
-        known, total = self.known, 0
-        for word in words:
-            n = known.get(word)
-            if n is None:
-                if len(known) >= _CACHED_WORDS:
-                    known.clear()
-                n = known[word] = len(self.encode(word.encode("utf-8")))
-            total += n
-        return total
+        return sum(map(self.known.__getitem__, words))
 
 
 class SegmentTree:
@@ -204,15 +213,20 @@ def edited_counts(docs: DataFrame, edits: DataFrame | None, ranks_file: str, pat
         for batch in batches:
             out = [[], [], [], [], []]
             for text, given in zip(batch.column("text").to_pylist(), batch.column("edits").to_pylist()):
-                doc = Document(text or "", counter)
-                before = doc.tree.total()
+                text = text or ""
                 chosen = pick_edits([(e["start"], e["end"], e["replacement"] or "")
                                      for e in given or () if e and e["start"] is not None
-                                     and e["end"] is not None], len(doc.text))
-                for start, end, replacement in reversed(chosen):
-                    doc.edit(start, end, replacement)
-                for column, value in zip(out, (before, len(chosen), doc.tree.total(),
-                                               doc.reencoded, len(doc.text))):
+                                     and e["end"] is not None], len(text))
+                if not chosen:  # a tree is needed only where something is edited
+                    before = counter.count(counter.cut.findall(text))
+                    row = (before, 0, before, 0, len(text))
+                else:
+                    doc = Document(text, counter)
+                    before = doc.tree.total()
+                    for start, end, replacement in reversed(chosen):
+                        doc.edit(start, end, replacement)
+                    row = (before, len(chosen), doc.tree.total(), doc.reencoded, len(doc.text))
+                for column, value in zip(out, row):
                     column.append(value)
             names = ("n_tokens", "n_edits", "n_tokens_after", "n_reencoded", "n_chars_after")
             yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id")} | {
@@ -223,11 +237,15 @@ def edited_counts(docs: DataFrame, edits: DataFrame | None, ranks_file: str, pat
 
 #: What the redaction edits replace: mail addresses and quoted hexadecimal tokens.
 REDACTED = r"[\w.+-]+@[\w-]+\.[\w.-]*\w|(?<=\")[0-9a-f]{32,}(?=\")"
+#: Every match holds one of these, or stands next to it; other texts aren't searched.
+REDACTED_NEEDS = ("@", '"')
 
 
 def redaction_edits(docs: DataFrame, text_col: str = "text", pattern: str = REDACTED,
-                    replacement: str = "[redacted]") -> DataFrame:
-    """``docs`` with a column ``edits``: one edit for each match of ``pattern``."""
+                    needs: tuple[str, ...] = REDACTED_NEEDS, replacement: str = "[redacted]"
+                    ) -> DataFrame:
+    """``docs`` with a column ``edits``: one edit for each match of ``pattern``.  Texts
+    without any of ``needs`` (if given) can't have a match."""
     kept = docs.drop("edits")
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema]
                        + ["edits array<struct<start:int,end:int,replacement:string>>"])
@@ -238,7 +256,8 @@ def redaction_edits(docs: DataFrame, text_col: str = "text", pattern: str = REDA
         find = regex.compile(pattern).finditer
         for batch in batches:
             found = [[{"start": m.start(), "end": m.end(), "replacement": replacement}
-                      for m in find(t or "")] for t in batch.column(text_col).to_pylist()]
+                      for m in find(t)] if t and (not needs or any(c in t for c in needs)) else []
+                     for t in batch.column(text_col).to_pylist()]
             yield pa.RecordBatch.from_pydict({c: batch.column(c) for c in batch.schema.names}
                                              | {"edits": pa.array(found, kind)})
     return kept.mapInArrow(run, schema)
