@@ -32,7 +32,8 @@ def to_seconds(c: Column) -> Column:
 
 
 def to_money(c: Column) -> Column:
-    """Amount as decimal(10,2); out-of-range or malformed values become NULL (C4)."""
+    """Landed amount as decimal(20,2), the landing type (C4); what doesn't fit was
+    rejected on landing."""
     return c.try_cast(MONEY)
 
 

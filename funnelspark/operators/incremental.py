@@ -14,10 +14,10 @@ Two modes for the per-customer aggregates:
   event-time mark are aggregated and replace the customer's row, so lifetime
   totals become the last batch's (T5) and late events are skipped (T6).
 
-Scale: the upsert is a left-anti join of the target against the batch keys,
-then a union; AQE broadcasts the key side only when its measured size is below
-the broadcast threshold, otherwise both sides shuffle on the key.  High-water
-marks are one scalar each, applied as literals so Parquet can skip row groups.
+Scale: keys compare NULL-safely, so a customer without an id is a group of its
+own as in a full run.  ``restrict_to`` spreads the rows of a touched customer
+over ``SPREAD`` join keys, so a customer holding a third of all rows is
+aggregated partially in many tasks before its row is made.
 """
 
 from __future__ import annotations
@@ -47,6 +47,16 @@ def after_mark(df: DataFrame, col: Column | str, mark: str) -> DataFrame:
     return df.filter(c > F.lit(mark).cast("timestamp"))
 
 
+def _keyed(df: DataFrame, other: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+    """Left semi or anti join on NULL-safe equality of the keys."""
+    right = other.select(*[F.col(k).alias(f"_{k}") for k in keys])
+    cond = None
+    for k in keys:
+        c = df[k].eqNullSafe(right[f"_{k}"])
+        cond = c if cond is None else cond & c
+    return df.join(right, cond, how)
+
+
 def upsert(target: DataFrame | None, batch: DataFrame, keys: Sequence[str],
            delete_keys: DataFrame | None = None) -> DataFrame:
     """Delete+insert: target rows whose key is in the batch (or in
@@ -56,15 +66,12 @@ def upsert(target: DataFrame | None, batch: DataFrame, keys: Sequence[str],
     gone = batch.select(*keys)
     if delete_keys is not None:
         gone = gone.unionByName(delete_keys.select(*keys))
-    kept = target.join(gone.distinct(), list(keys), "left_anti")
-    return kept.unionByName(batch.select(*target.columns))
+    return _keyed(target, gone.distinct(), keys, "left_anti").unionByName(batch.select(*target.columns))
 
 
 def replaced_rows(target: DataFrame | None, batch: DataFrame, keys: Sequence[str]) -> DataFrame | None:
     """Target rows a batch replaces (their customers are touched too)."""
-    if target is None:
-        return None
-    return target.join(batch.select(*keys).distinct(), list(keys), "left_semi")
+    return None if target is None else _keyed(target, batch.select(*keys).distinct(), keys, "left_semi")
 
 
 def touched_customers(batch: DataFrame, replaced: DataFrame | None,
@@ -76,8 +83,17 @@ def touched_customers(batch: DataFrame, replaced: DataFrame | None,
     return t.distinct()
 
 
-def restrict_to(df: DataFrame, customers: DataFrame, key: str = "customer_id") -> DataFrame:
-    return df.join(customers, key, "left_semi")
+#: Join keys that the rows of one touched customer are spread over.
+SPREAD = 16
+
+
+def restrict_to(df: DataFrame, customers: DataFrame, spread_by: str,
+                key: str = "customer_id") -> DataFrame:
+    """Rows of the given customers.  The join key is (customer, a hash of ``spread_by``
+    modulo ``SPREAD``): what follows can aggregate a hot customer in many tasks first."""
+    part = F.pmod(F.xxhash64(spread_by), F.lit(SPREAD)).cast("int")
+    spread = customers.select(key, F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1))).alias("_part"))
+    return _keyed(df.withColumn("_part", part), spread, [key, "_part"], "left_semi").drop("_part")
 
 
 def greatest_activity_mark(target: DataFrame, ts_cols: Sequence[str]) -> str:

@@ -3,8 +3,10 @@ summaries (A14, A15) and the latest snapshot of an append-only mart (M6).
 
 The two activity inputs of the funnel are each aggregated by ``customer_id``,
 so both sides of the full outer join already hash-partition on the key and the
-join adds no shuffle.  The profile join is customer x funnel, one row per
-customer on each side: no skew is possible.
+join adds no shuffle.  A full outer join has no known partitioning afterwards;
+the profile mart therefore left-joins the customers with the two aggregates
+directly (``profiles_from_activity``), which moves only the customers.  Every
+side has one row per customer: no skew is possible.
 """
 
 from __future__ import annotations
@@ -13,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from funnelspark.functions.columns import as_timestamp, days_between, sentinel_time
-from funnelspark.schemas import MONEY_SUM
+from funnelspark.schemas import FUNNEL_COLUMNS, MONEY_SUM
 
 WEB_COUNTS = ("total_web_events", "unique_pages_visited", "sessions", "total_page_views",
               "total_add_to_carts", "total_searches", "total_product_views")
@@ -23,16 +25,6 @@ MONEY_COLUMNS = ("total_spend_usd", "spend_last_30_days_usd")
 TIME_COLUMNS = ("first_web_activity_timestamp", "last_web_activity_timestamp",
                 "first_purchase_timestamp", "last_purchase_timestamp")
 
-FUNNEL_COLUMNS = (
-    "customer_id", "total_web_events", "unique_pages_visited", "sessions",
-    "first_web_activity_timestamp", "last_web_activity_timestamp",
-    "days_since_last_web_activity", "total_page_views", "total_add_to_carts", "total_searches",
-    "total_product_views", "total_orders", "total_spend_usd", "avg_order_value_usd",
-    "first_purchase_timestamp", "last_purchase_timestamp", "days_since_last_purchase",
-    "orders_last_30_days", "spend_last_30_days_usd", "processing_orders", "shipped_orders",
-    "cancelled_orders", "returned_orders", "completed_orders", "num_products",
-)
-
 
 def _zero_filled(name: str) -> F.Column:
     c = F.col(name)
@@ -66,7 +58,21 @@ def profiles_ml(customers: DataFrame, funnel: DataFrame, as_of) -> DataFrame:
     NULL recency (T9).
     """
     m = funnel.drop("dbt_loaded_at").withColumnRenamed("customer_id", "m_customer_id")
-    j = customers.join(m, customers.customer_id == m.m_customer_id, "left")
+    return _profile_columns(customers.join(m, customers.customer_id == m.m_customer_id, "left"), as_of)
+
+
+def profiles_from_activity(customers: DataFrame, web: DataFrame, purchases: DataFrame,
+                           as_of) -> DataFrame:
+    """``profiles_ml`` straight from the two activity tables: the same rows without the
+    exchange that follows a full outer join."""
+    w = web.drop("dbt_loaded_at").withColumnRenamed("customer_id", "w_customer_id")
+    p = purchases.drop("dbt_processed_at").withColumnRenamed("customer_id", "p_customer_id")
+    j = customers.join(w, customers.customer_id == w.w_customer_id, "left") \
+        .join(p, customers.customer_id == p.p_customer_id, "left")
+    return _profile_columns(j, as_of)
+
+
+def _profile_columns(j: DataFrame, as_of) -> DataFrame:
     return j.select(
         "customer_id", "customer_registration_date", "customer_subscription_tier",
         "customer_acquisition_channel", "customer_email", "customer_country",

@@ -54,17 +54,20 @@ def cluster_diffs(history: DataFrame) -> DataFrame:
             .filter(F.col("_run") > 1).drop("_run"))
 
 
-def cluster_trends(history: DataFrame, diffs: DataFrame | None = None) -> DataFrame:
+def cluster_trends(history: DataFrame) -> DataFrame:
     """Long form behind the trend charts (R2, R4, P14): one row per (cluster,
     run, metric) with the value, the change since the previous run (NULL on
-    a cluster's first run) and whether it went down (the chart colour)."""
-    diffs = cluster_diffs(history) if diffs is None else diffs
+    a cluster's first run) and whether it went down (the chart colour).  Value
+    and change are unpivoted together, as one struct."""
+    w = Window.partitionBy("cluster").orderBy("analysis_timestamp")
     metrics = metric_columns(history)
-    values = history.select(*KEYS, *[F.col(m).cast("double").alias(m) for m in metrics]) \
-        .unpivot(list(KEYS), metrics, "metric", "value")
-    changes = diffs.select(*KEYS, *[F.col(m).cast(DIFF_TYPE).alias(m) for m in metrics]) \
-        .unpivot(list(KEYS), metrics, "metric", "diff")
-    out = values.join(changes, [*KEYS, "metric"], "left")
+
+    def pair(m):
+        exact = F.col(m).cast(DIFF_TYPE)
+        return F.struct(F.col(m).cast("double").alias("value"),
+                        (exact - F.lag(exact).over(w)).cast(DIFF_TYPE).alias("diff")).alias(m)
+    out = history.select(*KEYS, *[pair(m) for m in metrics]) \
+        .unpivot(list(KEYS), metrics, "metric", "x").select(*KEYS, "metric", "x.value", "x.diff")
     return out.withColumn("direction", F.when(F.col("diff") < 0, "down")
                           .when(F.col("diff").isNotNull(), "not_down"))
 

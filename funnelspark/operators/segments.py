@@ -8,29 +8,34 @@ sees model coefficients and k-row summaries.
 
 One model-age decision is taken for the whole pipeline (T22): either the
 saved ``PipelineModel`` is fresh enough and is reused, or scaler, PCA and
-k-means are refit together.  After fitting, cluster labels are renumbered by
-ascending mean spend so that label 0 means the same kind of customer from one
-run to the next.
+k-means are refit together.  When a model is fitted its cluster labels are
+numbered by ascending mean spend; the numbering is saved with it, so labels
+keep their meaning until the next fit.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import json
 import time
+import uuid
+from collections.abc import Callable
+from contextlib import contextmanager
+from dataclasses import dataclass
 
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import PCA, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from funnelspark.functions.columns import as_timestamp
 from funnelspark.schemas import (KMEANS_K, KMEANS_SEED, METRIC_STEPS, MODEL_MAX_AGE_DAYS,
                                  PCA_COMPONENTS, PROFILE_FEATURES, REQUESTED_FEATURES, RUN_LOG)
-from funnelspark.session import materialize, path_age_days
+from funnelspark.session import list_names, publish_text, read_text
 
 ID = "customer_id"
 
@@ -73,47 +78,86 @@ def scaled_columns(model: PipelineModel, frame: DataFrame, features: list[str])
     return scaled.select(ID, *[arr[i].alias(f) for i, f in enumerate(features)])
 
 
-# ---------------------------------------------------------------- model age
-def load_or_fit(spark: SparkSession, model_path: str | None, fit, *, now_s: float | None = None,
-                max_age_days: float = MODEL_MAX_AGE_DAYS) -> tuple[PipelineModel, str, str]:
-    """Reuse the saved model if at most ``max_age_days`` old, else fit and save (K6).
-
-    Returns (model, step, message) for the run log.
-    """
+# ---------------------------------------------------------------- saved model
+@dataclass(frozen=True)
+class SegmentModel:
+    """A fitted pipeline with what belongs to it: its features, the time of the fit and
+    the label of each raw cluster (ordered by mean spend when it was fitted)."""
+    pipeline: PipelineModel
+    features: tuple[str, ...]
+    fitted_s: float
+    labels: tuple[int, ...]
+
+
+def label_order(pipeline: PipelineModel, frame: DataFrame, order_by: str = "total_spend_usd"
+                ) -> tuple[int, ...]:
+    """Label of each raw cluster, by ascending mean of ``order_by`` (T22): k rows."""
+    k = pipeline.stages[3].getK()
+    means = {r.raw_cluster: r.m for r in pipeline.transform(frame).groupBy("raw_cluster")
+             .agg(F.avg(order_by).alias("m")).collect()}
+    order = sorted(range(k), key=lambda c: (means.get(c, float("inf")), c))
+    return tuple(order.index(c) for c in range(k))
+
+
+def fit_model(frame: DataFrame, features: list[str], now_s: float) -> SegmentModel:
+    pipeline = segmentation_pipeline(features).fit(frame)
+    return SegmentModel(pipeline, tuple(features), now_s, label_order(pipeline, frame))
+
+
+def save_model(spark: SparkSession, model: SegmentModel, path: str) -> None:
+    """Each model is written to a new place; its description is published last."""
+    place = f"{path}/model-{uuid.uuid4().hex}"
+    model.pipeline.write().save(place)
+    n = 1 + max((int(x[8:-5]) for x in list_names(spark, path) if x.startswith("current-")), default=0)
+    publish_text(spark, f"{path}/current-{n:08d}.json", json.dumps(
+        {"place": place, "features": model.features, "fitted_s": model.fitted_s, "labels": model.labels}))
+
+
+def load_model(spark: SparkSession, path: str) -> SegmentModel | None:
+    """The newest saved model, or ``None`` if there is none."""
+    names = [x for x in list_names(spark, path) if x.startswith("current-")]
+    if not names:
+        return None
+    d = json.loads(read_text(spark, f"{path}/{names[-1]}"))
+    return SegmentModel(PipelineModel.load(d["place"]), tuple(d["features"]), d["fitted_s"],
+                        tuple(d["labels"]))
+
+
+def load_or_fit(spark: SparkSession, model_path: str | None, frame: DataFrame, features: list[str], *,
+                now_s: float | None = None, max_age_days: float = MODEL_MAX_AGE_DAYS
+                ) -> tuple[SegmentModel, str, str]:
+    """Reuse the saved model if it was fitted at most ``max_age_days`` ago on the same
+    features; fit and save when there is none, it is older, its features differ or it
+    can't be loaded (K6).  Returns (model, step, message) for the run log."""
     now_s = time.time() if now_s is None else now_s
-    age = path_age_days(spark, model_path, now_s) if model_path else None
-    if age is not None and age <= max_age_days:
-        return PipelineModel.load(model_path), "model_load", f"loaded (age={age:.1f} days)"
-    reason = "model_missing" if age is None else "model_stale"
-    model = fit()
+    reason = "model_missing: trained new model"
+    if model_path:
+        try:
+            model = load_model(spark, model_path)
+        except Exception as e:  # noqa: BLE001 - any broken model is replaced
+            model, reason = None, f"model_broken: {type(e).__name__}, retrained"
+        if model is not None:
+            age = (now_s - model.fitted_s) / 86400.0
+            if model.features != tuple(features):
+                reason = "model_features_changed: retrained"
+            elif age > max_age_days:
+                reason = f"model_stale: stale (age={age:.1f} days), retrained"
+            else:
+                return model, "model_load", f"loaded (age={age:.1f} days)"
+    model = fit_model(frame, features, now_s)
     if model_path:
-        model.write().overwrite().save(model_path)
-    msg = "trained new model" if age is None else f"stale (age={age:.1f} days), retrained"
-    return model, "model_train", f"{reason}: {msg}"
+        save_model(spark, model, model_path)
+    return model, "model_train", reason
 
 
 # ---------------------------------------------------------------- assignment
-def ordered_labels(assigned: DataFrame, order_by: str = "total_spend_usd") -> DataFrame:
-    """Map raw k-means labels to labels ordered by the cluster mean of
-    ``order_by`` (T22).  ``assigned`` already carries the column (it is a
-    feature), so no join with the profiles is needed; the mapping has k rows,
-    so broadcasting it is bounded."""
-    means = assigned.groupBy("raw_cluster").agg(F.avg(order_by).alias("_m"))
-    mapping = means.select(
-        "raw_cluster",
-        (F.row_number().over(Window.orderBy("_m", "raw_cluster")) - 1).cast("int").alias("cluster"))
-    return assigned.join(F.broadcast(mapping), "raw_cluster", "inner").drop("raw_cluster")
-
-
-def assign_clusters(model: PipelineModel, frame: DataFrame, run_date,
-                    order_by: str = "total_spend_usd") -> DataFrame:
-    """(customer_id, cluster, run_date) for every customer (K5).  The raw
-    assignment is written once (it is read twice: label means, then labels)."""
-    assigned = materialize(
-        model.transform(frame).select(ID, F.col("raw_cluster").cast("int"), order_by),
-        "raw-assignments")
-    return ordered_labels(assigned, order_by).select(
-        ID, "cluster", as_timestamp(run_date).alias("run_date"))
+def assign_clusters(model: SegmentModel, frame: DataFrame, run_date) -> DataFrame:
+    """(customer_id, cluster, run_date) for every customer (K5), labelled as when the
+    model was fitted."""
+    labels = F.array(*[F.lit(x) for x in model.labels])
+    return model.pipeline.transform(frame).select(
+        ID, F.get(labels, F.col("raw_cluster")).cast("int").alias("cluster"),
+        as_timestamp(run_date).alias("run_date"))
 
 
 # ---------------------------------------------------------------- run log
@@ -128,8 +172,8 @@ def model_metrics(model: PipelineModel, features: list[str]) -> list[tuple[str,
     """The three metric entries the monitor reads (T13): scaler means and
     standard deviations, PCA explained variance, k-means cost and sizes."""
     scaler, pca, km = model.stages[1], model.stages[2], model.stages[3]
-    mean = ", ".join(f"{f}={v:.6g}" for f, v in zip(features, scaler.mean.toArray()))
-    std = ", ".join(f"{f}={v:.6g}" for f, v in zip(features, scaler.std.toArray()))
+    mean = ", ".join(f"{f}={float(v)!r}" for f, v in zip(features, scaler.mean.toArray()))
+    std = ", ".join(f"{f}={float(v)!r}" for f, v in zip(features, scaler.std.toArray()))
     var = ", ".join(f"{v:.6f}" for v in pca.explainedVariance.toArray())
     summary = km.summary
     sizes = ", ".join(str(s) for s in summary.clusterSizes)
@@ -146,29 +190,57 @@ def monitor(log: DataFrame, steps=METRIC_STEPS) -> DataFrame:
     return log.filter(F.col("step").isin(*steps)).orderBy(F.col("run_date").desc())
 
 
+def scaler_entries(log: DataFrame) -> DataFrame:
+    """The logged scaler parameters as rows (run_date, feature, mean, deviation) (K9)."""
+    def pairs(part: str) -> Column:
+        text = F.regexp_extract("message", rf"{part}: ([^;]*)", 1)
+        return F.transform(F.split(text, ", "), lambda p: F.split(p, "="))
+    return log.where(F.col("step") == "scaler_params") \
+        .select("run_date", F.explode(F.arrays_zip(pairs("mean").alias("m"), pairs("std").alias("d"))).alias("x")) \
+        .select("run_date", F.col("x.m")[0].alias("feature"), F.col("x.m")[1].cast("double").alias("mean"),
+                F.col("x.d")[1].cast("double").alias("deviation"))
+
+
 # ---------------------------------------------------------------- the job
-def cluster_customers(spark: SparkSession, profiles: DataFrame, run_date, *,
+Logger = Callable[[str, str, str], None]
+
+
+@contextmanager
+def logged(log: Logger, step: str):
+    """A failing step leaves an ERROR row with its message (K7) and fails the job."""
+    try:
+        yield
+    except Exception as e:
+        log(step, "ERROR", f"{type(e).__name__}: {str(e)[:500]}")
+        raise
+
+
+def cluster_customers(spark: SparkSession, profiles: DataFrame, run_date, log: Logger, *,
                       model_path: str | None = None, now_s: float | None = None,
-                      requested=REQUESTED_FEATURES) -> tuple[DataFrame, DataFrame]:
-    """The clustering job: returns (assignments, run-log rows) (K1-K7)."""
-    log = [("load_data", "INFO", "profile mart loaded")]
-    features, dropped = feature_columns(profiles, requested)
+                      requested=REQUESTED_FEATURES, write=lambda df: df) -> DataFrame:
+    """The clustering job (K1-K7): returns the assignments that ``write`` has stored;
+    ``log(step, status, message)`` is called as each step ends."""
+    with logged(log, "load_data"):
+        features, dropped = feature_columns(profiles, requested)
+        log("load_data", "INFO", "profile mart loaded")
     if dropped:
-        log.append(("select_features", "WARN", "missing features dropped: " + ", ".join(dropped)))
+        log("select_features", "WARN", "missing features dropped: " + ", ".join(dropped))
     frame = feature_frame(profiles, features).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        log.append(("assemble_features", "INFO", f"{len(features)} features"))
-        model, step, msg = load_or_fit(
-            spark, model_path, lambda: segmentation_pipeline(features).fit(frame), now_s=now_s)
-        log.append((step, "INFO", msg))
-        if step == "model_train":
-            log.extend(model_metrics(model, features))
-        assigned = assign_clusters(model, frame, run_date)
+        log("assemble_features", "INFO", f"{len(features)} features")
+        with logged(log, "model_train"):
+            model, step, msg = load_or_fit(spark, model_path, frame, features, now_s=now_s)
+            log(step, "INFO", msg)
+            if step == "model_train":
+                for entry in model_metrics(model.pipeline, features):
+                    log(*entry)
+        with logged(log, "save_clusters"):
+            stored = write(assign_clusters(model, frame, run_date))
+            log("save_clusters", "SUCCESS", "clusters assigned")
     finally:
         frame.unpersist()
-    log.append(("save_clusters", "SUCCESS", "clusters assigned"))
-    log.append(("process_complete", "SUCCESS", "customer clustering completed"))
-    return assigned, log_rows(spark, run_date, log)
+    log("process_complete", "SUCCESS", "customer clustering completed")
+    return stored
 
 
 # ---------------------------------------------------------------- cluster profile

@@ -25,7 +25,10 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order_desc: Sequence[Colu
     """Keep the first row per key by ``order_desc`` (all descending), with a
     full-row hash as the final tie-break (W1, W2, P11, T3; P4, T21: the helper
     ``rn`` column is dropped instead of passed through)."""
-    row_hash = F.xxhash64(*[F.col(c) for c in df.columns])
+    # Each column with its null flag, so a value moved between nullable columns
+    # differs; the load time says nothing about the row.
+    hashed = [F.col(c) for c in df.columns if c != "dbt_loaded_at"]
+    row_hash = F.xxhash64(*hashed, *[c.isNull() for c in hashed])
     order = [(F.col(c) if isinstance(c, str) else c).desc_nulls_last() for c in order_desc]
     w = Window.partitionBy(*keys).orderBy(*order, row_hash.desc())
     return (df.withColumn(rank_col, F.row_number().over(w))

@@ -61,8 +61,9 @@ def funnel(spark, sf_dir, as_of=AS_OF, cutoff=None) -> DataFrame:
 
 
 def profiles(spark, sf_dir, as_of=AS_OF, cutoff=None) -> DataFrame:
-    return marts.profiles_ml(stg_customers(spark, sf_dir, as_of),
-                             funnel(spark, sf_dir, as_of, cutoff), as_of)
+    w = activity.web_activity(stg_web(spark, sf_dir, as_of, cutoff), as_of)
+    p = activity.purchase_activity(stg_purchases(spark, sf_dir, as_of, cutoff), as_of)
+    return marts.profiles_from_activity(stg_customers(spark, sf_dir, as_of), w, p, as_of)
 
 
 # ---------------------------------------------------------------- JSON feeds

@@ -17,17 +17,19 @@ import argparse
 from pyspark.sql import SparkSession
 
 from funnelspark.plans import model_runs, segment_job, warehouse
-from funnelspark.session import build_session, size_shuffle_partitions
+from funnelspark.session import build_session
 
 
 def batch_job(spark: SparkSession, web: str, purchases: str, profiles: str, root: str, as_of,
               mode: str = "touched") -> str:
-    size_shuffle_partitions(spark, [web, purchases, profiles])
-    prev = warehouse.load_models(spark, root)
-    saver = warehouse.RunSaver(spark, root, as_of)
+    """One run; a retry or a rerun at the same time starts from the run before it and
+    replaces what that time had committed only when it is complete."""
+    warehouse.check_time(spark, root, as_of)
+    prev = warehouse.load_models(spark, root, before=as_of)
+    store = warehouse.new_store(spark, root, as_of)
     models = model_runs.run_models(prev, spark.read.parquet(web), spark.read.parquet(purchases),
-                                 spark.read.parquet(profiles), as_of, mode=mode, save=saver)
-    return warehouse.commit_models(spark, models, root, as_of, saver)
+                                   spark.read.parquet(profiles), as_of, mode=mode, store=store)
+    return warehouse.commit_models(spark, models, root, as_of, store)
 
 
 def segment_tables(root: str) -> segment_job.SegmentTables:

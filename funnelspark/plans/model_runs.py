@@ -3,140 +3,243 @@
 ``run_models`` applies one batch run in the dependency order of the warehouse
 (staging -> customer aggregates -> funnel -> profiles -> summaries) to the
 previous run's tables and returns the new ones.  Each new table is saved
-(by default as a Parquet table in ``spark.checkpoint.dir``) before the
-next step reads it, so lineage stays one run deep and a lost executor only
-recomputes the current step.  Steps fail fast: an exception stops the chain
-(T23).
+before the next step reads it, so a lost executor recomputes one step at most.
+Steps fail fast: an exception stops the chain (T23).
+
+* Staging tables are kept by event time (``PartTable``): web events by day,
+  orders by month.  A run rewrites only the parts that its batch's keys fall
+  in and carries all other parts over as they are.
+* The aggregates keep absolute values (counts, sums, first and last times).
+  What is relative to the run (recency, trailing 30 days) is derived for all
+  customers when the marts are made, the trailing counts from the last parts
+  of staging alone; so runs at different times equal one full run.
 """
 
 from __future__ import annotations
 
+import datetime as dt
+import uuid
 from collections.abc import Callable
-from dataclasses import dataclass, replace
+from dataclasses import dataclass, field, replace
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from funnelspark.operators import activity, marts, staging
 from funnelspark.operators import incremental as inc
-from funnelspark.session import materialize
+from funnelspark.schemas import EPOCH_TIME, RECENT_DAYS
+from funnelspark.session import list_names, scratch_path
 
-Saver = Callable[[DataFrame], DataFrame]
 ACTIVITY_TIMES = ("last_web_activity_timestamp", "last_purchase_timestamp")
+#: Part of rows without an event time.
+NO_PART = "none"
 
 
-def saved_table(df: DataFrame) -> DataFrame:
-    """Default saver: a written Parquet table in the shared checkpoint folder."""
-    return materialize(df, "model-table")
+@dataclass(frozen=True)
+class StagedKind:
+    """What differs between the two staging tables."""
+    key: str
+    time: str
+    part_format: str
+    sort_by: tuple[str, ...]
+    stage: Callable
+    lifetime: Callable
+    #: A key's rows always fall in one part (the event key holds the event time).
+    part_fixed_by_key: bool
+
+    def part(self):
+        return F.coalesce(F.date_format(self.time, self.part_format), F.lit(NO_PART)).alias("_part")
+
+
+KINDS = {
+    "web": StagedKind("event_id", "event_timestamp_utc", "yyyy-MM-dd",
+                      ("customer_id", "event_timestamp_utc"), staging.stg_website_events,
+                      activity.web_lifetime, True),
+    "purchases": StagedKind("order_id", "order_purchase_timestamp_utc", "yyyy-MM", ("order_id",),
+                            staging.stg_purchase_events, activity.purchase_lifetime, False),
+}
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Alternative saver: RDD checkpoint (computes its input twice unless cached)."""
-    return df.checkpoint(eager=True)
+@dataclass(frozen=True)
+class PartTable:
+    """A staging table as one folder for each part (part -> path)."""
+    spark: SparkSession
+    schema: str
+    parts: dict[str, str] = field(default_factory=dict)
+
+    def read(self, parts=None) -> DataFrame:
+        """The rows of all or some parts; the folders of others are not opened."""
+        paths = [p for d, p in sorted(self.parts.items()) if parts is None or d in parts]
+        if not paths:
+            return self.spark.createDataFrame([], self.schema)
+        return self.spark.read.schema(self.schema).parquet(*paths)
+
+    def since(self, day: str) -> DataFrame:
+        """The parts that can hold rows of ``day`` (yyyy-MM-dd) or later."""
+        return self.read({p for p in self.parts if p != NO_PART and p >= day[:len(p)]})
+
+
+class Store:
+    """Writes the tables of one run, each to a new place under ``base``."""
+
+    def __init__(self, spark: SparkSession, base: str | None = None):
+        self.spark = spark
+        self.base = base or scratch_path(spark, "model-run")
+        self.paths: dict[str, str] = {}
+
+    def save(self, df: DataFrame, name: str) -> DataFrame:
+        path = f"{self.base}/{name}-{uuid.uuid4().hex[:8]}"
+        df.write.parquet(path)
+        self.paths[name] = path
+        return self.spark.read.parquet(path)
+
+    def save_parts(self, df: DataFrame, kind: StagedKind, name: str) -> dict[str, str]:
+        """One folder for each part, in the order of the table's key (S21); a large part
+        is several range-partitioned files."""
+        path = f"{self.base}/{name}-{uuid.uuid4().hex[:8]}"
+        df.withColumn("_part", kind.part()).repartitionByRange("_part", *kind.sort_by) \
+            .sortWithinPartitions("_part", *kind.sort_by).write.partitionBy("_part").parquet(path)
+        return {n[6:]: f"{path}/{n}" for n in list_names(self.spark, path) if n.startswith("_part=")}
 
 
 @dataclass(frozen=True)
 class Models:
-    stg_web: DataFrame | None = None
-    stg_purchases: DataFrame | None = None
+    """The tables of a run.  ``web_lifetime`` and ``purchase_lifetime`` hold absolute
+    values; the marts hold values at the run's time."""
+    stg_web: PartTable | None = None
+    stg_purchases: PartTable | None = None
+    web_lifetime: DataFrame | None = None
+    purchase_lifetime: DataFrame | None = None
     web_activity: DataFrame | None = None
     purchases: DataFrame | None = None
     funnel: DataFrame | None = None
     profiles: DataFrame | None = None
     country_history: DataFrame | None = None
     monthly_history: DataFrame | None = None
+    marks: dict[str, str] = field(default_factory=dict)
+
+
+def _ddl(df: DataFrame) -> str:
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
 
 
-def stage_increment(prev: DataFrame | None, raw: DataFrame, as_of, *, kind: str,
-                    save: Saver = saved_table) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """One staging run (M1/M2, M7, M10): returns (table, batch, touched customers).
+def stage_increment(prev: PartTable | None, raw: DataFrame, as_of, *, kind: str, store: Store,
+                    mark: str | None = None, replace_only: bool = False
+                    ) -> tuple[PartTable, DataFrame, str]:
+    """One staging run (M1/M2, M7, M10): returns (table, touched customers, new mark).
 
-    The batch is the raw rows landed after the target's ingestion-time mark
-    (all rows on the first run), deduplicated, then upserted by key.
+    The batch is the raw rows landed after the ingestion-time mark (all rows on
+    the first run).  The stored rows with the batch's keys and the batch are
+    deduplicated together, so an older resend doesn't replace a newer row;
+    ``replace_only`` lets the batch replace them as the reference does.
     """
-    key, stage = (("event_id", staging.stg_website_events) if kind == "web"
-                  else ("order_id", staging.stg_purchase_events))
+    k = KINDS[kind]
     if prev is not None:
-        mark = inc.high_water_mark(prev, "stream_processed_at_utc")
-        raw = inc.after_mark(raw, "_processed_at", mark)
-    batch = save(stage(raw, as_of))
-    touched = inc.touched_customers(batch, inc.replaced_rows(prev, batch, [key]))
-    if prev is not None:
-        touched = save(touched)   # read by every later step of the run
-    table = save(inc.upsert(prev, batch, [key])) if prev is not None else batch
-    return table, batch, touched
-
-
-def aggregate_increment(prev: DataFrame | None, stg: DataFrame, touched: DataFrame, as_of, *,
-                        kind: str, mode: str = "touched") -> DataFrame:
-    """Per-customer aggregate run (M3, M8)."""
-    agg, last_col, ts_col = ((activity.web_activity, "last_web_activity_timestamp",
-                              "event_timestamp_utc") if kind == "web" else
-                             (activity.purchase_activity, "last_purchase_timestamp",
-                              "order_purchase_timestamp_utc"))
+        raw = inc.after_mark(raw, "_processed_at", mark or EPOCH_TIME)
+    batch = store.save(k.stage(raw, as_of), f"{kind}-batch")
+    top = inc.high_water_mark(batch, "stream_processed_at_utc", mark or EPOCH_TIME)
+    mark = max(top, mark or EPOCH_TIME)
     if prev is None:
-        return agg(stg, as_of)
-    if mode == "touched":
-        fresh = agg(inc.restrict_to(stg, touched), as_of)
-        return inc.upsert(prev, fresh, ["customer_id"], delete_keys=touched)
-    if mode == "replace_batch":
-        mark = inc.high_water_mark(prev, last_col)
-        return inc.upsert(prev, agg(inc.after_mark(stg, ts_col, mark), as_of), ["customer_id"])
-    raise ValueError(f"unknown mode {mode!r}")
-
-
-def funnel_increment(prev: DataFrame | None, web: DataFrame, purchases: DataFrame,
-                     touched: DataFrame, as_of, mode: str = "touched") -> DataFrame:
-    """Funnel run (M4, M9)."""
+        parts = store.save_parts(batch, k, f"stg-{kind}")
+        return PartTable(store.spark, _ddl(batch), parts), batch.select("customer_id").distinct(), mark
+
+    keys = batch.select(k.key).distinct()
+    changed = {r._part for r in batch.select(k.part()).distinct().collect()}
+    if not k.part_fixed_by_key:  # a resent order may be in another part: look at keys and times only
+        where = prev.read().select(k.key, k.time)
+        changed |= {r._part for r in
+                    inc.replaced_rows(where, keys, [k.key]).select(k.part()).distinct().collect()}
+    old = prev.read(changed)
+    touched = store.save(inc.touched_customers(batch, inc.replaced_rows(old, keys, [k.key])),
+                         f"{kind}-touched")
+    if replace_only:
+        merged = inc.upsert(old, batch, [k.key])
+    else:
+        merged = staging.latest_per_key(old.unionByName(batch.select(*old.columns)), [k.key],
+                                        [k.time, "stream_processed_at_utc"])
+    new = store.save_parts(merged, k, f"stg-{kind}")
+    kept = {d: p for d, p in prev.parts.items() if d not in changed}
+    return PartTable(store.spark, prev.schema, kept | new), touched, mark
+
+
+def lifetime_increment(prev: DataFrame | None, stg: PartTable, touched: DataFrame, *, kind: str
+                       ) -> DataFrame:
+    """Absolute per-customer values (M3): touched customers over their whole history."""
+    k = KINDS[kind]
     if prev is None:
-        return marts.marketing_funnel(web, purchases, as_of)
-    if mode == "touched":
-        fresh = marts.marketing_funnel(inc.restrict_to(web, touched),
-                                       inc.restrict_to(purchases, touched), as_of)
-        return inc.upsert(prev, fresh, ["customer_id"], delete_keys=touched)
-    mark = inc.greatest_activity_mark(prev, ACTIVITY_TIMES)
-    fresh = inc.past_activity_mark(marts.marketing_funnel(web, purchases, as_of),
-                                   ACTIVITY_TIMES, mark)
-    return inc.upsert(prev, fresh, ["customer_id"])
+        return k.lifetime(stg.read())
+    fresh = k.lifetime(inc.restrict_to(stg.read(), touched, k.key))
+    return inc.upsert(prev, fresh, ["customer_id"], delete_keys=touched)
+
+
+def purchases_of_run(lifetime: DataFrame, stg: PartTable, as_of) -> DataFrame:
+    """Purchases per customer at ``as_of``; reads the staging parts of the trailing window."""
+    now = as_of if isinstance(as_of, dt.datetime) else dt.datetime.fromisoformat(str(as_of))
+    first = (now - dt.timedelta(days=RECENT_DAYS)).strftime("%Y-%m-%d")
+    return activity.purchases_at(lifetime, activity.recent_purchases(stg.since(first), as_of), as_of)
+
+
+def replace_batch(prev: DataFrame | None, stg: DataFrame, as_of, *, kind: str) -> DataFrame:
+    """The reference's aggregate run (M3, M8, T5, T6): rows past the global event-time
+    mark are aggregated alone and replace the customer's row."""
+    agg, last = ((activity.web_activity, ACTIVITY_TIMES[0]) if kind == "web" else
+                 (activity.purchase_activity, ACTIVITY_TIMES[1]))
+    if prev is None:
+        return agg(stg, as_of)
+    fresh = inc.after_mark(stg, KINDS[kind].time, inc.high_water_mark(prev, last))
+    return inc.upsert(prev, agg(fresh, as_of), ["customer_id"])
 
 
-def profiles_increment(prev: DataFrame | None, customers: DataFrame, funnel: DataFrame,
-                       touched: DataFrame, as_of, mode: str = "touched") -> DataFrame:
-    """Profile mart run (M4, M9).  ``touched`` also admits customers missing
-    from the target (T10); ``replace_batch`` keeps the reference's filter."""
+def past_mark(prev: DataFrame | None, fresh: DataFrame) -> DataFrame:
+    """The reference's mart run (M4, M9, P10): rows whose greatest activity is past that
+    of the whole target replace the target's."""
     if prev is None:
-        return marts.profiles_ml(customers, funnel, as_of)
-    if mode == "touched":
-        missing = customers.select("customer_id").join(prev.select("customer_id"),
-                                                       "customer_id", "left_anti")
-        keys = touched.select("customer_id").unionByName(missing).distinct()
-        fresh = marts.profiles_ml(inc.restrict_to(customers, keys), funnel, as_of)
-        return inc.upsert(prev, fresh, ["customer_id"])
+        return fresh
     mark = inc.greatest_activity_mark(prev, ACTIVITY_TIMES)
-    fresh = inc.past_activity_mark(marts.profiles_ml(customers, funnel, as_of),
-                                   ACTIVITY_TIMES, mark)
-    return inc.upsert(prev, fresh, ["customer_id"])
+    return inc.upsert(prev, inc.past_activity_mark(fresh, ACTIVITY_TIMES, mark), ["customer_id"])
 
 
 def run_models(prev: Models | None, raw_web: DataFrame, raw_purchases: DataFrame,
                profile_file: DataFrame, as_of, *, mode: str = "touched",
-               save: Saver = saved_table) -> Models:
+               store: Store | None = None) -> Models:
     """One scheduled batch run over all models in dependency order."""
+    if mode not in ("touched", "replace_batch"):
+        raise ValueError(f"unknown mode {mode!r}")
     prev = prev or Models()
-    stg_web, _, touched_web = stage_increment(prev.stg_web, raw_web, as_of, kind="web",
-                                              save=save)
-    stg_pur, _, touched_pur = stage_increment(prev.stg_purchases, raw_purchases, as_of,
-                                              kind="purchases", save=save)
-    web = save(aggregate_increment(prev.web_activity, stg_web, touched_web, as_of,
-                                   kind="web", mode=mode))
-    pur = save(aggregate_increment(prev.purchases, stg_pur, touched_pur, as_of,
-                                   kind="purchases", mode=mode))
-    touched = touched_web.unionByName(touched_pur).distinct()
-    funnel = save(funnel_increment(prev.funnel, web, pur, touched, as_of, mode))
+    store = store or Store(raw_web.sparkSession)
+    compat = mode == "replace_batch"
+    stg_web, touched_web, web_mark = stage_increment(
+        prev.stg_web, raw_web, as_of, kind="web", store=store, mark=prev.marks.get("web"),
+        replace_only=compat)
+    stg_pur, touched_pur, pur_mark = stage_increment(
+        prev.stg_purchases, raw_purchases, as_of, kind="purchases", store=store,
+        mark=prev.marks.get("purchases"), replace_only=compat)
     customers = staging.stg_customers(profile_file, as_of)
-    profiles = save(profiles_increment(prev.profiles, customers, funnel, touched, as_of, mode))
+    web_life = pur_life = None
+    if compat:
+        web = store.save(replace_batch(prev.web_activity, stg_web.read(), as_of, kind="web"),
+                         "web_activity")
+        pur = store.save(replace_batch(prev.purchases, stg_pur.read(), as_of, kind="purchases"),
+                         "purchases")
+        funnel = store.save(past_mark(prev.funnel, marts.marketing_funnel(web, pur, as_of)), "funnel")
+        profiles = past_mark(prev.profiles, marts.profiles_ml(customers, funnel, as_of))
+    else:
+        web_life = store.save(lifetime_increment(prev.web_lifetime, stg_web, touched_web, kind="web"),
+                              "web_lifetime")
+        pur_life = store.save(lifetime_increment(prev.purchase_lifetime, stg_pur, touched_pur,
+                                                 kind="purchases"), "purchase_lifetime")
+        web = store.save(activity.web_at(web_life, as_of), "web_activity")
+        pur = store.save(purchases_of_run(pur_life, stg_pur, as_of), "purchases")
+        # The marts hold values at the run's time, so all customers' rows are made anew from
+        # the aggregates; changed, new and removed profiles are in them as well.
+        funnel = store.save(marts.marketing_funnel(web, pur, as_of), "funnel")
+        profiles = marts.profiles_from_activity(customers, web, pur, as_of)
+    profiles = store.save(profiles, "profiles")
     # Summaries read the saved profiles; the snapshots are small and appended as they are.
-    country = marts.append_snapshot(prev.country_history, marts.country_summary(profiles, as_of))
-    monthly = marts.append_snapshot(prev.monthly_history, marts.monthly_summary(profiles, as_of))
-    return replace(prev, stg_web=stg_web, stg_purchases=stg_pur, web_activity=web,
-                   purchases=pur, funnel=funnel, profiles=profiles,
-                   country_history=country, monthly_history=monthly)
+    country = store.save(marts.country_summary(profiles, as_of), "country_snapshot")
+    monthly = store.save(marts.monthly_summary(profiles, as_of), "monthly_snapshot")
+    return replace(prev, stg_web=stg_web, stg_purchases=stg_pur, web_lifetime=web_life,
+                   purchase_lifetime=pur_life, web_activity=web, purchases=pur, funnel=funnel,
+                   profiles=profiles, marks={"web": web_mark, "purchases": pur_mark},
+                   country_history=marts.append_snapshot(prev.country_history, country),
+                   monthly_history=marts.append_snapshot(prev.monthly_history, monthly))

@@ -491,3 +491,53 @@ SELECT user_id, date_trunc('second', event_timestamp) AS event_timestamp, event_
   date_trunc('second', _processed_at) AS _processed_at,
   date_trunc('second', _processed_at) AS kafka_time, source_seq AS kafka_offset
 FROM raw_web0""")
+
+
+def scaler_sql(features, src: str = "features") -> str:
+    """Mean and sample deviation of every feature as rows."""
+    rows = [f"SELECT {ts(AS_OF)} AS run_date, '{f}' AS feature, round(avg({f}), 4) AS mean, "
+            f"round(stddev_samp({f}), 4) AS deviation FROM {src}" for f in features]
+    return "\nUNION ALL\n".join(rows)
+
+
+def replace_batch_ctes(split: str) -> list[tuple[str, str]]:
+    """Two runs (at ``split`` and AS_OF) of the reference's incremental models: aggregates
+    replaced by those of the rows past the event-time mark, marts by the rows past the
+    greatest activity time; every tenth customer is new in the second run."""
+    greatest = (f"greatest(coalesce({{0}}last_web_activity_timestamp{{1}}, {SENTINEL}), "
+                f"coalesce({{0}}last_purchase_timestamp{{1}}, {SENTINEL}))")
+    row, whole = greatest.format("", ""), greatest.format("max(", ")")
+
+    def after(name, target, fresh):
+        return (name, f"SELECT * FROM {target} WHERE customer_id NOT IN (SELECT customer_id FROM {fresh})\n"
+                      f"UNION ALL SELECT * FROM {fresh}")
+
+    def past_time(name, stg, time, target, last):
+        return (name, f"SELECT * FROM {stg} WHERE {time} > (SELECT coalesce(max({last}), "
+                      f"TIMESTAMP '1970-01-01 00:00:00') FROM {target})")
+
+    def past_activity(name, rows, target):
+        return (name, f"SELECT * FROM {rows} WHERE {row} > (SELECT {whole} FROM {target})")
+    return web_feed() + purchase_feed() + [
+        ("raw_customers", RAW_CUSTOMERS),
+        ("stg_web", stg_web_sql()), ("stg_purchases", stg_purchases_sql()),
+        ("stg_customers", stg_customers_sql()),
+        ("web_r1", f"SELECT * FROM raw_web WHERE _processed_at <= {ts(split)}"),
+        ("pur_r1", f"SELECT * FROM raw_purchases WHERE _processed_at <= {ts(split)}"),
+        ("stg_web1", stg_web_sql(split, "web_r1")), ("stg_pur1", stg_purchases_sql(split, "pur_r1")),
+        ("cust1", f"SELECT * FROM ({stg_customers_sql(split)}) c WHERE cast(customer_id AS bigint) % 10 <> 0"),
+        ("web1", web_activity_sql(split, "stg_web1")), ("pur1", purchase_activity_sql(split, "stg_pur1")),
+        ("funnel1", funnel_sql(split, "web1", "pur1")),
+        ("profiles1", profiles_sql(split, "cust1", "funnel1")),
+        past_time("web_batch", "stg_web", "event_timestamp_utc", "web1", "last_web_activity_timestamp"),
+        past_time("pur_batch", "stg_purchases", "order_purchase_timestamp_utc", "pur1",
+                  "last_purchase_timestamp"),
+        ("web2", web_activity_sql(AS_OF, "web_batch")), ("pur2", purchase_activity_sql(AS_OF, "pur_batch")),
+        after("web_after", "web1", "web2"), after("pur_after", "pur1", "pur2"),
+        ("funnel2", funnel_sql(AS_OF, "web_after", "pur_after")),
+        past_activity("funnel_fresh", "funnel2", "funnel1"),
+        after("funnel_after", "funnel1", "funnel_fresh"),
+        ("profiles2", profiles_sql(AS_OF, "stg_customers", "funnel_after")),
+        past_activity("profiles_fresh", "profiles2", "profiles1"),
+        after("profiles_after", "profiles1", "profiles_fresh"),
+    ]

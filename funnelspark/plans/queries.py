@@ -15,8 +15,8 @@ from funnelspark.functions.columns import as_timestamp
 from funnelspark.operators import activity, kpi, marts, reports, segments
 from funnelspark.plans import feeds, model_runs, segment_job
 from funnelspark.plans import oracle as O
-from funnelspark.session import ensure_session_defaults, materialize, scratch_path
-from funnelspark.schemas import PROFILE_FEATURES, REQUESTED_FEATURES
+from funnelspark.session import ensure_session_defaults, scratch_path
+from funnelspark.schemas import PROFILE_FEATURES, PURCHASE_EVENT_JSON, REQUESTED_FEATURES
 from funnelspark.sources import cdc, json_feed, lake, tables
 from funnelspark.streaming import kpi_stream
 
@@ -242,78 +242,133 @@ def q_stream_purchase_kpi(spark, sf_dir):
 SPLIT = "2024-01-16 00:00:00"
 
 
-def _two_staging_runs(raw, kind):
-    first, _, _ = model_runs.stage_increment(None, feeds.processed_until(raw, SPLIT), feeds.AS_OF,
-                                           kind=kind)
-    second, _, _ = model_runs.stage_increment(first, raw, feeds.AS_OF, kind=kind)
-    return second
+def _two_staging_runs(spark, first_raw, raw, kind):
+    store = model_runs.Store(spark)
+    first, _, mark = model_runs.stage_increment(None, first_raw, feeds.AS_OF, kind=kind, store=store)
+    second, _, _ = model_runs.stage_increment(first, raw, feeds.AS_OF, kind=kind, store=store, mark=mark)
+    return second.read()
 
 
 @register("q_upsert_events", O.with_ctes(_upto("stg_web"), "SELECT * FROM stg_web"))
 def q_upsert_events(spark, sf_dir):
     """Staged web events built in two incremental runs
-    (mark on ingestion time, delete+insert by event key) equal one full run."""
-    return _two_staging_runs(feeds.raw_web(spark, sf_dir), "web")
+    (mark on ingestion time, only the days of the batch's keys rewritten)
+    equal one full run."""
+    raw = feeds.raw_web(spark, sf_dir)
+    return _two_staging_runs(spark, feeds.processed_until(raw, SPLIT), raw, "web")
 
 
 @register("q_upsert_orders", O.with_ctes(_upto("stg_purchases"), "SELECT * FROM stg_purchases"))
 def q_upsert_orders(spark, sf_dir):
     """Staged purchases in two incremental runs."""
-    return _two_staging_runs(feeds.raw_purchases(spark, sf_dir), "purchases")
-
-
-def _two_activity_runs(spark, sf_dir, mode):
-    raw = feeds.raw_web(spark, sf_dir)
-    s1, _, t1 = model_runs.stage_increment(None, feeds.processed_until(raw, SPLIT), feeds.AS_OF,
-                                         kind="web")
-    a1 = materialize(model_runs.aggregate_increment(None, s1, t1, feeds.AS_OF, kind="web"))
-    s2, _, t2 = model_runs.stage_increment(s1, raw, feeds.AS_OF, kind="web")
-    return model_runs.aggregate_increment(a1, s2, t2, feeds.AS_OF, kind="web", mode=mode)
+    raw = feeds.raw_purchases(spark, sf_dir)
+    return _two_staging_runs(spark, feeds.processed_until(raw, SPLIT), raw, "purchases")
+
+
+@register("q_upsert_resent_orders", O.with_ctes(
+    O.purchase_feed() + [("with_resent", f"""
+SELECT * FROM raw_purchases UNION ALL
+SELECT * REPLACE (purchase_time - INTERVAL 1 DAY AS purchase_time, 'processing' AS order_status,
+  {O.ts(O.AS_OF)} + INTERVAL 1 DAY AS _processed_at)
+FROM raw_purchases0 WHERE cast(order_id AS bigint) % 7 = 0"""),
+                         ("stg", O.stg_purchases_sql(O.AS_OF, "with_resent"))], "SELECT * FROM stg"))
+def q_upsert_resent_orders(spark, sf_dir):
+    """Orders that are sent again in a later run with an older purchase time
+    don't replace the newer row that is stored."""
+    raw = feeds.raw_purchases(spark, sf_dir)
+    resent = feeds.raw_purchases(spark, sf_dir, redelivered=False) \
+        .where(F.col("order_id").cast("bigint") % 7 == 0) \
+        .withColumn("purchase_time", F.col("purchase_time") - F.expr("INTERVAL 1 DAY")) \
+        .withColumn("order_status", F.lit("processing")) \
+        .withColumn("_processed_at", as_timestamp(feeds.AS_OF) + F.expr("INTERVAL 1 DAY"))
+    return _two_staging_runs(spark, raw, raw.unionByName(resent), "purchases")
+
+
+def _two_model_runs(spark, sf_dir, mode="touched"):
+    """What had landed by SPLIT in a run at that time, the rest in a run at AS_OF; every
+    tenth customer joins the profile file only before the second run (T10)."""
+    raw_w, raw_p = feeds.raw_web(spark, sf_dir), feeds.raw_purchases(spark, sf_dir)
+    prof = tables.customer_profiles(spark, sf_dir)
+    early = prof.where(F.col("user_id").cast("bigint") % 10 != 0)
+    first = model_runs.run_models(None, feeds.processed_until(raw_w, SPLIT),
+                                  feeds.processed_until(raw_p, SPLIT), early, SPLIT, mode=mode)
+    return model_runs.run_models(first, raw_w, raw_p, prof, feeds.AS_OF, mode=mode)
+
+
+def _two_activity_runs(spark, raw, kind, mode="touched"):
+    """One kind's staging and aggregate in runs at SPLIT and at AS_OF."""
+    store = model_runs.Store(spark)
+    early = feeds.processed_until(raw, SPLIT)
+    s1, t1, mark = model_runs.stage_increment(None, early, SPLIT, kind=kind, store=store)
+    if mode == "replace_batch":
+        first = store.save(model_runs.replace_batch(None, s1.read(), SPLIT, kind=kind), "first")
+        s2, _, _ = model_runs.stage_increment(s1, raw, feeds.AS_OF, kind=kind, store=store, mark=mark,
+                                              replace_only=True)
+        return model_runs.replace_batch(first, s2.read(), feeds.AS_OF, kind=kind)
+    first = store.save(model_runs.lifetime_increment(None, s1, t1, kind=kind), "first")
+    s2, t2, _ = model_runs.stage_increment(s1, raw, feeds.AS_OF, kind=kind, store=store, mark=mark)
+    lifetime = model_runs.lifetime_increment(first, s2, t2, kind=kind)
+    if kind == "web":
+        return activity.web_at(lifetime, feeds.AS_OF)
+    return model_runs.purchases_of_run(lifetime, s2, feeds.AS_OF)
 
 
 @register("q_incremental_activity", O.with_ctes(_upto("web_act"), "SELECT * FROM web_act"))
 def q_incremental_activity(spark, sf_dir):
-    """M3, M8, M10 (default mode): touched customers re-aggregated over their
-    whole history; two runs equal one full run."""
-    return _two_activity_runs(spark, sf_dir, "touched")
+    """M3, M8, M10, A12 (default mode): touched customers re-aggregated over their
+    whole history; runs at two times equal one full run at the second."""
+    return _two_activity_runs(spark, feeds.raw_web(spark, sf_dir), "web")
+
+
+@register("q_incremental_purchases", O.with_ctes(_upto("pur_act"), "SELECT * FROM pur_act"))
+def q_incremental_purchases(spark, sf_dir):
+    """Purchases per customer after runs at two times, with the trailing
+    30 days of the second."""
+    return _two_activity_runs(spark, feeds.raw_purchases(spark, sf_dir), "purchases")
+
+
+@register("q_incremental_funnel", O.with_ctes(_upto("funnel"), "SELECT * FROM funnel"))
+def q_incremental_funnel(spark, sf_dir):
+    """The whole model chain run at two times; the funnel."""
+    return _two_model_runs(spark, sf_dir).funnel
+
+
+@register("q_incremental_profiles", O.with_ctes(_FULL, "SELECT * FROM profiles"))
+def q_incremental_profiles(spark, sf_dir):
+    """The profile mart after runs at two times; customers new in the
+    second are in it."""
+    return _two_model_runs(spark, sf_dir).profiles
 
 
-_REPLACE_SQL = O.with_ctes(_upto("stg_web") + [
-    ("raw_web_r1", f"SELECT * FROM raw_web WHERE _processed_at <= {O.ts(SPLIT)}"),
-    ("stg_web_r1", O.stg_web_sql(O.AS_OF, "raw_web_r1")),
-    ("act1", O.web_activity_sql(O.AS_OF, "stg_web_r1")),
-    ("batch2", "SELECT * FROM stg_web WHERE event_timestamp_utc > (SELECT coalesce("
-               "max(last_web_activity_timestamp), TIMESTAMP '1970-01-01 00:00:00') FROM act1)"),
-    ("act2", O.web_activity_sql(O.AS_OF, "batch2")),
-], "SELECT * FROM act1 WHERE customer_id NOT IN (SELECT customer_id FROM act2)\n"
-   "UNION ALL SELECT * FROM act2")
+# The reference's runs: only what is past the target's marks replaces rows.
+_REPLACED = O.replace_batch_ctes(SPLIT)
 
 
-@register("q_incremental_activity_replace", _REPLACE_SQL)
+@register("q_incremental_activity_replace", O.with_ctes(_REPLACED, "SELECT * FROM web_after"))
 def q_incremental_activity_replace(spark, sf_dir):
     """M3, M8, T5, T6 (compat mode): the second run aggregates only events past
     the global event-time mark and replaces those customers' rows."""
-    return _two_activity_runs(spark, sf_dir, "replace_batch")
+    return _two_activity_runs(spark, feeds.raw_web(spark, sf_dir), "web", "replace_batch")
 
 
-def _two_model_runs(spark, sf_dir):
-    raw_w, raw_p = feeds.raw_web(spark, sf_dir), feeds.raw_purchases(spark, sf_dir)
-    prof = tables.customer_profiles(spark, sf_dir)
-    first = model_runs.run_models(None, feeds.processed_until(raw_w, SPLIT),
-                                feeds.processed_until(raw_p, SPLIT), prof, feeds.AS_OF)
-    return model_runs.run_models(first, raw_w, raw_p, prof, feeds.AS_OF)
+@register("q_incremental_funnel_replace", O.with_ctes(_REPLACED, "SELECT * FROM funnel_after"))
+def q_incremental_funnel_replace(spark, sf_dir):
+    """M4, M9, P10, C12 (compat mode): funnel rows past the greatest activity time."""
+    return _two_model_runs(spark, sf_dir, "replace_batch").funnel
 
 
-@register("q_incremental_funnel", O.with_ctes(_upto("funnel"), "SELECT * FROM funnel"))
-def q_incremental_funnel(spark, sf_dir):
-    """The whole model chain run twice incrementally; the funnel."""
-    return _two_model_runs(spark, sf_dir).funnel
+@register("q_incremental_profiles_replace", O.with_ctes(_REPLACED, "SELECT * FROM profiles_after"))
+def q_incremental_profiles_replace(spark, sf_dir):
+    """M4, M9, P10, C12 (compat mode): profile rows past the greatest activity time."""
+    return _two_model_runs(spark, sf_dir, "replace_batch").profiles
 
 
-@register("q_incremental_profiles", O.with_ctes(_FULL, "SELECT * FROM profiles"))
-def q_incremental_profiles(spark, sf_dir):
-    """The profile mart after two incremental runs."""
-    return _two_model_runs(spark, sf_dir).profiles
+@register("q_distinct_sessions", O.with_ctes(
+    _upto("stg_web"), "SELECT customer_id, count(DISTINCT session_id) AS unique_sessions "
+    "FROM stg_web WHERE session_id IS NOT NULL GROUP BY customer_id"))
+def q_distinct_sessions(spark, sf_dir):
+    """Exact distinct sessions per customer, beside the counted rows."""
+    return activity.distinct_sessions(feeds.stg_web(spark, sf_dir))
 
 
 # An earlier full snapshot of the append-only summary.
@@ -372,19 +427,61 @@ def _clustering(spark, sf_dir) -> segment_job.SegmentTables:
     return t
 
 
-@register("q_clusters")
+@register("q_clusters", O.with_ctes(_FULL, f"""SELECT customer_id, {O.ts(O.AS_OF)} AS run_date,
+  true AS nearest_centroid, true AS labelled_by_spend FROM profiles"""))
 def q_clusters(spark, sf_dir):
-    """The segmentation job's assignment table
-    (PCA + k-means, labels ordered by mean spend).  Checked by invariants in
-    tests (no SQL equivalent)."""
-    return lake.read_table(spark, _clustering(spark, sf_dir).clusters)
-
-
-@register("q_cluster_monitor")
+    """The job's assignment table.  For every customer:
+    whether the stored cluster is the one whose centroid is nearest to the customer's
+    point (scaled and projected here from the saved model's numbers), and whether the
+    labels go by mean spend."""
+    t = _clustering(spark, sf_dir)
+    model = segments.load_model(spark, t.model)
+    scaler, pca, km = (model.pipeline.stages[i] for i in (1, 2, 3))
+    profiles = lake.read_table(spark, t.profiles)
+    frame = segments.feature_frame(profiles, list(model.features))
+    scaled = [(F.col(f) - F.lit(float(m))) / F.lit(float(d)) if d else F.lit(0.0)
+              for f, m, d in zip(model.features, scaler.mean.toArray(), scaler.std.toArray())]
+    axes = pca.pc.toArray()
+    point = [sum((c * F.lit(float(w)) for c, w in zip(scaled, axes[:, j])), F.lit(0.0))
+             for j in range(axes.shape[1])]
+    distance = [sum(((p - F.lit(float(x))) * (p - F.lit(float(x))) for p, x in zip(point, centre)), F.lit(0.0))
+                for centre in km.clusterCenters()]
+    own = F.element_at(F.array(*[distance[model.labels.index(c)] for c in range(len(distance))]),
+                       F.col("cluster") + 1)
+    clusters = lake.read_table(spark, t.clusters)
+    means = profiles.join(clusters, "customer_id").groupBy("cluster") \
+        .agg(F.avg(F.col("total_spend_usd").cast("double")).alias("m")).orderBy("cluster").collect()
+    ordered = all(x.m <= y.m for x, y in zip(means, means[1:]))
+    return clusters.join(frame, "customer_id").select(
+        "customer_id", "run_date", (own <= F.least(*distance) + 1e-9).alias("nearest_centroid"),
+        F.lit(ordered).alias("labelled_by_spend"))
+
+
+@register("q_cluster_monitor", O.with_ctes(
+    _FULL + [("features", O.features_sql(_FEATURES))], O.scaler_sql(_FEATURES)))
 def q_cluster_monitor(spark, sf_dir):
-    """The run log written by the job, read by the
-    monitor (scaler, PCA and k-means metrics, newest first)."""
-    return segments.monitor(segment_job.read_log(spark, _clustering(spark, sf_dir)))
+    """The scaler parameters that the monitor reads from
+    the run log which the job has written, as rows."""
+    log = segments.monitor(segment_job.read_log(spark, _clustering(spark, sf_dir)))
+    return segments.scaler_entries(log).select(
+        "run_date", "feature", F.round("mean", 4).alias("mean"), F.round("deviation", 4).alias("deviation"))
+
+
+@register("q_cluster_sizes", O.with_ctes(_FULL, "SELECT count(*) AS customers, true AS sizes_agree, "
+                                         "true AS variance_falls FROM profiles"))
+def q_cluster_sizes(spark, sf_dir):
+    """The logged k-means sizes and PCA variances against the stored
+    assignment: sizes as counted there, variance falling and at most one in all."""
+    t = _clustering(spark, sf_dir)
+    metrics = {r.step: r.message for r in segments.monitor(segment_job.read_log(spark, t)).collect()}
+    sizes = sorted(int(x) for x in metrics["kmeans_metrics"].split("sizes: ")[1].split(", "))
+    variance = [float(x) for x in metrics["pca_params"].split("explained_variance: ")[1].split(", ")]
+    falls = variance == sorted(variance, reverse=True) and sum(variance) <= 1.000001
+    counts = lake.read_table(spark, t.clusters).groupBy("cluster").count()
+    return counts.agg(
+        F.sum("count").cast("bigint").alias("customers"),
+        (F.sort_array(F.collect_list("count")) == F.array(*[F.lit(x).cast("bigint") for x in sizes]))
+        .alias("sizes_agree")).withColumn("variance_falls", F.lit(falls))
 
 
 @register("q_cluster_profile", O.with_ctes(
@@ -415,17 +512,14 @@ def rule_clusters(customers):
 
 
 def cluster_history(spark, sf_dir):
-    """Cluster profiles appended at each analysis run."""
-    parts = []
-    for t in RUN_TIMES:
+    """Cluster profiles appended at each analysis run to the history table, the last run
+    twice (a retry replaces its rows), and read back from it (S19, S20)."""
+    table = scratch_path(spark, "cluster-history")
+    for t in (*RUN_TIMES, RUN_TIMES[-1]):
         prof = feeds.profiles(spark, sf_dir, as_of=t, cutoff=t)
         clusters = rule_clusters(feeds.stg_customers(spark, sf_dir, as_of=t))
-        parts.append(segments.cluster_profile(prof, clusters, t))
-    hist = parts[0]
-    for p in parts[1:]:
-        hist = hist.unionByName(p)
-    # clusters x runs rows, read twice by the reports: materialize once.
-    return materialize(hist, "cluster-history")
+        lake.replace_run(spark, segments.cluster_profile(prof, clusters, t), table, "analysis_timestamp")
+    return lake.read_table(spark, table)
 
 
 @register("q_cluster_diffs", O.with_ctes(_HISTORY, O.diffs_sql(_METRICS)))
@@ -475,13 +569,42 @@ def q_stream_ingest_purchases(spark, sf_dir):
     feeds.purchase_json(spark, sf_dir, with_guests=True).write.text(feed)
     landed, rejects = scratch_path(spark, "raw-purchases"), scratch_path(spark, "rejects")
 
-    def parse(values):
-        return json_feed.land_purchases(json_feed.parse_purchase_records(values))
-
-    kpi_stream.run_ingest(kpi_stream.read_records(spark, feed), parse,
+    kpi_stream.run_ingest(kpi_stream.read_records(spark, feed), json_feed.parse_landed_purchases,
                           json_feed.split_purchases, landed, rejects,
                           scratch_path(spark, "ingest-ckpt"))
-    return spark.read.parquet(landed).drop("_processed_at", "batch_id")
+    return spark.read.parquet(landed).drop("_processed_at", "processed_date", "batch_id")
+
+
+@register("q_stream_ingest_web", O.with_ctes([("raw_web0", O.RAW_WEB0)], """
+SELECT user_id, date_trunc('millisecond', event_timestamp) AS event_timestamp, event_type, page_url,
+  product_id, session_id, device_type, search_query FROM raw_web0"""))
+def q_stream_ingest_web(spark, sf_dir):
+    """The web JSON feed through the stateless streaming ingest."""
+    feed, landed = scratch_path(spark, "web-ingest-feed"), scratch_path(spark, "raw-web")
+    feeds.web_json(spark, sf_dir).write.text(feed)
+    kpi_stream.run_ingest(kpi_stream.read_records(spark, feed), json_feed.parse_web_events,
+                          json_feed.split_web, landed, scratch_path(spark, "rejects"),
+                          scratch_path(spark, "ingest-ckpt"))
+    return spark.read.parquet(landed).drop("_processed_at", "processed_date", "batch_id")
+
+
+@register("q_amount_rejects", O.with_ctes(
+    [("products", O.PRODUCTS), ("raw_purchases0", O.RAW_PURCHASES0)], f"""
+SELECT order_id, user_id, purchase_time, 'total_amount is unreadable' AS reject_reason
+FROM raw_purchases0 WHERE payment_method = '{feeds.GUEST_PRIORITY}'"""))
+def q_amount_rejects(spark, sf_dir):
+    """Purchases whose amount is beyond the landing type are rejected with a
+    reason; none lands with a NULL amount."""
+    huge = F.concat(F.lit("1" + "0" * 20), F.col("total_amount").cast("string"))
+    records = feeds.purchase_records(spark, sf_dir).withColumn("total_amount", F.when(
+        F.col("payment_method") == feeds.GUEST_PRIORITY, huge)
+        .otherwise(F.col("total_amount").cast("string")))
+    # amounts as JSON numbers
+    values = json_feed.to_json_records(records, PURCHASE_EVENT_JSON.fieldNames()).withColumn(
+        "value", F.regexp_replace("value", '"total_amount":"([0-9.]+)"', '"total_amount":$1'))
+    _, rejects = json_feed.split_purchases(
+        json_feed.parse_landed_purchases(values, as_timestamp(feeds.AS_OF)))
+    return rejects.select("order_id", "user_id", "purchase_time", "reject_reason")
 
 
 @register("q_stream_cdc_web", O.ORACLE_CDC_WEB)

@@ -1,25 +1,30 @@
 """Model tables kept between scheduled runs (M10, M11 across processes).
 
-Each run writes its tables under ``<root>/run=<id>/<model>`` (new folders,
-nothing is overwritten while it may be read) and then a commit marker
-``<root>/_committed/run=<id>``.  Readers take the newest committed run, so a
-run that failed half-way is invisible and the next run starts from the last
-good one.  The append-only summaries keep one snapshot folder per run; their
-history is the union of the committed runs' snapshots.
+An attempt of a run writes its tables under ``<root>/run=<id>/<attempt>`` (new
+folders; nothing is ever overwritten) and publishes one manifest file in
+``<root>/_committed`` last, by an atomic rename.  The manifest names every
+table, part folder and high-water mark.  Readers take the newest manifest, so a
+run that failed half-way is invisible.
+
+A run at the time of the newest committed run replaces it: it starts from the
+run before and its manifest supersedes the old one when it is published, not
+earlier.  A run at an older time is refused.  ``expire`` deletes the tables
+that the newest manifests don't name.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-import os
+import json
+import uuid
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import SparkSession
 
-from funnelspark.plans.model_runs import Models
-from funnelspark.session import local_dir, path_exists
+from funnelspark.plans.model_runs import PartTable, Models, Store
+from funnelspark.session import delete_path, list_names, publish_text, read_text
 
-TABLES = ("stg_web", "stg_purchases", "web_activity", "purchases", "funnel", "profiles")
+TABLES = ("web_lifetime", "purchase_lifetime", "web_activity", "purchases", "funnel", "profiles")
+STAGED = ("stg_web", "stg_purchases")
 SNAPSHOTS = {"country_history": "country_snapshot", "monthly_history": "monthly_snapshot"}
 COMMITTED = "_committed"
 
@@ -29,75 +34,79 @@ def run_id(as_of) -> str:
     return t.strftime("%Y%m%dT%H%M%S")
 
 
-def _list_dirs(spark: SparkSession, path: str) -> list[str]:
-    try:
-        jvm = spark.sparkContext._jvm
-    except Exception:  # noqa: BLE001 - no JVM on this client: local paths only
-        p = local_dir(path)
-        return sorted(os.listdir(p)) if os.path.isdir(p) else []
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(hpath):
-        return []
-    return sorted(st.getPath().getName() for st in fs.listStatus(hpath) if st.isDirectory())
+def _manifests(spark: SparkSession, root: str) -> list[tuple[str, int]]:
+    """(run, attempt number) of every published manifest, oldest first."""
+    names = [n[:-5] for n in list_names(spark, f"{root}/{COMMITTED}") if n.endswith(".json")]
+    return sorted((n.rsplit("-", 1)[0], int(n.rsplit("-", 1)[1])) for n in names)
 
 
-def committed_runs(spark: SparkSession, root: str) -> list[str]:
-    names = _list_dirs(spark, f"{root}/{COMMITTED}")
-    return [n.split("=", 1)[1] for n in names if n.startswith("run=")]
+def _manifest(spark: SparkSession, root: str, run: str, attempt: int) -> dict:
+    return json.loads(read_text(spark, f"{root}/{COMMITTED}/{run}-{attempt:06d}.json"))
 
 
-class RunSaver:
-    """Saver for ``model_runs.run_models`` that writes each step's table inside
-    the run's own folder and remembers where, so the commit can point at those
-    tables instead of writing them a second time."""
+def committed_runs(spark: SparkSession, root: str) -> list[str]:
+    """Ids of the committed runs, oldest first."""
+    return sorted({r for r, _ in _manifests(spark, root)})
 
-    def __init__(self, spark: SparkSession, root: str, as_of):
-        self.spark, self.base, self.n = spark, f"{root}/run={run_id(as_of)}", 0
-        self.paths: dict[int, str] = {}
 
-    def __call__(self, df: DataFrame) -> DataFrame:
-        self.n += 1
-        path = f"{self.base}/step-{self.n:03d}"
-        df.write.mode("overwrite").parquet(path)
-        out = self.spark.read.parquet(path)
-        self.paths[id(out)] = path
-        return out
+def _current(spark: SparkSession, root: str, before: str | None) -> list[dict]:
+    """The valid manifest of each run (its last attempt), oldest first."""
+    last = {r: a for r, a in _manifests(spark, root) if before is None or r < before}
+    return [_manifest(spark, root, r, a) for r, a in sorted(last.items())]
 
 
-def load_models(spark: SparkSession, root: str) -> Models | None:
-    """Tables of the newest committed run (``None`` before the first run)."""
-    runs = committed_runs(spark, root)
+def load_models(spark: SparkSession, root: str, before=None) -> Models | None:
+    """Tables of the newest committed run (``None`` before the first run), or of the
+    newest one older than the time ``before``."""
+    runs = _current(spark, root, run_id(before) if before is not None else None)
     if not runs:
         return None
-    manifests = spark.read.json(f"{root}/{COMMITTED}/run={runs[-1]}").first().asDict()
-    tables = {n: spark.read.parquet(manifests[n]) for n in TABLES if manifests.get(n)}
-    hist = {k: spark.read.parquet(*[f"{root}/run={r}/{v}" for r in runs])
-            for k, v in SNAPSHOTS.items()}
-    return Models(**tables, **hist)
-
-
-def commit_models(spark: SparkSession, models: Models, root: str, as_of,
-                  saver: RunSaver | None = None) -> str:
-    """Write one run's snapshots (and any table not written yet), then its
-    commit marker naming where each model table is."""
-    rid = run_id(as_of)
-    base = f"{root}/run={rid}"
-    manifest = {"run": rid, "as_of": str(as_of)}
-    for n in TABLES:
-        df: DataFrame | None = getattr(models, n)
-        if df is None:
-            continue
-        path = saver.paths.get(id(df)) if saver is not None else None
-        if path is None:
-            path = f"{base}/{n}"
-            df.write.mode("overwrite").parquet(path)
-        manifest[n] = path
-    loaded = F.lit(str(as_of)).cast("timestamp")
-    for k, v in SNAPSHOTS.items():
-        getattr(models, k).filter(F.col("mart_loaded_at") == loaded) \
-            .write.mode("overwrite").parquet(f"{base}/{v}")
-    cols = list(manifest)
-    spark.createDataFrame([tuple(manifest[c] for c in cols)], ", ".join(f"`{c}` string" for c in cols)) \
-        .write.mode("overwrite").json(f"{root}/{COMMITTED}/run={rid}")
-    return rid
+    newest = runs[-1]
+    tables = {n: spark.read.parquet(p) for n, p in newest["tables"].items() if n in TABLES}
+    staged = {n: PartTable(spark, **newest["staged"][n]) for n in STAGED}
+    history = {k: spark.read.parquet(*[m["tables"][v] for m in runs]) for k, v in SNAPSHOTS.items()}
+    return Models(**tables, **staged, **history, marks=newest["marks"])
+
+
+def new_store(spark: SparkSession, root: str, as_of) -> Store:
+    """A store for one attempt of a run."""
+    return Store(spark, f"{root}/run={run_id(as_of)}/{uuid.uuid4().hex}")
+
+
+def check_time(spark: SparkSession, root: str, as_of) -> None:
+    runs = committed_runs(spark, root)
+    if runs and run_id(as_of) < runs[-1]:
+        raise ValueError(f"run {runs[-1]} is committed; an older run ({run_id(as_of)}) is refused")
+
+
+def commit_models(spark: SparkSession, models: Models, root: str, as_of, store: Store) -> str:
+    """Publish the manifest of an attempt whose tables ``store`` has written."""
+    run = run_id(as_of)
+    manifest = {
+        "run": run, "as_of": str(as_of), "marks": models.marks,
+        "tables": {n: store.paths[n] for n in (*TABLES, *SNAPSHOTS.values()) if n in store.paths},
+        "staged": {n: {"schema": getattr(models, n).schema, "parts": getattr(models, n).parts}
+                   for n in STAGED}}
+    attempt = 1 + max((a for r, a in _manifests(spark, root) if r == run), default=0)
+    publish_text(spark, f"{root}/{COMMITTED}/{run}-{attempt:06d}.json", json.dumps(manifest))
+    return run
+
+
+def expire(spark: SparkSession, root: str, keep: int = 3) -> list[str]:
+    """Delete the folders of attempts that none of the newest ``keep`` runs reads
+    (snapshots of all runs stay); returns what was deleted.  Not to be called while a
+    run is being written."""
+    runs = _current(spark, root, None)
+    used = {m["tables"][v] for m in runs for v in SNAPSHOTS.values()}
+    for m in runs[-keep:]:
+        used |= set(m["tables"].values())
+        used |= {p for s in m["staged"].values() for p in s["parts"].values()}
+    gone = []
+    for run in list_names(spark, root):
+        for attempt in list_names(spark, f"{root}/{run}") if run.startswith("run=") else ():
+            for table in list_names(spark, f"{root}/{run}/{attempt}"):
+                path = f"{root}/{run}/{attempt}/{table}"
+                if path not in used and not any(u.startswith(path + "/") for u in used):
+                    delete_path(spark, path)
+                    gone.append(path)
+    return gone

@@ -8,8 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
-# Money is decimal(10,2) end to end and decimal(20,2) for sums.
-MONEY = T.DecimalType(10, 2)
+# Money is decimal(20,2), as landed; an amount beyond that is rejected, never dropped.
+MONEY = T.DecimalType(20, 2)
 MONEY_SUM = T.DecimalType(20, 2)
 
 # ---------------------------------------------------------------------------
@@ -61,11 +61,22 @@ PROFILE_FEATURES = (
     "days_since_last_web_activity", "total_add_to_carts", "total_searches",
     "total_page_views", "total_product_views",
 )
+# Columns of the marketing funnel, in order.
+FUNNEL_COLUMNS = (
+    "customer_id", "total_web_events", "unique_pages_visited", "sessions",
+    "first_web_activity_timestamp", "last_web_activity_timestamp",
+    "days_since_last_web_activity", "total_page_views", "total_add_to_carts", "total_searches",
+    "total_product_views", "total_orders", "total_spend_usd", "avg_order_value_usd",
+    "first_purchase_timestamp", "last_purchase_timestamp", "days_since_last_purchase",
+    "orders_last_30_days", "spend_last_30_days_usd", "processing_orders", "shipped_orders",
+    "cancelled_orders", "returned_orders", "completed_orders", "num_products",
+)
 # Steps the monitor reads from the run log.
 METRIC_STEPS = ("scaler_params", "pca_params", "kmeans_metrics")
 
 # ---------------------------------------------------------------------------
-# Stream records (JSON)
+# Stream records (JSON).  Fixed values: field names of the streams, landing
+# tables, row images and logs below.
 # ---------------------------------------------------------------------------
 WEB_EVENT_JSON = T.StructType([
     T.StructField("user_id", T.StringType()),
@@ -93,14 +104,9 @@ PURCHASE_EVENT_JSON = T.StructType([
 # ---------------------------------------------------------------------------
 # Landing (raw) tables
 # ---------------------------------------------------------------------------
-RAW_WEB_COLUMNS = ("user_id", "event_timestamp", "event_type", "page_url", "product_id",
-                   "session_id", "device_type", "search_query", "_processed_at")
 RAW_WEB_NOT_NULL = ("user_id", "event_timestamp", "event_type", "session_id",
                     "device_type", "_processed_at")
 
-RAW_PURCHASE_COLUMNS = ("order_id", "user_id", "purchase_time", "total_amount", "product_ids",
-                        "payment_method", "shipping_address", "order_status", "currency",
-                        "_processed_at")
 RAW_PURCHASE_NOT_NULL = ("order_id", "user_id", "purchase_time", "_processed_at")
 
 # Change-data envelope: row images carry times as epoch integers.

@@ -80,8 +80,7 @@ def checkpoint_root(spark: SparkSession) -> str:
     root = (sc.getConf().get(_CHECKPOINT_CONF, None) if sc is not None
             else spark.conf.get(_CHECKPOINT_CONF, None))
     if not root:
-        master = sc.master if sc is not None else "local"
-        if not master.startswith("local"):
+        if sc is None or not sc.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a shared folder: a machine-local "
                                "folder cannot hold tables and checkpoints on a cluster")
         if _LOCAL_ROOT is None:
@@ -112,80 +111,56 @@ def materialize(df, name: str = "table"):
     return spark.read.parquet(path)
 
 
-def input_bytes(spark: SparkSession, paths) -> int:
-    """Total size of the files under ``paths`` (Hadoop content summary)."""
-    total = 0
+# ---------------------------------------------------------------- shared files
+def _file_system(spark: SparkSession, path: str):
+    """(file system, path object) through the cluster's Hadoop configuration.  A client
+    without a JVM can't see the cluster's files and must not look at its own."""
     try:
-        jvm = spark.sparkContext._jvm
-        conf = spark.sparkContext._jsc.hadoopConfiguration()
-    except Exception:  # noqa: BLE001 - no JVM on this client: local paths only
-        for p in paths:
-            for d, _, files in os.walk(local_dir(p)):
-                total += sum(os.path.getsize(os.path.join(d, f)) for f in files)
-        return total
-    for p in paths:
-        hpath = jvm.org.apache.hadoop.fs.Path(p)
-        fs = hpath.getFileSystem(conf)
-        if fs.exists(hpath):
-            total += fs.getContentSummary(hpath).getLength()
-    return total
-
-
-def size_shuffle_partitions(spark: SparkSession, paths, bytes_per_partition: int = 256 << 20,
-                            floor: int | None = None) -> int:
-    """Set ``spark.sql.shuffle.partitions`` from the input size so that each
-    shuffle partition holds about ``bytes_per_partition`` of input (AQE then
-    coalesces small ones and splits skewed ones).  Never below the cluster's
-    default parallelism."""
-    try:
-        default = spark.sparkContext.defaultParallelism
-    except Exception:  # noqa: BLE001
-        default = 8
-    n = max(floor or default, -(-input_bytes(spark, paths) // bytes_per_partition))
-    spark.conf.set("spark.sql.shuffle.partitions", str(n))
-    return n
+        jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    except Exception as e:  # noqa: BLE001
+        raise RuntimeError("this needs a session with a JVM (spark-submit or a local master)") from e
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    return hpath.getFileSystem(conf), hpath
 
 
-def is_local_path(path: str) -> bool:
-    return "://" not in path or path.startswith("file:")
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Existence check through the Hadoop file system (works for any scheme)."""
+    fs, hpath = _file_system(spark, path)
+    return bool(fs.exists(hpath))
 
 
-def local_dir(path: str) -> str:
-    return path[len("file:"):] if path.startswith("file:") else path
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder (none if it doesn't exist)."""
+    fs, hpath = _file_system(spark, path)
+    return sorted(st.getPath().getName() for st in fs.listStatus(hpath)) if fs.exists(hpath) else []
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    """Existence check through the Hadoop file system (works for any scheme)."""
-    try:
-        jvm = spark.sparkContext._jvm
-    except Exception:  # noqa: BLE001 - no JVM on this client: local paths only
-        return os.path.exists(local_dir(path))
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return bool(fs.exists(hpath))
+def delete_path(spark: SparkSession, path: str) -> None:
+    fs, hpath = _file_system(spark, path)
+    fs.delete(hpath, True)
 
 
-def path_age_days(spark: SparkSession, path: str, now_epoch_s: float) -> float | None:
-    """Age in days of a file or folder from its modification time, or None."""
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(hpath):
-        return None
-    modified_s = fs.getFileStatus(hpath).getModificationTime() / 1000.0
-    return (now_epoch_s - modified_s) / 86400.0
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small text file."""
+    return "\n".join(r.value for r in spark.read.text(path, wholetext=True).collect())
 
 
-def set_path_mtime(spark: SparkSession, path: str, epoch_s: float) -> None:
-    """Set a path's modification time (used to age a model in tests)."""
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    fs.setTimes(hpath, int(epoch_s * 1000), -1)
+def publish_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file so that it is there as a whole or not at all: it is written
+    beside the target and renamed.  An existing target is an error."""
+    fs, target = _file_system(spark, path)
+    temporary = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex}.tmp")
+    out = fs.create(temporary, False)
+    try:
+        out.write(bytearray(text.encode("utf-8")))
+    finally:
+        out.close()
+    if fs.exists(target) or not fs.rename(temporary, target):
+        fs.delete(temporary, False)
+        raise FileExistsError(path)
 
 
 __all__ = [
     "build_session", "ensure_session_defaults", "checkpoint_root", "scratch_path", "materialize",
-    "input_bytes", "size_shuffle_partitions",
-    "path_exists", "path_age_days", "set_path_mtime", "is_local_path", "local_dir",
+    "path_exists", "list_names", "delete_path", "read_text", "publish_text",
 ]

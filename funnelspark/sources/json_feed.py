@@ -38,9 +38,11 @@ def parse_once(parsed: Column) -> Column:
     return F.explode(F.array(parsed))
 
 
-def parse_records(values: DataFrame, schema: T.StructType, keep: list[str] | None = None
-                  ) -> DataFrame:
-    """Parse ``value`` with ``schema``; drop unparsable records; keep other columns listed."""
+def parse_records(values: DataFrame, schema: T.StructType, keep: list[str] | None = None,
+                  unread: str | None = None) -> DataFrame:
+    """Parse ``value`` with ``schema``; drop unparsable records; keep other columns listed.
+    ``unread`` names a field: the column ``unread_<field>`` then holds the text of a value
+    that doesn't fit the field's type."""
     with_corrupt = T.StructType(schema.fields + [T.StructField(CORRUPT, T.StringType())])
     # No explicit time format: the default parser reads any ISO-8601 time.
     parsed = F.from_json(F.col("value"), with_corrupt,
@@ -51,8 +53,11 @@ def parse_records(values: DataFrame, schema: T.StructType, keep: list[str] | Non
         cond = F.col(f"r.{f.name}").isNull()
         all_null = cond if all_null is None else (all_null & cond)
     garbage = F.col(f"r.{CORRUPT}").isNotNull() & all_null
+    extra = [] if unread is None else [
+        F.when(F.col(f"r.{CORRUPT}").isNotNull() & F.col(f"r.{unread}").isNull(),
+               F.get_json_object(f"r.{CORRUPT}", f"$.{unread}")).alias(f"unread_{unread}")]
     return rows.filter(~garbage).select(*[F.col(f"r.{f.name}") for f in schema.fields],
-                                        *(keep or []))
+                                        *extra, *(keep or []))
 
 
 def parse_web_events(values: DataFrame, processed_at: Column | None = None) -> DataFrame:
@@ -67,6 +72,16 @@ def parse_purchase_records(values: DataFrame) -> DataFrame:
     return parse_records(values, PURCHASE_EVENT_JSON)
 
 
+#: Text of an amount that doesn't fit the landing type.
+UNREAD_AMOUNT = "unread_total_amount"
+
+
+def parse_landed_purchases(values: DataFrame, processed_at: Column | None = None) -> DataFrame:
+    """Purchase JSON → landed rows that still show an amount that couldn't be read, so
+    that ``split_purchases`` rejects it instead of landing a NULL amount."""
+    return land_purchases(parse_records(values, PURCHASE_EVENT_JSON, unread="total_amount"), processed_at)
+
+
 def land_purchases(records: DataFrame, processed_at: Column | None = None) -> DataFrame:
     """Stream record → landed row: default purchase time, list as text,
     processing time (P2, T24: the default is applied before any watermark)."""
@@ -78,6 +93,7 @@ def land_purchases(records: DataFrame, processed_at: Column | None = None) -> Da
         array_as_text(F.col("product_ids")).alias("product_ids"),
         "payment_method", "shipping_address", "order_status", "currency",
         now.alias("_processed_at"),
+        *([F.col(UNREAD_AMOUNT)] if UNREAD_AMOUNT in records.columns else []),
     )
 
 
@@ -97,4 +113,10 @@ def split_web(df: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def split_purchases(df: DataFrame) -> tuple[DataFrame, DataFrame]:
-    return split_not_null(df, RAW_PURCHASE_NOT_NULL)
+    """As ``split_not_null``; an unread amount is a reason to reject as well."""
+    if UNREAD_AMOUNT not in df.columns:
+        return split_not_null(df, RAW_PURCHASE_NOT_NULL)
+    ok, bad = split_not_null(df.where(F.col(UNREAD_AMOUNT).isNull()).drop(UNREAD_AMOUNT),
+                             RAW_PURCHASE_NOT_NULL)
+    unread = df.where(F.col(UNREAD_AMOUNT).isNotNull()).drop(UNREAD_AMOUNT)
+    return ok, bad.unionByName(unread.withColumn("reject_reason", F.lit("total_amount is unreadable")))

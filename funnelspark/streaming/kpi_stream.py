@@ -20,12 +20,15 @@ from funnelspark.sources import json_feed
 
 
 def read_records(spark: SparkSession, path: str | None = None, *, kafka_servers: str | None = None,
-                 topic: str | None = None, max_files_per_trigger: int | None = None) -> DataFrame:
-    """Streaming DataFrame with a ``value`` text column (+ broker metadata for Kafka)."""
+                 topic: str | None = None, max_files_per_trigger: int | None = None,
+                 max_offsets_per_trigger: int | None = None) -> DataFrame:
+    """Streaming DataFrame with a ``value`` text column (+ broker metadata for Kafka).
+    The ``max_`` options bound a micro-batch, so a backlog is not taken at once."""
     if kafka_servers:
-        return (spark.readStream.format("kafka")
-                .option("kafka.bootstrap.servers", kafka_servers)
-                .option("subscribe", topic).option("startingOffsets", "earliest").load()
+        kafka = spark.readStream.format("kafka").option("kafka.bootstrap.servers", kafka_servers)
+        if max_offsets_per_trigger:
+            kafka = kafka.option("maxOffsetsPerTrigger", str(max_offsets_per_trigger))
+        return (kafka.option("subscribe", topic).option("startingOffsets", "earliest").load()
                 .select(F.col("value").cast("string").alias("value"), "timestamp", "offset"))
     reader = spark.readStream.format("text")
     if max_files_per_trigger:
@@ -85,19 +88,21 @@ def run_ingest(values: DataFrame, parse, split, sink_path: str, reject_path: str
     """Stateless raw ingest (X5, S5, S6, P17): parsed rows go to the landing
     table, rows with a NULL key to the reject table.
 
-    One query writes both outputs in ``foreachBatch``; each micro-batch
-    overwrites only its own ``batch_id`` partition, so a retried batch
-    replaces what its failed attempt wrote (exactly-once files).
+    One query writes both outputs in ``foreachBatch``, partitioned by processed
+    date, then micro-batch; each micro-batch overwrites only its own partitions,
+    so a retried batch replaces what its failed attempt wrote (exactly-once
+    files).  ``compact_day`` merges the micro-batches of a finished day.
     """
     parsed = parse(values)
 
     def write_batch(df: DataFrame, batch_id: int) -> None:
-        df = df.withColumn("batch_id", F.lit(batch_id)).persist()   # read by both writes
+        df = df.withColumn("processed_date", F.to_date("_processed_at")) \
+            .withColumn("batch_id", F.lit(batch_id)).persist()   # read by both writes
         try:
             ok, bad = split(df)
             for out, path in ((ok, sink_path), (bad, reject_path)):
                 (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-                 .partitionBy("batch_id").parquet(path))
+                 .partitionBy("processed_date", "batch_id").parquet(path))
         finally:
             df.unpersist()
 
@@ -112,3 +117,11 @@ def run_ingest(values: DataFrame, parse, split, sink_path: str, reject_path: str
             q.stop()
     if q.exception() is not None:
         raise q.exception()
+
+
+def compact_day(spark: SparkSession, sink_path: str, day: str, target: str) -> DataFrame:
+    """All micro-batches of a landed day written as one table to ``target`` (a new place)."""
+    rows = spark.read.parquet(sink_path).where(F.col("processed_date") == F.lit(day).cast("date"))
+    rows.drop("batch_id", "processed_date").repartitionByRange("user_id", "_processed_at") \
+        .sortWithinPartitions("user_id", "_processed_at").write.parquet(target)
+    return spark.read.parquet(target)

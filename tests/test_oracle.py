@@ -26,7 +26,7 @@ def test_entry_smoke(spark):
 
 def test_every_query_has_oracle_or_is_declared_rows_only():
     rows_only = set(QUERIES) - set(ORACLES)
-    assert rows_only == {"q_clusters", "q_cluster_monitor"}
+    assert rows_only == set()
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))

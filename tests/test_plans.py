@@ -1,5 +1,6 @@
 """Physical-plan properties the scale design relies on (checked on the small tables)."""
 
+import datetime as dt
 import re
 
 from funnelspark.operators import kpi
@@ -33,9 +34,9 @@ def test_funnel_join_adds_no_exchange_of_its_own(spark):
     p = plan(df)
     join = p.index("SortMergeJoin") if "SortMergeJoin" in p else None
     if join is not None:
-        # under the join: a sort straight on the final aggregate, no exchange between
-        below = p[join:].splitlines()[1:3]
-        assert "Sort" in below[0] and "HashAggregate" in below[1], below
+        # under the join: a sort and a projection of the final aggregate, no exchange between
+        below = p[join:].splitlines()[1:4]
+        assert "Sort" in below[0] and "Project" in below[1] and "HashAggregate" in below[2], below
 
 
 def test_exact_distincts_are_two_level_without_expand(spark):
@@ -63,3 +64,22 @@ def test_no_cross_join_or_cartesian_product_anywhere(spark):
                  "q_latest_window", "q_web_kpi_minute"):
         p = plan(queries()[name](spark, SF_SMALL))
         assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p, name
+
+
+def test_profile_mart_moves_no_activity_a_second_time(spark):
+    """With broadcast off: the customers and the two aggregates are shuffled once each."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        p = plan(feeds.profiles(spark, SF_SMALL))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "coalesce(w_customer_id" not in p and p.count("LeftOuter") == 3   # two joins, one in the feed
+    assert "FullOuter" not in p
+
+
+def test_trends_read_the_history_once_without_a_join(spark):
+    from funnelspark.operators import reports
+    hist = spark.createDataFrame([(0, 1.0, 2, dt.datetime(2024, 1, 1))],
+                                 "cluster int, avg_x double, rows_in_cluster bigint, analysis_timestamp timestamp")
+    p = plan(reports.cluster_trends(hist))
+    assert "Join" not in p and p.count("Window ") == 1
