@@ -1,7 +1,7 @@
 """Scheduled jobs, in the order the scheduler ran them (M11, K-pipeline).
 
     python -m funnelspark.plans.jobs batch   --web P --purchases P --profiles P \\
-        --root ROOT --as-of "2024-02-01 00:00:00" [--mode touched|replace_batch]
+        --root ROOT --as-of "2024-02-01 00:00:00" [--mode touched|replace_batch] [--keep N]
     python -m funnelspark.plans.jobs segment --root ROOT --tables TROOT --as-of ...
 
 ``batch`` applies one incremental run of all warehouse models to the newest
@@ -54,6 +54,8 @@ def main(argv: list[str] | None = None) -> None:
     for opt in ("--web", "--purchases", "--profiles", "--root", "--as-of"):
         b.add_argument(opt, required=True)
     b.add_argument("--mode", default="touched", choices=("touched", "replace_batch"))
+    b.add_argument("--keep", type=int, default=0,
+                   help="afterwards delete tables that the newest KEEP runs don't read")
     s = sub.add_parser("segment")
     for opt in ("--root", "--tables", "--as-of"):
         s.add_argument(opt, required=True)
@@ -61,6 +63,8 @@ def main(argv: list[str] | None = None) -> None:
     spark = build_session(app_name=f"funnelspark-{args.job}")
     if args.job == "batch":
         batch_job(spark, args.web, args.purchases, args.profiles, args.root, args.as_of, args.mode)
+        if args.keep:
+            warehouse.expire(spark, args.root, args.keep)
     else:
         segment_job_run(spark, args.root, args.tables, args.as_of)
 

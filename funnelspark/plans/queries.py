@@ -555,6 +555,14 @@ def q_export_reload(spark, sf_dir):
     return table
 
 
+@register("q_lake_preview", O.with_ctes(_FULL, "SELECT * FROM profiles ORDER BY customer_id LIMIT 5"))
+def q_lake_preview(spark, sf_dir):
+    """A look at the first rows of the lake table (a top-5 report)."""
+    table = lake.create_or_replace(spark, feeds.profiles(spark, sf_dir),
+                                   scratch_path(spark, "lake-profiles"), ["customer_id"])
+    return lake.preview(table, ["customer_id"])
+
+
 @register("q_stream_ingest_purchases", O.with_ctes(
     [("products", O.PRODUCTS), ("raw_purchases0", O.RAW_PURCHASES0)], f"""
 SELECT order_id, user_id, purchase_time, total_amount, product_ids, payment_method,

@@ -97,6 +97,6 @@ def load_and_count(spark: SparkSession, source_path: str, target: str) -> tuple[
     return table, table.count()
 
 
-def preview(df: DataFrame, n: int = 5) -> DataFrame:
-    """First rows for a look at a table (O4): a limit is the feature here."""
-    return df.limit(n)
+def preview(df: DataFrame, keys: Sequence[str], n: int = 5) -> DataFrame:
+    """First rows by key for a look at a table (O4): a limit is the feature here."""
+    return df.orderBy(*keys).limit(n)

@@ -96,7 +96,7 @@ def test_command_line_batch_and_segment(spark, tmp_dir):
     web, purchases, profiles = _landed(spark, tmp_dir, "2024-01-20 00:00:00")
     root, lake = f"{tmp_dir}/wh", f"{tmp_dir}/lake"
     jobs.main(["batch", "--web", web, "--purchases", purchases, "--profiles", profiles,
-               "--root", root, "--as-of", "2024-01-20 00:00:00"])
+               "--root", root, "--as-of", "2024-01-20 00:00:00", "--keep", "1"])
     assert warehouse.committed_runs(spark, root) == ["20240120T000000"]
     jobs.main(["segment", "--root", root, "--tables", lake, "--as-of", "2024-01-20 00:00:00"])
     from funnelspark.sources import lake as tables_of
