@@ -37,7 +37,7 @@ HASH_BITS = 20
 N_FEATURES = 2048
 #: Lengths of the word beginnings that are features beside the whole word.
 BEGINNINGS = (3, 4, 5, 6, 7, 8)
-PENALTY = 2e-4
+PENALTY = 2e-5
 #: Rows whose hash of the id falls in this fold (modulo 4) are not learned from.
 HELD_OUT_FOLD = 2
 
@@ -136,7 +136,7 @@ class SeverityModel:
 
 
 def fit_cumulative(rows, grades: np.ndarray, n_features: int, penalty: float,
-                   steps: int = 250) -> tuple[np.ndarray, np.ndarray]:
+                   steps: int = 800) -> tuple[np.ndarray, np.ndarray]:
     """(weights, thresholds) by full-batch Adam on the penalised likelihood."""
     where = np.repeat(np.arange(len(rows)), [len(i) for i, _ in rows])
     at = np.concatenate([i for i, _ in rows]) if len(rows) else np.zeros(0, np.int64)
