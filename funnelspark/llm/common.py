@@ -8,7 +8,8 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from funnelspark.session import ensure_session_defaults, materialize
+from funnelspark.session import (delete_path, ensure_session_defaults, materialize,
+                                 scratch_path)
 
 _PACKAGE_ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
@@ -25,6 +26,26 @@ def prepare(spark: SparkSession) -> None:
         env["PYTHONPATH"] = os.pathsep.join(paths)
 
 
+class Workspace:
+    """Tables of an operator's run in the shared folder, deleted by ``close`` once what is
+    made from them has been written."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.paths: list[str] = []
+
+    def save(self, df: DataFrame, name: str) -> DataFrame:
+        path = scratch_path(self.spark, name)
+        self.paths.append(path)
+        df.write.parquet(path)
+        return self.spark.read.parquet(path)
+
+    def close(self) -> None:
+        for path in self.paths:
+            delete_path(self.spark, path)
+        self.paths = []
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
@@ -107,5 +128,5 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-__all__ = ["prepare", "table", "map_batches", "text_bytes", "unused", "column_ddl", "columns_of", "materialize",
+__all__ = ["prepare", "Workspace", "table", "map_batches", "text_bytes", "unused", "column_ddl", "columns_of", "materialize",
            "RollingHash", "mix64"]

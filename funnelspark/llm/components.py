@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from funnelspark.llm.common import materialize
+from funnelspark.llm.common import Workspace
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
@@ -33,13 +33,14 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     return out.where("a <> b").distinct()
 
 
-def connected_components(edges: DataFrame) -> DataFrame:
+def connected_components(edges: DataFrame, work: Workspace | None = None) -> DataFrame:
     """(node, label) of every node of ``edges`` (a, b long): the smallest node it reaches."""
-    edges = materialize(edges.where("a <> b").select(F.greatest("a", "b").alias("a"),
-                                                     F.least("a", "b").alias("b")).distinct(), "edges")
+    work = work or Workspace(edges.sparkSession)
+    edges = work.save(edges.where("a <> b").select(F.greatest("a", "b").alias("a"),
+                                                   F.least("a", "b").alias("b")).distinct(), "edges")
     seen = None
     while True:
-        edges = materialize(_star(_star(edges, True), False), "edges")
+        edges = work.save(_star(_star(edges, True), False), "edges")
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if now == seen:
             break

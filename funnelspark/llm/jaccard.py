@@ -42,7 +42,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from funnelspark.llm.common import RollingHash, materialize, mix64, text_bytes
+from funnelspark.llm.common import RollingHash, Workspace, materialize, mix64, text_bytes
 from funnelspark.llm.components import connected_components
 
 SHINGLE_WORDS = 5
@@ -296,22 +296,23 @@ def _similar_size(a: str, b: str):
 
 def link_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id: the smallest doc_id reachable by links."""
+    work = Workspace(docs.sparkSession)
     given = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")) \
         .where("doc_id is not null")
-    passed = materialize(_sets(given), "jaccard-sets")
+    passed = work.save(_sets(given), "jaccard-sets")
     members = passed.where("doc_id is not null").select("doc_id", "n", "node").distinct()
     frequent = passed.where("doc_id is null").groupBy("h").agg(F.sum("c").alias("c")) \
         .orderBy(F.desc("c"), "h").limit(FREQUENT).select("h").collect()
     frequent = np.sort(np.array([r.h for r in frequent], np.int64).view(np.uint64))
 
     filed = _tokens(given, frequent).repartition("token").sortWithinPartitions("token", "n", "node")
-    shared = materialize(_shared(filed, "node", ["node", "n"]), "jaccard-shared")
+    shared = work.save(_shared(filed, "node", ["node", "n"]), "jaccard-shared")
 
     wanted = shared.select("node").distinct() \
         .join(members.groupBy("node").agg(F.min("doc_id").alias("doc_id")), "node")
     texts = given.join(wanted.hint("shuffle_hash"), "doc_id").select("node", "text")
-    texts = materialize(_of_node(texts), "jaccard-texts")
-    sketches = materialize(_sketches(texts), "jaccard-sketches")
+    texts = work.save(_of_node(texts), "jaccard-texts")
+    sketches = work.save(_sketches(texts), "jaccard-sketches")
 
     # First round: of the partners that a node meets as neighbours in its blocks, the two
     # whose sketches are nearest.
@@ -326,9 +327,9 @@ def link_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         .where(F.col("distance") * 9 <= F.col("n") + F.col("m"))
     best = near.groupBy("node", "kind").agg(F.min(F.struct("distance", "other")).alias("x")) \
         .select(F.greatest("node", "x.other").alias("a"), F.least("node", "x.other").alias("b")).distinct()
-    best = materialize(best, "jaccard-pairs")
-    links = materialize(_verify(best, texts), "jaccard-links")
-    labels = connected_components(links)
+    best = work.save(best, "jaccard-pairs")
+    links = work.save(_verify(best, texts), "jaccard-links")
+    labels = connected_components(links, work)
 
     # Second round: pairs that share a block and are still in different components.
     labelled = shared.select("token", "node", "n").join(
@@ -337,17 +338,17 @@ def link_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     apart = _shared(labelled.repartition("token").sortWithinPartitions("token", "label", "n", "node"),
                     "label", ["node"])
     open_tokens = apart.select("token").distinct()
-    rest = materialize(labelled.join(open_tokens, "token").join(sketches, "node"), "jaccard-open")
+    rest = work.save(labelled.join(open_tokens, "token").join(sketches, "node"), "jaccard-open")
     x, y = rest.alias("x"), rest.alias("y")
     pairs = x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.node") < F.col("y.node"))
                    & (F.col("x.label") != F.col("y.label")) & _similar_size("x.n", "y.n")
                    & (_distance("x.sketch", "y.sketch") * 9 <= F.col("x.n") + F.col("y.n"))) \
         .select(F.col("y.node").alias("a"), F.col("x.node").alias("b"),
                 F.col("y.label").alias("la"), F.col("x.label").alias("lb")).distinct()
-    tested = materialize(_verify(pairs.join(best, ["a", "b"], "left_anti"), texts, ["la", "lb"]),
+    tested = work.save(_verify(pairs.join(best, ["a", "b"], "left_anti"), texts, ["la", "lb"]),
                          "jaccard-links")
     # components of components
-    joined = connected_components(tested.select(F.col("la").alias("a"), F.col("lb").alias("b")))
+    joined = connected_components(tested.select(F.col("la").alias("a"), F.col("lb").alias("b")), work)
     every = labels.unionByName(tested.select(F.col("la").alias("node"), F.col("la").alias("label"))) \
         .unionByName(tested.select(F.col("lb").alias("node"), F.col("lb").alias("label"))).distinct()
     labels = every.join(joined.select(F.col("node").alias("label"), F.col("label").alias("top")),
@@ -357,9 +358,12 @@ def link_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     named = members.where("n > 0").join(labels, "node", "left") \
         .select("doc_id", "n", F.coalesce("label", "node").alias("label"))
     smallest = named.groupBy("label").agg(F.min("doc_id").alias("component_id"))
-    return named.join(smallest, "label").select("doc_id", F.col("n").alias("n_shingles"), "component_id") \
+    result = materialize(
+        named.join(smallest, "label").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
         .unionByName(members.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"),
-                                                   F.col("doc_id").alias("component_id")))
+                                                   F.col("doc_id").alias("component_id"))), "jaccard")
+    work.close()
+    return result
 
 
 def _of_node(texts: DataFrame) -> DataFrame:

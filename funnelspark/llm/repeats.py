@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from funnelspark.llm.common import RollingHash, materialize, mix64, text_bytes
+from funnelspark.llm.common import RollingHash, Workspace, materialize, mix64, text_bytes
 from funnelspark.llm.run_index import RunLengthIndex
 
 REPEAT_BYTES = 200
@@ -294,13 +294,14 @@ def _met_twice(strings: DataFrame) -> DataFrame:
     return strings.mapInArrow(run, "node long, start long, end long")
 
 
-def find_repeats(docs: DataFrame, index_contexts: int = INDEX_CONTEXTS) -> tuple[DataFrame, DataFrame]:
+def find_repeats(docs: DataFrame, work: Workspace, index_contexts: int = INDEX_CONTEXTS
+                 ) -> tuple[DataFrame, DataFrame]:
     """For documents (doc_id, text): (doc_id, node, n_bytes), and (node, starts, ends) of
     the stretches of texts that repeats cover (in any order, may overlap; a text that
-    several documents have isn't listed for that)."""
-    names = materialize(_names(docs), "repeat-names").distinct()
+    several documents have isn't listed for that).  Both read tables of ``work``."""
+    names = work.save(_names(docs), "repeat-names").distinct()
     rows = _anchor_rows(docs).repartition("gram").sortWithinPartitions("gram", "context", "node", "at")
-    grouped = materialize(_grouped(rows), "repeat-anchors")
+    grouped = work.save(_grouped(rows), "repeat-anchors")
 
     members = grouped.where("not equal").select("gram", "node", "at").distinct()
     large = members.groupBy("gram").count().where(F.col("count") > index_contexts) \
@@ -311,7 +312,7 @@ def find_repeats(docs: DataFrame, index_contexts: int = INDEX_CONTEXTS) -> tuple
     first = names.groupBy("node").agg(F.min("doc_id").alias("doc_id"))
     texts = docs.join(wanted.join(first, "node").hint("shuffle_hash"), "doc_id") \
         .select("node", "text", "wanted")
-    contexts = materialize(_contexts(texts), "repeat-contexts")
+    contexts = work.save(_contexts(texts), "repeat-contexts")
     by_index = _indexed(contexts.where("data is not null").repartition("gram")
                         .sortWithinPartitions("gram", "node", "start"))
     strings = contexts.where("data is null").select("gram", "node", "start").distinct() \
@@ -342,9 +343,11 @@ def repeat_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """doc_id, text, spans (start, end in bytes of the UTF-8 text) to remove."""
     given = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")) \
         .where("doc_id is not null")
-    names, spans = find_repeats(given, index_contexts)
+    work = Workspace(docs.sparkSession)
+    names, spans = find_repeats(given, work, index_contexts)
     copies = names.groupBy("node").agg((F.count("*") > 1).alias("copied"))
-    marks = names.join(copies, "node").join(spans, "node", "left")
+    marks = materialize(names.join(copies, "node").join(spans, "node", "left"), "repeat-marks")
+    work.close()
     id_type = given.schema["doc_id"].dataType.simpleString()
     joined = given.join(marks.hint("shuffle_hash"), "doc_id")
 
