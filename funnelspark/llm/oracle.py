@@ -60,3 +60,27 @@ SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles,
 FROM d LEFT JOIN n USING (doc_id) LEFT JOIN sets USING (doc_id) LEFT JOIN reps USING (set_key)
 LEFT JOIN comp ON comp.a = reps.rep
 """
+
+# Every 200-byte string by its digest (texts as hexadecimal, two digits a byte), those
+# that start twice, the stretches they cover, and the pieces between.
+REPEATS_SQL = r"""
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents WHERE doc_id IS NOT NULL),
+p AS (SELECT doc_id, i, md5(substr(h, 2 * i + 1, 400)) AS m
+      FROM (SELECT doc_id, h, unnest(range(0, len(h) // 2 - 199)) AS i FROM d WHERE len(h) >= 400)),
+twice AS (SELECT m FROM p GROUP BY m HAVING count(*) > 1),
+hit AS (SELECT doc_id, i, lag(i) OVER (PARTITION BY doc_id ORDER BY i) AS before
+        FROM p JOIN twice USING (m)),
+run AS (SELECT doc_id, i, sum(CASE WHEN before IS NULL OR i > before + 200 THEN 1 ELSE 0 END)
+          OVER (PARTITION BY doc_id ORDER BY i) AS run FROM hit),
+span AS (SELECT doc_id, run, min(i) AS s, max(i) + 200 AS e FROM run GROUP BY doc_id, run),
+gap AS (SELECT doc_id, s, coalesce(lag(e) OVER (PARTITION BY doc_id ORDER BY s), 0) AS from_at FROM span),
+piece AS (SELECT doc_id, s AS place, substr(h, 2 * from_at + 1, 2 * (s - from_at)) AS part FROM gap JOIN d USING (doc_id)
+          UNION ALL
+          SELECT doc_id, len(h) AS place, substr(h, 2 * coalesce(e, 0) + 1) AS part
+          FROM d LEFT JOIN (SELECT doc_id, max(e) AS e FROM span GROUP BY doc_id) USING (doc_id)),
+kept AS (SELECT doc_id, string_agg(part, '' ORDER BY place) AS k FROM piece GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(d.h) // 2 AS BIGINT) AS n_bytes,
+       CAST((len(d.h) - len(k)) // 2 AS BIGINT) AS n_removed,
+       CAST(coalesce(n, 0) AS BIGINT) AS n_spans, sha256(unhex(k)) AS kept_sha256
+FROM d JOIN kept USING (doc_id) LEFT JOIN (SELECT doc_id, count(*) AS n FROM span GROUP BY doc_id) USING (doc_id)
+"""

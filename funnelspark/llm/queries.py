@@ -6,15 +6,17 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers as tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-import public_tokenizers as tokenizers
+
 from funnelspark.llm import bpe, decontaminate, html_text, jaccard, neighbours, quality, repeats, secret_scan, token_counts, toxicity
 from funnelspark.llm.common import materialize, prepare, table
-from funnelspark.llm.oracle import DECONTAMINATION_SQL, JACCARD_SQL
+from funnelspark.llm.oracle import DECONTAMINATION_SQL, JACCARD_SQL, REPEATS_SQL
 
 Query = Callable[[SparkSession, str], DataFrame]
+
 #: Rank file of the public tokenizers.
 RANKS = "byte_bpe_multi_50k.tiktoken"
 
@@ -95,7 +97,7 @@ def op4_html_text(spark, sf_dir):
     return html_text.extract(table(spark, sf_dir, "pages"))
 
 
-@register("op7_repeats")
+@register("op7_repeats", REPEATS_SQL)
 def op7_repeats(spark, sf_dir):
     """Every byte of all documents under a 200-byte string that starts twice is removed."""
     return repeats.remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
