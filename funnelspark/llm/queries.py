@@ -10,8 +10,8 @@ import public_tokenizers as tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-
-from funnelspark.llm import bpe, decontaminate, html_text, jaccard, neighbours, quality, repeats, secret_scan, token_counts, toxicity
+from funnelspark.llm import (bpe, decontaminate, html_text, jaccard, neighbours, quality, repeats,
+                             secret_scan, token_counts, toxicity)
 from funnelspark.llm.common import materialize, prepare, table
 from funnelspark.llm.oracle import DECONTAMINATION_SQL, JACCARD_SQL, REPEATS_SQL
 
