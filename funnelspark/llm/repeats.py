@@ -36,6 +36,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -48,7 +49,7 @@ SIDE_BYTES = REPEAT_BYTES - GRAM_BYTES
 #: Largest number of contexts of one gram in an index (300 bytes each).
 INDEX_CONTEXTS = 20_000
 #: Context bytes that one index is built over (more only for a single gram).
-_INDEX_BYTES = 1 << 20
+_INDEX_BYTES = 1 << 19
 _GROUP_BYTES = 1 << 20
 #: Rows of an Arrow batch of single strings.
 _STRINGS = 50_000
@@ -145,17 +146,28 @@ def _anchor_rows(docs: DataFrame) -> DataFrame:
             found = anchors(raws)
             if not found:
                 continue
-            columns = [np.concatenate(c) for c in zip(*found)]
+            gram, context, at = (np.concatenate(c) for c in zip(*found))
+            node = np.repeat(np.array(nodes, np.int64), [len(f[0]) for f in found])
+            # From the third equal context on it is known that it is met twice, so the
+            # row needn't go where its gram's rows meet.
+            order = np.lexsort((context, gram))
+            fresh = np.ones(len(gram), bool)
+            fresh[1:] = (gram[order][1:] != gram[order][:-1]) | (context[order][1:] != context[order][:-1])
+            nth = np.arange(len(gram)) - np.maximum.accumulate(np.where(fresh, np.arange(len(gram)), 0))
+            known = np.zeros(len(gram), bool)
+            known[order] = nth >= 2
+            spread = mix64(node.view(np.uint64) + at.astype(np.uint64))
             yield pa.RecordBatch.from_pydict({
-                "gram": pa.array(columns[0].view(np.int64)),
-                "context": pa.array(columns[1].view(np.int64)),
-                "node": pa.array(np.repeat(np.array(nodes, np.int64), [len(f[0]) for f in found])),
-                "at": pa.array(columns[2])})
-    return docs.select("text").mapInArrow(run, "gram long, context long, node long, at long")
+                "meet": pa.array(np.where(known, spread, gram).view(np.int64)),
+                "known": pa.array(known),
+                "gram": pa.array(gram.view(np.int64)), "context": pa.array(context.view(np.int64)),
+                "node": pa.array(node), "at": pa.array(at)})
+    return docs.select("text").mapInArrow(
+        run, "meet long, known boolean, gram long, context long, node long, at long")
 
 
 def _grouped(rows: DataFrame) -> DataFrame:
-    """Rows sorted by all columns: those whose context is met twice
+    """Rows sorted by gram, context and place: those whose context is met twice
     (``equal``), and the first of each context of a gram with several contexts.
     Streams: of the gram at the end of a batch, its first row, two rows of its
     last context and the last row are carried on."""
@@ -164,6 +176,11 @@ def _grouped(rows: DataFrame) -> DataFrame:
     def run(batches):
         carried = [np.zeros(0, np.int64)] * 4
         for batch in batches:
+            sure = batch.filter(batch.column("known"))
+            if sure.num_rows:
+                yield pa.RecordBatch.from_pydict({"equal": sure.column("known")} | {
+                    n: sure.column(n) for n in ("gram", "node", "at")})
+            batch = batch.filter(pc.invert(batch.column("known")))
             if not batch.num_rows:
                 continue
             gram, context, node, at = (np.concatenate([c, batch.column(n).to_numpy()])
@@ -300,7 +317,7 @@ def find_repeats(docs: DataFrame, work: Workspace, index_contexts: int = INDEX_C
     the stretches of texts that repeats cover (in any order, may overlap; a text that
     several documents have isn't listed for that).  Both read tables of ``work``."""
     names = work.save(_names(docs), "repeat-names").distinct()
-    rows = _anchor_rows(docs).repartition("gram").sortWithinPartitions("gram", "context", "node", "at")
+    rows = _anchor_rows(docs).repartition("meet").sortWithinPartitions("gram", "context", "node", "at")
     grouped = work.save(_grouped(rows), "repeat-anchors")
 
     members = grouped.where("not equal").select("gram", "node", "at").distinct()

@@ -14,6 +14,8 @@ import numpy as np
 
 #: Symbols that fit into one 63-bit number (9 bits each).
 _PACKED = 7
+#: Suffix pairs compared at once.
+_COMPARED = 1 << 16
 
 
 class RunLengthIndex:
@@ -47,13 +49,14 @@ class RunLengthIndex:
             symbol = np.where(self.to_end[:n - i] >= i, self.text[i:], np.uint16(0)).astype(np.uint64)
             packed[:n - i] |= symbol << np.uint64(9 * (_PACKED - 1 - i))
         ended = self.to_end < _PACKED
-        order = np.lexsort((packed, self.group))  # stable: ties by place
+        order = np.lexsort((packed, self.group)).astype(np.int32)  # stable: ties by place
         g, p = self.group[order], packed[order]
         fresh = np.ones(n, bool)
         fresh[1:] = (g[1:] != g[:-1]) | (p[1:] != p[:-1]) | ended[order[1:]] | ended[order[:-1]]
-        first = np.maximum.accumulate(np.where(fresh, np.arange(n), 0))
-        rank = np.empty(n, np.int64)
-        rank[order] = first
+        places = np.arange(n, dtype=np.int32)
+        rank = np.empty(n, np.int32)
+        rank[order] = np.maximum.accumulate(np.where(fresh, places, 0))
+        del g, p, packed, ended
         width = _PACKED
         while True:
             several = ~fresh
@@ -62,14 +65,14 @@ class RunLengthIndex:
             if not len(slots):
                 return order
             at = order[slots]
-            key = rank[at] * np.int64(n) + rank[at + width]
+            key = rank[at].astype(np.int64) * n + rank[at + width]
             by = np.argsort(key, kind="stable")
             at, key = at[by], key[by]
             order[slots] = at
             new = np.ones(len(at), bool)
             new[1:] = key[1:] != key[:-1]
             fresh[slots] |= new
-            rank[at] = np.maximum.accumulate(np.where(fresh[slots], slots, 0))
+            rank[at] = np.maximum.accumulate(np.where(fresh[slots], places[slots], 0))
             width *= 2
 
     def _sample_runs(self) -> None:
@@ -82,8 +85,15 @@ class RunLengthIndex:
         self.heads = np.flatnonzero(head)
         self.runs = before[self.heads]
         self.head_prefix = np.zeros(len(self.heads), np.int64)
-        inner = self.heads[self.heads > 0]
-        a, b = order[inner], order[inner - 1]
+        inner = np.flatnonzero(self.heads > 0)
+        for start in range(0, len(inner), _COMPARED):
+            some = inner[start:start + _COMPARED]
+            at = self.heads[some]
+            self.head_prefix[some] = self._common_prefix(order[at].astype(np.int64),
+                                                         order[at - 1].astype(np.int64))
+
+    def _common_prefix(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Lengths of the common prefixes of suffixes, 0 for those of different groups."""
         most = np.where(self.group[a] == self.group[b], np.minimum(self.to_end[a], self.to_end[b]), 0)
         found = np.zeros(len(a), np.int64)
         open_ = np.flatnonzero(most > 0)
@@ -99,7 +109,7 @@ class RunLengthIndex:
             run = np.where(equal.all(1), step, np.argmin(equal, axis=1))
             found[open_] += run
             open_ = open_[(run == step) & (found[open_] < most[open_])]
-        self.head_prefix[self.heads > 0] = found
+        return found
 
     def matching_statistics(self) -> np.ndarray:
         """For each text position the length of its longest match that starts elsewhere
