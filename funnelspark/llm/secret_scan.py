@@ -29,7 +29,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from funnelspark.llm.common import columns_of
+from funnelspark.llm.common import columns_of, materialize
 
 CANDIDATE = r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}={0,2}"
 #: Characters of context that the neighbouring words are taken from.
@@ -138,7 +138,7 @@ def bounded(labelled: DataFrame, most: int = MAX_FINDINGS) -> DataFrame:
 def train(labelled: DataFrame, trees: int = TREES, depth: int = DEPTH, seed: int = 5) -> list | None:
     """The trees of a random forest as nested (feature, threshold, left, right), leaves as
     numbers; None if there are not findings of both kinds."""
-    rows = bounded(labelled).select("label", *FEATURES)
+    rows = materialize(bounded(labelled).select("label", *FEATURES), "secret-findings")
     if rows.select("label").distinct().count() < 2:
         return None
     vectors = VectorAssembler(inputCols=list(FEATURES), outputCol="features", handleInvalid="skip")
