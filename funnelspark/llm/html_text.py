@@ -6,8 +6,8 @@ simple tree matching.  A reference node whose text is the same in nearly all
 aligned pages is template; nodes with other text, and page parts without a
 counterpart, are varying slots.  The main slot is found by following the
 varying text from the root to the container that holds nearly all of it.  A
-page's text is that of the node aligned with the main slot, without template
-nodes and without the parts that a page marks as menus, headers, footers,
+page's text is that of the node aligned with the main slot, without the nodes
+that are aligned with template and have its text, and without the parts that a page marks as menus, headers, footers,
 sidebars, notices, adverts, forms, comments and the like; those marks (element
 names, roles, class and id words) also keep varying adverts from becoming
 content.
@@ -171,10 +171,11 @@ class Wrapper:
                     varying[id(pair[0])] += len(text)
         nodes = visible(self.reference)
         self.main = descend(self.reference, subtree_mass(nodes, varying)) if sum(varying.values()) else None
-        self.template = frozenset(
-            id(n) for n in nodes if texts[id(n)] and not n.children() and self._varies(varying)
+        #: Text of each template node; an aligned page node with other text is kept.
+        self.template = {
+            id(n): texts[id(n)] for n in nodes if texts[id(n)] and not n.children() and self._varies(varying)
             and met[id(n)] >= max(MIN_TEMPLATE_PAGES, TEMPLATE_SHARE * len(trees))
-            and same[id(n)] >= TEMPLATE_SHARE * met[id(n)])
+            and same[id(n)] >= TEMPLATE_SHARE * met[id(n)]}
 
     def _varies(self, varying) -> bool:
         """Whether most pages differ from the reference inside the main slot; if they
@@ -188,7 +189,8 @@ class Wrapper:
         main = next((b for a, b in pairs.values() if a is self.main), None) if self.main else None
         if main is None or not text_of(main):
             return text_of(main_by_itself(tree))
-        template = frozenset(i for i, (a, _) in pairs.items() if id(a) in self.template)
+        template = frozenset(i for i, (a, b) in pairs.items()
+                             if id(a) in self.template and text_of(b) == self.template[id(a)])
         inner = [n for n in visible(main) if n is not main and is_article(n)]
         if inner and not is_article(main):
             main = max(inner, key=lambda n: len(text_of(n)))

@@ -23,6 +23,18 @@ def test_wrapper_finds_the_slot_that_varies(spark):
     assert got[3].n_chars == len(got[3].text)
 
 
+def test_pages_without_the_template_paragraph_keep_their_own():
+    def body(i, share):
+        return (f"<div>Site</div><div><div>{share}<p>First of {i}</p><p>Second of {i}</p></div></div>"
+                "<div>All rights reserved</div>")
+    pages = [body(i, "" if i >= 37 else "<p>Share this story</p>") for i in range(40)]
+    pages[36] = body(36, "<p>Share this story<b> of 36</b></p>")
+    got = html_text.main_texts(pages)
+    want = [f"First of {i} Second of {i}" for i in range(40)]
+    want[36] = "Share this story of 36 " + want[36]
+    assert got == want
+
+
 def test_marked_articles(spark):
     text = ("<!doctype html><nav>menu</nav><article><h1>Head</h1><p><b>Bold<br>next<p>two <i>i</i>n"
             "<aside>side</aside><form>f</form><div class='cookie-notice'>c</div><ul><li>x<li>y</ul></article>"
