@@ -2,12 +2,13 @@
 
 Pages of one host (hot hosts in slices of about ``SLICE_PAGES`` pages) are
 parsed, and each tree is aligned with that of a reference page of the slice by
-simple tree matching.  A reference node whose text is the same in nearly all
-aligned pages is template; nodes with other text, and page parts without a
-counterpart, are varying slots.  The main slot is found by following the
+simple tree matching.  A reference node whose whole text, with that of the
+elements in it, is the same in nearly all aligned pages is template; nodes with
+other text, and page parts without a counterpart, are varying slots.  The main slot is found by following the
 varying text from the root to the container that holds nearly all of it.  A
 page's text is that of the node aligned with the main slot, without the nodes
-that are aligned with template and have its text, and without the parts that a page marks as menus, headers, footers,
+that are aligned with template and have its text (an inline element among text
+stays or goes with the element around it), and without the parts that a page marks as menus, headers, footers,
 sidebars, notices, adverts, forms, comments and the like; those marks (element
 names, roles, class and id words) also keep varying adverts from becoming
 content.
@@ -24,7 +25,7 @@ columns are ignored.
 from __future__ import annotations
 
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -152,18 +153,14 @@ class Wrapper:
         order = sorted(range(len(trees)), key=lambda i: (sum(1 for _ in trees[i].walk()), i))
         self.reference = trees[order[len(order) // 2]]
         self.maps = [match_trees(self.reference, t) for t in trees]
-        same, met = defaultdict(int), defaultdict(int)
         varying: dict[int, float] = defaultdict(float)
         texts = {id(n): n.own_text() for n in self.reference.walk()}
         for tree, pairs in zip(trees, self.maps):
             for node in visible(tree):
                 pair = pairs.get(id(node))
                 text = node.own_text()
-                if pair is not None:
-                    met[id(pair[0])] += 1
-                    if text == texts[id(pair[0])]:
-                        same[id(pair[0])] += 1
-                        continue
+                if pair is not None and text == texts[id(pair[0])]:
+                    continue
                 if text and not _in_link(node):
                     while pair is None:
                         node = node.parent
@@ -172,25 +169,39 @@ class Wrapper:
         nodes = visible(self.reference)
         self.main = descend(self.reference, subtree_mass(nodes, varying)) if sum(varying.values()) else None
         #: Text of each template node; an aligned page node with other text is kept.
-        self.template = {
-            id(n): texts[id(n)] for n in nodes if texts[id(n)] and not n.children() and self._varies(varying)
-            and met[id(n)] >= max(MIN_TEMPLATE_PAGES, TEMPLATE_SHARE * len(trees))
-            and same[id(n)] >= TEMPLATE_SHARE * met[id(n)]}
+        self.template = self._template(trees) if self._varies() else {}
 
-    def _varies(self, varying) -> bool:
+    def _template(self, trees: list[Node]) -> dict[int, str]:
+        """Nodes below the main slot whose whole text is the same in nearly all aligned pages."""
+        inside = {id(n) for n in visible(self.main) if n is not self.main}
+        found: dict[int, Counter] = defaultdict(Counter)
+        for tree, pairs in zip(trees, self.maps):
+            for node in visible(tree):
+                pair = pairs.get(id(node))
+                if pair is not None and id(pair[0]) in inside:
+                    found[id(pair[0])][text_of(node)] += 1
+        template = {}
+        for i, counts in found.items():
+            text, same = counts.most_common(1)[0]
+            met = counts.total()
+            if text and met >= max(MIN_TEMPLATE_PAGES, TEMPLATE_SHARE * len(trees)) \
+                    and same >= TEMPLATE_SHARE * met:
+                template[i] = text
+        return template
+
+    def _varies(self) -> bool:
         """Whether most pages differ from the reference inside the main slot; if they
         don't, they are copies and say nothing about the template."""
-        if not hasattr(self, "_main_varies"):
-            mains = {text_of(b) for pairs in self.maps for a, b in pairs.values() if a is self.main}
-            self._main_varies = self.main is not None and len(mains) * 2 > len(self.maps)
-        return self._main_varies
+        mains = {text_of(b) for pairs in self.maps for a, b in pairs.values() if a is self.main}
+        return self.main is not None and len(mains) * 2 > len(self.maps)
 
     def text(self, tree: Node, pairs: dict[int, tuple[Node, Node]]) -> str:
         main = next((b for a, b in pairs.values() if a is self.main), None) if self.main else None
         if main is None or not text_of(main):
             return text_of(main_by_itself(tree))
         template = frozenset(i for i, (a, b) in pairs.items()
-                             if id(a) in self.template and text_of(b) == self.template[id(a)])
+                             if id(a) in self.template and text_of(b) == self.template[id(a)]
+                             and (b.tag in BLOCK or not b.parent.own_text()))
         inner = [n for n in visible(main) if n is not main and is_article(n)]
         if inner and not is_article(main):
             main = max(inner, key=lambda n: len(text_of(n)))

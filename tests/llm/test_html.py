@@ -35,6 +35,17 @@ def test_pages_without_the_template_paragraph_keep_their_own():
     assert got == want
 
 
+def test_template_blocks_with_inline_children_are_left_out():
+    def body(i, name="here"):
+        return (f"<div>Site</div><div><div><p>Sign up for our <i>list</i> <a>{name}</a></p><p>First of {i}</p>"
+                f"<div><p>By <b>the desk</b></p><p>Call us</p></div><p>Seen <b>{i}</b></p></div></div>"
+                "<div>All rights reserved</div>")
+    pages = [body(i) for i in range(20)] + [body(20, "for 20")]
+    got = html_text.main_texts(pages)
+    assert got[:20] == [f"First of {i} Seen {i}" for i in range(20)]
+    assert got[20] == "Sign up for our list for 20 First of 20 Seen 20"
+
+
 def test_marked_articles(spark):
     text = ("<!doctype html><nav>menu</nav><article><h1>Head</h1><p><b>Bold<br>next<p>two <i>i</i>n"
             "<aside>side</aside><form>f</form><div class='cookie-notice'>c</div><ul><li>x<li>y</ul></article>"
