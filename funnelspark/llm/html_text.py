@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from funnelspark.llm.html_tree import BLOCK, RAW_TEXT, Node, match_trees, parse
+from funnelspark.llm.html_tree import BLOCK, RAW_TEXT, Matcher, Node, parse
 
 SLICE_PAGES = 400
 #: Hosts that are split may be broadcast up to this many (some 50 bytes each).
@@ -152,7 +152,8 @@ class Wrapper:
     def __init__(self, trees: list[Node]):
         order = sorted(range(len(trees)), key=lambda i: (sum(1 for _ in trees[i].walk()), i))
         self.reference = trees[order[len(order) // 2]]
-        self.maps = [match_trees(self.reference, t) for t in trees]
+        matcher = Matcher(self.reference)
+        self.maps = [matcher.match(t) for t in trees]
         varying: dict[int, float] = defaultdict(float)
         texts = {id(n): n.own_text() for n in self.reference.walk()}
         for tree, pairs in zip(trees, self.maps):

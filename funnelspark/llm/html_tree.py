@@ -5,6 +5,9 @@ from __future__ import annotations
 import html
 import re
 from collections.abc import Iterator
+from math import isqrt
+
+import numpy as np
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW_TEXT = frozenset("script style noscript template textarea title iframe svg xmp".split())
@@ -21,8 +24,8 @@ _CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "
 _SCOPE = frozenset("html body table ul ol dl select article section main div td th".split())
 #: Deeper elements become children of the element at this depth (no text is lost).
 MAX_DEPTH = 120
-#: Child lists whose product of lengths is larger are matched in order only.
-MAX_CELLS = 40_000
+#: So many weights are remembered at a time; more are computed anew.
+MAX_WEIGHTS = 500_000
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
@@ -125,85 +128,140 @@ def _implied_ends(at: Node, tag: str) -> Node:
 def match_trees(a: Node, b: Node) -> dict[int, tuple[Node, Node]]:
     """Simple tree matching: a maximal mapping that keeps order, depth and
     tags; ``id(node of b)`` -> (node of a, node of b)."""
-    weights: dict[tuple[int, int], tuple[int, list]] = {}
-    children: dict[int, list[Node]] = {}
+    return Matcher(a).match(b)
 
-    def kids(node):
-        got = children.get(id(node))
-        if got is None:
-            got = children[id(node)] = node.children()
-        return got
 
-    def weight(x, y):
-        if x.tag != y.tag:
+class Matcher:
+    """Matches trees with one reference tree.
+
+    Elements with equal tags all the way down share a shape, and weights are
+    those of pairs of shapes.  Two child lists of any length are paired by the
+    whole dynamic programme; of its table every k-th row is kept (k about the
+    root of their number) and the rows between are computed again on the way
+    back.
+    """
+
+    def __init__(self, reference: Node):
+        self.reference = reference
+        self.numbers: dict[tuple[str, tuple[int, ...]], int] = {}
+        #: Tag, shapes of the children and number of elements of each shape.
+        self.shapes: list[tuple[str, tuple[int, ...], int]] = []
+        self.weights: dict[tuple[int, int], int] = {}
+        self.of_reference = self._shapes_of(reference)
+
+    def match(self, tree: Node) -> dict[int, tuple[Node, Node]]:
+        of_tree = self._shapes_of(tree)
+        out: dict[int, tuple[Node, Node]] = {}
+        todo = [(self.reference, tree)] if self.reference.tag == tree.tag else []
+        while todo:
+            x, y = todo.pop()
+            out[id(y)] = (x, y)
+            (a, xs), (b, ys) = self.of_reference[id(x)], of_tree[id(y)]
+            if a == b:
+                todo.extend(zip(xs, ys))
+            elif xs and ys:
+                todo.extend((xs[i], ys[j]) for i, j in self._pairs(self.shapes[a][1], self.shapes[b][1]))
+        return out
+
+    def _shapes_of(self, root: Node) -> dict[int, tuple[int, list[Node]]]:
+        """Shape and children of each element."""
+        out: dict[int, tuple[int, list[Node]]] = {}
+        for node in reversed(list(root.walk())):
+            kids = node.children()
+            key = node.tag, tuple(out[id(k)][0] for k in kids)
+            number = self.numbers.get(key)
+            if number is None:
+                number = self.numbers[key] = len(self.shapes)
+                self.shapes.append((*key, 1 + sum(self.shapes[k][2] for k in key[1])))
+            out[id(node)] = number, kids
+        return out
+
+    def _weight(self, a: int, b: int) -> int:
+        """Most pairs that elements of two shapes can have."""
+        (x, xs, size), (y, ys, _) = self.shapes[a], self.shapes[b]
+        if x != y:
             return 0
-        xs, ys = kids(x), kids(y)
+        if a == b:
+            return size
         if not xs or not ys:
             return 1
-        got = weights.get((id(x), id(y)))
+        got = self.weights.get((a, b))
         if got is None:
-            got = weights[id(x), id(y)] = align(xs, ys)
-        return 1 + got[0]
-
-    def align(xs, ys):
-        """(weight, pairs) of the best order-keeping pairing of two child lists."""
-        first = 0
-        pairs, total = [], 0
-        # equal leaf tags at both ends always belong to a best pairing
-        while first < min(len(xs), len(ys)) and xs[first].tag == ys[first].tag \
-                and not kids(xs[first]) and not kids(ys[first]):
-            pairs.append((xs[first], ys[first]))
+            first, last = self._ends(xs, ys)
+            mx, my = xs[first:len(xs) - last], ys[first:len(ys) - last]
+            got = 1 + first + last
+            if mx and my:
+                row, weights_of = np.zeros(len(my) + 1, np.int64), self._rows(mx, my)
+                for x in mx:
+                    row = _next_row(row, weights_of(x))
+                got += int(row[-1])
+            if len(self.weights) >= MAX_WEIGHTS:
+                self.weights.clear()
+            self.weights[a, b] = got
+        return got
+
+    def _ends(self, xs: tuple[int, ...], ys: tuple[int, ...]) -> tuple[int, int]:
+        """How many equal leaf tags both lists begin and end with; they always belong to a
+        best pairing."""
+        most, first, last = min(len(xs), len(ys)), 0, 0
+        while first < most and xs[first] == ys[first] and not self.shapes[xs[first]][1]:
             first += 1
-        total += first
-        last = 0
-        while last < min(len(xs), len(ys)) - first and xs[-1 - last].tag == ys[-1 - last].tag \
-                and not kids(xs[-1 - last]) and not kids(ys[-1 - last]):
+        while last < most - first and xs[-1 - last] == ys[-1 - last] and not self.shapes[xs[-1 - last]][1]:
             last += 1
-            pairs.append((xs[-last], ys[-last]))
-        total += last
+        return first, last
+
+    def _rows(self, xs: tuple[int, ...], ys: tuple[int, ...]):
+        """Function from a shape of ``xs`` to its weights with all of ``ys``."""
+        distinct = list(dict.fromkeys(ys))
+        place = {y: j for j, y in enumerate(distinct)}
+        at = np.fromiter((place[y] for y in ys), np.int64, len(ys))
+        known: dict[int, np.ndarray] = {}
+
+        def weights_of(x):
+            got = known.get(x)
+            if got is None:
+                if len(known) * len(distinct) >= MAX_WEIGHTS:
+                    known.clear()
+                got = known[x] = np.fromiter((self._weight(x, y) for y in distinct), np.int64,
+                                             len(distinct))
+            return got[at]
+        return weights_of
+
+    def _pairs(self, xs: tuple[int, ...], ys: tuple[int, ...]) -> list[tuple[int, int]]:
+        """Places of the best order-keeping pairing of two child lists."""
+        first, last = self._ends(xs, ys)
+        out = [(i, i) for i in range(first)] + [(len(xs) - i, len(ys) - i) for i in range(1, last + 1)]
         mx, my = xs[first:len(xs) - last], ys[first:len(ys) - last]
         if not mx or not my:
-            return total, pairs
-        if len(mx) * len(my) > MAX_CELLS:
-            for x, y in zip(mx, my):
-                w = weight(x, y)
-                if w:
-                    total += w
-                    pairs.append((x, y))
-            return total, pairs
-        table = [[0] * (len(my) + 1)]
-        cells = []
-        for x in mx:
-            above, row, got = table[-1], [0], []
-            for j, y in enumerate(my):
-                w = weight(x, y)
-                got.append(w)
-                best = above[j] + w
-                if above[j + 1] > best:
-                    best = above[j + 1]
-                if row[j] > best:
-                    best = row[j]
-                row.append(best)
-            table.append(row)
-            cells.append(got)
+            return out
+        weights_of, step = self._rows(mx, my), isqrt(len(mx)) + 1
+        row, kept = np.zeros(len(my) + 1, np.int64), []
+        for i, x in enumerate(mx):
+            if i % step == 0:
+                kept.append(row)
+            row = _next_row(row, weights_of(x))
         i, j = len(mx), len(my)
         while i and j:
-            w = cells[i - 1][j - 1]
-            if w and table[i][j] == table[i - 1][j - 1] + w:
-                pairs.append((mx[i - 1], my[j - 1]))
-                i, j = i - 1, j - 1
-            elif table[i][j] == table[i - 1][j]:
-                i -= 1
-            else:
-                j -= 1
-        return total + table[-1][-1], pairs
-
-    out: dict[int, tuple[Node, Node]] = {}
-    todo = [(a, b)] if a.tag == b.tag else []
-    while todo:
-        x, y = todo.pop()
-        out[id(y)] = (x, y)
-        if kids(x) and kids(y):
-            weight(x, y)
-            todo.extend(weights[id(x), id(y)][1])
-    return out
+            start = (i - 1) // step * step
+            table, weights = [kept.pop()], []
+            for x in mx[start:i]:
+                weights.append(weights_of(x))
+                table.append(_next_row(table[-1], weights[-1]))
+            while i > start and j:
+                above, here = table[i - 1 - start], table[i - start][j]
+                w = weights[i - 1 - start][j - 1]
+                if w and here == above[j - 1] + w:
+                    out.append((first + i - 1, first + j - 1))
+                    i, j = i - 1, j - 1
+                elif here == above[j]:
+                    i -= 1
+                else:
+                    j -= 1
+        return out
+
+
+def _next_row(above: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """Row of the dynamic programme from the one above it."""
+    row = above.copy()
+    np.maximum(above[1:], above[:-1] + weights, out=row[1:])
+    return np.maximum.accumulate(row)

@@ -109,6 +109,28 @@ def test_matching_is_maximal_and_keeps_order():
         assert len(match_trees(a, b)) == brute_weight(a, b)
 
 
+def test_long_child_lists_are_matched_by_the_definition():
+    import random
+    rng = random.Random(7)
+
+    def blocks(n):
+        return "".join(rng.choice(["<p>a<b>b</b></p>", "<p><i>c</i><b>d</b></p>", "<div><p>e</p></div>", "<hr>",
+                                   "<ul><li>f<li>g<b>h</b></ul>"]) for _ in range(n))
+    a = blocks(230)
+    for b in (blocks(260), "<ul><li>new</ul>" + a, a + "<div><b>x</b></div>"):
+        x, y = parse(f"<div><b>s</b>{a}</div>"), parse(f"<div>{b}</div>")
+        assert len(match_trees(x, y)) == brute_weight(x, y)
+
+
+def test_template_behind_a_shift_of_a_long_page():
+    def body(i):
+        new = f"<ul><li>News <b>{i}</b></ul>" if i % 2 else ""
+        rows = "".join(f"<p>Text <b>{i}</b> of {k}</p>" for k in range(230))
+        return f"<div>Site</div><div><div>{new}{rows}<div><p>Call <b>us</b></p></div></div></div><div>All rights</div>"
+    for i, got in enumerate(html_text.main_texts([body(i) for i in range(12)])):
+        assert "Call" not in got and got.endswith(f"Text {i} of 229") and got.count("Text") == 230
+
+
 def test_tolerant_parsing():
     deep = "<div>" * 5000 + "deep" + "</div>" * 10
     assert html_text.text_of(parse(deep)) == "deep"
