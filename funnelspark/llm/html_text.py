@@ -10,7 +10,8 @@ page's text is that of the node aligned with the main slot, without the nodes
 that are aligned with template and have its text (an inline element among text
 stays or goes with the element around it), and without the parts that a page marks as menus, headers, footers,
 sidebars, notices, adverts, forms, comments and the like; those marks (element
-names, roles, class and id words) also keep varying adverts from becoming
+names, roles, and classes or ids that are such a word, perhaps with one of layout
+as in ``cookie-box``; not ids of headings) also keep varying adverts from becoming
 content.
 
 Where alignment says nothing (a single page, all pages equal, no counterpart),
@@ -54,6 +55,14 @@ _SKIPPED_WORDS = frozenset(
     "breadcrumbs sidebar sidebars aside widget widgets footer header masthead topbar share sharing "
     "sharebar social related recommended newsletter subscribe signup login popup modal overlay "
     "pagination pager skip hidden".split())
+#: Words of layout that may stand after a skipped word in a class or id, and before it in a class.
+_LAYOUT_AFTER = frozenset(
+    "box boxes bar block area wrap wrapper container list item items inner outer link links button buttons "
+    "icon icons panel unit slot row column form post posts zone holder region module left right top "
+    "bottom desktop mobile toggle".split())
+_LAYOUT_BEFORE = frozenset(
+    "site page main post entry article top bottom left right primary secondary global wp".split())
+_HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 _CONTAINERS = frozenset("#page html body div main article section center table tbody tr td".split())
 _NEVER_SKIPPED = frozenset("#page html body main article".split())
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
@@ -71,9 +80,20 @@ def skipped(node: Node) -> bool:
     if node.attribute("hidden") is not None or (node.attribute("aria-hidden") or "").lower() == "true" \
             or _HIDDEN.search(node.attribute("style") or ""):
         return True
-    names = f"{node.attribute('class') or ''} {node.attribute('id') or ''}"
-    names = re.sub(r"(?<=[a-z])(?=[A-Z])", " ", names).lower()
-    return any(w in _SKIPPED_WORDS for w in _CLASS_WORDS.findall(names))
+    name = "" if node.tag in _HEADINGS else node.attribute("id") or ""
+    return _marks(name) or any(_marks(c, _LAYOUT_BEFORE) for c in (node.attribute("class") or "").split())
+
+
+def _marks(name: str, before: frozenset[str] = frozenset()) -> bool:
+    """Whether a class or id consists of skipped words, but for words of layout around them;
+    other words make it the name of a section (``social-impact``)."""
+    words = _CLASS_WORDS.findall(re.sub(r"(?<=[a-z])(?=[A-Z])", " ", name).lower())
+    while words and words[-1] in _LAYOUT_AFTER:
+        words.pop()
+    first = 0
+    while first < len(words) and words[first] in before:
+        first += 1
+    return first < len(words) and all(w in _SKIPPED_WORDS for w in words[first:])
 
 
 def is_article(node: Node) -> bool:

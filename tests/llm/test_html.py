@@ -64,6 +64,17 @@ def test_marked_articles(spark):
     assert html_text.extract(spark.createDataFrame([], SCHEMA)).count() == 0
 
 
+def test_names_of_article_sections_are_no_marks():
+    text = ("<article><h2 id='social-impact'>Social</h2><section id='related-work'><p>Related</p></section>"
+            "<h2 id='reply-of-the-court'>Reply</h2><h3 id=share>Share</h3><p class='no-sidebar'>Aside</p>"
+            "<div class='box shareBar'>s</div><div id='cookie-box'>c</div><div class='post-comments-area'>r</div>"
+            "<div class='ad-3'>a</div><div class='related'>t</div><div id='newsletter-signup'>n</div></article>")
+    assert html_text.main_texts([text]) == ["Social Related Reply Share Aside"]
+    pages = [f"<div>Site</div><div class='has-sidebar'><div id=hidden-costs><p id='notice-{i}-of-death'>Hidden {i}</p>"
+             f"<div class=ads>buy {i}</div></div></div><div>All rights</div>" for i in range(12)]
+    assert html_text.main_texts(pages) == [f"Hidden {i}" for i in range(12)]
+
+
 def test_copies_and_large_hosts_in_slices(spark):
     same = page(1, "<p>the same article on every page</p>")
     pages = [(i, "http://copies.example/", same) for i in range(1000)]
