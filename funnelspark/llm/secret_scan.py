@@ -1,22 +1,26 @@
 """Secret scan with a random forest that removes false positives, all in
 DataFrame functions (no Python worker runs).
 
-Candidates are maximal runs of 16 or more key characters.  Each one is
-described by its length, character classes and transitions, how much of it
-words of the corpus dictionary cover, the path it stands in and its
-neighbouring words; a random forest trained from labelled findings decides.
+Candidates are values assigned to a credential name (any length and character),
+values after ``Bearer``, web tokens, and maximal runs of 16 or more key
+characters.  Each one is described by its length, character classes and
+transitions, how much of it words of the corpus dictionary cover, the path it
+stands in and its neighbouring words.  What needs no judgement to be a secret
+is one; of the others a random forest trained from labelled findings decides.
 The forest's trees are applied as column expressions inside each document's
 row, so nothing is exploded, shuffled or joined when scanning.
 
 Labelled findings come as a DataFrame; ``confident_findings`` gives those that
-need no judgement: quoted values assigned to a credential name (1), words
-without a digit and parts of addresses (0).  At most ``MAX_FINDINGS`` rows of
-each kind train the forest.
+need no judgement: values with digits assigned to a credential name, quoted or
+not, and keys of known kinds (1); words without a digit, parts of addresses,
+hashes, uuids and numbers without such a name, and words of prose, short numbers
+and variables after one (0).  At most ``MAX_FINDINGS`` rows of each kind train
+the forest.
 
 Defined cases: a null text has no candidates and stays null when redacted; a
 null path counts as empty; a document row gives one row whatever its id, so
 repeated documents and null ids are kept; without labelled findings of both
-kinds nothing is reported; ``scan`` replaces columns of its result's names,
+kinds only what needs no judgement is reported; ``scan`` replaces columns of its result's names,
 ``redact`` keeps every column whatever its name.
 """
 
@@ -31,7 +35,29 @@ from pyspark.sql import functions as F
 
 from funnelspark.llm.common import columns_of, materialize
 
-CANDIDATE = r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}={0,2}"
+#: A credential name and what stands between it and its value, but for a quote.
+ASSIGNMENT = (r"(?i:token|secret|passw|passphrase|pwd|api.?key|access.?key|auth(?!or(?!i[sz]ation))|credential"
+              r"|private.?key)[A-Za-z0-9_-]{0,24}[\"'`]?\s{0,3}(?::=|=>|={1,3}|:)\s{0,3}")
+BEARER = r"(?i:bearer)\s{1,3}"
+#: Assigned values of any length and character (to the closing quote, or else to the next space
+#: or quote), values after Bearer, web tokens of three parts, and runs of 16 or more key characters.
+CANDIDATE = (
+    r"(?<=[=:>\s\"'`])(?<=[=:>]\s{0,3}[\"'`]?)(?:"
+    + "".join(rf"(?<={ASSIGNMENT}{q})[^{q}\r\n]+(?={q})|" for q in "\"'`")
+    + rf"(?<={ASSIGNMENT}[\"'`]?)(?![=:]|(?i:bearer|basic)\s)[^\s\"'`]*[^\s\"'`.,;:)\]}}>])"
+    rf"|(?<=\s)(?<={BEARER})[^\s\"'`]*[^\s\"'`.,;:)\]}}>]"
+    r"|(?<![A-Za-z0-9+/_-])(?:eyJ[A-Za-z0-9_-]+\.eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]*"
+    r"|[A-Za-z0-9+/_-]{16,}={0,2})")
+#: Kinds of keys that show by themselves.
+KEY_KINDS = (r"^(?:A[KS]IA[0-9A-Z]{16}$|gh[pousr]_[A-Za-z0-9]{20}|github_pat_[A-Za-z0-9_]{20}|glpat-[A-Za-z0-9_-]{20}"
+             r"|xox[abprs]-[0-9A-Za-z-]{10}|[sr]k_(?:live|test)_[A-Za-z0-9]{16}|sk-(?=.*[0-9].*[0-9])[A-Za-z0-9_-]{20}"
+             r"|AIza[A-Za-z0-9_-]{30}|(?:npm|hf)_[A-Za-z0-9]{30}|eyJ[A-Za-z0-9_-]+\.eyJ)")
+#: Values that stand for another: variables, calls, blanks.
+REFERENCE = r"^(?:\$[{(]|\$[A-Za-z_]+$|\{\{|%\(|<[^>]*>?$|[xX*.]+$|(?i:null|none|nil|true|false|undefined)$)"
+CALL = r"^[A-Za-z_][A-Za-z0-9_.]*(?:[(\[]|\.[A-Za-z_])"
+HASH_UUID_NUMBER = (r"^(?:(?:[0-9a-f]{32}|[0-9a-f]{40}|[0-9a-f]{56}|[0-9a-f]{64}|[0-9a-f]{96}|[0-9a-f]{128})"
+                    r"|(?:[0-9A-F]{32}|[0-9A-F]{40}|[0-9A-F]{64})"
+                    r"|[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}|[0-9+/_-]+)$")
 #: Characters of context that the neighbouring words are taken from.
 LEFT_CONTEXT, RIGHT_CONTEXT = 48, 16
 CREDENTIAL_NAMES = r"(?i)(token|secret|passw|pwd|api.?key|access.?key|auth|credential|private.?key|bearer)"
@@ -45,7 +71,8 @@ PLACEHOLDER = "[secret]"
 
 FEATURES = ("n", "digits", "upper", "hexadecimal", "vowels", "distinct", "kind_changes",
             "case_changes", "consonant_runs", "covered", "named", "assigned", "quoted",
-            "address", "left_word", "path_secret", "path_example")
+            "address", "left_word", "path_secret", "path_example", "credential", "key_kind",
+            "reference", "symbols", "spaces", "spaced")
 
 
 def dictionary(docs: DataFrame, text_col: str = "text", size: int = DICTIONARY_WORDS) -> list[str]:
@@ -69,6 +96,7 @@ def describe(c: Column, left: Column, right: Column, path: Column, words: list[s
     by_length = sorted(words, key=lambda w: (-len(w), w))
     covered = (n - F.length(F.regexp_replace(F.lower(c), "|".join(by_length), ""))) / n \
         if by_length else F.lit(0.0)
+    quoted = F.regexp_like(left, F.lit(r"[\"'`]$")) & F.regexp_like(right, F.lit(r"^[\"'`]"))
     values = {
         "n": F.least(n, F.lit(128.0)),
         "digits": _share(c, "[0-9]"), "upper": _share(c, "[A-Z]"),
@@ -81,12 +109,18 @@ def describe(c: Column, left: Column, right: Column, path: Column, words: list[s
         "covered": covered,
         "named": _flag(F.regexp_like(left, F.lit(CREDENTIAL_NAMES))),
         "assigned": _flag(F.regexp_like(left, F.lit(r"[=:]\s*[\"'`]?$"))),
-        "quoted": _flag(F.regexp_like(left, F.lit(r"[\"'`]$")) & F.regexp_like(right, F.lit(r"^[\"'`]"))),
+        "quoted": _flag(quoted),
         "address": _flag(F.regexp_like(left, F.lit(r"(https?://|www\.|@)\S*$"))
                          | F.regexp_like(right, F.lit(r"^(@|\.[a-z]{2,})"))),
         "left_word": F.length(F.regexp_extract(left, r"([A-Za-z]*)[^A-Za-z]*$", 1)).cast("double"),
         "path_secret": _flag(F.regexp_like(path, F.lit(PATH_SECRET))),
         "path_example": _flag(F.regexp_like(path, F.lit(PATH_EXAMPLE))),
+        "credential": _flag(F.regexp_like(left, F.lit(rf"(?:{ASSIGNMENT}[\"'`]?|{BEARER})$"))),
+        "key_kind": _flag(F.regexp_like(c, F.lit(KEY_KINDS))),
+        "reference": _flag(F.regexp_like(c, F.lit(REFERENCE)) | (~quoted & F.regexp_like(c, F.lit(CALL)))),
+        "symbols": _share(c, r"[^A-Za-z0-9\s]"),
+        "spaces": _share(c, r"\s"),
+        "spaced": _flag(F.regexp_like(left, F.lit(r"\s$"))),
     }
     return F.struct(*[values[name].alias(name) for name in FEATURES])
 
@@ -99,7 +133,9 @@ def _pieces(docs: DataFrame, text_col: str) -> DataFrame:
 
 def _described(path: Column, words: list[str]) -> Column:
     """Array of feature structs, in the order of the candidates."""
-    left = lambda i: F.right(F.get("_between", i), F.lit(LEFT_CONTEXT))
+    # a long name before a value is a candidate itself
+    left = lambda i: F.right(F.concat(F.coalesce(F.get("_found", i - 1), F.lit("")),
+                                      F.get("_between", i)), F.lit(LEFT_CONTEXT))
     right = lambda i: F.left(F.get("_between", i + 1), F.lit(RIGHT_CONTEXT))
     return F.transform("_found", lambda c, i: describe(c, left(i), right(i), path, words))
 
@@ -117,12 +153,24 @@ def findings(docs: DataFrame, words: list[str], text_col: str = "text",
         .select(F.col("x.c").alias("secret"), "x.f.*")
 
 
+def _sure_secret(f) -> Column:
+    """Whether a candidate with features ``f(name)`` needs no judgement to be a secret."""
+    value = (f("reference") == 0) & (f("spaces") == 0)
+    return (f("path_example") == 0) & (
+        (f("key_kind") > 0)
+        | (value & (f("named") > 0) & (f("assigned") > 0) & (f("quoted") > 0) & (f("digits") > 0.05))
+        | (value & (f("credential") > 0) & (f("digits") > 0.05) & (f("n") >= 8)))
+
+
 def confident_findings(found: DataFrame) -> DataFrame:
     """The findings that need no judgement, with ``label``."""
-    sure = F.when((F.col("named") > 0) & (F.col("assigned") > 0) & (F.col("quoted") > 0)
-                  & (F.col("digits") > 0.05) & (F.col("path_example") == 0), 1.0) \
-        .when((F.col("digits") == 0) & (F.col("named") == 0), 0.0) \
-        .when((F.col("address") > 0) & (F.col("named") == 0), 0.0)
+    plain = (F.col("named") == 0) & (F.col("key_kind") == 0)
+    prose = (F.col("credential") > 0) & (F.col("quoted") == 0) & (
+        (F.col("reference") > 0) | F.regexp_like("secret", F.lit("^[0-9]{1,5}$"))
+        | ((F.col("spaced") > 0) & F.regexp_like("secret", F.lit("^[A-Za-z]+$"))))
+    sure = F.when(_sure_secret(F.col), 1.0).when(plain & (F.col("digits") == 0), 0.0) \
+        .when(plain & (F.col("address") > 0), 0.0) \
+        .when(plain & F.regexp_like("secret", F.lit(HASH_UUID_NUMBER)), 0.0).when(prose, 0.0)
     return found.withColumn("label", sure).where("label is not null")
 
 
@@ -180,10 +228,9 @@ def scan(docs: DataFrame, words: list[str], forest: list | None, text_col: str =
     and ``redacted`` (the text with each secret replaced)."""
     new = ("n_candidates", "findings", "redacted")
     rows = _pieces(docs.drop(*new), text_col)
-    if forest is None:
-        scored = F.transform("_found", lambda c: F.lit(0.0))
-    else:
-        scored = F.transform(_described(_path(docs, path_col), words), lambda f: votes(forest, f))
+    scored = F.transform(
+        _described(_path(docs, path_col), words),
+        lambda f: F.when(_sure_secret(f.getField), 1.0).otherwise(votes(forest, f) if forest else 0.0))
     rows = rows.withColumn("_votes", F.when(F.size("_found") > 0, scored))
     step = F.arrays_zip(F.col("_found").alias("c"), F.col("_between").alias("b"),
                         F.col("_votes").alias("v"))
