@@ -1,5 +1,7 @@
-"""Token counts that follow edits: each document keeps a segment tree over its
-pre-tokens and re-encodes only what an edit can have changed.
+"""Token counts that follow edits: an edited document gets a segment tree over
+its pre-tokens, and its edits re-encode only what they can have changed.  Other
+documents get a plain count.  Trees aren't kept between calls: each call counts
+every whole text once, and ``n_reencoded`` is the work of the edits only.
 
 A tree's leaves are runs of pre-tokens (``LEAF_TOKENS`` at most) with their
 length in characters and their token count; inner nodes hold the sums.  Edits
