@@ -84,3 +84,65 @@ SELECT d.doc_id, CAST(len(d.h) // 2 AS BIGINT) AS n_bytes,
        CAST(coalesce(n, 0) AS BIGINT) AS n_spans, sha256(unhex(k)) AS kept_sha256
 FROM d JOIN kept USING (doc_id) LEFT JOIN (SELECT doc_id, count(*) AS n FROM span GROUP BY doc_id) USING (doc_id)
 """
+
+# Terms of items and documents, weights from document frequencies, integer scores.
+LEXICAL_SQL = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents WHERE doc_id IS NOT NULL),
+lens AS (SELECT doc_id, CAST(len(w) AS BIGINT) AS n FROM d WHERE len(w) > 0),
+totals AS (SELECT count(*) AS nd, CAST(sum(n) AS BIGINT) AS l FROM lens),
+b AS (SELECT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark WHERE item_id IS NOT NULL),
+q AS (SELECT item_id, term, count(*) AS q FROM b GROUP BY item_id, term),
+terms AS (SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest(w) AS term FROM d)
+          WHERE term IN (SELECT term FROM q) GROUP BY doc_id, term),
+df AS (SELECT term, count(*) AS df FROM terms GROUP BY term),
+weights AS (SELECT term, CAST(floor(1000 * ln((2.0::DOUBLE * nd + 2) / (2.0::DOUBLE * df + 1))) AS BIGINT) AS w
+            FROM df, totals),
+m AS (SELECT doc_id, 75 + (25 * n * nd) // l AS m FROM lens, totals),
+scores AS (SELECT item_id, doc_id,
+                  CAST(sum(q * w * ((1000000000 * tf) // (1000 * tf + 12 * m))) AS BIGINT) AS score
+           FROM q JOIN terms USING (term) JOIN weights USING (term) JOIN m USING (doc_id)
+           GROUP BY item_id, doc_id)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank
+      FROM scores WHERE score > 0) WHERE rank <= 20
+"""
+
+# All scores of the anchors, the first five of the same label, the first five of others in
+# each window.
+HARD_NEGATIVES_SQL = r"""
+WITH e AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (CAST(label AS BIGINT) + 1) % 10 ELSE label END AS label,
+                  list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+           FROM embeddings
+           WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+             AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+p AS (SELECT a.vec_id AS anchor_id, r.vec_id AS id, a.label = r.label AS same,
+             CAST(list_sum(list_transform(list_zip(a.v, r.v), lambda z: z[1] * z[2])) AS BIGINT) AS score
+      FROM e a JOIN e r ON a.vec_id <> r.vec_id WHERE a.vec_id % 100 = 0),
+pos AS (SELECT anchor_id, id AS positive_id, score AS positive_score
+        FROM (SELECT *, row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) AS r
+              FROM p WHERE same) WHERE r <= 5),
+neg AS (SELECT pos.*, id AS negative_id, score AS negative_score,
+               row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id) AS rank
+        FROM pos JOIN p USING (anchor_id)
+        WHERE NOT same AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score
+FROM neg WHERE rank <= 5
+"""
+
+# Lines and their keys, keys of ten or more documents, the lines of other keys joined again.
+LINES_SQL = r"""
+WITH d AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents),
+x AS (SELECT doc_id, unnest(l) AS line, unnest(range(1, len(l) + 1)) AS p FROM d),
+k AS (SELECT doc_id, p, line, translate(regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM x),
+c AS (SELECT key FROM k WHERE length(key) >= 1 GROUP BY key HAVING count(DISTINCT doc_id) >= 10),
+kept AS (SELECT doc_id, count(*) AS n, string_agg(line, chr(10) ORDER BY p) AS t
+         FROM k WHERE key NOT IN (SELECT key FROM c) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(d.l) AS BIGINT) AS n_lines, CAST(len(d.l) - coalesce(kept.n, 0) AS BIGINT) AS n_dropped,
+       sha256(coalesce(kept.t, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)
+"""

@@ -10,10 +10,11 @@ import public_tokenizers as tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from funnelspark.llm import (bpe, decontaminate, html_text, jaccard, neighbours, quality, repeats,
-                             secret_scan, token_counts, toxicity)
+from funnelspark.llm import (bpe, decontaminate, hard_negatives, html_text, jaccard, lexical, line_dedup,
+                             neighbours, quality, repeats, secret_scan, token_counts, toxicity)
 from funnelspark.llm.common import materialize, prepare, table
-from funnelspark.llm.oracle import DECONTAMINATION_SQL, JACCARD_SQL, REPEATS_SQL
+from funnelspark.llm.oracle import (DECONTAMINATION_SQL, HARD_NEGATIVES_SQL, JACCARD_SQL, LEXICAL_SQL,
+                                    LINES_SQL, REPEATS_SQL)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -103,6 +104,25 @@ def op7_repeats(spark, sf_dir):
     return repeats.remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
 
 
+@register("op11_lexical_search", LEXICAL_SQL)
+def op11_lexical_search(spark, sf_dir):
+    """The 20 highest-scoring documents of every benchmark item."""
+    return lexical.rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@register("op12_hard_negatives", HARD_NEGATIVES_SQL)
+def op12_hard_negatives(spark, sf_dir):
+    """Rows of other labels that score almost as high as an anchor's nearest rows of its label."""
+    return hard_negatives.mine(table(spark, sf_dir, "embeddings"),
+                               label_col=hard_negatives.shifted_label())
+
+
+@register("op13_line_dedup", LINES_SQL)
+def op13_line_dedup(spark, sf_dir):
+    """All documents without the lines that ten or more documents hold."""
+    return line_dedup.line_report(table(spark, sf_dir, "documents"))
+
+
 QUERIES["pipeline"] = corpus_pipeline.run
 if corpus_pipeline.ORACLE_SQL is not None:
     ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
