@@ -299,24 +299,22 @@ def _two_activity_runs(spark, raw, kind, mode="touched"):
     """One kind's staging and aggregate in runs at SPLIT and at AS_OF."""
     store = model_runs.Store(spark)
     early = feeds.processed_until(raw, SPLIT)
-    s1, t1, mark = model_runs.stage_increment(None, early, SPLIT, kind=kind, store=store)
     if mode == "replace_batch":
+        s1, _, mark = model_runs.stage_increment(None, early, SPLIT, kind=kind, store=store)
         first = store.save(model_runs.replace_batch(None, s1.read(), SPLIT, kind=kind), "first")
         s2, _, _ = model_runs.stage_increment(s1, raw, feeds.AS_OF, kind=kind, store=store, mark=mark,
                                               replace_only=True)
         return model_runs.replace_batch(first, s2.read(), feeds.AS_OF, kind=kind)
-    first = store.save(model_runs.lifetime_increment(None, s1, t1, kind=kind), "first")
-    s2, t2, _ = model_runs.stage_increment(s1, raw, feeds.AS_OF, kind=kind, store=store, mark=mark)
-    lifetime = model_runs.lifetime_increment(first, s2, t2, kind=kind)
-    if kind == "web":
-        return activity.web_at(lifetime, feeds.AS_OF)
-    return model_runs.purchases_of_run(lifetime, s2, feeds.AS_OF)
+    first = model_runs.kind_increment(None, early, SPLIT, kind=kind, store=store)
+    second = model_runs.kind_increment(first, raw, feeds.AS_OF, kind=kind, store=store)
+    of_run = model_runs.web_of_run if kind == "web" else model_runs.purchases_of_run
+    return of_run(second, feeds.AS_OF)
 
 
 @register("q_incremental_activity", O.with_ctes(_upto("web_act"), "SELECT * FROM web_act"))
 def q_incremental_activity(spark, sf_dir):
-    """M3, M8, M10, A12 (default mode): touched customers re-aggregated over their
-    whole history; runs at two times equal one full run at the second."""
+    """M3, M8, M10, A12, A13 (default mode): the states of the batch's days made anew and
+    their difference added to the totals; runs at two times equal one full run at the second."""
     return _two_activity_runs(spark, feeds.raw_web(spark, sf_dir), "web")
 
 

@@ -3,7 +3,7 @@
 An attempt of a run writes its tables under ``<root>/run=<id>/<attempt>`` (new
 folders; nothing is ever overwritten) and publishes one manifest file in
 ``<root>/_committed`` last, by an atomic rename.  The manifest names every
-table, part folder and high-water mark.  Readers take the newest manifest, so a
+table, part folder, level, key filter and high-water mark.  Readers take the newest manifest, so a
 run that failed half-way is invisible.
 
 A run at the time of the newest committed run replaces it: it starts from the
@@ -17,14 +17,19 @@ from __future__ import annotations
 import datetime as dt
 import json
 import uuid
+from dataclasses import replace
 
 from pyspark.sql import SparkSession
 
-from funnelspark.plans.model_runs import PartTable, Models, Store
+from funnelspark.plans.key_index import PartFilter
+from funnelspark.plans.keyed_table import KeyedTable
+from funnelspark.plans.model_runs import KindRun, Models, PartTable, Store, with_marts
 from funnelspark.session import delete_path, list_names, publish_text, read_text
 
-TABLES = ("web_lifetime", "purchase_lifetime", "web_activity", "purchases", "funnel", "profiles")
-STAGED = ("stg_web", "stg_purchases")
+#: Marts that the reference's runs store; other runs derive them.
+TABLES = ("web_activity", "purchases", "funnel", "profiles")
+KIND_FIELDS = ("web", "orders")
+PART_TABLES, KEYED_TABLES = ("stg", "states", "page_states"), ("totals", "pages")
 SNAPSHOTS = {"country_history": "country_snapshot", "monthly_history": "monthly_snapshot"}
 COMMITTED = "_committed"
 
@@ -63,9 +68,41 @@ def load_models(spark: SparkSession, root: str, before=None) -> Models | None:
         return None
     newest = runs[-1]
     tables = {n: spark.read.parquet(p) for n, p in newest["tables"].items() if n in TABLES}
-    staged = {n: PartTable(spark, **newest["staged"][n]) for n in STAGED}
+    kinds = {n: _kind_run(spark, newest["kinds"][n]) for n in KIND_FIELDS}
     history = {k: spark.read.parquet(*[m["tables"][v] for m in runs]) for k, v in SNAPSHOTS.items()}
-    return Models(**tables, **staged, **history, marks=newest["marks"])
+    models = Models(**tables, **kinds, **history)
+    if newest["customers"] is None:
+        return models
+    customers = KeyedTable.from_manifest(spark, newest["customers"])
+    return with_marts(replace(models, customers=customers), newest["as_of"])
+
+
+def _kind_manifest(run: KindRun) -> dict:
+    parts = {n: getattr(run, n) for n in PART_TABLES}
+    keyed = {n: getattr(run, n) for n in KEYED_TABLES}
+    return {"mark": run.mark,
+            "parts": {n: {"schema": t.schema, "parts": t.parts,
+                          "index": {p: f.manifest() for p, f in t.index.items()}}
+                      for n, t in parts.items() if t is not None},
+            "keyed": {n: t.manifest() for n, t in keyed.items() if t is not None}}
+
+
+def _kind_run(spark: SparkSession, held: dict) -> KindRun:
+    parts = {n: PartTable(spark, t["schema"], t["parts"], {p: PartFilter(**f) for p, f in t["index"].items()})
+             for n, t in held["parts"].items()}
+    keyed = {n: KeyedTable.from_manifest(spark, t) for n, t in held["keyed"].items()}
+    return KindRun(mark=held["mark"], **parts, **keyed)
+
+
+def _paths(manifest: dict) -> set[str]:
+    """Every path that a manifest names."""
+    out = set(manifest["tables"].values())
+    keyed = [manifest["customers"]] if manifest["customers"] else []
+    for kind in manifest["kinds"].values():
+        for t in kind["parts"].values():
+            out |= set(t["parts"].values()) | {f["path"] for f in t["index"].values()}
+        keyed += kind["keyed"].values()
+    return out | {path for t in keyed for path, _ in t["levels"]}
 
 
 def new_store(spark: SparkSession, root: str, as_of) -> Store:
@@ -83,10 +120,10 @@ def commit_models(spark: SparkSession, models: Models, root: str, as_of, store:
     """Publish the manifest of an attempt whose tables ``store`` has written."""
     run = run_id(as_of)
     manifest = {
-        "run": run, "as_of": str(as_of), "marks": models.marks,
+        "run": run, "as_of": str(as_of),
         "tables": {n: store.paths[n] for n in (*TABLES, *SNAPSHOTS.values()) if n in store.paths},
-        "staged": {n: {"schema": getattr(models, n).schema, "parts": getattr(models, n).parts}
-                   for n in STAGED}}
+        "kinds": {n: _kind_manifest(getattr(models, n)) for n in KIND_FIELDS},
+        "customers": models.customers.manifest() if models.customers else None}
     attempt = 1 + max((a for r, a in _manifests(spark, root) if r == run), default=0)
     publish_text(spark, f"{root}/{COMMITTED}/{run}-{attempt:06d}.json", json.dumps(manifest))
     return run
@@ -99,8 +136,7 @@ def expire(spark: SparkSession, root: str, keep: int = 3) -> list[str]:
     runs = _current(spark, root, None)
     used = {m["tables"][v] for m in runs for v in SNAPSHOTS.values()}
     for m in runs[-keep:]:
-        used |= set(m["tables"].values())
-        used |= {p for s in m["staged"].values() for p in s["parts"].values()}
+        used |= _paths(m)
     gone = []
     for run in list_names(spark, root):
         for attempt in list_names(spark, f"{root}/{run}") if run.startswith("run=") else ():

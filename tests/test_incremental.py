@@ -55,12 +55,11 @@ def test_new_batch_for_known_customer_history_vs_replace(spark):
        "_processed_at timestamp")
     first = feeds.processed_until(raw, "2024-01-10 00:00:00")
     store = _store(spark)
-    s1, t1, mark = model_runs.stage_increment(None, first, AS_OF, kind="web", store=store)
-    life = store.save(model_runs.lifetime_increment(None, s1, t1, kind="web"), "life")
-    whole = store.save(model_runs.replace_batch(None, s1.read(), AS_OF, kind="web"), "whole")
-    s2, t2, _ = model_runs.stage_increment(s1, raw, AS_OF, kind="web", store=store, mark=mark)
-    kept = model_runs.lifetime_increment(life, s2, t2, kind="web").collect()
-    replaced = model_runs.replace_batch(whole, s2.read(), AS_OF, kind="web").collect()
+    one = model_runs.kind_increment(None, first, AS_OF, kind="web", store=store)
+    whole = store.save(model_runs.replace_batch(None, one.stg.read(), AS_OF, kind="web"), "whole")
+    two = model_runs.kind_increment(one, raw, AS_OF, kind="web", store=store)
+    kept = model_runs.web_of_run(two, AS_OF).collect()
+    replaced = model_runs.replace_batch(whole, two.stg.read(), AS_OF, kind="web").collect()
     assert kept[0]["total_web_events"] == 3 and kept[0]["unique_pages_visited"] == 2
     assert replaced[0]["total_web_events"] == 1 and replaced[0]["total_searches"] == 1
 
@@ -129,10 +128,9 @@ def test_customers_without_an_id_stay_a_group(spark):
     raw = spark.createDataFrame([_order("o1", None, 2, "completed", 3)], PURCHASES)
     more = raw.unionByName(spark.createDataFrame([_order("o2", None, 4, "completed", 5)], PURCHASES))
     store = _store(spark)
-    s1, t1, mark = model_runs.stage_increment(None, raw, AS_OF, kind="purchases", store=store)
-    life = store.save(model_runs.lifetime_increment(None, s1, t1, kind="purchases"), "life")
-    s2, t2, _ = model_runs.stage_increment(s1, more, AS_OF, kind="purchases", store=store, mark=mark)
-    out = model_runs.purchases_of_run(model_runs.lifetime_increment(life, s2, t2, kind="purchases"), s2, AS_OF)
+    one = model_runs.kind_increment(None, raw, AS_OF, kind="purchases", store=store)
+    two = model_runs.kind_increment(one, more, AS_OF, kind="purchases", store=store)
+    out = model_runs.purchases_of_run(two, AS_OF)
     assert [(r.customer_id, r.total_orders, r.orders_last_30_days) for r in out.collect()] == [(None, 2, 2)]
 
 

@@ -59,7 +59,7 @@ def test_runs_through_the_store_equal_a_full_run(spark, tmp_dir):
     assert spark.read.parquet(t.history).count() == 3
 
 
-@pytest.mark.parametrize("step", ["stg-purchases", "web_lifetime", "profiles"])
+@pytest.mark.parametrize("step", ["stg-purchases", "web-changed", "country_snapshot"])
 def test_a_crash_after_any_step_leaves_the_committed_tables(spark, tmp_dir, monkeypatch, step):
     root, early = f"{tmp_dir}/warehouse", "2024-01-16 00:00:00"
     jobs.batch_job(spark, *_landed(spark, tmp_dir, early), root, early)
