@@ -17,11 +17,16 @@ documents link when ``100 |A & B| >= 80 |A | B|``; then at most
   there can be similar enough.
 * *Verify.*  First each document is compared with the two partners, of those next
   to it in its blocks, whose sketches are nearest, and the confirmed links are
-  contracted to components.  Pairs of one block that
-  are still in different components are then all tested: by the Hamming
-  distance of 1024-bit parity sketches inside the join, and by exact
+  contracted to components.  Then, in rounds while links between components are
+  found, every document of a block whose documents are in several components is
+  compared with the document of another component that most links were confirmed
+  for, and each component with its neighbours in the block: a linear number of
+  pairs for each round.  A group of near copies is one component after a few rounds.
+  Pairs of one block that are still in different components are then all tested: by
+  the Hamming distance of parity sketches inside the join, and by exact
   intersection after it.  So no link between components is lost and the pairs
-  within a group of copies are never listed.
+  within a group of copies are never listed.  A sketch has 2 to 4 bits for each
+  shingle (1,024 at least); the longer one of two is folded.
 
 Documents of equal sets form one node from the start.  Sets and blocks are
 identified by 64-bit hashes; for sets of 64 or more shingles the blocks suffice
@@ -39,7 +44,7 @@ from collections.abc import Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from funnelspark.llm.common import RollingHash, Workspace, materialize, mix64, text_bytes
@@ -50,7 +55,9 @@ SHINGLE_WORDS = 5
 LINK = (80, 100)
 #: Most frequent shingles that the order of blocks puts last (it changes no result).
 FREQUENT = 16_384
+#: Longs of the shortest sketch, and shingles for each long of a longer one (at most).
 SKETCH_LONGS = 16
+SKETCH_SHINGLES = 32
 #: Bytes of text hashed at once.
 _GROUP_BYTES = 1 << 20
 
@@ -153,10 +160,11 @@ def block_tokens(hashes: np.ndarray, frequent: np.ndarray) -> np.ndarray:
 
 
 def parity_bits(hashes: np.ndarray) -> list[int]:
-    """Parity sketch of 64 * SKETCH_LONGS bits: each shingle flips one bit."""
-    bit = (mix64(hashes + np.uint64(77)) % np.uint64(64 * SKETCH_LONGS)).astype(np.int64)
-    odd = (np.bincount(bit, minlength=64 * SKETCH_LONGS) & 1).astype(np.uint8)
-    return np.packbits(odd).view(np.int64).tolist()
+    """Parity sketch, each shingle flips one bit; a power of two of longs that follows the size."""
+    longs = max(SKETCH_LONGS, 1 << max(0, -(-len(hashes) // SKETCH_SHINGLES) - 1).bit_length())
+    bit = (mix64(hashes + np.uint64(77)) % np.uint64(64 * longs)).astype(np.int64)
+    odd = (np.bincount(bit, minlength=64 * longs) & 1).astype(np.uint8)
+    return np.packbits(odd, bitorder="little").view(np.int64).tolist()
 
 
 def linked(a: np.ndarray, b: np.ndarray) -> bool:
@@ -179,7 +187,7 @@ def _sets(docs: DataFrame) -> DataFrame:
             sets = shingles(batch.column("text").to_pylist())
             n = len(sets)
             yield pa.RecordBatch.from_pydict({
-                "doc_id": batch.column("doc_id"),
+                "doc_id": batch.column("doc_id"), "th": batch.column("th"),
                 "n": pa.array([len(s) for s in sets], pa.int64()),
                 "node": pa.array([fingerprint(s) for s in sets], pa.int64()),
                 "h": pa.nulls(n, pa.int64()), "c": pa.nulls(n, pa.int64())})
@@ -190,11 +198,12 @@ def _sets(docs: DataFrame) -> DataFrame:
             often = count >= max(4, n // 500)
             k = int(often.sum())
             yield pa.RecordBatch.from_pydict({
-                "doc_id": pa.nulls(k, arrow_id), "n": pa.nulls(k, pa.int64()),
+                "doc_id": pa.nulls(k, arrow_id), "th": pa.nulls(k, pa.int64()), "n": pa.nulls(k, pa.int64()),
                 "node": pa.nulls(k, pa.int64()),
                 "h": pa.array(every[first[often]].view(np.int64), pa.int64()),
                 "c": pa.array(count[often].astype(np.int64), pa.int64())})
-    return docs.mapInArrow(run, f"doc_id {id_type.simpleString()}, n long, node long, h long, c long")
+    return docs.withColumn("th", F.xxhash64("text")).mapInArrow(
+        run, f"doc_id {id_type.simpleString()}, th long, n long, node long, h long, c long")
 
 
 def _tokens(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
@@ -269,9 +278,14 @@ def _add(out, row, before, first, names, keep):
 
 
 def _distance(a: str, b: str):
-    """Hamming distance of two parity sketches: at most the symmetric difference."""
-    return F.aggregate(F.zip_with(a, b, lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0),
-                       lambda acc, v: acc + v)
+    """Hamming distance of two parity sketches: at most the symmetric difference.  Of sketches of
+    two lengths (sizes that can link differ by a factor of two at most) the longer is folded."""
+    def as_long_as(x, y):
+        n = F.size(y)
+        halves = F.zip_with(F.slice(x, 1, n), F.slice(x, n + 1, n), lambda u, v: u.bitwiseXOR(v))
+        return F.when(F.size(x) > n, halves).otherwise(F.col(x))
+    return F.aggregate(F.zip_with(as_long_as(a, b), as_long_as(b, a), lambda x, y: F.bit_count(x.bitwiseXOR(y))),
+                       F.lit(0), lambda acc, v: acc + v)
 
 
 def _verify(pairs: DataFrame, texts: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
@@ -296,11 +310,24 @@ def _similar_size(a: str, b: str):
 
 def link_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id: the smallest doc_id reachable by links."""
+    return materialize(text_components(docs, id_col, text_col)
+                       .select("doc_id", "n_shingles", "component_id", "node").distinct().drop("node"), "jaccard")
+
+
+def text_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, th, n_shingles, node, component_id: a row for each different (id, hash of the text)."""
     work = Workspace(docs.sparkSession)
+    try:
+        return materialize(_text_components(docs, id_col, text_col, work), "jaccard-texts")
+    finally:
+        work.close()
+
+
+def _text_components(docs: DataFrame, id_col: str, text_col: str, work: Workspace) -> DataFrame:
     given = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")) \
         .where("doc_id is not null")
     passed = work.save(_sets(given), "jaccard-sets")
-    members = passed.where("doc_id is not null").select("doc_id", "n", "node").distinct()
+    members = passed.where("doc_id is not null").select("doc_id", "th", "n", "node").distinct()
     frequent = passed.where("doc_id is null").groupBy("h").agg(F.sum("c").alias("c")) \
         .orderBy(F.desc("c"), "h").limit(FREQUENT).select("h").collect()
     frequent = np.sort(np.array([r.h for r in frequent], np.int64).view(np.uint64))
@@ -313,57 +340,108 @@ def link_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     texts = given.join(wanted.hint("shuffle_hash"), "doc_id").select("node", "text")
     texts = work.save(_of_node(texts), "jaccard-texts")
     sketches = work.save(_sketches(texts), "jaccard-sketches")
+    near = lambda met: _near(met, sketches)
 
-    # First round: of the partners that a node meets as neighbours in its blocks, the two
-    # whose sketches are nearest.
-    met = shared.select("node", "n", F.col("p_node").alias("other"), F.col("p_n").alias("m"),
-                        F.lit(0).alias("kind")) \
-        .unionByName(shared.select("node", "n", F.col("f_node").alias("other"),
-                                   F.col("f_n").alias("m"), F.lit(1).alias("kind"))) \
-        .where("other is not null").where(_similar_size("n", "m")).distinct()
-    near = met.join(sketches, "node").join(
-        sketches.select(F.col("node").alias("other"), F.col("sketch").alias("sketch2")), "other") \
-        .withColumn("distance", _distance("sketch", "sketch2")) \
-        .where(F.col("distance") * 9 <= F.col("n") + F.col("m"))
-    best = near.groupBy("node", "kind").agg(F.min(F.struct("distance", "other")).alias("x")) \
+    # Of the partners that a node meets as neighbours in its blocks, the two whose sketches are nearest.
+    met = _met(shared, ("p", "f"))
+    best = near(met).groupBy("node", "kind").agg(F.min(F.struct("distance", "other")).alias("x")) \
         .select(F.greatest("node", "x.other").alias("a"), F.least("node", "x.other").alias("b")).distinct()
-    best = work.save(best, "jaccard-pairs")
-    links = work.save(_verify(best, texts), "jaccard-links")
+    tried = work.save(best, "jaccard-pairs")
+    links = work.save(_verify(tried, texts), "jaccard-links")
     labels = connected_components(links, work)
-
-    # Second round: pairs that share a block and are still in different components.
-    labelled = shared.select("token", "node", "n").join(
-        labels.select("node", F.col("label").alias("l")), "node", "left") \
-        .select("token", F.coalesce("l", "node").alias("label"), "node", "n")
-    apart = _shared(labelled.repartition("token").sortWithinPartitions("token", "label", "n", "node"),
-                    "label", ["node"])
-    open_tokens = apart.select("token").distinct()
-    rest = work.save(labelled.join(open_tokens, "token").join(sketches, "node"), "jaccard-open")
+    found = links.count()
+
+    rows = shared   # of tokens whose nodes may be in several components
+    while found:   # each round has fewer components: links between two of them were found
+        labelled = _labelled(rows, labels)
+        apart = _shared(labelled.repartition("token").sortWithinPartitions("token", "label", "n", "node"),
+                        "label", ["node", "n"])
+        apart = work.save(apart, "jaccard-apart")
+        rows = work.save(labelled.join(apart.select("token").distinct(), "token"), "jaccard-open")
+        pairs = near(_met(apart, ("p", "f")).unionByName(_hub_pairs(rows, links))) \
+            .select(F.greatest("node", "other").alias("a"), F.least("node", "other").alias("b")).distinct()
+        pairs = work.save(pairs.join(tried, ["a", "b"], "left_anti"), "jaccard-pairs")
+        fresh = work.save(_verify(pairs, texts), "jaccard-links")
+        found = fresh.count()
+        tried, links = tried.unionByName(pairs), links.unionByName(fresh)
+        if found:
+            labels = _merged(labels, fresh, work)
+
+    # Pairs that share a block and are still in different components.
+    labelled = _labelled(rows, labels)
+    several = labelled.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high")) \
+        .where("low <> high").select("token")
+    rest = work.save(labelled.join(several, "token").join(sketches, "node"), "jaccard-open")
     x, y = rest.alias("x"), rest.alias("y")
     pairs = x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.node") < F.col("y.node"))
                    & (F.col("x.label") != F.col("y.label")) & _similar_size("x.n", "y.n")
                    & (_distance("x.sketch", "y.sketch") * 9 <= F.col("x.n") + F.col("y.n"))) \
-        .select(F.col("y.node").alias("a"), F.col("x.node").alias("b"),
-                F.col("y.label").alias("la"), F.col("x.label").alias("lb")).distinct()
-    tested = work.save(_verify(pairs.join(best, ["a", "b"], "left_anti"), texts, ["la", "lb"]),
-                         "jaccard-links")
-    # components of components
-    joined = connected_components(tested.select(F.col("la").alias("a"), F.col("lb").alias("b")), work)
-    every = labels.unionByName(tested.select(F.col("la").alias("node"), F.col("la").alias("label"))) \
-        .unionByName(tested.select(F.col("lb").alias("node"), F.col("lb").alias("label"))).distinct()
-    labels = every.join(joined.select(F.col("node").alias("label"), F.col("label").alias("top")),
-                        "label", "left").select("node", F.coalesce("top", "label").alias("label")) \
-        .groupBy("node").agg(F.min("label").alias("label"))
+        .select(F.col("y.node").alias("a"), F.col("x.node").alias("b")).distinct()
+    tested = work.save(_verify(pairs.join(tried, ["a", "b"], "left_anti"), texts), "jaccard-links")
+    labels = _merged(labels, tested, work)
 
     named = members.where("n > 0").join(labels, "node", "left") \
-        .select("doc_id", "n", F.coalesce("label", "node").alias("label"))
+        .withColumn("label", F.coalesce("label", "node"))
     smallest = named.groupBy("label").agg(F.min("doc_id").alias("component_id"))
-    result = materialize(
-        named.join(smallest, "label").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
-        .unionByName(members.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"),
-                                                   F.col("doc_id").alias("component_id"))), "jaccard")
-    work.close()
-    return result
+    columns = ["doc_id", "th", F.col("n").alias("n_shingles"), "node"]
+    return named.join(smallest, "label").select(*columns, "component_id").unionByName(
+        members.where("n = 0").select(*columns, F.col("doc_id").alias("component_id")))
+
+
+def _met(rows: DataFrame, links: Sequence[str]) -> DataFrame:
+    """(node, n, other, m, kind) of rows of ``_shared`` and the rows they are linked with."""
+    out = None
+    for kind, link in enumerate(links):
+        part = rows.select("node", "n", F.col(f"{link}_node").alias("other"), F.col(f"{link}_n").alias("m"),
+                           F.lit(kind).alias("kind"))
+        out = part if out is None else out.unionByName(part)
+    return out.where("other is not null and other <> node").where(_similar_size("n", "m")).distinct()
+
+
+def _near(met: DataFrame, sketches: DataFrame) -> DataFrame:
+    """The pairs whose sketches allow a link, with their distance."""
+    return met.join(sketches, "node").join(
+        sketches.select(F.col("node").alias("other"), F.col("sketch").alias("sketch2")), "other") \
+        .withColumn("distance", _distance("sketch", "sketch2")) \
+        .where(F.col("distance") * 9 <= F.col("n") + F.col("m")).drop("sketch", "sketch2")
+
+
+def _labelled(rows: DataFrame, labels: DataFrame) -> DataFrame:
+    return rows.select("token", "node", "n").join(labels, "node", "left") \
+        .select("token", F.coalesce("label", "node").alias("label"), "node", "n")
+
+
+def _hub_pairs(rows: DataFrame, links: DataFrame) -> DataFrame:
+    """Each node of a token with the node of another component that has most links (of the
+    components' best, the two best are held for a token)."""
+    degrees = links.select(F.col("a").alias("node")).unionByName(links.select(F.col("b").alias("node"))) \
+        .groupBy("node").agg(F.count("*").alias("links"))
+    best = rows.join(degrees, "node", "left").groupBy("token", "label").agg(
+        F.max(F.struct(F.coalesce("links", F.lit(0)).alias("links"), "node", "n")).alias("hub"))
+    order = Window.partitionBy("token").orderBy(F.desc("hub"), "label")
+    two = best.withColumn("place", F.row_number().over(order)).where("place <= 2") \
+        .groupBy("token").agg(*[F.max(F.when(F.col("place") == i, F.struct("label", "hub"))).alias(f"hub{i}")
+                                for i in (1, 2)])
+    own = rows.join(two, "token")
+    hub = F.when(F.col("hub1.label") != F.col("label"), F.col("hub1.hub")).otherwise(F.col("hub2.hub"))
+    return own.select("node", "n", hub.alias("hub")).where("hub is not null") \
+        .select("node", "n", F.col("hub.node").alias("other"), F.col("hub.n").alias("m"), F.lit(2).alias("kind")) \
+        .where(_similar_size("n", "m")).distinct()
+
+
+def _merged(labels: DataFrame, links: DataFrame, work: Workspace) -> DataFrame:
+    """(node, label) after further links between components."""
+    own = lambda c: F.coalesce(f"l{c}", c)
+    ends = links.select("a", "b")
+    for c in ("a", "b"):
+        ends = ends.join(labels.select(F.col("node").alias(c), F.col("label").alias(f"l{c}")), c, "left")
+    ends = work.save(ends.select("a", "b", own("a").alias("la"), own("b").alias("lb")), "jaccard-ends")
+    joined = connected_components(ends.select(F.col("la").alias("a"), F.col("lb").alias("b")), work)
+    every = labels.unionByName(ends.select(F.col("a").alias("node"), F.col("la").alias("label"))) \
+        .unionByName(ends.select(F.col("b").alias("node"), F.col("lb").alias("label"))).distinct()
+    out = every.join(joined.select(F.col("node").alias("label"), F.col("label").alias("top")), "label", "left") \
+        .select("node", F.coalesce("top", "label").alias("label")).groupBy("node").agg(F.min("label").alias("label"))
+    return work.save(out, "jaccard-labels")
 
 
 def _of_node(texts: DataFrame) -> DataFrame:
@@ -389,7 +467,9 @@ def _sketches(texts: DataFrame) -> DataFrame:
 
 def one_of_each_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with one document of each component (that of the smallest id); rows with a
-    null id stay; columns as they were."""
-    parts = link_components(docs, id_col, text_col)
-    gone = parts.where("doc_id <> component_id").select(F.col("doc_id").alias("_gone_")).distinct()
-    return docs.join(gone, docs[id_col] == gone["_gone_"], "left_anti")
+    null id stay, and so do rows of one id whose text is in no component with a smaller id;
+    columns as they were."""
+    gone = text_components(docs, id_col, text_col).where("doc_id <> component_id") \
+        .select(F.col("doc_id").alias("_gone_"), F.col("th").alias("_gone_text_")).distinct()
+    return docs.join(gone, (docs[f"`{id_col}`"] == gone["_gone_"])
+                     & (F.xxhash64(docs[f"`{text_col}`"]) == gone["_gone_text_"]), "left_anti")

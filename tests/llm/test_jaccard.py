@@ -86,3 +86,62 @@ def test_components_of_chains_and_stars(spark):
     got = connected_components(spark.createDataFrame(edges, "a long, b long")).collect()
     assert {r.node: r.label for r in got} == {**{i: 0 for i in range(41)},
                                               **{i: 100 for i in range(100, 140)}}
+
+
+def near_copies(size, words=300, seed=7):
+    """A text and copies with 3 to 5 changed words: each links with the text, few with each other."""
+    rng = random.Random(seed)
+    base = [f"w{rng.randrange(10**6)}" for _ in range(words)]
+    out = [(0, " ".join(base))]
+    for i in range(1, size):
+        copy = list(base)
+        for at in rng.sample(range(words), rng.randint(3, 5)):
+            copy[at] = f"x{rng.randrange(10**6)}"
+        out.append((i, " ".join(copy)))
+    return out
+
+
+def test_compared_pairs_grow_with_a_group_of_near_copies_not_with_its_square(spark, monkeypatch):
+    verify, pairs = jaccard._verify, []
+
+    def counted(given, texts, keep=()):
+        pairs.append(given.count())
+        return verify(given, texts, keep)
+    monkeypatch.setattr(jaccard, "_verify", counted)
+    compared = {}
+    for size in (150, 300):
+        pairs.clear()
+        docs = near_copies(size)
+        rng = random.Random(1)
+        rng.shuffle(docs)
+        got = jaccard.link_components(spark.createDataFrame(docs, DOCS).repartition(4)).collect()
+        assert {r.component_id for r in got} == {0} and len(got) == size
+        compared[size] = sum(pairs)
+    assert compared[300] < 2.5 * compared[150], compared
+    assert compared[300] < 300 * 10
+
+
+def test_sketches_bound_the_symmetric_difference_at_any_size(spark):
+    rng = np.random.default_rng(5)
+    rows, want = [], []
+    for n in (4, 200, 511, 513, 1030, 3000, 20_000):
+        a = np.unique(rng.integers(0, 2**64, n, dtype=np.uint64))
+        for other in (n // 9, n // 2, n):
+            b = np.unique(np.concatenate([a[other:], rng.integers(0, 2**64, other, dtype=np.uint64)]))
+            b = b[:max(1, int(len(b) * 0.9))]
+            rows.append((jaccard.parity_bits(a), jaccard.parity_bits(b)))
+            want.append((n, len(np.setxor1d(a, b)), 9 * len(np.setxor1d(a, b)) > 2 * (len(a) + len(b))))
+    df = spark.createDataFrame(rows, "a array<long>, b array<long>").coalesce(1)
+    got = [r[0] for r in df.select(jaccard._distance("a", "b")).collect()]
+    for d, (n, most, far) in zip(got, want):
+        assert d <= most, n
+        if far and n >= 200:   # sets that are far apart are told apart, long ones too
+            assert d > 0.4 * n, (n, d)
+
+
+def test_texts_of_one_id_stand_for_themselves(spark):
+    long = lambda i, n=60: " ".join(f"{i}w{j}" for j in range(n))
+    docs = [(1, long(1)), (2, long(1) + " end"), (2, long(2)), (2, long(2)), (3, long(3)), (None, long(1))]
+    kept = jaccard.one_of_each_group(spark.createDataFrame(docs, DOCS)).collect()
+    assert sorted(map(str, kept)) == sorted(map(str, spark.createDataFrame(
+        [docs[0], docs[2], docs[3], docs[4], docs[5]], DOCS).collect()))
