@@ -1,27 +1,29 @@
 """Secret scan with a random forest that removes false positives, all in
 DataFrame functions (no Python worker runs).
 
-Candidates are values assigned to a credential name (any length and character),
-values after ``Bearer``, web tokens, and maximal runs of 16 or more key
-characters.  Each one is described by its length, character classes and
+Candidates are values assigned to a credential name (any length and character; the
+name ends at the credential word or at a known suffix such as ``_key`` or
+``_production``), values after ``Bearer``, web tokens, and maximal runs of 16 or more
+key characters.  Each one is described by its length, character classes and
 transitions, how much of it words of the corpus dictionary cover, the path it
-stands in and its neighbouring words.  What needs no judgement to be a secret
-is one; of the others a random forest trained from labelled findings decides.
-The forest's trees are applied as column expressions inside each document's
-row, so nothing is exploded, shuffled or joined when scanning.
-
-Labelled findings come as a DataFrame; ``confident_findings`` gives those that
-need no judgement: values with digits assigned to a credential name, quoted or
-not, and keys of known kinds (1); words without a digit, parts of addresses,
-hashes, uuids and numbers without such a name, and words of prose, short numbers
-and variables after one (0).  At most ``MAX_FINDINGS`` rows of each kind train
-the forest.
+stands in and its neighbouring words.  Keys of known kinds show by themselves; all
+other candidates are judged by a random forest trained from labelled findings.  The
+forest's trees are applied as column expressions inside each document's row, so
+nothing is exploded, shuffled or joined when scanning.
+
+Labelled findings come as a DataFrame; ``confident_findings`` gives those of the
+corpus that need no judgement: values with digits assigned to a credential name,
+quoted or not, and keys of known kinds (1); numbers, dates, times, addresses, paths and
+versions after any name, words without a digit, parts of addresses, hashes, uuids and
+numbers without such a name, and words of prose and variables after one (0).  At most
+``MAX_FINDINGS`` rows of each kind train the forest, with ``SEEDS`` findings made from
+the templates below, so that it knows both kinds whatever the corpus holds.
 
 Defined cases: a null text has no candidates and stays null when redacted; a
 null path counts as empty; a document row gives one row whatever its id, so
-repeated documents and null ids are kept; without labelled findings of both
-kinds only what needs no judgement is reported; ``scan`` replaces columns of its result's names,
-``redact`` keeps every column whatever its name.
+repeated documents and null ids are kept; without a forest (``scan`` with ``None``) only keys
+of known kinds are reported; ``scan`` replaces columns of its result's names, ``redact``
+keeps every column whatever its name.
 """
 
 from __future__ import annotations
@@ -36,8 +38,10 @@ from pyspark.sql import functions as F
 from funnelspark.llm.common import columns_of, materialize
 
 #: A credential name and what stands between it and its value, but for a quote.
-ASSIGNMENT = (r"(?i:token|secret|passw|passphrase|pwd|api.?key|access.?key|auth(?!or(?!i[sz]ation))|credential"
-              r"|private.?key)[A-Za-z0-9_-]{0,24}[\"'`]?\s{0,3}(?::=|=>|={1,3}|:)\s{0,3}")
+_SUFFIX = (r"(?i:[_-]?(?:key|token|secret|password|pass|value|string|prod|production|staging|dev|development"
+           r"|test|live|main|old|new|default|[0-9]{1,3}))?")
+ASSIGNMENT = (r"(?i:token|secrets?|passw(?:or)?ds?|passphrase|pwd|api.?keys?|access.?keys?|auth|credentials?"
+              rf"|private.?key){_SUFFIX}{_SUFFIX}" r"[\"'`]?\s{0,3}(?::=|=>|={1,3}|:)\s{0,3}")
 BEARER = r"(?i:bearer)\s{1,3}"
 #: Assigned values of any length and character (to the closing quote, or else to the next space
 #: or quote), values after Bearer, web tokens of three parts, and runs of 16 or more key characters.
@@ -58,6 +62,14 @@ CALL = r"^[A-Za-z_][A-Za-z0-9_.]*(?:[(\[]|\.[A-Za-z_])"
 HASH_UUID_NUMBER = (r"^(?:(?:[0-9a-f]{32}|[0-9a-f]{40}|[0-9a-f]{56}|[0-9a-f]{64}|[0-9a-f]{96}|[0-9a-f]{128})"
                     r"|(?:[0-9A-F]{32}|[0-9A-F]{40}|[0-9A-F]{64})"
                     r"|[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}|[0-9+/_-]+)$")
+#: Values that are no secrets after any name: numbers (with a unit), dates and times, addresses
+#: without a password, paths, versions, mail addresses.
+PLAIN_VALUE = (r"^(?:[+-]?[0-9][0-9_,.]*(?:[eE][+-]?[0-9]+)?[A-Za-z%]{0,3}"
+               r"|[0-9]{4}[-/.][0-9]{1,2}(?:[-/.][0-9]{1,2})?(?:[T_ ][0-9:.]+(?:Z|[+-][0-9:]+)?)?"
+               r"|[0-9]{1,2}[:/.][0-9]{1,2}(?:[:/.][0-9.]{1,7})?Z?"
+               r"|(?:https?|ftp|file|s3|gs|hdfs|git|ssh)://[^\s:@]*(?::[0-9]+)?(?:[/?#][^\s@]*)?"
+               r"|(?:~|\.{1,2}|[A-Za-z]:)?/[A-Za-z0-9_.@-]+(?:/[A-Za-z0-9_.@-]+)*/?"
+               r"|v[0-9]+(?:\.[0-9]+)+[A-Za-z0-9.+-]{0,12}|[A-Za-z0-9_.+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+)$")
 #: Characters of context that the neighbouring words are taken from.
 LEFT_CONTEXT, RIGHT_CONTEXT = 48, 16
 CREDENTIAL_NAMES = r"(?i)(token|secret|passw|pwd|api.?key|access.?key|auth|credential|private.?key|bearer)"
@@ -65,14 +77,25 @@ PATH_SECRET = r"(?i)(\.env|\.pem|conf|cred|secret|key|deploy)"
 PATH_EXAMPLE = r"(?i)(test|example|sample|fixture|mock|docs?/)"
 DICTIONARY_WORDS = 200
 MAX_FINDINGS = 4000
-TREES, DEPTH = 20, 5
+TREES, DEPTH = 20, 6
+#: Made findings of each kind.
+SEEDS = 400
+#: Texts of made findings: %h and %m stand for hexadecimal and mixed characters, %p for a short
+#: word with digits and a sign, %w for letters, %n for digits, %d for a date.
+SEED_SECRETS = ('password = "%p"', "DB_PASSWORD='%p'", "pwd=%p ", 'api_key: "%m"', "API_KEY=%h", "secret: %m",
+                'token = "%h"', "Authorization: Bearer %m end", "access_key = %m", 'secret = "%w-%w#%w"',
+                'api_key = "%m"', "password: %h, ok", "PRIVATE_KEY_PRODUCTION=%m", 'credentials = "%w%n!"')
+SEED_OTHERS = ("token: %n", "password = %n", 'token = "%d"', "secret: %dT10:20:30", "auth = https://example.org/%w/%n",
+               "api_key: /etc/%w/%w-%n", "token=%n%n", "auth: v%n.%n.1", "password: %w", "token = %w.%w(", "secret = ${%w}",
+               "commit: %h", "id = %w-%n-%w-%n-%w", "url = %w%w%w%w", "name: %n%n%n", 'password = "<%w>"',
+               "auth = %w@example.org", "access_key: ./%w/%w/%n")
 ACCEPT_VOTES = 0.5
 PLACEHOLDER = "[secret]"
 
 FEATURES = ("n", "digits", "upper", "hexadecimal", "vowels", "distinct", "kind_changes",
             "case_changes", "consonant_runs", "covered", "named", "assigned", "quoted",
             "address", "left_word", "path_secret", "path_example", "credential", "key_kind",
-            "reference", "symbols", "spaces", "spaced")
+            "reference", "symbols", "spaces", "spaced", "plain")
 
 
 def dictionary(docs: DataFrame, text_col: str = "text", size: int = DICTIONARY_WORDS) -> list[str]:
@@ -121,6 +144,7 @@ def describe(c: Column, left: Column, right: Column, path: Column, words: list[s
         "symbols": _share(c, r"[^A-Za-z0-9\s]"),
         "spaces": _share(c, r"\s"),
         "spaced": _flag(F.regexp_like(left, F.lit(r"\s$"))),
+        "plain": _flag(F.regexp_like(c, F.lit(PLAIN_VALUE))),
     }
     return F.struct(*[values[name].alias(name) for name in FEATURES])
 
@@ -153,25 +177,49 @@ def findings(docs: DataFrame, words: list[str], text_col: str = "text",
         .select(F.col("x.c").alias("secret"), "x.f.*")
 
 
-def _sure_secret(f) -> Column:
-    """Whether a candidate with features ``f(name)`` needs no judgement to be a secret."""
+def confident_findings(found: DataFrame) -> DataFrame:
+    """The findings that need no judgement, with ``label``."""
+    f = F.col
     value = (f("reference") == 0) & (f("spaces") == 0)
-    return (f("path_example") == 0) & (
-        (f("key_kind") > 0)
-        | (value & (f("named") > 0) & (f("assigned") > 0) & (f("quoted") > 0) & (f("digits") > 0.05))
+    secret = (f("path_example") == 0) & (
+        (value & (f("named") > 0) & (f("assigned") > 0) & (f("quoted") > 0) & (f("digits") > 0.05))
         | (value & (f("credential") > 0) & (f("digits") > 0.05) & (f("n") >= 8)))
+    unnamed = f("named") == 0
+    prose = (f("credential") > 0) & (f("quoted") == 0) & (
+        (f("reference") > 0) | ((f("spaced") > 0) & F.regexp_like("secret", F.lit("^[A-Za-z]+$"))))
+    sure = F.when(_known_kind(f), 1.0).when(f("plain") > 0, 0.0).when(secret, 1.0) \
+        .when(unnamed & (f("key_kind") == 0) & ((f("digits") == 0) | (f("address") > 0) | F.regexp_like(
+            "secret", F.lit(HASH_UUID_NUMBER))), 0.0).when(prose, 0.0)
+    return found.withColumn("label", sure).where("label is not null")
 
 
-def confident_findings(found: DataFrame) -> DataFrame:
-    """The findings that need no judgement, with ``label``."""
-    plain = (F.col("named") == 0) & (F.col("key_kind") == 0)
-    prose = (F.col("credential") > 0) & (F.col("quoted") == 0) & (
-        (F.col("reference") > 0) | F.regexp_like("secret", F.lit("^[0-9]{1,5}$"))
-        | ((F.col("spaced") > 0) & F.regexp_like("secret", F.lit("^[A-Za-z]+$"))))
-    sure = F.when(_sure_secret(F.col), 1.0).when(plain & (F.col("digits") == 0), 0.0) \
-        .when(plain & (F.col("address") > 0), 0.0) \
-        .when(plain & F.regexp_like("secret", F.lit(HASH_UUID_NUMBER)), 0.0).when(prose, 0.0)
-    return found.withColumn("label", sure).where("label is not null")
+def _known_kind(f) -> Column:
+    """Whether a candidate with features ``f(name)`` is a key that shows by itself."""
+    return (f("path_example") == 0) & (f("key_kind") > 0)
+
+
+def seed_findings(spark, words: list[str], count: int = SEEDS) -> DataFrame:
+    """Made findings of both kinds, with ``label``."""
+    spread = lambda salt: F.sha2(F.concat_ws("-", "id", F.lit(salt)), 512)
+    mixed = F.translate(F.base64(F.unhex(spread("m"))), "+/=", "xyz")
+    letters = lambda salt, n: F.substring(F.translate(spread(salt), "0123456789", "ghijklmnop"), 1, n)
+    digits = lambda n: F.substring(F.regexp_replace(spread("n"), "[a-f]", ""), 1, n)
+    size = lambda low, high: (F.lit(low) + F.col("id") * 7 % (high - low)).cast("int")
+    fills = {"%h": F.substring(spread("h"), F.lit(1), F.when(F.col("id") % 2 == 0, 40).otherwise(32)),
+             "%m": F.substring(mixed, F.lit(1), size(16, 44)),
+             "%p": F.concat(F.initcap(letters("p", 5)), F.substring(digits(9), F.lit(1), size(1, 4)),
+                            F.element_at(F.split(F.lit("! # $ & @ -"), " "), (F.col("id") % 6 + 1).cast("int")),
+                            letters("q", 2)),
+             "%w": letters("w", 6), "%n": F.substring(digits(12), F.lit(1), size(1, 12)),
+             "%d": F.date_add(F.lit("2001-01-01").cast("date"), (F.col("id") * 37).cast("int")).cast("string")}
+    kinds = []
+    for label, templates in ((1.0, SEED_SECRETS), (0.0, SEED_OTHERS)):
+        text = F.element_at(F.array(*[F.lit(t) for t in templates]), (F.col("id") % len(templates) + 1).cast("int"))
+        for mark, fill in fills.items():
+            text = F.replace(text, F.lit(mark), fill)
+        made = spark.range(count).select(text.alias("text"), F.lit("src").alias("source"))
+        kinds.append(findings(made, words).withColumn("label", F.lit(label)))
+    return kinds[0].unionByName(kinds[1])
 
 
 def bounded(labelled: DataFrame, most: int = MAX_FINDINGS) -> DataFrame:
@@ -186,13 +234,17 @@ def bounded(labelled: DataFrame, most: int = MAX_FINDINGS) -> DataFrame:
 def train(labelled: DataFrame, trees: int = TREES, depth: int = DEPTH, seed: int = 5) -> list | None:
     """The trees of a random forest as nested (feature, threshold, left, right), leaves as
     numbers; None if there are not findings of both kinds."""
-    rows = materialize(bounded(labelled).select("label", *FEATURES), "secret-findings")
+    rows = materialize(bounded(labelled).select("label", *FEATURES), "secret-sample")
     if rows.select("label").distinct().count() < 2:
         return None
+    return [read_tree(t.toDebugString) for t in fit(rows, trees, depth, seed).trees]
+
+
+def fit(rows: DataFrame, trees: int = TREES, depth: int = DEPTH, seed: int = 5):
+    """MLlib's forest of rows (label and features)."""
     vectors = VectorAssembler(inputCols=list(FEATURES), outputCol="features", handleInvalid="skip")
-    model = RandomForestClassifier(labelCol="label", numTrees=trees, maxDepth=depth, seed=seed) \
-        .fit(vectors.transform(rows))
-    return [read_tree(t.toDebugString) for t in model.trees]
+    return RandomForestClassifier(labelCol="label", numTrees=trees, maxDepth=depth, seed=seed,
+                                  featureSubsetStrategy="onethird").fit(vectors.transform(rows))
 
 
 def read_tree(described: str):
@@ -230,7 +282,7 @@ def scan(docs: DataFrame, words: list[str], forest: list | None, text_col: str =
     rows = _pieces(docs.drop(*new), text_col)
     scored = F.transform(
         _described(_path(docs, path_col), words),
-        lambda f: F.when(_sure_secret(f.getField), 1.0).otherwise(votes(forest, f) if forest else 0.0))
+        lambda f: F.when(_known_kind(f.getField), 1.0).otherwise(votes(forest, f) if forest else 0.0))
     rows = rows.withColumn("_votes", F.when(F.size("_found") > 0, scored))
     step = F.arrays_zip(F.col("_found").alias("c"), F.col("_between").alias("b"),
                         F.col("_votes").alias("v"))
@@ -260,10 +312,13 @@ def scan(docs: DataFrame, words: list[str], forest: list | None, text_col: str =
 def learn(docs: DataFrame, text_col: str = "text", path_col: str | None = "source",
           labelled: DataFrame | None = None) -> tuple[list[str], list | None]:
     """(dictionary words, forest) for ``scan``; without ``labelled`` findings the
-    confident ones of ``docs`` are used."""
+    confident ones of ``docs`` and made ones are used."""
     words = dictionary(docs, text_col)
     if labelled is None:
-        labelled = confident_findings(findings(docs, words, text_col, path_col))
+        columns = ["secret", "label", *FEATURES]
+        own = confident_findings(findings(docs, words, text_col, path_col)).select(columns)
+        labelled = materialize(own, "secret-findings").unionByName(   # one pass over the texts
+            seed_findings(docs.sparkSession, words).select(columns))
     return words, train(labelled)
 
 

@@ -2,6 +2,8 @@ import hashlib
 import re
 import uuid
 
+from pyspark.sql import functions as F
+
 from funnelspark.llm import secret_scan
 
 from .helpers import SF_MID
@@ -53,6 +55,38 @@ def test_kinds_of_secrets_that_no_label_rule_marks(spark):
     assert got[100:] == [f.format("[secret]") for f, _ in found + unmarked]
 
 
+ORDINARY = ["max_tokens=16777216", "tokenized_at = 2024-01-01T00:00:00", "token_count: 12345678",
+            "secret_santa_date: 2024-12-24", "auth_timeout_ms = 30000000",
+            "password_reset_url: https://example.org/reset/2024-help", "token: 20240101", "password = 12345678",
+            'token = "2024-01-01T00:00:00Z"', "api_key: /etc/keys/service-2024.pem", "auth = https://example.org/login?v=20240101",
+            "secret: v12.30.45", 'max_token = "16777216"', "access_key = ./keys/main-2024/key1.txt", "auth: admin1@example.org"]
+
+
+def test_ordinary_values_after_credential_names_stay(spark):
+    """Alone, and beside many secrets."""
+    many = [f'token = "{hexadecimal(i)}" and DB_PASSWORD=Tr0ub{i}dor#3' for i in range(60)]
+    for others in ([], many):
+        got = redacted(spark, ORDINARY + others)
+        assert got[:len(ORDINARY)] == ORDINARY
+        assert got[len(ORDINARY):] == ['token = "[secret]" and DB_PASSWORD=[secret]'] * len(others)
+
+
+def test_columns_vote_as_the_forest_of_mllib(spark):
+    """Hard votes of the trees, on made findings that the forest wasn't fitted to."""
+    from pyspark.ml.linalg import Vectors
+    rows = secret_scan.seed_findings(spark, ["the", "and"], 300).withColumn("_r", F.xxhash64("secret") % 3)
+    fitted = rows.where("_r <> 0").select("label", *secret_scan.FEATURES)
+    model = secret_scan.fit(fitted)
+    forest = [secret_scan.read_tree(t.toDebugString) for t in model.trees]
+    held = rows.where("_r = 0").withColumn("f", F.struct(*secret_scan.FEATURES))
+    got = held.select("label", "f", secret_scan.votes(forest, F.col("f")).alias("v")).collect()
+    assert len(got) > 100
+    for r in got:
+        v = Vectors.dense(*[r.f[name] for name in secret_scan.FEATURES])
+        assert abs(r.v - sum(t.predict(v) for t in model.trees) / len(model.trees)) < 1e-9
+    assert sum((r.v >= 0.5) == (r.label == 1.0) for r in got) >= 0.95 * len(got)
+
+
 def test_main_path_runs_no_python(spark):
     docs = spark.createDataFrame([(1, 'token = "0123456789abcdef0123"', "a")], SCHEMA)
     plan = secret_scan.scan(docs, ["the"], [(0, 1.0, 0.0, 1.0)])._jdf.queryExecution().toString()
