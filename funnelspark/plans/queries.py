@@ -16,8 +16,9 @@ from funnelspark.operators import activity, kpi, marts, reports, segments
 from funnelspark.plans import feeds, model_runs, segment_job
 from funnelspark.plans import oracle as O
 from funnelspark.session import ensure_session_defaults, materialize, scratch_path
-from funnelspark.schemas import PROFILE_FEATURES, PURCHASE_EVENT_JSON, REQUESTED_FEATURES
-from funnelspark.sources import cdc, json_feed, lake, tables
+from funnelspark.schemas import (PROFILE_FEATURES, PURCHASE_EVENT_JSON, REQUESTED_FEATURES,
+                                WEB_EVENT_JSON)
+from funnelspark.sources import cdc, json_feed, lake, snapshots, tables
 from funnelspark.streaming import kpi_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -376,14 +377,16 @@ EARLIER_SNAPSHOT = "2024-01-16 00:00:00"
 @register("q_latest_snapshot",
           O.with_ctes(_FULL + [("summary", O.country_summary_sql())], "SELECT * FROM summary"))
 def q_latest_snapshot(spark, sf_dir):
-    """Two full snapshots appended to the country summary; the
-    newest load is read back."""
+    """Two full snapshots appended to the stored country summary; the newest load
+    is found by its name, and only its files are read."""
     early = marts.country_summary(
         feeds.profiles(spark, sf_dir, as_of=EARLIER_SNAPSHOT, cutoff=EARLIER_SNAPSHOT),
         EARLIER_SNAPSHOT)
     late = marts.country_summary(feeds.profiles(spark, sf_dir), feeds.AS_OF)
-    history = marts.append_snapshot(marts.append_snapshot(None, early), late)
-    return marts.latest_snapshot(history)
+    path = scratch_path(spark, "country-summary")
+    snapshots.append(spark, path, early, EARLIER_SNAPSHOT)
+    snapshots.append(spark, path, late, feeds.AS_OF)
+    return snapshots.latest(spark, path, late.schema)
 
 
 # ---------------------------------------------------------------- segmentation
@@ -615,6 +618,88 @@ def q_amount_rejects(spark, sf_dir):
     return rejects.select("order_id", "user_id", "purchase_time", "reject_reason")
 
 
+_BAD_AMOUNTS = f"""SELECT order_id, {{route}} AS route, 'total_amount is unreadable' AS reject_reason
+FROM raw_purchases0 WHERE payment_method = '{feeds.GUEST_PRIORITY}'"""
+
+
+@register("q_amount_rejects_all_routes", O.with_ctes(
+    [("products", O.PRODUCTS), ("raw_purchases0", O.RAW_PURCHASES0)],
+    " UNION ALL ".join(_BAD_AMOUNTS.format(route=f"'{r}'") for r in ("landing", "kpi", "change feed"))))
+def q_amount_rejects_all_routes(spark, sf_dir):
+    """Amounts beyond the type (1e19) and with a comma ("12,50") in the
+    landing, KPI and change-feed routes; each record is rejected with a reason, none is taken as
+    NULL or as another number."""
+    def spoil(values):
+        bad = F.when(F.get_json_object("value", "$.n").cast("bigint") % 2 == 0, F.lit('"total_amount":1e19')) \
+            .otherwise(F.lit('"total_amount":"12,50"'))
+        wrong = F.regexp_replace("value", F.lit('"total_amount":[0-9.]+'), bad)
+        guest = F.col("value").contains(f'"payment_method":"{feeds.GUEST_PRIORITY}"')
+        return values.withColumn("value", F.when(guest, wrong).otherwise(F.col("value"))).select("value")
+    order = F.col("order_id").cast("bigint")
+    records = feeds.purchase_records(spark, sf_dir).withColumn("n", order)
+    values = spoil(json_feed.to_json_records(records, [*PURCHASE_EVENT_JSON.fieldNames(), "n"]))
+    _, landed = json_feed.split_purchases(json_feed.parse_landed_purchases(values, as_timestamp(feeds.AS_OF)))
+    envelopes = spoil(cdc.purchase_envelopes(
+        tables.purchase_events(spark, sf_dir).withColumn("source_seq", order), CDC_SNAPSHOT_BEFORE, "source_seq"))
+    changes = cdc.rejected_changes(envelopes).withColumn("order_id", F.get_json_object("value", "$.after.order_id"))
+    routes = {"landing": landed, "kpi": kpi_stream.purchase_kpi_rejects(values), "change feed": changes}
+    parts = [df.select("order_id", F.lit(r).alias("route"), "reject_reason") for r, df in routes.items()]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+# Three deliveries of the web feed: up to the first time, up to the second, and the rest with a
+# tenth of the customers' events of the first, which come late.
+_DELIVERIES = ("2024-01-10 00:00:00", "2024-01-20 00:00:00")
+
+
+def _deliveries(spark, sf_dir):
+    raw = tables.web_events(spark, sf_dir)
+    first, second = (as_timestamp(t) for t in _DELIVERIES)
+    t = F.col("event_timestamp")
+    number = F.when((F.col("user_id").cast("bigint") % 10 == 0) & (t < first), 2) \
+        .when(t < first, 0).when(t < second, 1).otherwise(2)
+    return [json_feed.to_json_records(raw.where(number == i), WEB_EVENT_JSON.fieldNames()) for i in range(3)]
+
+
+@register("q_stream_late_rows", O.with_ctes([("raw_web0", O.RAW_WEB0), ("d", f"""
+SELECT date_trunc('millisecond', event_timestamp) AS t,
+  CASE WHEN cast(user_id AS bigint) % 10 = 0 AND event_timestamp < {O.ts(_DELIVERIES[0])} THEN 2
+    WHEN event_timestamp < {O.ts(_DELIVERIES[0])} THEN 0 WHEN event_timestamp < {O.ts(_DELIVERIES[1])} THEN 1
+    ELSE 2 END AS batch_id FROM raw_web0"""), ("m", """
+SELECT batch_id, max(max(t)) OVER (ORDER BY batch_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+  - INTERVAL 5 SECOND AS watermark FROM d GROUP BY batch_id""")], """
+SELECT cast(d.batch_id AS bigint) AS batch_id, m.watermark, count(*) AS rows,
+  count(*) FILTER (WHERE date_trunc('minute', t) + INTERVAL 1 MINUTE <= m.watermark) AS late_rows
+FROM d JOIN m USING (batch_id) GROUP BY d.batch_id, m.watermark"""))
+def q_stream_late_rows(spark, sf_dir):
+    """Three deliveries of the web feed through the raw ingest, one micro-batch each;
+    how many rows of each the live KPIs leave out as late, while the landed table keeps them."""
+    feed, landed = scratch_path(spark, "late-feed"), scratch_path(spark, "late-landed")
+    rejects, ckpt = scratch_path(spark, "late-rejects"), scratch_path(spark, "late-ckpt")
+    for part in _deliveries(spark, sf_dir):
+        part.write.mode("append").text(feed)
+        kpi_stream.run_ingest(kpi_stream.read_records(spark, feed), json_feed.parse_web_events,
+                              json_feed.split_web, landed, rejects, ckpt)
+    rows = spark.read.parquet(landed).withColumn("batch_id", F.col("batch_id").cast("bigint"))
+    return kpi_stream.late_rows(rows, "event_timestamp")
+
+
+@register("q_stream_kpi_windows", O.with_ctes(
+    [("raw_web0", O.RAW_WEB0),
+     ("ev", "SELECT date_trunc('millisecond', event_timestamp) AS t, user_id, page_url, "
+            "product_id FROM raw_web0")],
+    O.web_kpi_sql("ev", "t", closed_only=True)))
+def q_stream_kpi_windows(spark, sf_dir):
+    """The live KPI job into the sink with one row for each window, then again from
+    the start with a new checkpoint: no window is there twice."""
+    feed, sink = scratch_path(spark, "web-feed"), scratch_path(spark, "kpi-windows")
+    feeds.web_json(spark, sf_dir).write.text(feed)
+    for _ in range(2):
+        rows = kpi_stream.web_kpi_stream(kpi_stream.read_records(spark, feed))
+        kpi_stream.run_to_windows(rows, sink, scratch_path(spark, "kpi-windows-ckpt"))
+    return kpi_stream.read_windows(spark, sink, rows.schema)
+
+
 @register("q_stream_cdc_web", O.ORACLE_CDC_WEB)
 def q_stream_cdc_web(spark, sf_dir):
     """Web change envelopes consumed as a stream (file

@@ -33,6 +33,7 @@ WEB_EVENT_COUNTS = (
 ORDER_STATUSES = ("processing", "shipped", "cancelled", "returned", "completed")
 # Window, watermark and recency parameters.
 KPI_WINDOW = "1 minute"
+KPI_WINDOW_SECONDS = 60
 WATERMARK_DELAY = "5 seconds"
 RECENT_DAYS = 30
 # Change-feed operations that carry a new row (create, update, snapshot read).

@@ -12,10 +12,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from funnelspark.schemas import (CDC_ROW_OPS, PURCHASE_ROW_IMAGE, WEB_ROW_IMAGE,
                                  envelope_schema)
-from funnelspark.sources.json_feed import parse_once
+from funnelspark.sources.json_feed import (CORRUPT, parse_once, read_amount, unread_amount,
+                                           with_text_amount)
 
 
 def _image(df: DataFrame, time_unit: str, time_cols: tuple[str, ...]) -> DataFrame:
@@ -55,20 +57,45 @@ def _envelope(img, after, snapshot_before, processed_col, lsn_col, processed_uni
     return img.select(F.to_json(env).alias("value"))
 
 
-def _flatten(values: DataFrame, image) -> DataFrame:
-    env = F.from_json(F.col("value"), envelope_schema(image))
+def read_envelopes(values: DataFrame, image) -> DataFrame:
+    """Every envelope: ``e`` (its fields, the amount as text), ``reject_reason`` (NULL if it can be
+    applied or carries no new row) and the record itself with its broker metadata."""
+    schema = envelope_schema(with_text_amount(image))
+    schema = T.StructType(schema.fields + [T.StructField(CORRUPT, T.StringType())])
+    env = F.from_json(F.col("value"), schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
     meta = []
     if "timestamp" in values.columns:
         meta.append(F.col("timestamp").alias("_broker_time"))
     if "offset" in values.columns:
         meta.append(F.col("offset").alias("_broker_offset"))
-    rows = values.select(parse_once(env).alias("e"), *meta)
-    rows = rows.filter(F.col("e.op").isin(*CDC_ROW_OPS) & F.col("e.after").isNotNull())
+    rows = values.select(parse_once(env).alias("e"), "value", *meta)
+    carries = F.coalesce(F.col("e.op").isin(*CDC_ROW_OPS), F.lit(False))
+    # Deletes and tombstones (a NULL value) carry no new row.
+    reason = F.when(F.col("value").isNotNull() & F.col("e.op").isNull(), "envelope is unreadable") \
+        .when(carries & F.col("e.after").isNull(), "row image is missing or unreadable")
+    if "total_amount" in image.fieldNames():
+        reason = reason.when(carries & unread_amount(F.col("e.after.total_amount")).isNotNull(),
+                             "total_amount is unreadable")
+    return rows.withColumn("reject_reason", reason)
+
+
+def rejected_changes(values: DataFrame, image=None) -> DataFrame:
+    """(value, reject_reason) of the records that can't be applied: broken envelopes, missing row
+    images, amounts that aren't numbers or don't fit (S9, C4)."""
+    return read_envelopes(values, image or PURCHASE_ROW_IMAGE).where("reject_reason is not null") \
+        .select("value", "reject_reason")
+
+
+def _flatten(values: DataFrame, image) -> DataFrame:
+    rows = read_envelopes(values, image).where(
+        F.col("e.op").isin(*CDC_ROW_OPS) & F.col("reject_reason").isNull())
     broker_time = (F.col("_broker_time") if "timestamp" in values.columns
                    else F.timestamp_millis(F.col("e.ts_ms")))
     broker_offset = (F.col("_broker_offset") if "offset" in values.columns
                      else F.col("e.source.lsn"))
-    return rows.select("e.after.*", F.date_trunc("second", broker_time).alias("kafka_time"),
+    columns = [read_amount(F.col("e.after.total_amount")).alias(c) if c == "total_amount"
+               else F.col(f"e.after.{c}") for c in image.fieldNames()]
+    return rows.select(*columns, F.date_trunc("second", broker_time).alias("kafka_time"),
                        broker_offset.cast("bigint").alias("kafka_offset"))
 
 

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from funnelspark.functions.columns import array_as_text
-from funnelspark.schemas import (PURCHASE_EVENT_JSON, RAW_PURCHASE_NOT_NULL, RAW_WEB_NOT_NULL,
+from funnelspark.schemas import (MONEY, PURCHASE_EVENT_JSON, RAW_PURCHASE_NOT_NULL, RAW_WEB_NOT_NULL,
                                  WEB_EVENT_JSON)
 
 ISO_TIME_OUT = "yyyy-MM-dd'T'HH:mm:ss.SSSXXX"
@@ -38,12 +38,35 @@ def parse_once(parsed: Column) -> Column:
     return F.explode(F.array(parsed))
 
 
+#: An amount as JSON number or text; signs, digits, one point, an exponent.
+AMOUNT = r"^\s*[+-]?(?:[0-9]+(?:\.[0-9]*)?|\.[0-9]+)(?:[eE][+-]?[0-9]+)?\s*$"
+#: Why an amount isn't read, and its text (NULL for an amount that is read).
+UNREAD_AMOUNT = "unread_total_amount"
+
+
+def read_amount(text: Column) -> Column:
+    """An amount from its text, NULL unless the whole text is a number that fits; the
+    JSON parser would take ``12,50`` for 1250."""
+    return F.when(text.rlike(AMOUNT), F.trim(text).try_cast(MONEY))
+
+
+def unread_amount(text: Column) -> Column:
+    """The text of an amount that isn't NULL and isn't read."""
+    return F.when(text.isNotNull() & read_amount(text).isNull(), text)
+
+
+def with_text_amount(schema: T.StructType) -> T.StructType:
+    """The schema with ``total_amount`` as text, to be read by ``read_amount``."""
+    return T.StructType([T.StructField(f.name, T.StringType()) if f.name == "total_amount" else f
+                         for f in schema.fields])
+
+
 def parse_records(values: DataFrame, schema: T.StructType, keep: list[str] | None = None,
-                  unread: str | None = None) -> DataFrame:
+                  unread: bool = False) -> DataFrame:
     """Parse ``value`` with ``schema``; drop unparsable records; keep other columns listed.
-    ``unread`` names a field: the column ``unread_<field>`` then holds the text of a value
-    that doesn't fit the field's type."""
-    with_corrupt = T.StructType(schema.fields + [T.StructField(CORRUPT, T.StringType())])
+    ``total_amount`` is read strictly; with ``unread`` the column ``unread_total_amount`` holds the
+    text of an amount that couldn't be read."""
+    with_corrupt = T.StructType(with_text_amount(schema).fields + [T.StructField(CORRUPT, T.StringType())])
     # No explicit time format: the default parser reads any ISO-8601 time.
     parsed = F.from_json(F.col("value"), with_corrupt,
                          {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
@@ -53,11 +76,11 @@ def parse_records(values: DataFrame, schema: T.StructType, keep: list[str] | Non
         cond = F.col(f"r.{f.name}").isNull()
         all_null = cond if all_null is None else (all_null & cond)
     garbage = F.col(f"r.{CORRUPT}").isNotNull() & all_null
-    extra = [] if unread is None else [
-        F.when(F.col(f"r.{CORRUPT}").isNotNull() & F.col(f"r.{unread}").isNull(),
-               F.get_json_object(f"r.{CORRUPT}", f"$.{unread}")).alias(f"unread_{unread}")]
-    return rows.filter(~garbage).select(*[F.col(f"r.{f.name}") for f in schema.fields],
-                                        *extra, *(keep or []))
+    amount = F.col("r.total_amount") if "total_amount" in schema.fieldNames() else None
+    extra = [unread_amount(amount).alias(UNREAD_AMOUNT)] if unread else []
+    return rows.filter(~garbage).select(
+        *[read_amount(amount).alias(f.name) if f.name == "total_amount" else F.col(f"r.{f.name}")
+          for f in schema.fields], *extra, *(keep or []))
 
 
 def parse_web_events(values: DataFrame, processed_at: Column | None = None) -> DataFrame:
@@ -67,19 +90,15 @@ def parse_web_events(values: DataFrame, processed_at: Column | None = None) -> D
                            processed_at if processed_at is not None else F.current_timestamp())
 
 
-def parse_purchase_records(values: DataFrame) -> DataFrame:
+def parse_purchase_records(values: DataFrame, unread: bool = False) -> DataFrame:
     """Purchase JSON → the stream record (array product ids), missing fields tolerated."""
-    return parse_records(values, PURCHASE_EVENT_JSON)
-
-
-#: Text of an amount that doesn't fit the landing type.
-UNREAD_AMOUNT = "unread_total_amount"
+    return parse_records(values, PURCHASE_EVENT_JSON, unread=unread)
 
 
 def parse_landed_purchases(values: DataFrame, processed_at: Column | None = None) -> DataFrame:
     """Purchase JSON → landed rows that still show an amount that couldn't be read, so
     that ``split_purchases`` rejects it instead of landing a NULL amount."""
-    return land_purchases(parse_records(values, PURCHASE_EVENT_JSON, unread="total_amount"), processed_at)
+    return land_purchases(parse_records(values, PURCHASE_EVENT_JSON, unread=True), processed_at)
 
 
 def land_purchases(records: DataFrame, processed_at: Column | None = None) -> DataFrame:
