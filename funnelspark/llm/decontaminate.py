@@ -9,7 +9,10 @@ two words, and direct comparison of the words confirms the occurrence.
 
 The documents are scanned in place: no shuffle.  The benchmark reaches the
 tasks in blocks of at most about ``block_bytes`` of text, so what is broadcast
-at once is bounded however large the benchmark is.
+at once is bounded however large the benchmark is.  With several blocks the
+texts are read once for each and only the hits are written (by a hash of the
+text: equal texts have equal hits); they are joined to the documents at the end,
+so no document is rewritten for a block.
 
 Defined cases: a null or word-less document has no words and no hits (one row
 all the same); items with a null id or without words are left out; rows that
@@ -25,7 +28,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from funnelspark.llm.common import column_ddl, columns_of, materialize, text_bytes
+from funnelspark.llm.common import (Workspace, column_ddl, columns_of, materialize, text_bytes,
+                                    unused)
 
 WINDOW_WORDS = 13
 #: Share of hit words from which a document counts as contaminated.
@@ -111,15 +115,18 @@ def merge_spans(spans: Iterable[tuple[int, int]]) -> list[tuple[int, int]]:
 
 
 def benchmark_blocks(benchmark: DataFrame, id_col: str, text_col: str,
-                     block_bytes: int) -> Iterator[list[tuple[str, str]]]:
-    """The items as (id text, text) in blocks of about ``block_bytes``."""
+                     block_bytes: int) -> tuple[int, Iterator[list[tuple[str, str]]]]:
+    """How many blocks of about ``block_bytes`` the items make, and the blocks as (id text, text)."""
     items = benchmark.select(F.col(id_col).cast("string").alias("i"), F.col(text_col).alias("t")) \
         .where("i is not null and t is not null")
     total = items.agg(F.sum(F.octet_length("t"))).first()[0] or 0
     n_blocks = -(-total // block_bytes) or 1
-    for block in range(n_blocks):
-        part = items.where(F.pmod(F.xxhash64("i", "t"), F.lit(n_blocks)) == block)
-        yield [(r.i, r.t) for r in part.toLocalIterator()]
+
+    def blocks():
+        for block in range(n_blocks):
+            part = items.where(F.pmod(F.xxhash64("i", "t"), F.lit(n_blocks)) == block)
+            yield [(r.i, r.t) for r in part.toLocalIterator()]
+    return n_blocks, blocks()
 
 
 _HIT_FIELDS = (("n_words", pa.int64(), "long"), ("hit_starts", pa.list_(pa.int32()), "array<int>"),
@@ -137,30 +144,85 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, text_col: str = "t
     fields = [(prefix + n, t, sql) for n, t, sql in _HIT_FIELDS]
     out = docs.drop(*[n for n, _, _ in fields])
     schema = ", ".join(column_ddl(out) + [f"`{n}` {sql}" for n, _, sql in fields])
-    first = True
-    for items in benchmark_blocks(benchmark, item_col, item_text_col, block_bytes):
-        if not first and not items:
-            continue
-        if not first:
-            out = materialize(out, "decontaminate")
-        out = out.mapInArrow(_scanner(spark.sparkContext.broadcast(items), text_col, fields, first),
-                             schema)
-        first = False
-    return out
+    n_blocks, blocks = benchmark_blocks(benchmark, item_col, item_text_col, block_bytes)
+    if n_blocks == 1:
+        return out.mapInArrow(_scanner(spark.sparkContext.broadcast(next(blocks)), text_col, fields), schema)
+    keys = [unused(out, n) for n in ("_text_1", "_text_2")]
+    by_text = out.withColumns(dict(zip(keys, _text_hash(text_col))))
+    hits = _hits_of_blocks(out.select(F.col(f"`{text_col}`").alias("text")), blocks)
+    names = [unused(out, n) for n in ("_starts", "_ends", "_items")]
+    joined = by_text.join(hits.toDF(*keys, *names), keys, "left").drop(*keys)
+    return joined.mapInArrow(_merger(text_col, fields, names), schema)
+
+
+def _text_hash(text_col: str) -> list:
+    """128 bits for a text."""
+    text = F.col(f"`{text_col}`")
+    return [F.xxhash64(text), F.xxhash64(text, F.lit(1))]
+
+
+def _hits_of_blocks(texts: DataFrame, blocks) -> DataFrame:
+    """(h1, h2, starts, ends, items) of each different text with hits, of all blocks."""
+    spark, work, found = texts.sparkSession, Workspace(texts.sparkSession), None
+    hashes = [h.alias(n) for h, n in zip(_text_hash("text"), ("h1", "h2"))]
+    try:
+        for items in blocks:
+            held = spark.sparkContext.broadcast(items)
+            hits = work.save(texts.select("text", *hashes).mapInArrow(_hit_scanner(held), _HITS)
+                             .dropDuplicates(["h1", "h2"]), "decontaminate-block")
+            held.unpersist()
+            found = hits if found is None else found.unionByName(hits)
+        merged = found.groupBy("h1", "h2").agg(*[F.flatten(F.collect_list(c)).alias(c)
+                                                 for c in ("starts", "ends", "items")])
+        return materialize(merged, "decontaminate-hits")
+    finally:
+        work.close()
+
+
+_HITS = "h1 long, h2 long, starts array<int>, ends array<int>, items array<string>"
+
+
+def _hit_scanner(items):
+    def run(batches):
+        searchers = build_searchers(items.value)
+        for batch in batches:
+            rows = [[], [], [], []]
+            for i, text in enumerate(batch.column("text").to_pylist()):
+                spans, ids = scan(words_of(text), searchers)
+                if spans:
+                    for column, value in zip(rows, (i, [s for s, _ in spans], [e for _, e in spans], sorted(ids))):
+                        column.append(value)
+            take = pa.array(rows[0], pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("h1").take(take), batch.column("h2").take(take), pa.array(rows[1], pa.list_(pa.int32())),
+                 pa.array(rows[2], pa.list_(pa.int32())), pa.array(rows[3], pa.list_(pa.string()))],
+                ["h1", "h2", "starts", "ends", "items"])
+    return run
+
+
+def _merger(text_col: str, fields, names: list[str]):
+    """The hits of all blocks as the columns of ``find_contamination``."""
+    def run(batches):
+        for batch in batches:
+            starts, ends, items = (batch.column(n).to_pylist() for n in names)
+            spans = [merge_spans(zip(s or (), e or ())) for s, e in zip(starts, ends)]
+            rows = ([len(words_of(t)) for t in batch.column(text_col).to_pylist()],
+                    [[s for s, _ in x] for x in spans], [[e for _, e in x] for x in spans],
+                    [sorted(set(x or ())) for x in items])
+            new = {n: pa.array(v, t) for (n, t, _), v in zip(fields, rows)}
+            cols = {n: batch.column(n) for n in batch.schema.names if n not in new and n not in names}
+            yield pa.RecordBatch.from_pydict(cols | new)
+    return run
 
 
-def _scanner(items, text_col: str, fields, first: bool):
+def _scanner(items, text_col: str, fields):
     def run(batches):
         searchers = build_searchers(items.value)
         for batch in batches:
             rows = [[], [], [], []]
-            old = None if first else [batch.column(n).to_pylist() for n, _, _ in fields]
-            for i, text in enumerate(batch.column(text_col).to_pylist()):
+            for text in batch.column(text_col).to_pylist():
                 words = words_of(text)
                 spans, ids = scan(words, searchers)
-                if old:
-                    spans = merge_spans([*spans, *zip(old[1][i], old[2][i])])
-                    ids = ids | set(old[3][i])
                 for column, value in zip(rows, (len(words), [s for s, _ in spans],
                                                 [e for _, e in spans], sorted(ids))):
                     column.append(value)

@@ -73,3 +73,25 @@ def test_shift_never_jumps_over_a_window():
         got = {(s, e) for s, e, _ in decontaminate.WuManber(windows, length).find(words)}
         assert got == {(i, i + length) for i in range(len(words) - length + 1)
                        if tuple(words[i:i + length]) in windows}
+
+
+def test_a_benchmark_of_five_blocks_rewrites_no_document(spark, monkeypatch):
+    items = [(i, f"{ITEM} number {i} " + " ".join(f"w{i}x{j}" for j in range(12))) for i in range(20)]
+    docs = TEXTS + [(100 + i, f"before {t} after") for i, t in items] + [(200, " ".join(t for _, t in items))] * 3
+    frame = spark.createDataFrame(items, "item_id long, text string")
+    size = sum(len(t) for _, t in items) // 5 + 1
+    assert decontaminate.benchmark_blocks(frame, "item_id", "text", size)[0] == 5
+    written = []
+    for target, name in ((decontaminate.Workspace, "save"), (decontaminate, "materialize")):
+        whole = getattr(target, name)
+
+        def recorded(*args, whole=whole):
+            df = next(a for a in args if hasattr(a, "columns"))
+            written.append((set(df.columns), df.count()))
+            return whole(*args)
+        monkeypatch.setattr(target, name, recorded)
+    got = decontaminate.contamination_report(spark.createDataFrame(docs, DOCS).repartition(3), frame, block_bytes=size)
+    key = lambda r: tuple(str(x) for x in r)
+    assert sorted((tuple(r) for r in got.collect()), key=key) == sorted(expected(docs, items), key=key)
+    assert len(written) == 6 and all(c == {"h1", "h2", "starts", "ends", "items"} for c, _ in written)
+    assert written[-1][1] == 23      # the different texts with hits
