@@ -4,7 +4,15 @@ decontamination, secrets, tokens.
 Each stage takes (spark, docs, sf_dir), works on all that the one before kept,
 and returns documents (the last one: token counts and digests).  ``run``
 applies them; what a stage returns is written to the shared folder and read
-again, so a lost executor repeats one stage at most.
+again, so a lost executor repeats one stage at most, and the copy that the stage
+before left is deleted.
+
+Defined cases, for every stage: a null or empty text is scored as an empty text, is linked
+with nothing, contaminated with nothing, holds no secret and has no tokens; a null id is kept
+(and never a partner); repeated rows are judged alike and all stay or go, but for the
+near-duplicate stage, where rows of one id stay unless their text is linked with that of a
+smaller id; columns beside those of documents, whatever their names, are carried along up to
+the last stage; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -13,7 +21,7 @@ import public_tokenizers as tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from funnelspark.llm import bpe, decontaminate, jaccard, quality, secret_scan
-from funnelspark.llm.common import materialize, prepare, table
+from funnelspark.llm.common import Workspace, prepare, table
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 
@@ -63,9 +71,13 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages applied to ``documents``."""
     prepare(spark)
-    docs = table(spark, sf_dir, "documents")
+    docs, before = table(spark, sf_dir, "documents"), None
     for i, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if i < len(STAGES) - 1:
-            docs = materialize(docs, f"pipeline-{name}")
+            now = Workspace(spark)
+            docs = now.save(docs, f"pipeline-{name}")
+            if before is not None:
+                before.close()
+            before = now
     return docs
