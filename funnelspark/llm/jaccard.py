@@ -20,8 +20,8 @@ documents link when ``100 |A & B| >= 80 |A | B|``; then at most
   contracted to components.  Then, in rounds while links between components are
   found, every document of a block whose documents are in several components is
   compared with the document of another component that most links were confirmed
-  for, and each component with its neighbours in the block: a linear number of
-  pairs for each round.  A group of near copies is one component after a few rounds.
+  for, and each component with its neighbours in the block (of each kind, with the two
+  partners met in most blocks): a linear number of pairs for each round.  A group of near copies is one component after a few rounds.
   Pairs of one block that are still in different components are then all tested: by
   the Hamming distance of parity sketches inside the join, and by exact
   intersection after it.  So no link between components is lost and the pairs
@@ -343,7 +343,7 @@ def _text_components(docs: DataFrame, id_col: str, text_col: str, work: Workspac
     near = lambda met: _near(met, sketches)
 
     # Of the partners that a node meets as neighbours in its blocks, the two whose sketches are nearest.
-    met = _met(shared, ("p", "f"))
+    met = _met(shared, ("p", "f")).distinct()
     best = near(met).groupBy("node", "kind").agg(F.min(F.struct("distance", "other")).alias("x")) \
         .select(F.greatest("node", "x.other").alias("a"), F.least("node", "x.other").alias("b")).distinct()
     tried = work.save(best, "jaccard-pairs")
@@ -358,7 +358,7 @@ def _text_components(docs: DataFrame, id_col: str, text_col: str, work: Workspac
                         "label", ["node", "n"])
         apart = work.save(apart, "jaccard-apart")
         rows = work.save(labelled.join(apart.select("token").distinct(), "token"), "jaccard-open")
-        pairs = near(_met(apart, ("p", "f")).unionByName(_hub_pairs(rows, links))) \
+        pairs = near(_closest(_met(apart, ("p", "f")).unionByName(_hub_pairs(rows, links)))) \
             .select(F.greatest("node", "other").alias("a"), F.least("node", "other").alias("b")).distinct()
         pairs = work.save(pairs.join(tried, ["a", "b"], "left_anti"), "jaccard-pairs")
         fresh = work.save(_verify(pairs, texts), "jaccard-links")
@@ -389,13 +389,26 @@ def _text_components(docs: DataFrame, id_col: str, text_col: str, work: Workspac
 
 
 def _met(rows: DataFrame, links: Sequence[str]) -> DataFrame:
-    """(node, n, other, m, kind) of rows of ``_shared`` and the rows they are linked with."""
+    """(node, n, other, m, kind) of rows of ``_shared`` and the rows they are linked with: a row
+    for each block in which they meet."""
     out = None
     for kind, link in enumerate(links):
         part = rows.select("node", "n", F.col(f"{link}_node").alias("other"), F.col(f"{link}_n").alias("m"),
                            F.lit(kind).alias("kind"))
         out = part if out is None else out.unionByName(part)
-    return out.where("other is not null and other <> node").where(_similar_size("n", "m")).distinct()
+    return out.where("other is not null and other <> node").where(_similar_size("n", "m"))
+
+
+#: Partners of each kind that a node is compared with in a round.
+CLOSEST = 2
+
+
+def _closest(met: DataFrame) -> DataFrame:
+    """Of each kind, the partners that a node meets in most blocks.  A round needs no others: what
+    it leaves out is met again in the next one, or when all pairs are tested."""
+    counted = met.groupBy("node", "n", "other", "m", "kind").agg(F.count("*").alias("blocks"))
+    order = Window.partitionBy("node", "kind").orderBy(F.desc("blocks"), "other")
+    return counted.withColumn("_r", F.row_number().over(order)).where(F.col("_r") <= CLOSEST).drop("_r", "blocks")
 
 
 def _near(met: DataFrame, sketches: DataFrame) -> DataFrame:
@@ -426,7 +439,7 @@ def _hub_pairs(rows: DataFrame, links: DataFrame) -> DataFrame:
     hub = F.when(F.col("hub1.label") != F.col("label"), F.col("hub1.hub")).otherwise(F.col("hub2.hub"))
     return own.select("node", "n", hub.alias("hub")).where("hub is not null") \
         .select("node", "n", F.col("hub.node").alias("other"), F.col("hub.n").alias("m"), F.lit(2).alias("kind")) \
-        .where(_similar_size("n", "m")).distinct()
+        .where(_similar_size("n", "m"))
 
 
 def _merged(labels: DataFrame, links: DataFrame, work: Workspace) -> DataFrame:
