@@ -20,7 +20,7 @@ documents link when ``100 |A & B| >= 80 |A | B|``; then at most
   contracted to components.  Then, in rounds while links between components are
   found, every document of a block whose documents are in several components is
   compared with the document of another component that most links were confirmed
-  for, and each component with its neighbours in the block (of each kind, with the two
+  for, and each component with its neighbours in the block (of each kind, with the eight
   partners met in most blocks): a linear number of pairs for each round.  A group of near copies is one component after a few rounds.
   Pairs of one block that are still in different components are then all tested: by
   the Hamming distance of parity sketches inside the join, and by exact
@@ -400,7 +400,7 @@ def _met(rows: DataFrame, links: Sequence[str]) -> DataFrame:
 
 
 #: Partners of each kind that a node is compared with in a round.
-CLOSEST = 2
+CLOSEST = 8
 
 
 def _closest(met: DataFrame) -> DataFrame:
