@@ -15,15 +15,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from funnelspark.functions.columns import as_timestamp, days_between, sentinel_time
-from funnelspark.schemas import FUNNEL_COLUMNS, MONEY_SUM
-
-WEB_COUNTS = ("total_web_events", "unique_pages_visited", "sessions", "total_page_views",
-              "total_add_to_carts", "total_searches", "total_product_views")
-PURCHASE_COUNTS = ("total_orders", "orders_last_30_days", "processing_orders", "shipped_orders",
-                   "cancelled_orders", "returned_orders", "completed_orders", "num_products")
-MONEY_COLUMNS = ("total_spend_usd", "spend_last_30_days_usd")
-TIME_COLUMNS = ("first_web_activity_timestamp", "last_web_activity_timestamp",
-                "first_purchase_timestamp", "last_purchase_timestamp")
+from funnelspark.schemas import (FUNNEL_COLUMNS, MONEY_COLUMNS, MONEY_SUM, PURCHASE_COUNTS, TIME_COLUMNS,
+                                 WEB_COUNTS)
 
 
 def _zero_filled(name: str) -> F.Column:
