@@ -49,9 +49,9 @@ def write_bucketed(df: DataFrame, path: str, buckets: int) -> None:
 
 
 def open_bucketed(spark: SparkSession, schema: str, path: str, buckets: int) -> DataFrame:
-    name = f"level_{uuid.uuid4().hex}"
+    name, quoted = f"level_{uuid.uuid4().hex}", path.replace("\\", "\\\\").replace("'", "\\'")
     spark.sql(f"CREATE TABLE {name} ({schema}) USING parquet CLUSTERED BY (`{KEY}`) "
-              f"SORTED BY (`{KEY}`) INTO {buckets} BUCKETS LOCATION '{path}'")
+              f"SORTED BY (`{KEY}`) INTO {buckets} BUCKETS LOCATION '{quoted}'")
     try:
         return spark.table(name)
     finally:
