@@ -1,7 +1,12 @@
-"""Token counts that follow edits: an edited document gets a segment tree over
-its pre-tokens, and its edits re-encode only what they can have changed.  Other
-documents get a plain count.  Trees aren't kept between calls: each call counts
-every whole text once, and ``n_reencoded`` is the work of the edits only.
+"""Token counts that follow edits: a table keeps the leaves of each document's segment
+tree over its pre-tokens, and a batch of edits re-encodes only what it can have changed.
+
+``trees`` writes the leaves once for a text; ``apply_edits`` joins the edited documents
+with their leaves, builds the trees above them, replaces touched leaves and returns the
+changed texts with their new leaves, to which the next batch applies.  Documents without
+edits aren't encoded again: their count is the sum kept with their leaves.  Leaves are
+found by the id and a 64-bit hash of the text, so rows of one id with other texts are
+kept apart.
 
 A tree's leaves are runs of pre-tokens (``LEAF_TOKENS`` at most) with their
 length in characters and their token count; inner nodes hold the sums.  Edits
@@ -17,7 +22,8 @@ Defined cases: a null text counts as empty; edits with a null id, start or end
 are ignored; starts and ends are clamped to the text; a null replacement
 deletes; of overlapping edits of a document the one that starts first holds
 (then the longer, then the smaller replacement) and those it overlaps are
-ignored; repeated edits count once; repeated documents give one row each;
+ignored; repeated edits count once; repeated documents give one row each (where a column
+holds their edits, the smallest list of those of one id and text holds for all);
 edits of unknown documents are ignored; other columns are ignored.
 """
 
@@ -29,6 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from funnelspark.llm.bpe import WordEncoder, load_ranks
+from funnelspark.llm.common import Workspace, materialize
 
 LEAF_TOKENS = 64
 #: Characters behind a pre-token that decide where it ends (contractions look two ahead).
@@ -88,6 +95,11 @@ class SegmentTree:
     def total(self) -> int:
         return self.tokens[1]
 
+    def leaves(self) -> list[tuple[int, int]]:
+        """(characters, tokens) of the leaves that hold text."""
+        both = zip(self.chars[self.size:], self.tokens[self.size:])
+        return [leaf for leaf in both if leaf[0]]
+
     def leaf_at(self, offset: int) -> tuple[int, int]:
         """(leaf, its first character) of the leaf that holds a character."""
         i, start = 1, 0
@@ -123,20 +135,27 @@ class SegmentTree:
             dirty = {i // 2 for i in dirty if i > 1}
 
 
+def leaves_of(words: list[str], counter: Counter) -> list[tuple[int, int]]:
+    """(characters, tokens) of each run of ``LEAF_TOKENS`` pre-tokens."""
+    out = []
+    for i in range(0, len(words), LEAF_TOKENS):
+        part = words[i:i + LEAF_TOKENS]
+        out.append((sum(map(len, part)), counter.count(part)))
+    return out
+
+
 class Document:
-    """Text and segment tree of one document."""
+    """Text and segment tree of one document; the leaves are those kept, if given."""
 
-    def __init__(self, text: str, counter: Counter):
+    def __init__(self, text: str, counter: Counter, leaves: list[tuple[int, int]] | None = None):
         self.text, self.counter = text, counter
         self.reencoded = 0
-        self.tree = SegmentTree(self._leaves(counter.cut.findall(text)))
+        if leaves is None:
+            leaves = self._leaves(counter.cut.findall(text))
+        self.tree = SegmentTree(leaves)
 
     def _leaves(self, words):
-        out = []
-        for i in range(0, len(words), LEAF_TOKENS):
-            part = words[i:i + LEAF_TOKENS]
-            out.append((sum(map(len, part)), self.counter.count(part)))
-        return out
+        return leaves_of(words, self.counter)
 
     def _first_char(self, leaf: int) -> int:
         """First character of a leaf: the sum of all before it."""
@@ -188,53 +207,135 @@ def pick_edits(edits: list[tuple[int, int, str]], length: int) -> list[tuple[int
     return out
 
 
-def edited_counts(docs: DataFrame, edits: DataFrame | None, ranks_file: str, pattern: str,
-                  id_col: str = "doc_id", text_col: str = "text",
-                  edits_col: str | None = None) -> DataFrame:
-    """One row per document row: doc_id, n_tokens (before), n_edits, n_tokens_after,
-    n_reencoded (tokens counted again for the edits), n_chars_after.
+_EDITS = "array<struct<start:int,end:int,replacement:string>>"
 
-    ``edits`` has rows (id, start, end, replacement); or ``edits_col`` names a
-    column of ``docs`` that holds them as array<struct<start,end,replacement>>,
-    which needs no join."""
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"),
-                       (F.col(edits_col) if edits_col else F.lit(None)
-                        .cast("array<struct<start:int,end:int,replacement:string>>")).alias("edits"))
-    if edits is not None:
-        listed = edits.where(F.col(id_col).isNotNull() & F.col("start").isNotNull()
-                             & F.col("end").isNotNull()) \
-            .groupBy(F.col(id_col).alias("doc_id")) \
-            .agg(F.collect_set(F.struct(F.col("start").cast("int").alias("start"),
-                                        F.col("end").cast("int").alias("end"),
-                                        "replacement")).alias("given"))
-        rows = rows.join(listed, "doc_id", "left").select("doc_id", "text", F.col("given").alias("edits"))
+
+def _hashed(docs: DataFrame, id_col: str, text_col: str, *more) -> DataFrame:
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    return docs.select(F.col(id_col).alias("doc_id"), text.alias("text"),
+                       F.xxhash64(text).alias("text_hash"), *more)
+
+
+def trees(docs: DataFrame, ranks_file: str, pattern: str, id_col: str = "doc_id",
+          text_col: str = "text") -> DataFrame:
+    """One row per document row: doc_id, text_hash, the leaves (chars, tokens) of its tree,
+    and their sums n_chars, n_tokens.  To be written and kept."""
+    rows = _hashed(docs, id_col, text_col)
+    id_type = rows.schema["doc_id"].dataType.simpleString()
+
+    def run(batches):
+        counter = Counter(ranks_file, pattern)
+        for batch in batches:
+            leaves = [leaves_of(counter.cut.findall(t), counter) for t in batch.column("text").to_pylist()]
+            chars, tokens = ([[leaf[side] for leaf in x] for x in leaves] for side in (0, 1))
+            yield pa.RecordBatch.from_pydict({
+                "doc_id": batch.column("doc_id"), "text_hash": batch.column("text_hash"),
+                "chars": pa.array(chars, pa.list_(pa.int32())), "tokens": pa.array(tokens, pa.list_(pa.int32())),
+                "n_chars": pa.array(map(sum, chars), pa.int64()),
+                "n_tokens": pa.array(map(sum, tokens), pa.int64())})
+    return rows.mapInArrow(run, f"doc_id {id_type}, text_hash long, chars array<int>, tokens array<int>, "
+                                "n_chars long, n_tokens long")
+
+
+def _same(left: DataFrame, right: DataFrame):
+    """Rows of one id (a null is equal to a null) and text."""
+    return left["doc_id"].eqNullSafe(right["doc_id"]) & (left["text_hash"] == right["text_hash"])
+
+
+def apply_edits(docs: DataFrame, kept: DataFrame, ranks_file: str, pattern: str, id_col: str = "doc_id",
+                text_col: str = "text", edits_col: str = "edits") -> DataFrame:
+    """The documents that edits change, once for each id and text: doc_id, text_hash (of the
+    text before), text, chars, tokens (text and leaves after), n_tokens (before), n_edits,
+    n_tokens_after, n_reencoded (tokens counted again), n_chars_after.
+
+    ``docs`` has its edits in ``edits_col``; ``kept`` holds the leaves of its texts, as ``trees``
+    or this function (by ``kept_after``) makes them.  Only edited texts are moved, and no text
+    is encoded but around its edits."""
+    rows = _hashed(docs, id_col, text_col, F.col(edits_col).cast(_EDITS).alias("edits")) \
+        .where(F.size("edits") > 0).groupBy("doc_id", "text_hash") \
+        .agg(F.min("text").alias("text"), F.min("edits").alias("edits"))
+    keys = rows.select("doc_id", "text_hash")
+    touched = kept.select("doc_id", "text_hash", "chars", "tokens")
+    touched = touched.join(keys, _same(touched, keys), "left_semi").dropDuplicates(["doc_id", "text_hash"])
+    both = rows.join(touched, _same(rows, touched)) \
+        .select(rows["doc_id"], rows["text_hash"], "text", "edits", "chars", "tokens")
     id_type = rows.schema["doc_id"].dataType.simpleString()
 
     def run(batches):
         counter = Counter(ranks_file, pattern)
         for batch in batches:
-            out = [[], [], [], [], []]
-            for text, given in zip(batch.column("text").to_pylist(), batch.column("edits").to_pylist()):
-                text = text or ""
+            out = {n: [] for n in ("text", "chars", "tokens", "n_tokens", "n_edits", "n_tokens_after",
+                                   "n_reencoded", "n_chars_after")}
+            for text, given, chars, tokens in zip(*(batch.column(c).to_pylist()
+                                                    for c in ("text", "edits", "chars", "tokens"))):
                 chosen = pick_edits([(e["start"], e["end"], e["replacement"] or "")
-                                     for e in given or () if e and e["start"] is not None
+                                     for e in given if e and e["start"] is not None
                                      and e["end"] is not None], len(text))
-                if not chosen:  # a tree is needed only where something is edited
-                    before = counter.count(counter.cut.findall(text))
-                    row = (before, 0, before, 0, len(text))
-                else:
-                    doc = Document(text, counter)
-                    before = doc.tree.total()
-                    for start, end, replacement in reversed(chosen):
-                        doc.edit(start, end, replacement)
-                    row = (before, len(chosen), doc.tree.total(), doc.reencoded, len(doc.text))
-                for column, value in zip(out, row):
+                doc = Document(text, counter, list(zip(chars, tokens)))
+                before = doc.tree.total()
+                for start, end, replacement in reversed(chosen):
+                    doc.edit(start, end, replacement)
+                leaves = doc.tree.leaves()
+                row = (doc.text, [c for c, _ in leaves], [t for _, t in leaves], before, len(chosen),
+                       doc.tree.total(), doc.reencoded, len(doc.text))
+                for column, value in zip(out.values(), row):
                     column.append(value)
-            names = ("n_tokens", "n_edits", "n_tokens_after", "n_reencoded", "n_chars_after")
-            yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id")} | {
-                n: pa.array(v, pa.int64()) for n, v in zip(names, out)})
-    return rows.mapInArrow(run, f"doc_id {id_type}, n_tokens long, n_edits long, "
-                                "n_tokens_after long, n_reencoded long, n_chars_after long")
+            kinds = [pa.string(), pa.list_(pa.int32()), pa.list_(pa.int32())] + [pa.int64()] * 5
+            yield pa.RecordBatch.from_pydict(
+                {"doc_id": batch.column("doc_id"), "text_hash": batch.column("text_hash")}
+                | {n: pa.array(v, kind) for (n, v), kind in zip(out.items(), kinds)})
+    return both.mapInArrow(run, f"doc_id {id_type}, text_hash long, text string, chars array<int>, "
+                                "tokens array<int>, n_tokens long, n_edits long, n_tokens_after long, "
+                                "n_reencoded long, n_chars_after long")
+
+
+def kept_after(changed: DataFrame) -> DataFrame:
+    """The leaves of changed texts, as ``trees`` would name them."""
+    return changed.select("doc_id", F.xxhash64("text").alias("text_hash"), "chars", "tokens",
+                          F.col("n_chars_after").alias("n_chars"), F.col("n_tokens_after").alias("n_tokens"))
+
+
+def edited_counts(docs: DataFrame, edits: DataFrame | None, ranks_file: str, pattern: str,
+                  id_col: str = "doc_id", text_col: str = "text",
+                  edits_col: str | None = None, kept: DataFrame | None = None) -> DataFrame:
+    """One row per document row: doc_id, n_tokens (before), n_edits, n_tokens_after,
+    n_reencoded (tokens counted again for the edits), n_chars_after.
+
+    ``edits`` has rows (id, start, end, replacement); or ``edits_col`` names a
+    column of ``docs`` that holds them as array<struct<start,end,replacement>>,
+    which needs no join.  ``kept`` are the trees of ``docs``; without them they are
+    made first."""
+    work = Workspace(docs.sparkSession)
+    try:
+        if kept is None:
+            kept = work.save(trees(docs, ranks_file, pattern, id_col, text_col), "token-trees")
+        if edits is not None:
+            listed = edits.where(F.col(id_col).isNotNull() & F.col("start").isNotNull()
+                                 & F.col("end").isNotNull()) \
+                .groupBy(F.col(id_col).alias("doc_id")) \
+                .agg(F.collect_set(F.struct(F.col("start").cast("int").alias("start"),
+                                            F.col("end").cast("int").alias("end"),
+                                            "replacement")).alias("edits"))
+            docs, id_col, text_col, edits_col = docs.select(
+                F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")) \
+                .join(listed, "doc_id"), "doc_id", "text", "edits"
+        sums = kept.select("doc_id", "text_hash", "n_tokens", "n_chars")
+        if edits_col is None:
+            nothing = F.lit(0).cast("long")
+            return materialize(sums.select(
+                "doc_id", "n_tokens", nothing.alias("n_edits"), F.col("n_tokens").alias("n_tokens_after"),
+                nothing.alias("n_reencoded"), F.col("n_chars").alias("n_chars_after")), "token-counts")
+        changed = work.save(apply_edits(docs, kept, ranks_file, pattern, id_col, text_col, edits_col)
+                            .select("doc_id", "text_hash", "n_edits", "n_tokens_after", "n_reencoded",
+                                    "n_chars_after"), "token-edits")
+        zero = F.lit(0).cast("long")
+        return materialize(sums.join(changed, _same(sums, changed), "left").select(
+            sums["doc_id"], "n_tokens", F.coalesce("n_edits", zero).alias("n_edits"),
+            F.coalesce("n_tokens_after", "n_tokens").alias("n_tokens_after"),
+            F.coalesce("n_reencoded", zero).alias("n_reencoded"),
+            F.coalesce("n_chars_after", "n_chars").alias("n_chars_after")), "token-counts")
+    finally:
+        work.close()
 
 
 #: What the redaction edits replace: mail addresses and quoted hexadecimal tokens.

@@ -4,7 +4,7 @@ import public_tokenizers as tokenizers
 
 from funnelspark.llm import queries, token_counts
 
-from .helpers import RANKS, SF_SMALL, reference_encoding
+from .helpers import DOCS, RANKS, SF_SMALL, reference_encoding
 
 PARTS = ["the ", "  ", "\n", "'s", "'", "re", "ll", " ", "a", "Ab", "12", "é", "!!", "ß ", "xxxxx", "\t",
          "日本", "😀", " 'll"]
@@ -60,3 +60,27 @@ def test_edge_rows(spark):
     assert got == [(0, 1, 0, 1), (1, 0, 1, count("new text")), (2, 0, 0, 0), (3, 3, 1, count("a c")),
                    (3, 3, 1, count("a c")), (4, 3, 1, count("one t"))]
     assert token_counts.edited_counts(docs.limit(0), edits, RANKS, tokenizers.PATTERN).count() == 0
+
+
+def test_next_batch_applies_to_kept_trees(spark):
+    encoding = reference_encoding()
+    texts = {1: "one two, three's four " * 200, 2: "not touched by any edit " * 300, 3: "", 4: "short", None: "no id 12 " * 90}
+    docs = spark.createDataFrame(list(texts.items()), DOCS)
+    kept = token_counts.trees(docs, RANKS, tokenizers.PATTERN)
+    sums = {r.doc_id: (r.n_tokens, sum(r.tokens), sum(r.chars)) for r in kept.collect()}
+    assert sums == {d: (len(encoding.encode_ordinary(t)),) * 2 + (len(t),) for d, t in texts.items()}
+    kind = "doc_id long, text string, edits array<struct<start:int,end:int,replacement:string>>"
+    for step in ({1: [(100, 130, "a'll b")], 3: [(0, 0, "new text")], None: [(5, 9, "")]},
+                 {1: [(90, 110, "x" * 40), (0, 3, "ONE")], 4: [(2, 2, " ")], 3: [(3, 8, "")]}):
+        batch = spark.createDataFrame([(d, texts[d], e) for d, e in step.items()], kind)
+        changed = token_counts.apply_edits(batch, kept, RANKS, tokenizers.PATTERN)
+        rows = {r.doc_id: r for r in changed.collect()}
+        assert rows.keys() == step.keys()
+        for d, edits in step.items():
+            for start, end, new in sorted(edits, reverse=True):
+                texts[d] = texts[d][:start] + new + texts[d][end:]
+            assert rows[d].text == texts[d] and sum(rows[d].chars) == len(texts[d])
+            assert rows[d].n_tokens_after == sum(rows[d].tokens) == len(encoding.encode_ordinary(texts[d]))
+        assert rows.get(1).n_reencoded < rows.get(1).n_tokens_after / 2
+        # The next batch reads the new leaves of what has changed, the old ones of the rest.
+        kept = kept.unionByName(token_counts.kept_after(changed))
