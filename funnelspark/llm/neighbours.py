@@ -294,9 +294,12 @@ def _total(bands: list[Band]) -> int:
 def _log_length(vector_col: str):
     """log2 of a vector's length, for any finite components."""
     v = F.col(vector_col)
-    largest = F.array_max(F.transform(v, F.abs))
-    return F.log2(largest) + 0.5 * F.log2(F.aggregate(
-        v, F.lit(0.0), lambda total, x: total + (x / largest) * (x / largest)))
+    # (largest, sum of squares divided by its square), the largest looked for once
+    start = F.struct(F.greatest(F.array_max(v), -F.array_min(v)).alias("largest"), F.lit(0.0).alias("total"))
+    return F.aggregate(
+        v, start, lambda at, x: F.struct(at["largest"].alias("largest"), (
+            at["total"] + (x / at["largest"]) * (x / at["largest"])).alias("total")),
+        lambda at: F.log2(at["largest"]) + 0.5 * F.log2(at["total"]))
 
 
 def _ranked(work, members: DataFrame, probing: DataFrame, k: int, slice_rows: int, part_rows: int) -> DataFrame:
