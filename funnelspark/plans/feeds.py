@@ -15,19 +15,27 @@ from pyspark.sql import functions as F
 from funnelspark.functions.columns import as_timestamp
 from funnelspark.operators import activity, marts, staging
 from funnelspark.schemas import PURCHASE_EVENT_JSON, WEB_EVENT_JSON
+from funnelspark.session import materialize
 from funnelspark.sources import json_feed, tables
 
 # Fixed run time of every batch query (the reference uses now()).
 AS_OF = dt.datetime(2024, 2, 1, 0, 0, 0)
 
 
-def raw_web(spark: SparkSession, sf_dir: str, redelivered: bool = True) -> DataFrame:
+def raw_web(spark: SparkSession, sf_dir: str, redelivered: bool = True, landed: bool = False) -> DataFrame:
+    """``landed``: for several runs over one feed, which is parsed and written once (before
+    the second delivery, so half of its rows are stored)."""
     raw = tables.web_events(spark, sf_dir)
+    if landed:
+        raw = materialize(raw, "landed-web")
     return tables.redelivered_web_events(raw) if redelivered else raw
 
 
-def raw_purchases(spark: SparkSession, sf_dir: str, redelivered: bool = True) -> DataFrame:
+def raw_purchases(spark: SparkSession, sf_dir: str, redelivered: bool = True, landed: bool = False) -> DataFrame:
+    """``landed``: as in ``raw_web``; the orders are joined with their lines once."""
     raw = tables.purchase_events(spark, sf_dir)
+    if landed:
+        raw = materialize(raw, "landed-purchases")
     return tables.redelivered_purchases(raw) if redelivered else raw
 
 

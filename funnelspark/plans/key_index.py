@@ -2,7 +2,8 @@
 
 For each part of a table the manifest holds the smallest and largest key and the path of a Bloom
 filter.  A filter is a table itself: keys fall into buckets by their hash, and a row holds the bits
-of one bucket (``WORDS`` longs), so filters of any size are built and asked in parallel.  A part is
+of one bucket (``WORDS`` longs), so filters of any size are built and asked in parallel: a key is
+moved once, to its bucket, whose bits are set there (about ``BUCKET_KEYS`` keys at once).  A part is
 opened only if its range and its filter answer, and then for the key column alone, which settles
 the filter's false answers (below one in a thousand for a key).
 """
@@ -11,6 +12,8 @@ from __future__ import annotations
 
 from dataclasses import asdict, dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,12 +43,15 @@ def _bucket(key: str, buckets: Column) -> Column:
     return F.pmod(F.xxhash64(key, F.lit(0)), buckets.cast("long"))
 
 
+def _first_and_step(key: str) -> tuple[Column, Column]:
+    size = F.lit(WORDS * 64)
+    return F.pmod(F.xxhash64(key, F.lit(1)), size), F.pmod(F.xxhash64(key, F.lit(2)), size)
+
+
 def _places(key: str) -> Column:
     """The bits of a key in its bucket."""
-    size = F.lit(WORDS * 64)
-    first = F.pmod(F.xxhash64(key, F.lit(1)), size)
-    step = F.pmod(F.xxhash64(key, F.lit(2)), size)
-    return F.array(*[F.pmod(first + F.lit(i) * step, size) for i in range(HASHES)])
+    first, step = _first_and_step(key)
+    return F.array(*[F.pmod(first + F.lit(i) * step, F.lit(WORDS * 64)) for i in range(HASHES)])
 
 
 def _bit(place: Column) -> Column:
@@ -61,20 +67,29 @@ def build(rows: DataFrame, key: str, part: str, path: str) -> dict[str, PartFilt
     if not sizes:
         return {}
     found = {r._part: (1 << max(0, (-(-r.n // BUCKET_KEYS) - 1)).bit_length(), r.low, r.high) for r in sizes}
-    counts = F.create_map(*[F.lit(x) for p, (b, _, _) in found.items() for x in (p, b)])
-    held = keys.withColumn("buckets", counts[F.col("_part")])
-    bits = held.select("_part", "buckets", _bucket("k", F.col("buckets")).alias("bucket"),
-                       F.explode(_places("k")).alias("place")) \
-        .select("_part", "buckets", "bucket", F.expr("place div 64").alias("word"), _bit(F.col("place")).alias("bit"))
-    group = ["_part", "buckets", "bucket"]
-    blank = spark.createDataFrame([(p, b) for p, (b, _, _) in found.items()], "_part string, buckets int") \
-        .select("_part", "buckets", F.explode(F.sequence(F.lit(0).cast("long"), F.col("buckets").cast("long") - 1)).alias("bucket")) \
-        .select(*group, F.explode(F.sequence(F.lit(0).cast("long"), F.lit(WORDS - 1).cast("long"))).alias("word"),
-                F.lit(0).cast("long").alias("bit"))
-    words = bits.unionByName(blank).groupBy(*group, "word").agg(F.expr("bit_or(bit)").alias("bits"))
-    words.groupBy(*group).agg(F.array_sort(F.collect_list(F.struct("word", "bits"))).alias("w")) \
-        .select("_part", "buckets", "bucket", F.col("w.bits").alias("bits")) \
-        .write.partitionBy("_part").parquet(path)
+    names = sorted(found)
+    number = F.create_map(*[F.lit(x) for i, p in enumerate(names) for x in (p, i)])
+    counts = F.array(*[F.lit(found[p][0]) for p in names])
+    held = keys.select(number[F.col("_part")].alias("number"), "k").withColumn("buckets", F.get(counts, F.col("number")))
+    first, step = _first_and_step("k")
+    places = held.select("number", "buckets", _bucket("k", F.col("buckets")).cast("int").alias("bucket"),
+                         first.cast("int").alias("first"), step.cast("int").alias("step"))
+    size, hashes = WORDS * 64, HASHES
+
+    def filled(keys: pa.Table) -> pa.Table:
+        one, by = (keys.column(c).to_numpy().astype(np.int64) for c in ("first", "step"))
+        bits = np.zeros(size, np.uint8)
+        for i in range(hashes):
+            bits[(one + i * by) % size] = 1
+        words = np.packbits(bits, bitorder="little").view("<i8")
+        return keys.slice(0, 1).select(["number", "buckets", "bucket"]).append_column(
+            "bits", pa.array([words], pa.list_(pa.int64())))
+
+    places.groupBy("number", "buckets", "bucket") \
+        .applyInArrow(filled, "number int, buckets int, bucket int, bits array<long>") \
+        .select(F.get(F.array(*[F.lit(p) for p in names]), F.col("number")).alias("_part"),
+                "buckets", F.col("bucket").cast("long").alias("bucket"), "bits") \
+        .hint("rebalance", "_part").write.partitionBy("_part").parquet(path)
     written = {n[6:]: f"{path}/{n}" for n in list_names(spark, path) if n.startswith("_part=")}
     return {p: PartFilter(written[p], *found[p]) for p in found}
 

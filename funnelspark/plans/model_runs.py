@@ -127,10 +127,11 @@ class Store:
         return self.spark.read.schema(df.schema).parquet(path)
 
     def save_parts(self, df: DataFrame, part, sort_by, name: str) -> dict[str, str]:
-        """One folder for each part, in the order of the table's key (S21); a large part
-        is several range-partitioned files."""
+        """One folder for each part, its files in the order of the table's key (S21).  Rows are
+        moved by part, and AQE splits large parts into several files and joins small ones in a
+        task, by measured size: ``df`` is computed once, not also for a sample."""
         path = self.new_path(name)
-        df.withColumn("_part", part).repartitionByRange("_part", *sort_by) \
+        df.withColumn("_part", part).hint("rebalance", "_part") \
             .sortWithinPartitions("_part", *sort_by).write.partitionBy("_part").parquet(path)
         return {n[6:]: f"{path}/{n}" for n in list_names(self.spark, path) if n.startswith("_part=")}
 
@@ -204,15 +205,18 @@ def stage_increment(prev: PartTable | None, raw: DataFrame, as_of, *, kind: str,
     k = KINDS[kind]
     if prev is not None:
         raw = inc.after_mark(raw, "_processed_at", mark or EPOCH_TIME)
-    batch = store.save(k.stage(raw, as_of), f"{kind}-batch")
-    top = inc.high_water_mark(batch, "stream_processed_at_utc", mark or EPOCH_TIME)
-    mark = max(top, mark or EPOCH_TIME)
-    if prev is None:
-        parts = store.save_parts(batch, k.part(), k.sort_by, f"stg-{kind}")
-        table = PartTable(store.spark, ddl_of(batch), parts)
+    staged = k.stage(raw, as_of)
+    new_mark = lambda rows: max(mark or EPOCH_TIME, inc.high_water_mark(
+        rows, "stream_processed_at_utc", mark or EPOCH_TIME))
+    if prev is None:   # the batch is the table
+        parts = store.save_parts(staged, k.part(), k.sort_by, f"stg-{kind}")
+        table = PartTable(store.spark, ddl_of(staged), parts)
+        rows = table.read()
         return (replace(table, index=_indexed(store, k, parts, table.schema)),
-                batch.select("customer_id").distinct(), mark)
+                rows.select("customer_id").distinct(), new_mark(rows))
 
+    batch = store.save(staged, f"{kind}-batch")
+    mark = new_mark(batch)
     keys = batch.select(k.key).distinct()
     changed = {r._part for r in batch.select(k.part()).distinct().collect()}
     if not k.part_fixed_by_key:  # a resent order may be in another part

@@ -255,14 +255,14 @@ def q_upsert_events(spark, sf_dir):
     """Staged web events built in two incremental runs
     (mark on ingestion time, only the days of the batch's keys rewritten)
     equal one full run."""
-    raw = feeds.raw_web(spark, sf_dir)
+    raw = feeds.raw_web(spark, sf_dir, landed=True)
     return _two_staging_runs(spark, feeds.processed_until(raw, SPLIT), raw, "web")
 
 
 @register("q_upsert_orders", O.with_ctes(_upto("stg_purchases"), "SELECT * FROM stg_purchases"))
 def q_upsert_orders(spark, sf_dir):
     """Staged purchases in two incremental runs."""
-    raw = feeds.raw_purchases(spark, sf_dir)
+    raw = feeds.raw_purchases(spark, sf_dir, landed=True)
     return _two_staging_runs(spark, feeds.processed_until(raw, SPLIT), raw, "purchases")
 
 
@@ -288,7 +288,8 @@ def q_upsert_resent_orders(spark, sf_dir):
 def _two_model_runs(spark, sf_dir, mode="touched"):
     """What had landed by SPLIT in a run at that time, the rest in a run at AS_OF; every
     tenth customer joins the profile file only before the second run (T10)."""
-    raw_w, raw_p = feeds.raw_web(spark, sf_dir), feeds.raw_purchases(spark, sf_dir)
+    raw_w, raw_p = model_runs.at_once(lambda: feeds.raw_web(spark, sf_dir, landed=True),
+                                      lambda: feeds.raw_purchases(spark, sf_dir, landed=True))
     prof = tables.customer_profiles(spark, sf_dir)
     early = prof.where(F.col("user_id").cast("bigint") % 10 != 0)
     first = model_runs.run_models(None, feeds.processed_until(raw_w, SPLIT),
@@ -316,14 +317,14 @@ def _two_activity_runs(spark, raw, kind, mode="touched"):
 def q_incremental_activity(spark, sf_dir):
     """M3, M8, M10, A12, A13 (default mode): the states of the batch's days made anew and
     their difference added to the totals; runs at two times equal one full run at the second."""
-    return _two_activity_runs(spark, feeds.raw_web(spark, sf_dir), "web")
+    return _two_activity_runs(spark, feeds.raw_web(spark, sf_dir, landed=True), "web")
 
 
 @register("q_incremental_purchases", O.with_ctes(_upto("pur_act"), "SELECT * FROM pur_act"))
 def q_incremental_purchases(spark, sf_dir):
     """Purchases per customer after runs at two times, with the trailing
     30 days of the second."""
-    return _two_activity_runs(spark, feeds.raw_purchases(spark, sf_dir), "purchases")
+    return _two_activity_runs(spark, feeds.raw_purchases(spark, sf_dir, landed=True), "purchases")
 
 
 @register("q_incremental_funnel", O.with_ctes(_upto("funnel"), "SELECT * FROM funnel"))
@@ -347,7 +348,7 @@ _REPLACED = O.replace_batch_ctes(SPLIT)
 def q_incremental_activity_replace(spark, sf_dir):
     """M3, M8, T5, T6 (compat mode): the second run aggregates only events past
     the global event-time mark and replaces those customers' rows."""
-    return _two_activity_runs(spark, feeds.raw_web(spark, sf_dir), "web", "replace_batch")
+    return _two_activity_runs(spark, feeds.raw_web(spark, sf_dir, landed=True), "web", "replace_batch")
 
 
 @register("q_incremental_funnel_replace", O.with_ctes(_REPLACED, "SELECT * FROM funnel_after"))

@@ -82,10 +82,11 @@ def order_products(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     The list is one field of one order record; its length is the order's line
     count, which the order-line key (order, line number) bounds, so the
-    per-order ``collect_list`` cannot grow with the data."""
-    li = read_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey")
+    per-order ``collect_list`` cannot grow with the data.  Lines are moved as
+    they are: lists of one or two of them, made before, would be no smaller."""
+    li = read_table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey").repartition("l_orderkey")
     return li.groupBy("l_orderkey").agg(
-        F.array_sort(F.collect_list(F.col("l_partkey").cast("string"))).alias("product_id_list"))
+        F.sort_array(F.collect_list(F.col("l_partkey").cast("string"))).alias("product_id_list"))
 
 
 def purchase_events(spark: SparkSession, sf_dir: str, as_stream_record: bool = False) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from funnelspark.operators import activity
 from funnelspark.plans import feeds, key_index, model_runs, warehouse
 from funnelspark.plans.keyed_table import GONE, KeyedTable, key_of
+from funnelspark.session import list_names
 
 from .conftest import SF_SMALL
 
@@ -281,3 +282,45 @@ def test_marts_are_read_at_the_time_of_the_committed_run(spark, tmp_dir):
         got = warehouse.load_models(spark, root).profiles
         want = feeds.profiles(spark, SF_SMALL, as_of=as_of)
         assert rows(got) == rows(want.select(*got.columns))
+
+
+# ----------------------------------------------------------------- work done once
+def test_a_feed_of_several_runs_is_made_once(spark):
+    """The second run reads the landed orders; it doesn't join them with their lines again."""
+    landed, made = feeds.raw_purchases(spark, SF_SMALL, landed=True), feeds.raw_purchases(spark, SF_SMALL)
+    plan = landed._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and "Aggregate" not in plan
+    assert landed.schema.simpleString() == made.schema.simpleString() and rows(landed) == rows(made)
+    web, parsed = feeds.raw_web(spark, SF_SMALL, landed=True), feeds.raw_web(spark, SF_SMALL)
+    assert "get_json_object" not in web._jdf.queryExecution().optimizedPlan().toString()
+    assert web.schema.simpleString() == parsed.schema.simpleString() and rows(web) == rows(parsed)
+
+
+def test_parts_are_written_from_one_computation(spark):
+    """No sample is taken of what is saved, and a first run doesn't store its batch apart."""
+    computed = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            computed.add(batch.num_rows)
+            yield batch
+    store = model_runs.Store(spark, buckets=2)
+    df = spark.range(500).select(F.concat(F.lit("k"), F.col("id") % 40).alias("k"), "id")
+    parts = store.save_parts(df.mapInArrow(counted, df.schema), F.col("k"), ("id",), "counted")
+    assert computed.value == 500 and len(parts) == 40
+    assert rows(spark.read.parquet(*parts.values()).select("id")) == rows(df.select("id"))
+    held = [r.id for r in spark.read.parquet(parts["k7"]).collect()]
+    assert held == sorted(held)
+    first = spark.createDataFrame([event("u", "2024-01-01 09:00:00"), event("u", "2024-01-01 09:00:00")], WEB)
+    table, touched, mark = model_runs.stage_increment(None, first, AS_OF, kind="web", store=store)
+    assert not store.paths and table.read().count() == 1
+    assert rows(touched) == [("u",)] and mark.startswith("2024-01-01 09:00:00")
+
+
+def test_a_parts_filter_is_one_file(spark, tmp_dir):
+    held = spark.range(60_000).select(F.concat(F.lit("k"), "id").alias("k"), (F.col("id") % 3).cast("string").alias("p"))
+    for p, f in key_index.build(held, "k", "p", f"{tmp_dir}/filters").items():
+        assert len([n for n in list_names(spark, f.path) if n.endswith(".parquet")]) == 1
+        stored = spark.read.parquet(f.path)
+        assert stored.count() == f.buckets == 8
+        assert stored.where(F.size("bits") != key_index.WORDS).count() == 0
