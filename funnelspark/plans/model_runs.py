@@ -382,8 +382,9 @@ def past_mark(prev: DataFrame | None, fresh: DataFrame) -> DataFrame:
 
 def _replaced_marts(prev: Models, web: KindRun, orders: KindRun, profile_file: DataFrame, as_of,
                     store: Store) -> Models:
-    web_rows = store.save(replace_batch(prev.web_activity, web.stg.read(), as_of, kind="web"), "web_activity")
-    rows = store.save(replace_batch(prev.purchases, orders.stg.read(), as_of, kind="purchases"), "purchases")
+    web_rows, rows = at_once(
+        lambda: store.save(replace_batch(prev.web_activity, web.stg.read(), as_of, kind="web"), "web_activity"),
+        lambda: store.save(replace_batch(prev.purchases, orders.stg.read(), as_of, kind="purchases"), "purchases"))
     funnel = store.save(past_mark(prev.funnel, marts.marketing_funnel(web_rows, rows, as_of)), "funnel")
     customers = staging.stg_customers(profile_file, as_of)
     profiles = store.save(past_mark(prev.profiles, marts.profiles_ml(customers, funnel, as_of)), "profiles")
@@ -407,24 +408,28 @@ def run_models(prev: Models | None, raw_web: DataFrame, raw_purchases: DataFrame
     prev = prev or Models()
     store = store or Store(raw_web.sparkSession)
     if mode == "replace_batch":
-        runs = []
-        for kind, raw, before in (("web", raw_web, prev.web), ("purchases", raw_purchases, prev.orders)):
+        def staged(kind: str, raw: DataFrame, before: KindRun | None) -> KindRun:
             stg, _, mark = stage_increment(before and before.stg, raw, as_of, kind=kind, store=store,
                                            mark=before and before.mark, replace_only=True)
-            runs.append(KindRun(stg, mark))
-        models = _replaced_marts(prev, *runs, profile_file, as_of, store)
+            return KindRun(stg, mark)
+
+        web, orders = at_once(lambda: staged("web", raw_web, prev.web),
+                              lambda: staged("purchases", raw_purchases, prev.orders))
+        models = _replaced_marts(prev, web, orders, profile_file, as_of, store)
     else:
         web, orders, customers = at_once(
             lambda: kind_increment(prev.web, raw_web, as_of, kind="web", store=store),
             lambda: kind_increment(prev.orders, raw_purchases, as_of, kind="purchases", store=store),
             lambda: customers_increment(prev.customers, profile_file, as_of, store))
         models = with_marts(replace(prev, web=web, orders=orders, customers=customers), as_of)
-    # Both summaries read the profiles; the snapshots are small and appended as they are.
-    profiles = models.profiles.persist()
+    # Both summaries read the profiles, which the reference's runs have stored; the snapshots
+    # are small and appended as they are.
+    profiles = models.profiles if mode == "replace_batch" else models.profiles.persist()
     try:
         country = store.save(marts.country_summary(profiles, as_of), "country_snapshot")
         monthly = store.save(marts.monthly_summary(profiles, as_of), "monthly_snapshot")
     finally:
-        profiles.unpersist()
+        if profiles.is_cached:
+            profiles.unpersist()
     return replace(models, country_history=marts.append_snapshot(prev.country_history, country),
                    monthly_history=marts.append_snapshot(prev.monthly_history, monthly))

@@ -324,3 +324,16 @@ def test_a_parts_filter_is_one_file(spark, tmp_dir):
         stored = spark.read.parquet(f.path)
         assert stored.count() == f.buckets == 8
         assert stored.where(F.size("bits") != key_index.WORDS).count() == 0
+
+
+def test_the_references_run_stages_both_feeds_at_once(spark, monkeypatch):
+    steps, at_once = [], model_runs.at_once
+    monkeypatch.setattr(model_runs, "at_once", lambda *s: steps.append(len(s)) or at_once(*s))
+    web = spark.createDataFrame([event("u", "2024-01-01 09:00:00")], WEB)
+    orders = spark.createDataFrame([order("o", "u", "2024-01-01 09:00:00", "2024-01-01")], PURCHASES)
+    people = spark.createDataFrame([("u", dt.date(2023, 1, 1), "Free", "ads", "u@x", "DE")],
+                                   "user_id string, registration_date date, subscription_tier string, "
+                                   "acquisition_channel string, email string, country string")
+    got = model_runs.run_models(None, web, orders, people, AS_OF, mode="replace_batch")
+    assert steps == [2, 2]
+    assert [(r.customer_id, r.total_web_events, r.total_orders) for r in got.profiles.collect()] == [("u", 1, 1)]
