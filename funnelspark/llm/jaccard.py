@@ -21,7 +21,8 @@ documents link when ``100 |A & B| >= 80 |A | B|``; then at most
   found, every document of a block whose documents are in several components is
   compared with the document of another component that most links were confirmed
   for, and each component with its neighbours in the block: a linear number of
-  pairs for each round.  A group of near copies is one component after a few rounds.
+  pairs for each round (the last one is that which finds under one link for
+  LAST_ROUND nodes).  A group of near copies is one component after a few rounds.
   Pairs of one block that are still in different components are then all tested: by
   the Hamming distance of parity sketches inside the join, and by exact
   intersection after it.  So no link between components is lost and the pairs
@@ -58,6 +59,8 @@ FREQUENT = 16_384
 #: Longs of the shortest sketch, and shingles for each long of a longer one (at most).
 SKETCH_LONGS = 16
 SKETCH_SHINGLES = 32
+#: Nodes for each new link under which no further round follows (what is left is tested at once).
+LAST_ROUND = 200
 #: Bytes of text hashed at once.
 _GROUP_BYTES = 1 << 20
 
@@ -284,13 +287,17 @@ def _distance(a: str, b: str):
         n = F.size(y)
         halves = F.zip_with(F.slice(x, 1, n), F.slice(x, n + 1, n), lambda u, v: u.bitwiseXOR(v))
         return F.when(F.size(x) > n, halves).otherwise(F.col(x))
-    return F.aggregate(F.zip_with(as_long_as(a, b), as_long_as(b, a), lambda x, y: F.bit_count(x.bitwiseXOR(y))),
-                       F.lit(0), lambda acc, v: acc + v)
+    any_length = F.aggregate(F.zip_with(as_long_as(a, b), as_long_as(b, a),
+                                        lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda acc, v: acc + v)
+    shortest = F.bit_count(F.get(a, F.lit(0)).bitwiseXOR(F.get(b, F.lit(0))))
+    for i in range(1, SKETCH_LONGS):   # compiled, unlike the functions above
+        shortest += F.bit_count(F.get(a, F.lit(i)).bitwiseXOR(F.get(b, F.lit(i))))
+    return F.when((F.size(a) == SKETCH_LONGS) & (F.size(b) == SKETCH_LONGS), shortest).otherwise(any_length)
 
 
 def _verify(pairs: DataFrame, texts: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """The pairs (a, b) that link (with long columns ``keep``); ``texts`` has a text for
-    each node."""
+    each node (a repeated one repeats its pairs)."""
     names = ["a", "b", *keep]
     left = pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("ta")), "a")
     both = left.join(texts.select(F.col("node").alias("b"), F.col("text").alias("tb")), "b") \
@@ -300,7 +307,7 @@ def _verify(pairs: DataFrame, texts: DataFrame, keep: Sequence[str] = ()) -> Dat
         for batch in batches:
             sets = [shingles(batch.column(c).to_pylist()) for c in ("ta", "tb")]
             yield batch.select(names).filter(pa.array([linked(x, y) for x, y in zip(*sets)], pa.bool_()))
-    return both.mapInArrow(run, ", ".join(f"{c} long" for c in names)).distinct()
+    return both.mapInArrow(run, ", ".join(f"{c} long" for c in names))
 
 
 def _similar_size(a: str, b: str):
@@ -335,32 +342,37 @@ def _text_components(docs: DataFrame, id_col: str, text_col: str, work: Workspac
     filed = _tokens(given, frequent).repartition("token").sortWithinPartitions("token", "n", "node")
     shared = work.save(_shared(filed, "node", ["node", "n"]), "jaccard-shared")
 
-    wanted = shared.select("node").distinct() \
-        .join(members.groupBy("node").agg(F.min("doc_id").alias("doc_id")), "node")
+    wanted = passed.where("doc_id is not null").select("doc_id", "node") \
+        .join(shared.select("node"), "node", "left_semi") \
+        .groupBy("node").agg(F.min("doc_id").alias("doc_id"))
     texts = given.join(wanted.hint("shuffle_hash"), "doc_id").select("node", "text")
     texts = work.save(_of_node(texts), "jaccard-texts")
-    sketches = work.save(_sketches(texts), "jaccard-sketches")
-    near = lambda met: _near(met, sketches)
+    texts, sketches = texts.select("node", "text"), texts.select("node", "sketch")
 
     # Of the partners that a node meets as neighbours in its blocks, the two whose sketches are nearest.
-    met = _met(shared, ("p", "f"))
-    best = near(met).groupBy("node", "kind").agg(F.min(F.struct("distance", "other")).alias("x")) \
+    met = _met(shared, ("p", "f")).repartition("node").distinct()
+    best = _near(met, sketches).groupBy("node", "kind").agg(F.min(F.struct("distance", "other")).alias("x")) \
         .select(F.greatest("node", "x.other").alias("a"), F.least("node", "x.other").alias("b")).distinct()
     tried = work.save(best, "jaccard-pairs")
     links = work.save(_verify(tried, texts), "jaccard-links")
-    labels = connected_components(links, work)
-    found = links.count()
+    labels = work.save(texts.select("node").distinct().join(connected_components(links, work), "node", "left")
+                       .select("node", F.coalesce("label", "node").alias("label")), "jaccard-labels")
+    found, nodes = links.count(), labels.count()
 
     rows = shared   # of tokens whose nodes may be in several components
-    while found:   # each round has fewer components: links between two of them were found
+    while found * LAST_ROUND > nodes:   # each round has fewer components: links between two of them were found
         labelled = _labelled(rows, labels)
         apart = _shared(labelled.repartition("token").sortWithinPartitions("token", "label", "n", "node"),
                         "label", ["node", "n"])
         apart = work.save(apart, "jaccard-apart")
         rows = work.save(labelled.join(apart.select("token").distinct(), "token"), "jaccard-open")
-        pairs = near(_met(apart, ("p", "f")).unionByName(_hub_pairs(rows, links))) \
-            .select(F.greatest("node", "other").alias("a"), F.least("node", "other").alias("b")).distinct()
-        pairs = work.save(pairs.join(tried, ["a", "b"], "left_anti"), "jaccard-pairs")
+        pairs = _met(apart, ("p", "f")).unionByName(_hub_pairs(rows, links)) \
+            .select(F.greatest("node", "other").alias("a"), F.least("node", "other").alias("b"),
+                    F.when(F.col("node") > F.col("other"), F.col("n")).otherwise(F.col("m")).alias("n"),
+                    F.when(F.col("node") > F.col("other"), F.col("m")).otherwise(F.col("n")).alias("m")) \
+            .distinct().join(tried, ["a", "b"], "left_anti")
+        pairs = work.save(_near(pairs.withColumnsRenamed({"a": "node", "b": "other"}), sketches)
+                          .select(F.col("node").alias("a"), F.col("other").alias("b")), "jaccard-pairs")
         fresh = work.save(_verify(pairs, texts), "jaccard-links")
         found = fresh.count()
         tried, links = tried.unionByName(pairs), links.unionByName(fresh)
@@ -369,9 +381,11 @@ def _text_components(docs: DataFrame, id_col: str, text_col: str, work: Workspac
 
     # Pairs that share a block and are still in different components.
     labelled = _labelled(rows, labels)
-    several = labelled.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high")) \
-        .where("low <> high").select("token")
-    rest = work.save(labelled.join(several, "token").join(sketches, "node"), "jaccard-open")
+    if found:   # links of the last round left some tokens with one component
+        several = labelled.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high")) \
+            .where("low <> high").select("token")
+        labelled = labelled.join(several, "token")
+    rest = work.save(labelled.join(sketches, "node"), "jaccard-open")
     x, y = rest.alias("x"), rest.alias("y")
     pairs = x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.node") < F.col("y.node"))
                    & (F.col("x.label") != F.col("y.label")) & _similar_size("x.n", "y.n")
@@ -390,12 +404,10 @@ def _text_components(docs: DataFrame, id_col: str, text_col: str, work: Workspac
 
 def _met(rows: DataFrame, links: Sequence[str]) -> DataFrame:
     """(node, n, other, m, kind) of rows of ``_shared`` and the rows they are linked with."""
-    out = None
-    for kind, link in enumerate(links):
-        part = rows.select("node", "n", F.col(f"{link}_node").alias("other"), F.col(f"{link}_n").alias("m"),
-                           F.lit(kind).alias("kind"))
-        out = part if out is None else out.unionByName(part)
-    return out.where("other is not null and other <> node").where(_similar_size("n", "m")).distinct()
+    return rows.select("node", "n", F.inline(F.array(*[
+        F.struct(F.col(f"{link}_node").alias("other"), F.col(f"{link}_n").alias("m"), F.lit(kind).alias("kind"))
+        for kind, link in enumerate(links)]))) \
+        .where("other is not null and other <> node").where(_similar_size("n", "m"))
 
 
 def _near(met: DataFrame, sketches: DataFrame) -> DataFrame:
@@ -416,6 +428,7 @@ def _hub_pairs(rows: DataFrame, links: DataFrame) -> DataFrame:
     components' best, the two best are held for a token)."""
     degrees = links.select(F.col("a").alias("node")).unionByName(links.select(F.col("b").alias("node"))) \
         .groupBy("node").agg(F.count("*").alias("links"))
+    rows = rows.repartition("token")   # moved once for all that follows
     best = rows.join(degrees, "node", "left").groupBy("token", "label").agg(
         F.max(F.struct(F.coalesce("links", F.lit(0)).alias("links"), "node", "n")).alias("hub"))
     order = Window.partitionBy("token").orderBy(F.desc("hub"), "label")
@@ -426,43 +439,37 @@ def _hub_pairs(rows: DataFrame, links: DataFrame) -> DataFrame:
     hub = F.when(F.col("hub1.label") != F.col("label"), F.col("hub1.hub")).otherwise(F.col("hub2.hub"))
     return own.select("node", "n", hub.alias("hub")).where("hub is not null") \
         .select("node", "n", F.col("hub.node").alias("other"), F.col("hub.n").alias("m"), F.lit(2).alias("kind")) \
-        .where(_similar_size("n", "m")).distinct()
+        .where(_similar_size("n", "m"))
 
 
 def _merged(labels: DataFrame, links: DataFrame, work: Workspace) -> DataFrame:
-    """(node, label) after further links between components."""
-    own = lambda c: F.coalesce(f"l{c}", c)
+    """(node, label) after further links between components; ``labels`` has every node."""
     ends = links.select("a", "b")
     for c in ("a", "b"):
-        ends = ends.join(labels.select(F.col("node").alias(c), F.col("label").alias(f"l{c}")), c, "left")
-    ends = work.save(ends.select("a", "b", own("a").alias("la"), own("b").alias("lb")), "jaccard-ends")
+        ends = ends.join(labels.select(F.col("node").alias(c), F.col("label").alias(f"l{c}")), c)
     joined = connected_components(ends.select(F.col("la").alias("a"), F.col("lb").alias("b")), work)
-    every = labels.unionByName(ends.select(F.col("a").alias("node"), F.col("la").alias("label"))) \
-        .unionByName(ends.select(F.col("b").alias("node"), F.col("lb").alias("label"))).distinct()
-    out = every.join(joined.select(F.col("node").alias("label"), F.col("label").alias("top")), "label", "left") \
-        .select("node", F.coalesce("top", "label").alias("label")).groupBy("node").agg(F.min("label").alias("label"))
+    out = labels.join(joined.select(F.col("node").alias("label"), F.col("label").alias("top")), "label", "left") \
+        .select("node", F.coalesce("top", "label").alias("label"))
     return work.save(out, "jaccard-labels")
 
 
 def _of_node(texts: DataFrame) -> DataFrame:
-    """Rows whose text really is that of the node (ids may repeat), one for each node."""
+    """Rows whose text really is that of the node (ids may repeat), one for each node of a
+    task, with their sketches."""
     def run(batches):
+        seen: set[int] = set()
         for batch in batches:
+            kept, sketch = [], []
             sets = shingles(batch.column("text").to_pylist())
-            own = [len(s) > 0 and fingerprint(s) == node
-                   for s, node in zip(sets, batch.column("node").to_pylist())]
-            yield batch.filter(pa.array(own, pa.bool_()))
-    return texts.mapInArrow(run, "node long, text string")
-
-
-def _sketches(texts: DataFrame) -> DataFrame:
-    def run(batches):
-        for batch in batches:
-            yield pa.RecordBatch.from_pydict({
-                "node": batch.column("node"),
-                "sketch": pa.array([parity_bits(s) for s in shingles(batch.column("text").to_pylist())],
-                                   pa.list_(pa.int64()))})
-    return texts.mapInArrow(run, "node long, sketch array<long>").dropDuplicates(["node"])
+            for s, node in zip(sets, batch.column("node").to_pylist()):
+                kept.append(len(s) > 0 and node not in seen and fingerprint(s) == node)
+                if kept[-1]:
+                    seen.add(node)
+                    sketch.append(parity_bits(s))
+            own = batch.filter(pa.array(kept, pa.bool_()))
+            yield pa.RecordBatch.from_pydict({"node": own.column("node"), "text": own.column("text"),
+                                              "sketch": pa.array(sketch, pa.list_(pa.int64()))})
+    return texts.mapInArrow(run, "node long, text string, sketch array<long>")
 
 
 def one_of_each_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

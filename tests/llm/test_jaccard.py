@@ -3,7 +3,7 @@ import random
 import duckdb
 import numpy as np
 
-from funnelspark.llm import jaccard, queries
+from funnelspark.llm import components, jaccard, queries
 from funnelspark.llm.components import connected_components
 
 from .helpers import DOCS, SF_SMALL, brute_components, shingle_set
@@ -88,6 +88,40 @@ def test_components_of_chains_and_stars(spark):
                                               **{i: 100 for i in range(100, 140)}}
 
 
+def test_components_of_stars_need_no_round(spark, monkeypatch):
+    star, calls = components._star, []
+
+    def counted(edges, large):
+        calls.append(large)
+        return star(edges, large)
+    monkeypatch.setattr(components, "_star", counted)
+    stars = [(100 * s, 100 * s + i) for s in range(8) for i in range(1, 30)]
+    got = connected_components(spark.createDataFrame(stars, "a long, b long").repartition(4)).collect()
+    assert {r.node: r.label for r in got} == {n: n // 100 * 100 for s in stars for n in s}
+    assert len(got) == 240 and not calls
+
+
+def test_local_stars_connect_the_same_nodes_whatever_is_held(spark):
+    rng = random.Random(8)
+    edges = [(rng.randrange(300), rng.randrange(300)) for _ in range(250)]
+    df = spark.createDataFrame(edges, "a long, b long").repartition(3)
+    want = {r.node: r.label for r in connected_components(df).collect()}
+    for held in (0, 5, 1000):
+        stars = components._local_stars(df, held)
+        assert all(r.a > r.b for r in stars.collect())
+        assert {r.node: r.label for r in connected_components(stars).collect()} == want
+    root = {n: n for e in edges for n in e}
+
+    def find(n):
+        while root[n] != n:
+            n = root[n]
+        return n
+    for a, b in edges:
+        a, b = find(a), find(b)
+        root[max(a, b)] = min(a, b)
+    assert want == {n: find(n) for e in edges if e[0] != e[1] for n in e}
+
+
 def near_copies(size, words=300, seed=7):
     """A text and copies with 3 to 5 changed words: each links with the text, few with each other."""
     rng = random.Random(seed)
