@@ -4,10 +4,12 @@ Every round each node links its larger neighbours to its smallest one
 (large star), then its smaller neighbours and itself to the smallest (small
 star), until every node has either larger neighbours only or one neighbour, a
 smaller one: O(log^2 n) rounds on any shape, also on long chains.  Before the
-first round each task replaces its edges by stars of what they connect.  A node
-with very many neighbours only needs their minimum, which is aggregated before
-the shuffle.  Each round is written to the shared folder, so a lost executor
-repeats one round at most.
+first round each task replaces its edges by stars of what they connect, once as
+the edges are dealt and once for about TASK_EDGES of those stars together,
+whatever number of partitions they lie in; if one such task has them all, there
+is nothing left for a round.  A node with very many neighbours only needs their
+minimum, which is aggregated before the shuffle.  Each round is written to the
+shared folder, so a lost executor repeats one round at most.
 """
 
 from __future__ import annotations
@@ -20,6 +22,8 @@ from funnelspark.llm.common import Workspace
 
 #: Nodes that a task holds at once when it replaces its edges by stars.
 HELD_NODES = 500_000
+#: Edges that a task is given, about, when small partitions are taken together (at most HELD_NODES / 2).
+TASK_EDGES = 100_000
 
 
 def _local_stars(edges: DataFrame, held: int = HELD_NODES) -> DataFrame:
@@ -77,7 +81,10 @@ def connected_components(edges: DataFrame, work: Workspace | None = None) -> Dat
     """(node, label) of every node of ``edges`` (a, b long): the smallest node it reaches."""
     work = work or Workspace(edges.sparkSession)
     edges = work.save(_local_stars(edges), "edges")
-    while _both_ways(edges).groupBy("u").agg(F.min("v").alias("low"), F.max("v").alias("high")) \
+    tasks = -(-edges.count() // TASK_EDGES)
+    if tasks:
+        edges = work.save(_local_stars(edges.coalesce(tasks)), "edges")
+    while tasks > 1 and _both_ways(edges).groupBy("u").agg(F.min("v").alias("low"), F.max("v").alias("high")) \
             .where("low < u and low <> high").count():
         edges = work.save(_star(_star(edges, True), False), "edges")
     return edges.select(F.col("a").alias("node"), F.col("b").alias("label")).unionByName(

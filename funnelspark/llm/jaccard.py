@@ -361,12 +361,11 @@ def _text_components(docs: DataFrame, id_col: str, text_col: str, work: Workspac
 
     rows = shared   # of tokens whose nodes may be in several components
     while found * LAST_ROUND > nodes:   # each round has fewer components: links between two of them were found
-        labelled = _labelled(rows, labels)
-        apart = _shared(labelled.repartition("token").sortWithinPartitions("token", "label", "n", "node"),
+        rows = work.save(_open(_labelled(rows, labels, _degrees(links))), "jaccard-open")
+        apart = _shared(rows.drop("links").repartition("token").sortWithinPartitions("token", "label", "n", "node"),
                         "label", ["node", "n"])
         apart = work.save(apart, "jaccard-apart")
-        rows = work.save(labelled.join(apart.select("token").distinct(), "token"), "jaccard-open")
-        pairs = _met(apart, ("p", "f")).unionByName(_hub_pairs(rows, links)) \
+        pairs = _met(apart, ("p", "f")).unionByName(_hub_pairs(rows)) \
             .select(F.greatest("node", "other").alias("a"), F.least("node", "other").alias("b"),
                     F.when(F.col("node") > F.col("other"), F.col("n")).otherwise(F.col("m")).alias("n"),
                     F.when(F.col("node") > F.col("other"), F.col("m")).otherwise(F.col("n")).alias("m")) \
@@ -418,19 +417,32 @@ def _near(met: DataFrame, sketches: DataFrame) -> DataFrame:
         .where(F.col("distance") * 9 <= F.col("n") + F.col("m")).drop("sketch", "sketch2")
 
 
-def _labelled(rows: DataFrame, labels: DataFrame) -> DataFrame:
+def _labelled(rows: DataFrame, labels: DataFrame, degrees: DataFrame | None = None) -> DataFrame:
+    """``rows`` (token, node, n) with the node's label and, by ``degrees``, its number of links."""
+    links = []
+    if degrees is not None:
+        labels, links = labels.join(degrees, "node", "left"), [F.coalesce("links", F.lit(0)).alias("links")]
     return rows.select("token", "node", "n").join(labels, "node", "left") \
-        .select("token", F.coalesce("label", "node").alias("label"), "node", "n")
+        .select("token", F.coalesce("label", "node").alias("label"), "node", "n", *links)
 
 
-def _hub_pairs(rows: DataFrame, links: DataFrame) -> DataFrame:
+def _degrees(links: DataFrame) -> DataFrame:
+    return links.select(F.col("a").alias("node")).unionByName(links.select(F.col("b").alias("node"))) \
+        .groupBy("node").agg(F.count("*").alias("links"))
+
+
+def _open(labelled: DataFrame) -> DataFrame:
+    """The rows of tokens whose nodes are in several components; moved once, by token."""
+    token = Window.partitionBy("token")
+    return labelled.withColumns({"low": F.min("label").over(token), "high": F.max("label").over(token)}) \
+        .where("low <> high").drop("low", "high")
+
+
+def _hub_pairs(rows: DataFrame) -> DataFrame:
     """Each node of a token with the node of another component that has most links (of the
     components' best, the two best are held for a token)."""
-    degrees = links.select(F.col("a").alias("node")).unionByName(links.select(F.col("b").alias("node"))) \
-        .groupBy("node").agg(F.count("*").alias("links"))
     rows = rows.repartition("token")   # moved once for all that follows
-    best = rows.join(degrees, "node", "left").groupBy("token", "label").agg(
-        F.max(F.struct(F.coalesce("links", F.lit(0)).alias("links"), "node", "n")).alias("hub"))
+    best = rows.groupBy("token", "label").agg(F.max(F.struct("links", "node", "n")).alias("hub"))
     order = Window.partitionBy("token").orderBy(F.desc("hub"), "label")
     two = best.withColumn("place", F.row_number().over(order)).where("place <= 2") \
         .groupBy("token").agg(*[F.max(F.when(F.col("place") == i, F.struct("label", "hub"))).alias(f"hub{i}")

@@ -179,3 +179,44 @@ def test_texts_of_one_id_stand_for_themselves(spark):
     kept = jaccard.one_of_each_group(spark.createDataFrame(docs, DOCS)).collect()
     assert sorted(map(str, kept)) == sorted(map(str, spark.createDataFrame(
         [docs[0], docs[2], docs[3], docs[4], docs[5]], DOCS).collect()))
+
+
+def test_few_edges_in_many_partitions_need_no_round(spark, monkeypatch):
+    star, calls = components._star, []
+
+    def counted(edges, large):
+        calls.append(large)
+        return star(edges, large)
+    monkeypatch.setattr(components, "_star", counted)
+    edges = [(i, i + 1) for i in range(60)] + [(100 + i, 101 + i) for i in range(20)]
+    df = spark.createDataFrame(edges, "a long, b long").repartition(8)
+    want = {**{i: 0 for i in range(61)}, **{100 + i: 100 for i in range(21)}}
+    assert {r.node: r.label for r in connected_components(df).collect()} == want and not calls
+    monkeypatch.setattr(components, "TASK_EDGES", 30)   # more than a task is given: rounds follow
+    got = connected_components(df).collect()
+    assert {r.node: r.label for r in got} == want and len(got) == len(want)
+    assert connected_components(df.where("a < 0")).collect() == []
+
+
+def test_rows_of_tokens_in_several_components_with_their_links(spark):
+    rows = spark.createDataFrame([(1, 10, 5), (1, 11, 5), (2, 10, 5), (2, 12, 6), (3, 13, 7), (3, 14, 7), (4, 15, 8)],
+                                 "token long, node long, n long")
+    labels = spark.createDataFrame([(10, 10), (11, 10), (12, 12), (13, 13)], "node long, label long")
+    links = spark.createDataFrame([(11, 10), (13, 10)], "a long, b long")
+    got = jaccard._open(jaccard._labelled(rows, labels, jaccard._degrees(links))).collect()
+    assert sorted(map(tuple, got)) == [(2, 10, 10, 5, 2), (2, 12, 12, 6, 0), (3, 13, 13, 7, 1), (3, 14, 14, 7, 0)]
+
+
+def test_a_saved_table_is_read_back_without_a_job(spark):
+    df = spark.range(5).selectExpr("id", "array(cast(id as string)) as `odd name`", "cast(null as date) as day")
+    work, sc = components.Workspace(spark), spark.sparkContext
+    try:
+        sc.setJobGroup("saved", "saved")
+        saved = work.save(df, "saved")
+        jobs = sc.statusTracker().getJobIdsForGroup("saved")
+    finally:
+        sc._jsc.clearJobGroup()
+    assert len(jobs) == 1   # that which writes it
+    assert saved.dtypes == df.dtypes and sorted(map(tuple, saved.collect())) == sorted(map(tuple, df.collect()))
+    assert work.save(df.where("id < 0"), "saved").collect() == []
+    work.close()
