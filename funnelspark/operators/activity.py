@@ -102,8 +102,9 @@ def _purchase_columns(rows: DataFrame, as_of) -> DataFrame:
 
 
 def purchases_at(lifetime: DataFrame, recent: DataFrame, as_of) -> DataFrame:
-    """``int_customer_purchases`` at a time from the two parts."""
-    r = recent.withColumnRenamed("customer_id", "r_customer_id")
+    """``int_customer_purchases`` at a time from the two parts.  The customers of the trailing
+    days are merged: their number grows with all customers, and the driver would hold them."""
+    r = recent.withColumnRenamed("customer_id", "r_customer_id").hint("merge")
     j = lifetime.join(r, lifetime.customer_id.eqNullSafe(r.r_customer_id), "left")
     return _purchase_columns(j.withColumn("orders_last_30_days", F.coalesce("orders_last_30_days", F.lit(0)))
                              .withColumn("spend_last_30_days_usd", F.coalesce(

@@ -17,7 +17,9 @@ Two modes for the per-customer aggregates:
 Scale: keys compare NULL-safely, so a customer without an id is a group of its
 own as in a full run.  ``restrict_to`` spreads the rows of a touched customer
 over ``SPREAD`` join keys, so a customer holding a third of all rows is
-aggregated partially in many tasks before its row is made.
+aggregated partially in many tasks before its row is made.  Keys that grow with
+a batch are merged, never broadcast: the planner takes the compressed size of
+their files for theirs, by which the driver would hold millions of them.
 """
 
 from __future__ import annotations
@@ -49,7 +51,7 @@ def after_mark(df: DataFrame, col: Column | str, mark: str) -> DataFrame:
 
 def _keyed(df: DataFrame, other: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
     """Left semi or anti join on NULL-safe equality of the keys."""
-    right = other.select(*[F.col(k).alias(f"_{k}") for k in keys])
+    right = other.select(*[F.col(k).alias(f"_{k}") for k in keys]).hint("merge")
     cond = None
     for k in keys:
         c = df[k].eqNullSafe(right[f"_{k}"])

@@ -107,7 +107,8 @@ def answering(spark: SparkSession, filters: dict[str, PartFilter], keys: DataFra
     counts = sorted({f.buckets for f in asked.values()})   # powers of two
     probes = keys.select(F.col(key).alias("k")).where("k is not null").distinct() \
         .withColumn("buckets", F.explode(F.array(*[F.lit(c) for c in counts]))) \
-        .select("buckets", _bucket("k", F.col("buckets")).alias("bucket"), _places("k").alias("places"))
+        .select("buckets", _bucket("k", F.col("buckets")).alias("bucket"), _places("k").alias("places")) \
+        .hint("merge")   # a batch's keys, each with its places: not for the driver to hold
     s, p = stored.alias("s"), probes.alias("p")
     holds = F.forall("p.places", lambda x: F.get("s.bits", F.floor(x / 64).cast("int")).bitwiseAND(_bit(x)) != 0)
     hit = p.join(s, (F.col("p.buckets") == F.col("s.buckets")) & (F.col("p.bucket") == F.col("s.bucket")) & holds)

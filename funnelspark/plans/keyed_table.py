@@ -8,6 +8,7 @@ times, never once per run.
 
 Every level is bucketed by the hash of the key into the same number of buckets and sorted in
 them: levels are merged, and tables of one key and bucket count are joined, without an exchange.
+No level is broadcast, whatever its files' compressed size: the driver would hold all its keys.
 Buckets need a catalog while they are written and opened; the entry is dropped at once (the
 files and the ``KeyedTable``, which the run's manifest holds, are all that stays).
 
@@ -60,7 +61,7 @@ def open_bucketed(spark: SparkSession, schema: str, path: str, buckets: int) ->
 
 def newest(older: DataFrame, newer: DataFrame) -> DataFrame:
     """The rows of two levels: those of ``newer``, and of ``older`` what it doesn't replace."""
-    return older.join(newer.select(KEY), KEY, "left_anti").unionByName(newer)
+    return older.join(newer.select(KEY).hint("merge"), KEY, "left_anti").unionByName(newer)
 
 
 @dataclass(frozen=True)
@@ -110,7 +111,7 @@ class KeyedTable:
         """``rows`` (with the key's columns) and, NULL where there is none, the stored ``columns``;
         only ``rows`` are moved."""
         stored = self.keyed().select(KEY, *[F.col(c).alias(prefix + c) for c in columns])
-        return rows.withColumn(KEY, key_of(self.key)).join(stored, KEY, "left").drop(KEY)
+        return rows.withColumn(KEY, key_of(self.key)).join(stored.hint("merge"), KEY, "left").drop(KEY)
 
     def apply(self, store, name: str, changes: DataFrame, gone: Column | None = None) -> KeyedTable:
         """The table with these rows put in (one for each key; those where ``gone`` holds taken
